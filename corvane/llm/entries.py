@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import decontamination
+from corvane.llm import decontamination, near_duplicates, quality_rules, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": decontamination.op2_decontamination,
+        "op4_near_duplicates": near_duplicates.op4_near_duplicates,
+        "op5_toxicity": toxicity.op5_toxicity,
+        "op8_quality_rules": quality_rules.op8_quality_rules,
     }
 
 
