@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import decontamination, near_duplicates, quality_rules, toxicity
+from corvane.llm import decontamination, mixing, near_duplicates, quality_rules, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": decontamination.op2_decontamination,
         "op4_near_duplicates": near_duplicates.op4_near_duplicates,
         "op5_toxicity": toxicity.op5_toxicity,
+        "op6_mixing": mixing.op6_mixing,
         "op8_quality_rules": quality_rules.op8_quality_rules,
     }
 
