@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import decontamination, mixing, near_duplicates, quality_rules, toxicity
+from corvane.llm import decontamination, mixing, near_duplicates, personal_data, quality_rules, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": decontamination.op2_decontamination,
+        "op3_personal_data": personal_data.op3_personal_data,
         "op4_near_duplicates": near_duplicates.op4_near_duplicates,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_mixing": mixing.op6_mixing,
@@ -22,4 +23,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": decontamination.SQL,
+        "op3_personal_data": personal_data.SQL,
     }
