@@ -6,17 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import decontamination, mixing, near_duplicates, personal_data, quality_rules, toxicity
+from corvane.llm import (
+    decontamination,
+    html_extraction,
+    mixing,
+    near_duplicates,
+    personal_data,
+    quality_rules,
+    token_counts,
+    toxicity,
+    url_filters,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filters": url_filters.op1_url_filters,
+        "op10_token_counts": token_counts.op10_token_counts,
         "op2_decontamination": decontamination.op2_decontamination,
         "op3_personal_data": personal_data.op3_personal_data,
         "op4_near_duplicates": near_duplicates.op4_near_duplicates,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_mixing": mixing.op6_mixing,
         "op8_quality_rules": quality_rules.op8_quality_rules,
+        "op9_html_extraction": html_extraction.op9_html_extraction,
     }
 
 
