@@ -32,17 +32,19 @@ def local_session(cpus: int = 8, partitions: int | None = None, **conf: str) ->
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a reliable checkpoint in the shared folder of the cluster.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.
 
-    The folder is spark.checkpoint.dir; only where that is unset (tests, laptops) is one made
-    under the session's warehouse.
+    Only where that is unset (tests, laptops) is one made under the session's warehouse.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or os.path.join(
+        spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints"
+    )
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage through a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir") or os.path.join(
-            spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints"
-        )
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
