@@ -12,6 +12,7 @@ from corvane.llm import (
     mixing,
     near_duplicates,
     personal_data,
+    quality_classifier,
     quality_rules,
     token_counts,
     toxicity,
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_near_duplicates": near_duplicates.op4_near_duplicates,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_mixing": mixing.op6_mixing,
+        "op7_quality_classifier": quality_classifier.op7_quality_classifier,
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op9_html_extraction": html_extraction.op9_html_extraction,
     }
