@@ -1,0 +1,158 @@
+"""Sparse TF-IDF neighbours, dense nearest neighbours and MinHash LSH candidates."""
+
+from __future__ import annotations
+
+import heapq
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from corvane.functions.scores import rounded, scaled
+from corvane.functions.vectors import band_keys, estimated_jaccard
+from corvane.session import checkpointed
+
+
+def inverse_frequencies(features: DataFrame) -> DataFrame:
+    """(feature, df, n, idf) of a long table (key, feature): idf = ln(n / df)."""
+    total = features.agg(F.countDistinct("key").alias("n"))
+    return (
+        features.groupBy("feature").agg(F.countDistinct("key").alias("df"))
+        .crossJoin(F.broadcast(total))  # one row
+        .withColumn("idf", F.ln(F.col("n") / F.col("df")))
+    )
+
+
+def weighted(features: DataFrame, frequencies: DataFrame) -> DataFrame:
+    """(key, feature, w, df, n): tf-idf weights of unit length, rounded to 4 places.
+
+    The length comes from the unrounded weights.
+    """
+    raw = features.join(frequencies, "feature").withColumn("w", F.col("weight") * F.col("idf"))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("key")))
+    return raw.withColumn("length", length).where("length > 0").select("key", "feature", rounded(F.col("w") / F.col("length")).alias("w"), "df", "n")
+
+
+def related(features: DataFrame, is_query: Column, k: int = 10, cut: float = 0.05, min_keys: int = 40) -> DataFrame:
+    """(key, other, score, rank): the k most similar keys of each query key.
+
+    features: (key, feature, weight), one row per pair of key and feature. A feature that more
+    than `cut` of at least `min_keys` keys have finds no candidates, which keeps the join on
+    features free of hot keys, but it counts in the score. Ties go to the smaller key.
+    """
+    vectors = checkpointed(weighted(features, inverse_frequencies(features)))
+    selective = (F.col("n") < min_keys) | (F.col("df") <= cut * F.col("n"))
+    asked = vectors.where(is_query)
+    finders = asked.where(selective).select("key", "feature")
+    pairs = finders.join(vectors.where(selective).select(F.col("key").alias("other"), "feature"), "feature").where("key <> other").select("key", "other").distinct()
+    left = pairs.join(asked.select("key", "feature", F.col("w").alias("a")), "key")
+    scores = (
+        left.join(vectors.select(F.col("key").alias("other"), "feature", F.col("w").alias("b")), ["other", "feature"])
+        .groupBy("key", "other")
+        .agg(scaled(F.sum(F.col("a") * F.col("b"))).alias("score"))
+        .where("score > 0")
+    )
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("score").desc(), "other"))
+    return scores.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def explain_pairs(vectors: DataFrame, pairs: DataFrame, k: int = 3) -> DataFrame:
+    """(key, other, reasons): the k features that give a pair most of its score."""
+    both = pairs.join(vectors.select("key", "feature", F.col("w").alias("a")), "key").join(
+        vectors.select(F.col("key").alias("other"), "feature", F.col("w").alias("b")), ["other", "feature"]
+    )
+    rank = F.row_number().over(Window.partitionBy("key", "other").orderBy((F.col("a") * F.col("b")).desc(), "feature"))
+    top = both.withColumn("rank", rank).where(F.col("rank") <= k)
+    reasons = F.transform(F.array_sort(F.collect_list(F.struct("rank", "feature"))), lambda x: x["feature"])
+    return top.groupBy("key", "other").agg(reasons.alias("reasons"))
+
+
+#: Query vectors that are sent to all executors at once.
+QUERY_BLOCK = 2048
+
+
+def _nearest(ids: list[int], matrix: np.ndarray, k: int):
+    """Best k rows of each batch for each query; batches merge within the partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[list[tuple[float, int]]] = [[] for _ in ids]  # heaps of (score, -id)
+        for batch in batches:
+            keys = batch.column("id").to_pylist()
+            rows = [np.asarray(v, np.float64) for v in batch.column("vector").to_pylist()]
+            if not rows:
+                continue
+            block = np.stack(rows)
+            lengths = np.linalg.norm(block, axis=1)
+            block = block / np.where(lengths > 0, lengths, 1.0)[:, None]
+            scores = matrix @ block.T
+            for q, row in enumerate(scores):
+                enough = min(len(row), k + 1)
+                for at in np.argpartition(-row, enough - 1)[:enough] if len(row) > enough else range(len(row)):
+                    if keys[at] != ids[q]:
+                        entry = (float(row[at]), -keys[at])
+                        heap = best[q]
+                        if len(heap) < k:
+                            heapq.heappush(heap, entry)
+                        elif entry > heap[0]:
+                            heapq.heapreplace(heap, entry)
+        rows = [(ids[q], -key, score) for q, heap in enumerate(best) for score, key in heap]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["query", "id", "score"])
+
+    return run
+
+
+def nearest(queries: DataFrame, frame: DataFrame, k: int = 10, block: int = QUERY_BLOCK) -> DataFrame:
+    """(query, id, score, rank): the k rows of highest cosine for each query, itself left out.
+
+    Both frames have (id, vector). Queries go in blocks of bounded size; each task keeps k
+    candidates per query, so what is shuffled grows with the tasks, not with the rows.
+    """
+    wanted = queries.select("id", "vector").where("vector is not null").orderBy("id")
+    out = None
+    last = None
+    while True:
+        part = (wanted if last is None else wanted.where(F.col("id") > last)).limit(block).collect()  # block rows
+        if not part and out is not None:
+            break
+        matrix = np.array([r["vector"] for r in part], np.float64).reshape(len(part), -1)
+        lengths = np.linalg.norm(matrix, axis=1) if len(part) else np.zeros(0)
+        matrix = matrix / np.where(lengths > 0, lengths, 1.0)[:, None]
+        found = frame.where("vector is not null").select("id", "vector").mapInArrow(_nearest([r["id"] for r in part], matrix, k), "query long, id long, score double")
+        out = found if out is None else out.unionByName(found)
+        if len(part) < block:
+            break
+        last = part[-1]["id"]
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "id"))
+    return out.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def lsh_pairs(left: DataFrame, right: DataFrame, threshold: float = 0.3, permutations: int = 64) -> DataFrame:
+    """(left, right, jaccard): pairs that share a band of their signatures and are similar enough.
+
+    Both frames have (id, signature). Equal signatures on one side are one class in the join and
+    are expanded afterwards from the class table, so repeated rows cost one probe. A row whose
+    signature has the wrong length cannot be filtered: it is compared with every class of the other side, which
+    the caller sees as pairs without a jaccard.
+    """
+    usable = F.size("signature") == permutations
+
+    def classes(frame: DataFrame, side: str) -> DataFrame:
+        return frame.where(usable).groupBy(F.col("signature").alias(f"{side}_s")).agg(F.min("id").alias(f"{side}_c"))
+
+    def banded(frame: DataFrame, side: str) -> DataFrame:
+        return frame.select(f"{side}_c", F.posexplode(band_keys(F.col(f"{side}_s"))).alias("band", "part"))
+
+    a, b = classes(left, "l"), classes(right, "r")
+    near = banded(a, "l").join(banded(b, "r"), ["band", "part"]).select("l_c", "r_c").distinct()
+    judged = near.join(a, "l_c").join(b, "r_c").withColumn("jaccard", estimated_jaccard(F.col("l_s"), F.col("r_s"))).where(F.col("jaccard") >= threshold)
+    members_l = left.where(usable).select(F.col("id").alias("left"), F.col("signature").alias("l_s"))
+    members_r = right.where(usable).select(F.col("id").alias("right"), F.col("signature").alias("r_s"))
+    pairs = judged.join(members_l, "l_s").join(members_r, "r_s").select("left", "right", "jaccard")
+    odd_l, odd_r = left.where(~usable | F.col("signature").isNull()), right.where(~usable | F.col("signature").isNull())
+    loose = odd_l.select(F.col("id").alias("left")).join(right.select(F.col("id").alias("right"))).unionByName(
+        left.where(usable).select(F.col("id").alias("left")).join(odd_r.select(F.col("id").alias("right")))
+    )
+    return pairs.unionByName(loose.withColumn("jaccard", F.lit(None).cast("double")))
