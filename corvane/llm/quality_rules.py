@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm.words import SPACES, WordHash, binary_column, blank_words, pair_hash, spread
+from corvane.session import checkpointed
 from corvane.sources.tables import table
 
 BITS = 15
@@ -26,6 +27,8 @@ BITS = 15
 THRESHOLD = -0.055
 #: Pseudo-counts in each cell that draw its ratio towards 1, so cells with few words say little.
 PRIOR = 30.0
+#: Trusted ids, of 8 bytes each, that are sent to all executors at most.
+BROADCAST_IDS = 4_000_000
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
 
@@ -65,10 +68,12 @@ def trusted_flag(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """`documents` with a column trusted: its id has a label of quality 1 and none of 0.
 
     The labels are one small row per id (pre-aggregated, so repeated ids cannot multiply
-    documents). The texts stay where they are as long as Spark may broadcast the ids by their
-    measured size; else the join shuffles, and AQE splits large partitions.
+    documents). Up to BROADCAST_IDS trusted ids, which are counted first, are sent to all executors,
+    so that no text moves; beyond that the join shuffles, and AQE splits large partitions.
     """
-    good = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_q")).where("_q = 1")
+    good = checkpointed(labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_q")).where("_q = 1").select("_id"))
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
     return documents.join(good, F.col("doc_id") == F.col("_id"), "left").select(
         *documents.columns, F.col("_id").isNotNull().alias("trusted")
     )
