@@ -41,12 +41,15 @@ def phrases(query: str, most: int = 32) -> list[list[str]]:
     return [tokens for term in terms if (tokens := re.findall(r"[^\W_]+", term))]
 
 
+def spaced(text: Column) -> Column:
+    """The tokens of a text in lower case, each between two blanks of its own; ' ' for none."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", "  ")), F.lit(" "))
+
+
 def phrase_count(tokens: Column, phrase: list[str]) -> Column:
-    if len(phrase) == 1:
-        return F.size(F.filter(tokens, lambda t: t == phrase[0]))
-    wanted = F.array(*(F.lit(p) for p in phrase))
-    starts = F.when(F.size(tokens) >= len(phrase), F.sequence(F.lit(1), F.size(tokens) - len(phrase) + 1)).otherwise(F.array().cast("array<int>"))
-    return F.size(F.filter(starts, lambda i: F.slice(tokens, i, F.lit(len(phrase))) == wanted))
+    """How often the tokens of a phrase follow each other in a `spaced` text, not overlapping."""
+    wanted = " " + "  ".join(phrase) + " "
+    return ((F.length(tokens) - F.length(F.replace(tokens, F.lit(wanted), F.lit("")))) / len(wanted)).cast("int")
 
 
 def bm25(
@@ -69,8 +72,9 @@ def bm25(
     terms = phrases(query)
     if not terms:
         return frame.select(key, F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("terms")).limit(0)
-    counted = frame.select(F.col(key), word_tokens(F.col(text)).alias("_t")).select(
-        key, F.size("_t").alias("_d"), *(phrase_count(F.col("_t"), p).alias(f"_f{k}") for k, p in enumerate(terms))
+    tokens = F.length("_t") - F.length(F.replace(F.col("_t"), F.lit("  "), F.lit(" "))) + 1
+    counted = frame.select(F.col(key), spaced(F.col(text)).alias("_t")).select(
+        key, F.when(F.length("_t") > 2, tokens).otherwise(0).alias("_d"), *(phrase_count(F.col("_t"), p).alias(f"_f{k}") for k, p in enumerate(terms))
     )
     total = counted.agg(
         F.count("*").alias("_n"), F.avg("_d").alias("_avg"), *(F.count_if(F.col(f"_f{k}") > 0).alias(f"_n{k}") for k in range(len(terms)))

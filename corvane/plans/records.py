@@ -128,14 +128,15 @@ def watermark_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH s AS (SELECT c_custkey AS id, DATE '2020-01-01' + CAST(c_nationkey * 10 AS INTEGER) AS a, DATE '2021-06-30' AS z FROM customer)
-SELECT id, CAST(a + CAST(k * 90 AS INTEGER) AS DATE) AS slice_start, CAST(least(a + CAST(k * 90 + 89 AS INTEGER), z) AS DATE) AS slice_stop FROM s, unnest(range(0, 7)) AS u(k) WHERE a + CAST(k * 90 AS INTEGER) <= z
+SELECT id, strftime(a + CAST(k * 90 AS INTEGER), '%Y-%m-%d') AS slice_start, strftime(least(a + CAST(k * 90 + 89 AS INTEGER), z), '%Y-%m-%d') AS slice_stop FROM s, unnest(range(0, 7)) AS u(k) WHERE a + CAST(k * 90 AS INTEGER) <= z
 """)
 def window_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("c_nationkey") * 10).alias("start"),
         F.lit("2021-06-30").alias("stop"), F.lit(None).cast("string").alias("cursor"),
     )
-    return incremental.window_slices(state)
+    slices = incremental.window_slices(state)
+    return slices.select("id", *(F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("slice_start", "slice_stop")))
 
 
 @query("""

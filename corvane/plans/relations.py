@@ -160,7 +160,7 @@ def region_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH a AS (SELECT conv_id, turn, length(text) AS n FROM conversations WHERE role = 'user'), b AS (SELECT conv_id, turn - 1 AS turn, length(text) AS n FROM conversations WHERE role = 'assistant')
-SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn) AS turn, CAST(a.n AS BIGINT) AS asked, CAST(b.n AS BIGINT) AS answered
+SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.turn, b.turn) AS turn, CAST(coalesce(a.n, -1) AS BIGINT) AS asked, CAST(coalesce(b.n, -1) AS BIGINT) AS answered
 FROM (SELECT conv_id, turn, max(n) AS n FROM a GROUP BY ALL) a FULL JOIN (SELECT conv_id, turn, max(n) AS n FROM b GROUP BY ALL) b ON a.conv_id = b.conv_id AND a.turn = b.turn
 """)
 def pair_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +168,7 @@ def pair_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = turns.where("role = 'user'").drop("role")
     answered = turns.where("role = 'assistant'").drop("role").withColumn("turn", F.col("turn") - 1)
     pairs = comparing.full_outer(asked, answered, ["conv_id", "turn"], "n")
-    return pairs.select("conv_id", "turn", F.col("before.n").alias("asked"), F.col("after.n").alias("answered"))
+    return pairs.select("conv_id", "turn", F.coalesce("before.n", F.lit(-1)).alias("asked"), F.coalesce("after.n", F.lit(-1)).alias("answered"))
 
 
 @query("""

@@ -10,6 +10,7 @@ from corvane.functions.scores import scaled
 from corvane.operators import matching, similarity
 from corvane.operators.search import word_tokens
 from corvane.plans.registry import query
+from corvane.session import checkpointed
 from corvane.sources.tables import table
 
 _TOKENS = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
@@ -90,9 +91,10 @@ m AS (SELECT id, keys, list_transform(range(0, 64), lambda i: list_min(list_tran
 
 
 def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grams = V.k_grams(word_tokens(F.col("text")))
-    counted = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), grams.alias("grams"))
-    return counted.withColumn("signature", V.minhash(F.map_keys("grams")))
+    """Materialised step by step: inside lambdas an inlined expression would be computed again and again."""
+    tokens = checkpointed(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), word_tokens(F.col("text")).alias("tokens")))
+    counted = checkpointed(tokens.select("id", V.k_grams(F.col("tokens")).alias("grams")))
+    return checkpointed(counted.withColumn("signature", V.minhash(F.map_keys("grams"))))
 
 
 @query(f"""
