@@ -97,6 +97,8 @@ def blocks(page: str) -> list[Block]:
             if tag in INLINE:
                 in_link -= tag == "a" and in_link > 0
                 continue
+            if tag in RAW:
+                continue
             flush()
             if any(e[0] == tag for e in stack):
                 while stack.pop()[0] != tag:

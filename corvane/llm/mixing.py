@@ -12,12 +12,12 @@ a balanced sample:
   as they are in expectation, decides at least one of them. So a block of any size streams through
   a window of three undecided documents.
 * Blocks: documents are dealt by hash into blocks of about `block_rows` within their source, and
-  each block flies by itself; at most two, and `RESERVE` that waited, remain undecided of each block.
+  each block flies by itself; at most two, and the `RESERVE` largest, which wait, remain undecided.
 * Landing: the undecided ones of a source fly once more, together. At most `RESERVE` + 2 remain,
   and of their outcomes the one nearest to the source's totals is taken.
 
 The rows that move are (id, source, size), never texts. Coins are hashes of ids and the order in
-a block is by hash and id, so reruns agree whatever the partitioning.
+a block is by size, hash and id, so reruns agree whatever the partitioning.
 """
 
 from __future__ import annotations
@@ -112,7 +112,9 @@ def coin(seed: int, level: int) -> float:
 def _fly(level: int, reserve: int):
     """Streams rows sorted by key and sets p to 0 or 1 where the flight decides.
 
-    The first `reserve` undecided rows of each key don't fly: they wait for the landing.
+    The first (so the largest) `reserve` undecided rows of each key don't fly: they wait for the
+    landing. A document much larger than the others hardly moves in a flight and would be left
+    over with nothing to weigh it up.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,8 +164,8 @@ LIGHT = 0.02
 
 
 def _dealt(frame: DataFrame) -> DataFrame:
-    """Equal keys in one partition, in a fixed order."""
-    return frame.repartition("key").sortWithinPartitions("key", "seed", "doc_id", "size", "p")
+    """Equal keys in one partition, in a fixed order, the largest documents first."""
+    return frame.repartition("key").sortWithinPartitions("key", F.col("size").desc(), "seed", "doc_id", "p")
 
 
 def landing(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
