@@ -27,8 +27,8 @@ BITS = 15
 THRESHOLD = -0.055
 #: Pseudo-counts in each cell that draw its ratio towards 1, so cells with few words say little.
 PRIOR = 30.0
-#: Trusted ids, of 8 bytes each, that are sent to all executors at most.
-BROADCAST_IDS = 4_000_000
+#: Trusted ids that are sent to all executors at most; about 70 bytes each in the broadcast table.
+BROADCAST_IDS = 2_000_000
 MIN_WORDS = 50
 MAX_REPEATED = 0.5
 
