@@ -159,23 +159,17 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
         yield [(row["item"], row["text"].encode()) for row in part.collect()]
 
 
-def search_benchmark(
-    documents: DataFrame,
-    benchmark: DataFrame,
-    window: int = WINDOW,
-    block_bytes: int = BLOCK_BYTES,
-    carry: tuple[str, ...] = (),
-) -> DataFrame:
-    """Rows of `documents` with n_words, _spans (int64 word ranges) and _items (ids as strings).
-
-    `carry` names columns that come along besides doc_id. A null text has no words. An item whose
+def search_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, n_words, _spans (int64 word ranges) and _items (ids as strings) of each row.
+
+    A null text has no words. An item whose
     id is null marks words but is not counted as an item. Repeated rows are judged one by one.
     """
-    frame = documents.select("doc_id", "text", *(c for c in carry if c not in ("doc_id", "text")))
+    frame = documents.select("doc_id", "text")
     blocks = list(benchmark_blocks(benchmark, block_bytes))
     fields = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
     for number, items in enumerate(blocks):
-        keep = list(fields) if number < len(blocks) - 1 or "text" in carry else [c for c in fields if c != "text"]
+        keep = list(fields) if number < len(blocks) - 1 else [c for c in fields if c != "text"]
         schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", " + FOUND
         frame = frame.mapInArrow(_search(items, window, keep), schema)
     return frame
@@ -191,11 +185,24 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     return search_benchmark(docs, benchmark, window, block_bytes).mapInArrow(_digest, RESULT)
 
 
-def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def _keep_clean(items: list[tuple[str | None, bytes]], window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = searchers(items, window)
+        for batch in batches:
+            clean = []
+            for data in binary_column(batch, "text"):
+                words = alnum_words(data)
+                clean.append(not any(True for searcher in found for _ in searcher.search(words)))
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run
+
+
+def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of `documents` that share no window with the benchmark, all columns kept."""
-    columns = documents.columns
-    found = search_benchmark(documents, benchmark, window, carry=tuple(columns))
-    return found.where(F.octet_length("_spans") == 0).select(*columns)
+    for items in benchmark_blocks(benchmark, block_bytes):
+        documents = documents.mapInArrow(_keep_clean(items, window), documents.schema)
+    return documents
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,9 +14,10 @@ full Hamming check.
 
 Buckets are counted before they are gathered. Those of at most `bucket_limit` fingerprints are
 compared inside one row and emit a spanning forest of their links, never all pairs. Larger ones,
-which one family of near copies may cause, are linked through their single-bit variants: x and y differ in at most 2 bits just if flipping at most one bit of
-each can make them equal, so grouping the variants and linking each group to its smallest member
-gives the same components with 65 small rows per fingerprint and no bound on the bucket.
+which one family of near copies may cause, are linked through their single-bit variants: x and y
+differ in at most 2 bits just if flipping at most one bit of each can make them equal, so grouping
+the variants and linking each group to its smallest member gives the same components with 65 small
+rows per fingerprint and no bound on the bucket.
 
 Components come from alternating large-star and small-star rounds over the edge table, each round
 cut by a reliable checkpoint. Nothing but counters reaches the driver.
@@ -235,12 +236,13 @@ def one_of_each_group(documents: DataFrame, bucket_limit: int = BUCKET_LIMIT) ->
     def ids(frame: DataFrame) -> DataFrame:
         return F.broadcast(frame) if frame.count() <= BROADCAST_IDS else frame
 
-    rows = documents.join(ids(dropped), F.col("doc_id") == F.col("_gone"), "left_anti")
+    dropped = ids(dropped)
+    rows = documents.join(dropped, documents["doc_id"] == dropped["_gone"], "left_anti")
     if repeated.isEmpty():
         return rows.select(*columns)
     again = ids(repeated.withColumnRenamed("doc_id", "_again"))
-    single = rows.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
-    several = rows.join(again, F.col("doc_id") == F.col("_again"), "left_semi")
+    same = rows["doc_id"] == again["_again"]
+    single, several = rows.join(again, same, "left_anti"), rows.join(again, same, "left_semi")
     least = several.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
     return single.select(*columns).unionByName(least.select(*columns))
 

@@ -120,19 +120,24 @@ def kind_spans(kind: str, text: Column, found: Column) -> Column:
     return F.when(F.size(found) > 0, F.aggregate(pairs, begin, step, lambda state: state["out"])).otherwise(empty)
 
 
-def with_spans(documents: DataFrame) -> DataFrame:
-    """`documents` with _text (null as empty) and _spans, sorted by start and kind."""
-    text = F.col("_text")
-    frame = documents.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+def with_spans(documents: DataFrame) -> tuple[DataFrame, str, str]:
+    """`documents` with the text (null as empty) and its spans, sorted by start and kind, and the names of these two columns.
+
+    New columns begin with one underscore more than any that the table has.
+    """
+    mark = "_" * (1 + max(len(c) - len(c.lstrip("_")) for c in documents.columns))
+    name = mark + "text"
+    text = F.col(name)
+    frame = documents.withColumn(name, F.coalesce(F.col("text").cast("string"), F.lit("")))
     found = {}
     for kind in KINDS:
         matches = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
         if kind in NEEDS:
             matches = F.when(F.contains(text, F.lit(NEEDS[kind])), matches).otherwise(F.array().cast("array<string>"))
-        found[f"_{kind}"] = matches
+        found[mark + kind] = matches
     frame = frame.withColumns(found)
-    spans = F.array_sort(F.concat(*(kind_spans(kind, text, F.col(f"_{kind}")) for kind in KINDS)))
-    return frame.withColumn("_spans", spans).drop(*found)
+    spans = F.array_sort(F.concat(*(kind_spans(kind, text, F.col(mark + kind)) for kind in KINDS)))
+    return frame.withColumn(mark + "spans", spans).drop(*found), name, mark + "spans"
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
@@ -142,8 +147,8 @@ def personal_data(documents: DataFrame) -> DataFrame:
     starts the kind listed first comes first. Repeated rows are judged each for itself; other
     columns are not looked at. n_iban, n_ssn and scores (in the order of spans) follow.
     """
-    frame = with_spans(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    spans = F.col("_spans")
+    frame, _, name = with_spans(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    spans = F.col(name)
     names = F.array(*(F.lit(k) for k in KINDS))
 
     def joined(array: Column) -> Column:
@@ -171,8 +176,8 @@ def redact(documents: DataFrame) -> DataFrame:
     stay as they are; n_chars is changed only where the column exists and spans were found.
     """
     columns = documents.columns
-    frame = with_spans(documents)
-    text, spans = F.col("_text"), F.col("_spans")
+    frame, text_name, spans_name = with_spans(documents)
+    text, spans, clean = F.col(text_name), F.col(spans_name), text_name + "_clean"
     marks = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
 
     def step(state: Column, s: Column) -> Column:
@@ -186,10 +191,10 @@ def redact(documents: DataFrame) -> DataFrame:
     built = F.aggregate(
         spans, begin, step, lambda state: F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))
     )
-    frame = frame.withColumn("_clean", F.when(F.size(spans) > 0, built))
-    changed = {"text": F.coalesce("_clean", "text")}
+    frame = frame.withColumn(clean, F.when(F.size(spans) > 0, built))
+    changed = {"text": F.coalesce(clean, "text")}
     if "n_chars" in columns:
-        changed["n_chars"] = F.coalesce(F.length("_clean").cast(documents.schema["n_chars"].dataType), F.col("n_chars"))
+        changed["n_chars"] = F.coalesce(F.length(clean).cast(documents.schema["n_chars"].dataType), F.col("n_chars"))
     return frame.withColumns(changed).select(*columns)
 
 

@@ -28,7 +28,7 @@ from corvane.llm.html_blocks import blocks
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 # names that the operators use inside, and one that they return
-CLASHING = {"fp": "1", "score": "'x'", "_spans": "2", "u": "3", "component_id": "4", "key": "5", "p": "6", "n": "7"}
+CLASHING = {"fp": "1", "score": "'x'", "_spans": "2", "_gone": "5", "__text": "8", "n_words": "6", "u": "3", "component_id": "4", "key": "5", "p": "6", "n": "7"}
 
 WORDS = [f"{a}{b}{c}" for a in "bdfk" for b in "aeiou" for c in ("l", "nt", "r")]
 
@@ -90,8 +90,8 @@ def test_decontamination_equals_brute_force(spark, documents):
     assert rows(got.where("n_words < 10000")) == expected
     blocked = decontamination.decontaminate(documents, benchmark, block_bytes=40)
     assert rows(blocked) == rows(got)
-    clean = decontamination.clean_documents(documents, benchmark)
-    assert clean.columns == documents.columns
+    clean = decontamination.clean_documents(clash(documents), benchmark, block_bytes=40)
+    assert clean.columns == clash(documents).columns
     assert Counter(r.doc_id for r in clean.collect()) == Counter(r.doc_id for r in got.where("not contaminated").collect())
 
 
@@ -154,6 +154,7 @@ def test_added_kinds_and_redaction(spark, documents):
     redacted = personal_data.redact(clash(documents))
     assert redacted.columns == clash(documents).columns
     by_id = {r.doc_id: r.text for r in redacted.collect()}
+    assert {(r._spans, r.__getitem__("__text")) for r in redacted.collect()} == {(2, 8)}
     assert by_id[12] == "mail <EMAIL> or <CARD>, <PHONE> at <IP>" and by_id[4] is None and by_id[5] == ""
     assert personal_data.personal_data(documents.limit(0)).count() == 0
 
