@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corvane.plans import records, relations, retrieval, text  # noqa: F401  they register their queries
+from corvane.plans import facade, records, relations, retrieval, text  # noqa: F401  they register their queries
 from corvane.plans.registry import QUERIES, SQL, Query
 
 
