@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+#: Bytes of one Arrow batch between the JVM and Python, at most.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batch size where it is larger than BATCH_BYTES.
+
+    Maps that hand whole documents back hold a batch several times over, on both sides.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?[0-9]+)([a-z]*)", spark.conf.get(key).lower()).groups()
+    if not 0 < int(number) << {"k": 10, "m": 20, "g": 30}.get(unit[:1], 0) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
