@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.words import alnum_words, binary_column
+from corvane.llm.words import ROWS_OUT, alnum_words, binary_column
+from corvane.session import bounded_batches
 from corvane.sources.tables import table
 
 WINDOW = 10
@@ -162,8 +163,8 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
 def search_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, _spans (int64 word ranges) and _items (ids as strings) of each row.
 
-    A null text has no words. An item whose
-    id is null marks words but is not counted as an item. Repeated rows are judged one by one.
+    A null text has no words. An item whose id is null marks words but is not counted as an item.
+    Repeated rows are judged one by one.
     """
     frame = documents.select("doc_id", "text")
     blocks = list(benchmark_blocks(benchmark, block_bytes))
@@ -189,17 +190,19 @@ def _keep_clean(items: list[tuple[str | None, bytes]], window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = searchers(items, window)
         for batch in batches:
-            clean = []
-            for data in binary_column(batch, "text"):
-                words = alnum_words(data)
-                clean.append(not any(True for searcher in found for _ in searcher.search(words)))
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            for start in range(0, batch.num_rows, ROWS_OUT):  # whole rows go out in small batches
+                part, clean = batch.slice(start, ROWS_OUT), []
+                for data in binary_column(part, "text"):
+                    words = alnum_words(data)
+                    clean.append(not any(True for searcher in found for _ in searcher.search(words)))
+                yield part.filter(pa.array(clean, pa.bool_()))
 
     return run
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of `documents` that share no window with the benchmark, all columns kept."""
+    bounded_batches(documents.sparkSession)
     for items in benchmark_blocks(benchmark, block_bytes):
         documents = documents.mapInArrow(_keep_clean(items, window), documents.schema)
     return documents

@@ -14,12 +14,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.words import WordHash, alnum_words, binary_column, pair_hash, spread
+from corvane.llm.words import ROWS_OUT, WordHash, alnum_words, binary_column, pair_hash, spread
+from corvane.session import bounded_batches
 from corvane.sources.tables import table
 
 BITS = 20
@@ -159,15 +160,28 @@ def training_rows(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_R
 
 
 def _fit(bits: int):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("doc_id")
+    def run(rows: pa.Table) -> pa.Table:
         hashes = WordHash()
-        examples = [
-            (np.unique(features(alnum_words((text or "").encode()), hashes, bits)).astype(np.int32), int(toxic > 0))
-            for text, toxic in zip(frame["text"], frame["toxic"], strict=True)
-        ]
+        texts, toxic = rows["text"], rows["toxic"]
+        examples, chunk = [], []
+
+        def pack() -> None:
+            """Many small arrays become views of one, which the system gets back when they go."""
+            joined, at = np.concatenate([cells for cells, _ in chunk]), 0
+            for cells, label in chunk:
+                examples.append((joined[at : at + len(cells)], label))
+                at += len(cells)
+            chunk.clear()
+
+        for k in pc.sort_indices(rows["doc_id"]).to_pylist():
+            words = alnum_words((texts[k].as_py() or "").encode())
+            chunk.append((np.unique(features(words, hashes, bits)).astype(np.int32), int(toxic[k].as_py() > 0)))
+            if len(chunk) == 500:
+                pack()
+        if chunk:
+            pack()
         cells, weights, bias = train(examples, bits)
-        return pd.DataFrame({"cell": [-1, *cells], "weight": [bias, *weights]})
+        return pa.table({"cell": pa.array([-1, *cells.tolist()], pa.int64()), "weight": pa.array([bias, *weights.tolist()], pa.float64())})
 
     return run
 
@@ -176,7 +190,7 @@ def fit(documents: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int
     rows = (
         training_rows(documents, labels, max_rows)
         .groupBy((F.col("doc_id") * 0).alias("_all"))  # one task: at most max_rows texts
-        .applyInPandas(_fit(bits), "cell long, weight double")
+        .applyInArrow(_fit(bits), "cell long, weight double")
         .toPandas()
         .sort_values("cell")
     )
@@ -232,8 +246,10 @@ def _keep(model: tuple[np.ndarray, np.ndarray, float], bits: int, cut: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model, bits)
         for batch in batches:
-            good = [scorer.score(data) < cut for data in binary_column(batch, "text")]
-            yield batch.filter(pa.array(good, pa.bool_()))
+            for start in range(0, batch.num_rows, ROWS_OUT):  # whole rows go out in small batches
+                part = batch.slice(start, ROWS_OUT)
+                good = [scorer.score(data) < cut for data in binary_column(part, "text")]
+                yield part.filter(pa.array(good, pa.bool_()))
 
     return run
 
@@ -241,6 +257,7 @@ def _keep(model: tuple[np.ndarray, np.ndarray, float], bits: int, cut: float):
 def reject_toxic(documents: DataFrame, labels: DataFrame, bits: int = BITS, max_rows: int = MAX_ROWS, cut: float = CUT) -> DataFrame:
     """The rows of `documents` that score below cut, with all their columns."""
     model = fit(documents, labels, bits, max_rows)
+    bounded_batches(documents.sparkSession)
     return documents.mapInArrow(_keep(model, bits, cut), documents.schema)
 
 

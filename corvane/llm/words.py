@@ -14,6 +14,8 @@ import pyarrow as pa
 
 UPPER = bytes(range(0x41, 0x5B))
 LOWER = bytes(range(0x61, 0x7B))
+#: Rows of a batch that maps of whole documents hand back at once.
+ROWS_OUT = 500
 SPACES = b" \t\n\x0b\x0c\r"
 
 #: A-Z to a-z, every ASCII byte but digits and letters to a blank, all else kept.
