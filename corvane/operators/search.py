@@ -9,6 +9,8 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvane.session import checkpointed
+
 # The ranking function's constants.
 K1, B = 1.2, 0.75
 CUT_OFF, MIN_TERMS, MIN_IDF = -5.0, 2, 1e-6
@@ -66,16 +68,18 @@ def bm25(
     A row is kept if at least `min_terms` distinct query terms match it or its score reaches the
     cut-off; weak rows go before the limit applies, so they cannot crowd others out.
 
-    Only the query's own terms are counted, in one projection of the text; the corpus statistics
-    are one row, from the same projection. Nothing is exploded and nothing but that row moves.
+    Only the query's own terms are counted, in one pass over the text that leaves a few numbers
+    per row; the corpus statistics are one row of sums of these. Nothing but that row moves.
     """
     terms = phrases(query)
     if not terms:
         return frame.select(key, F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("terms")).limit(0)
     tokens = F.length("_t") - F.length(F.replace(F.col("_t"), F.lit("  "), F.lit(" "))) + 1
-    counted = frame.select(F.col(key), spaced(F.col(text)).alias("_t")).select(
+    # the generator keeps the optimiser from copying the tokenised text into each count
+    counted = frame.select(F.col(key), F.explode(F.array(spaced(F.col(text)))).alias("_t")).select(
         key, F.when(F.length("_t") > 2, tokens).otherwise(0).alias("_d"), *(phrase_count(F.col("_t"), p).alias(f"_f{k}") for k, p in enumerate(terms))
     )
+    counted = checkpointed(counted)  # a few numbers per row, used twice
     total = counted.agg(
         F.count("*").alias("_n"), F.avg("_d").alias("_avg"), *(F.count_if(F.col(f"_f{k}") > 0).alias(f"_n{k}") for k in range(len(terms)))
     )
