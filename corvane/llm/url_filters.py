@@ -10,7 +10,8 @@ many does not condemn a host.
 
 Links are aggregated to weighted host edges before anything else (map-side combined, so a host
 that holds a third of all pages costs one row per task and target). Both walks run in one join
-and one aggregation per round over (walk, host) keys, each round cut by a reliable checkpoint.
+and one aggregation per round over (walk, host) keys, cut by a reliable checkpoint every `ROUNDS`
+rounds, until all mass that is still on its way is below `TOLERANCE` pages.
 Only html, url and page_id are read, and html only to find links.
 """
 
@@ -30,7 +31,10 @@ RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
+#: ROUNDS lie between two checkpoints, where the walks are tested for convergence.
 DAMPING, ROUNDS = 0.85, 8
+#: No trust or distrust, in pages, is further than this from its limit.
+TOLERANCE = 1e-4
 RATIO, SHARE = 1.0, 0.1
 #: Host tables of up to that many rows are sent to all executors; larger ones are joined by shuffling.
 BROADCAST_HOSTS = 200_000
@@ -71,18 +75,21 @@ def host_edges(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) after `rounds` rounds of both walks from seeds (host, allowed, blocked).
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust) of both walks from seeds (host, allowed, blocked), run to convergence.
 
     Restart mass is a host's number of allowed or blocked pages, so the two walks are on one scale,
     and the result is divided by the restart share: a host without links keeps its seeds.
+
+    A host's mass is the sum of what flows to it over 0, 1, 2, ... links; `flow` is the last of these
+    terms. All flow of one round is at most `damping` times that of the round before, so later rounds
+    add at most flow * damping / (1 - damping) to any host; the walks end where that is in `tolerance`.
     """
     walks = F.array(
         F.struct(F.lit(True).alias("forward"), F.col("allowed").cast("double").alias("mass")),
         F.struct(F.lit(False).alias("forward"), F.col("blocked").cast("double").alias("mass")),
     )
-    restart = checkpointed(seeds.select("host", F.inline(walks)).where("mass > 0"))
-    rank, scale = restart, 1.0
+    rank = checkpointed(seeds.select("host", F.inline(walks)).where("mass > 0").withColumn("flow", F.col("mass")))
     if not edges.isEmpty():
         both = F.array(
             F.struct(F.lit(True).alias("forward"), F.col("src").alias("tail"), F.col("dst").alias("head")),
@@ -91,16 +98,16 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
         arcs = edges.select("weight", F.inline(both))
         total = arcs.groupBy("forward", "tail").agg(F.sum("weight").alias("total"))
         arcs = checkpointed(arcs.join(total, ["forward", "tail"]).select("forward", "tail", "head", (F.col("weight") / F.col("total")).alias("share")))
-        scale = 1 - damping
-        rank = base = restart.withColumn("mass", F.col("mass") * (1 - damping))
-        for _ in range(rounds):
-            moved = arcs.join(rank.withColumnRenamed("host", "tail"), ["forward", "tail"]).select(
-                F.col("head").alias("host"), "forward", (F.col("mass") * F.col("share") * damping).alias("mass")
-            )
-            rank = checkpointed(base.unionByName(moved).groupBy("host", "forward").agg(F.sum("mass").alias("mass")))
+        base = rank.withColumn("flow", F.lit(0.0))
+        while (rank.agg(F.sum("flow")).first()[0] or 0.0) * damping / (1 - damping) > tolerance:
+            for _ in range(rounds):
+                carried = [(F.col(c) * F.col("share") * damping).alias(c) for c in ("mass", "flow")]
+                moved = arcs.join(rank.withColumnRenamed("host", "tail"), ["forward", "tail"]).select(F.col("head").alias("host"), "forward", *carried)
+                rank = base.unionByName(moved).groupBy("host", "forward").agg(F.sum("mass").alias("mass"), F.sum("flow").alias("flow"))
+            rank = checkpointed(rank)
     return rank.groupBy("host").agg(
-        F.sum(F.when(F.col("forward"), F.col("mass")).otherwise(0.0) / scale).alias("trust"),
-        F.sum(F.when(F.col("forward"), 0.0).otherwise(F.col("mass")) / scale).alias("distrust"),
+        F.sum(F.when(F.col("forward"), F.col("mass")).otherwise(0.0)).alias("trust"),
+        F.sum(F.when(F.col("forward"), 0.0).otherwise(F.col("mass"))).alias("distrust"),
     )
 
 

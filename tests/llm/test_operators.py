@@ -434,6 +434,17 @@ def test_url_filters_equal_brute_force(spark):
     assert url_filters.filter_urls(frame.limit(0)).count() == 0
 
 
+def test_url_filters_reach_hosts_many_links_away(spark):
+    pages = [(k, f"https://h13.com/de/{k}", None) for k in range(100)]  # blocked by their rule
+    pages += [(1000 + k, f"https://h{k}.com/es/1", f'<a href="//h{k + 1}.com/">') for k in range(13)]
+    pages += [(2000 + k, f"https://c{k}.com/{'de' if k == 0 else 'es'}/1", f'<a href="//c{(k + 1) % 3}.com/">') for k in range(3)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filters.filter_urls(frame).collect()}
+    for k in range(13):  # 13 - k links before h13
+        assert got[1000 + k].verdict == "block" and abs(got[1000 + k].distrust - 100 * 0.85 ** (13 - k)) < 1e-3
+    assert abs(sum(got[2000 + k].distrust for k in range(3)) - 1 / 0.15) < 1e-3  # a cycle loses nothing
+
+
 # --- html extraction ---
 
 
