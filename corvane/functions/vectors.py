@@ -69,9 +69,18 @@ def k_grams(tokens: Column, k: int = 3, joint: str = "\x1f") -> Column:
     """Map from the first 8 hex digits of each window's sha256 to its count; fewer tokens make one window."""
     starts = F.when(F.size(tokens) >= k, F.sequence(F.lit(1), F.size(tokens) - k + 1)).otherwise(F.array(F.lit(1)))
     windows = F.transform(starts, lambda i: F.substring(F.sha2(F.array_join(F.slice(tokens, i, F.lit(k)), joint).cast("binary"), 256), 1, 8))
-    distinct = F.array_distinct(windows)
-    counts = F.transform(distinct, lambda d: F.size(F.filter(windows, lambda w: w == d)))
-    return F.when(F.size(tokens) > 0, F.map_from_arrays(distinct, counts)).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>")))
+
+    def counted(ordered: Column) -> Column:
+        """Each run of the sorted windows ends where the next window differs; one pass over the places."""
+        ends = F.filter(F.sequence(F.lit(1), F.size(ordered)), lambda i: (i == F.size(ordered)) | (F.get(ordered, i - 1) != F.get(ordered, i)))
+        # bound once as a lambda variable: an inlined expression would run again per element
+        return F.transform(F.array(ends), lambda e: F.map_from_arrays(
+            F.transform(e, lambda i: F.get(ordered, i - 1)),
+            F.transform(e, lambda i, k: i - F.when(k > 0, F.get(e, k - 1)).otherwise(0)),
+        ))[0]
+
+    found = F.transform(F.array(F.array_sort(windows)), counted)[0]
+    return F.when(F.size(tokens) > 0, found).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>")))
 
 
 def trigram_embedding(text: Column, size: int = 384) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.scores import rounded, scaled
-from corvane.functions.vectors import band_keys, estimated_jaccard
+from corvane.functions.vectors import EMPTY_HASH, PERMUTATIONS, band_keys, estimated_jaccard
+from corvane.operators.search import word_tokens
 from corvane.session import checkpointed
 
 
@@ -156,3 +158,67 @@ def lsh_pairs(left: DataFrame, right: DataFrame, threshold: float = 0.3, permuta
         left.where(usable).select(F.col("id").alias("left")).join(odd_r.select(F.col("id").alias("right")))
     )
     return pairs.unionByName(loose.withColumn("jaccard", F.lit(None).cast("double")))
+
+
+def _signatures(k: int, permutations: int):
+    """`vectors.k_grams` and `vectors.minhash` of the tokens of each row, in time linear in them."""
+    sha256, prefixes = hashlib.sha256, [b"%d:" % i for i in range(permutations)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, signatures = [], []
+            for joined in batch.column("tokens").to_pylist():
+                tokens = joined.split("\x1f") if joined else []
+                starts = range(max(len(tokens) - k + 1, 1)) if tokens else ()
+                keys = [w[:8].encode() for w in {sha256("\x1f".join(tokens[i : i + k]).encode()).hexdigest()[:8] for i in starts}]
+                sizes.append(len(keys))
+                least = (min([sha256(p + key).digest() for key in keys]) for p in prefixes)
+                signatures.append([int.from_bytes(d[:4]) for d in least] if keys else [EMPTY_HASH] * permutations)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(signatures, pa.list_(pa.int64()))], names=["id", "n_grams", "signature"]
+            )
+
+    return run
+
+
+def text_signatures(frame: DataFrame, id: str, text: str, k: int = 3, permutations: int = PERMUTATIONS) -> DataFrame:
+    """(id, n_grams, signature): MinHash of the distinct word k-grams of every row's text.
+
+    Keys and hashes are those of `vectors.k_grams` and `vectors.minhash`; a text without a word has
+    no grams and a signature of all ones. Texts are not shuffled.
+    """
+    tokens = frame.select(F.col(id).cast("long").alias("id"), F.array_join(word_tokens(F.col(text)), "\x1f").alias("tokens"))
+    return tokens.mapInArrow(_signatures(k, permutations), "id long, n_grams long, signature array<long>")
+
+
+def signature_classes(prints: DataFrame) -> DataFrame:
+    """(class_id, signature, n_rows): equal signatures are one class, named after its least id."""
+    return prints.groupBy("signature").agg(F.min("id").alias("class_id"), F.count("*").alias("n_rows")).where("class_id is not null")
+
+
+def class_members(prints: DataFrame, classes: DataFrame) -> DataFrame:
+    """prints with the class_id of each row."""
+    return prints.join(classes.select("signature", "class_id"), "signature")
+
+
+def near_classes(classes: DataFrame) -> DataFrame:
+    """(left, right, jaccard): all pairs of different classes that share a band, each once, left < right.
+
+    Members are not expanded: a group of copies costs one row here, whatever its size.
+    """
+    bands = classes.select("class_id", F.posexplode(band_keys(F.col("signature"))).alias("band", "part"))
+    other = bands.withColumnRenamed("class_id", "right")
+    near = bands.withColumnRenamed("class_id", "left").join(other, ["band", "part"]).where("left < right").select("left", "right").distinct()
+    left = classes.select(F.col("class_id").alias("left"), F.col("signature").alias("l"))
+    right = classes.select(F.col("class_id").alias("right"), F.col("signature").alias("r"))
+    return near.join(left, "left").join(right, "right").select("left", "right", estimated_jaccard(F.col("l"), F.col("r")).alias("jaccard"))
+
+
+def near_duplicate_pairs(prints: DataFrame, classes: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(left, right, jaccard): similar enough classes, and each further row of a class with its class (1.0).
+
+    Linear in the size of a group of copies: two members of a class, or of two similar classes, are
+    a pair through their class_ids.
+    """
+    copies = class_members(prints, classes).where("id > class_id").select(F.col("class_id").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("jaccard"))
+    return near_classes(classes).where(F.col("jaccard") >= threshold).unionByName(copies)

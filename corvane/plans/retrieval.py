@@ -121,6 +121,40 @@ def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.lsh_pairs(prints, prints).withColumn("jaccard", scaled(F.col("jaccard")))
 
 
+def _document_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checkpointed(similarity.text_signatures(table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+@query(None)
+def document_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signature of each document and the least id that has the same: the membership of the class pairs below."""
+    prints = _document_prints(spark, sf_dir)
+    members = similarity.class_members(prints, similarity.signature_classes(prints))
+    joined = F.array_join(F.transform("signature", lambda x: x.cast("string")), ",")
+    return members.select(F.col("id").alias("doc_id"), "class_id", "n_grams", F.sha2(joined.cast("binary"), 256).alias("signature"))
+
+
+@query(None)
+def est_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of classes of documents that share a band, with the estimate."""
+    classes = checkpointed(similarity.signature_classes(_document_prints(spark, sf_dir)))
+    return similarity.near_classes(classes).withColumn("jaccard", scaled(F.col("jaccard")))
+
+
+@query(None)
+def document_lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those pairs of classes that are similar enough to be candidates."""
+    classes = checkpointed(similarity.signature_classes(_document_prints(spark, sf_dir)))
+    return similarity.near_classes(classes).where("jaccard >= 0.3").withColumn("jaccard", scaled(F.col("jaccard")))
+
+
+@query(None)
+def near_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = _document_prints(spark, sf_dir)
+    classes = checkpointed(similarity.signature_classes(prints))
+    return similarity.near_duplicate_pairs(prints, classes).withColumn("jaccard", scaled(F.col("jaccard")))
+
+
 _TURNS = f"""
 w AS (SELECT conv_id, turn, unnest({_TOKENS}) AS token FROM conversations),
 c AS (SELECT conv_id, turn, token, count(*) AS n FROM w GROUP BY ALL),

@@ -241,6 +241,44 @@ def test_matcher(spark):
     assert rules.first().m == []  # a fixed version never breaks its own rule
 
 
+def test_document_signatures_equal_brute_force(spark, tmp_path):
+    import hashlib
+    import re
+
+    from corvane.plans import catalog
+
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    documents = [(k, " ".join(base[: 120 - k % 7] + [f"x{k % 5}"] * (k % 4))) for k in range(30)]  # near and exact copies
+    documents += [(100, None), (101, "!"), (102, "One two"), (103, " ".join(f"y{i % 3}" for i in range(3000)))]
+    documents += [(200 + k, " ".join(f"z{rng.randrange(50)}" for _ in range(40))) for k in range(20)]
+    spark.createDataFrame(documents, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()[:8]
+    signature, sizes = {}, {}
+    for k, text in documents:
+        t = re.findall(r"[^\W_]+", (text or "").lower())
+        keys = {digest("\x1f".join(t[i : i + 3])) for i in range(max(len(t) - 2, 1))} if t else set()
+        sizes[k] = len(keys)
+        signature[k] = tuple(min((int(digest(f"{i}:{key}"), 16) for key in keys), default=2**32 - 1) for i in range(64))
+    first = {s: min(k for k in signature if signature[k] == s) for s in signature.values()}
+    near = {}
+    for a in first.values():
+        for b in first.values():
+            if a < b and any(signature[a][i : i + 4] == signature[b][i : i + 4] for i in range(0, 64, 4)):
+                near[a, b] = sum(x == y for x, y in zip(signature[a], signature[b], strict=True)) / 64
+    get = lambda name: catalog.queries()[name](spark, str(tmp_path)).collect()
+    pairs = lambda name: {(r.left, r.right): r.jaccard for r in get(name)}
+    score = lambda found: {p: int(j * 10000 + 0.5) for p, j in found.items()}
+    assert {r.doc_id: (r.class_id, r.n_grams) for r in get("document_minhash")} == {k: (first[signature[k]], sizes[k]) for k in signature}
+    assert pairs("est_jaccard") == score(near)
+    assert pairs("document_lsh_candidates") == score({p: j for p, j in near.items() if j >= 0.3})
+    copies = {(first[s], k): 1.0 for k, s in signature.items() if first[s] != k}
+    assert copies and pairs("near_duplicate_pairs") == score({p: j for p, j in near.items() if j >= 0.8} | copies)
+    # the native expressions agree, counts included
+    row = one(spark, V.k_grams(texts("a", "b", "a", "b", "a", "b")).alias("g"), V.k_grams(texts("a")).alias("one"), V.k_grams(texts()).alias("none"))
+    assert row.g == {digest("a\x1fb\x1fa"): 2, digest("b\x1fa\x1fb"): 2} and row.one == {digest("a"): 1} and row.none == {}
+
+
 def test_lsh_and_nearest(spark):
     prints = spark.createDataFrame([(1, [1] * 64), (2, [1] * 32 + [2] * 32), (3, list(range(64))), (4, [])], "id long, signature array<long>")
     got = {(r.left, r.right): r.jaccard for r in similarity.lsh_pairs(prints, prints).collect()}
