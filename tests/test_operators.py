@@ -215,6 +215,59 @@ def test_audit(spark):
     assert [r.path for r in audit.hotspots(found).collect()][0] == "f"
 
 
+DEFECTS = {
+    "SEC-CWE-120-UNBOUNDED-COPY": ("a.c", "strcpy(to, from);"),
+    "SEC-CWE-416-USE-AFTER-FREE-C": ("a.cpp", "free(p); use(p);"),
+    "SEC-CWE-416-USE-AFTER-FREE-RUST": ("a.rs", "unsafe { libc::free(p); *p = 1; }"),
+    "SEC-CWE-78-COMMAND-INJECTION-C": ("a.c", "system(command);"),
+    "SEC-CWE-78-COMMAND-INJECTION-PYTHON": ("a.py", "os.system(command)"),
+    "SEC-CWE-78-COMMAND-INJECTION-SHELL": ("a.sh", 'eval "$command"'),
+    "SEC-CWE-190-INTEGER-OVERFLOW-C": ("a.h", "p = malloc(n * size);"),
+    "SEC-CWE-190-INTEGER-OVERFLOW-RUST": ("a.rs", "unsafe fn f() { Vec::with_capacity(n * 8) }"),
+    "SEC-CWE-476-NULL-DEREFERENCE-C": ("a.c", "p = malloc(8); *p = 1;"),
+    "SEC-CWE-476-NULL-DEREFERENCE-RUST": ("a.rs", "let p = x as *mut u8; unsafe { *p }"),
+    "SEC-CWE-362-CONCURRENCY-RACE-C": ("a.c", "mutex_unlock(&m); mutex_lock(&m);"),
+    "SEC-CWE-362-CONCURRENCY-TOCTOU-PYTHON": ("a.py", "if os.path.exists(p):\n    with open(p) as f: pass"),
+    "SEC-CWE-362-CONCURRENCY-TOCTOU-SHELL": ("a.bash", 'if [ -f "$x" ]; then cat "$x"; fi'),
+    "SEC-CWE-125-UNCHECKED-READ-RUST": ("a.rs", "unsafe { a.get_unchecked(1) }"),
+    "SEC-CWE-787-UNCHECKED-WRITE-RUST": ("a.rs", "unsafe { a.get_unchecked_mut(1) }"),
+    "SEC-CWE-415-DOUBLE-FREE-C": ("a.c", "free(p); free(p);"),
+    "SEC-CWE-415-DUPLICATE-OWNERSHIP-RUST": ("a.rs", "unsafe { drop(Box::from_raw(p)); drop(Box::from_raw(p)); }"),
+    "SEC-CWE-457-UNINITIALIZED-RUST": ("a.rs", "unsafe { MaybeUninit::<u8>::uninit().assume_init() }"),
+}
+
+
+def test_source_rules(spark):
+    assert [r.rule_id for r in audit.SOURCE_RULES] == list(DEFECTS)
+    rows = [(f"{k}/{name}", text) for k, (name, text) in enumerate(DEFECTS.values())]
+    rows += [
+        ("x/safe.rs", "fn f() { a.get_unchecked(1); Vec::<u8>::with_capacity(n * 8) } unsafe impl S {}"),  # outside unsafe code
+        ("x/literal.rs", "unsafe { Vec::with_capacity(4 * 8) }"),
+        ("x/comment.rs", "unsafe { /* /* */ a.get_unchecked(1) */ \"b.get_unchecked(1)\"; r#\"\" c.get_unchecked(1)\"# }"),
+        ("x/closed.rs", "unsafe { let c = '}'; } a.get_unchecked(1)"),
+        ("x/other.py", "strcpy(to, from);"),  # another language's rule
+        ("x/unknown.txt", "\n  strcpy(to, from);"),
+        ("x/text.c", None),
+    ]
+    found = audit.findings(spark.createDataFrame(rows, "path string, text string"), audit.SOURCE_RULES)
+    got = {(r.path, r.rule_id, r.line) for r in found.collect()}
+    for k, (rule, (name, _)) in enumerate(DEFECTS.items()):
+        assert (f"{k}/{name}", rule, 1) in got
+    assert {g for g in got if g[0][0] == "x"} == {("x/unknown.txt", "SEC-CWE-120-UNBOUNDED-COPY", 2), ("x/text.c", "unreadable", 0)}
+    assert audit.chain(found.where("path = '0/a.c'")).first().verdict == "FAIL"
+    with pytest.raises(ValueError):
+        audit.verdict(F.lit("x"), audit.SOURCE_RULES)
+
+
+def test_snippets_keep_the_whole_line(spark):
+    lines = [f"  strcpy(to, from); {'x' * 200}{end}  " for end in "ab"]
+    found = [audit.findings(spark.createDataFrame([("a.c", f"int x;\n{t}\n")], "path string, text string"), audit.SOURCE_RULES) for t in lines]
+    assert [f.first().snippet for f in found] == [t.strip() for t in lines]
+    assert len({audit.chain(f).first().head for f in found}) == 2
+    long = audit.findings(spark.createDataFrame([("f", "a" * 200 + "@ex.org b")], "path string, text string"), audit.TEXT_RULES)
+    assert long.first().snippet == "a" * 200 + "@ex.org b"
+
+
 @pytest.mark.parametrize("partitions", [1, 8])
 def test_state_hash_does_not_depend_on_partitions(spark, partitions):
     frame = spark.range(100).withColumn("x", F.col("id") % 7).repartition(partitions)
