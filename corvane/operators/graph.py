@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.operators.comparing import all_valid, as_of
@@ -71,6 +72,38 @@ def retrieve(nodes: DataFrame, edges: DataFrame, max_hops: int = 2, max_nodes: i
     return both.groupBy("record_id").applyInPandas(walk, REACHED)
 
 
+def iterate(search: Callable[[str], DataFrame], query: str, limit: int = 5, follow_ups: int = 2) -> DataFrame:
+    """The best `limit` results of a query and of its follow-ups: id, call, rank, evidence, paths, claims.
+
+    search gives (id, rank, evidence, paths, claims) with distinct ids; the last three are arrays of
+    structs with an id, those of paths with source and target. The follow-ups are the first endpoints
+    of the first call's paths in order of text, prefix before `:` left out, and are fixed by it, so the
+    search cannot feed itself. An id keeps the place where it came first; if it comes again, its
+    arrays are united by id, the later call's entry counting, and sorted.
+    """
+    parts = ("evidence", "paths", "claims")
+
+    def call(number: int, text: str) -> DataFrame:
+        return search(text).orderBy("rank", "id").limit(limit).select("id", F.lit(number).alias("call"), "rank", *(F.coalesce(p, F.array()).alias(p) for p in parts))
+
+    found = checkpointed(call(0, query))  # limit rows
+    ends = found.select(F.explode("paths").alias("p")).select(F.explode(F.array("p.source", "p.target")).alias("end"))
+    texts = ends.select(F.regexp_replace("end", "^[^:]*:", "").alias("text")).where(F.col("text") != query).distinct().orderBy("text").limit(follow_ups)
+    for number, row in enumerate(texts.collect(), 1):
+        found = found.unionByName(call(number, row["text"]))
+
+    def united(part: str) -> Column:
+        calls = F.array_sort(F.collect_list(F.struct("call", F.col(part).alias("v"))))
+        entries = F.flatten(F.transform(calls, lambda x: x["v"]))
+        ids = F.array_sort(F.array_distinct(F.transform(entries, lambda e: e["id"])))
+        merged = F.transform(ids, lambda i: F.element_at(F.filter(entries, lambda e: e["id"] == i), -1))
+        return F.when(F.count("*") > 1, merged).otherwise(entries).alias(part)
+
+    first = F.min(F.struct("call", "rank"))
+    merged = found.groupBy("id").agg(first.alias("first"), *(united(p) for p in parts))
+    return merged.select("id", "first.*", *parts).orderBy("call", "rank", "id").limit(limit)
+
+
 def reach(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
     """(root, node, hop): every node within `hops` undirected steps of a seed, at its least distance.
 

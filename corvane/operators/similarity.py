@@ -60,6 +60,69 @@ def related(features: DataFrame, is_query: Column, k: int = 10, cut: float = 0.0
     return scores.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+#: Weight of a feature by its prefix.
+FEATURE_WEIGHTS = {"cwe": 3.0, "fam": 2.0, "proj": 1.0, "sub": 2.0, "path": 1.0, "fn": 3.0, "fixcall": 2.0, "kg": 1.0}
+#: Path tokens that say nothing.
+EXTENSIONS = ("c", "h", "cc", "cpp", "cxx", "py", "sh", "rs", "go", "java", "js", "ts")
+#: Families of CWE numbers; any other stated CWE is of family `other`.
+CWE_FAMILIES = {
+    "memory-safety": (119, 120, 121, 122, 125, 126, 127, 131, 190, 191, 193, 415, 416, 476, 680, 681, 786, 787, 788, 805, 822, 823, 824, 825, 908, 909),
+    "resource-management": (400, 401, 404, 674, 770, 772, 789, 834, 835),
+    "concurrency": (362, 366, 367, 413, 667),
+    "injection": (74, 77, 78, 79, 88, 89, 91, 93, 94, 113),
+    "input-validation-and-paths": (20, 22, 23, 59, 61, 73, 129, 436, 444, 1284),
+    "access-control-and-crypto": (250, 269, 276, 284, 285, 287, 290, 294, 295, 297, 306, 310, 311, 312, 319, 326, 327, 328, 330, 338, 345, 347, 352, 354, 384, 522, 639, 732, 862, 863),
+    "information-exposure": (200, 201, 203, 208, 209, 532),
+    "logic-and-numeric-errors": (369, 617, 670, 682, 697, 704, 754, 755, 843, 1335),
+}
+
+
+def record_features(records: DataFrame) -> DataFrame:
+    """(key, feature, weight): what `related` compares records by, each feature of a record once.
+
+    records: key, cwe, project, subsystem, files (array of struct with path and functions, an array
+    of names) and changes (array of struct with name, calls and grams, arrays of what the fix added
+    or removed). A record without a subsystem takes the top folder of its first path with a folder.
+    """
+    none = F.array().cast("array<string>")
+
+    def kind(prefix: str, values: Column) -> Column:
+        return F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: F.concat(F.lit(prefix + ":"), v))
+
+    def single(value: Column) -> Column:
+        return F.when(F.coalesce(value, F.lit("")) != "", F.array(value)).otherwise(none)
+
+    def nested(column: str, field: str) -> Column:
+        lists = F.transform(F.coalesce(F.col(column), F.array()), lambda x: F.coalesce(x[field], none))
+        return F.transform(F.flatten(lists), lambda v: F.lower(v))
+
+    stated = F.when(F.col("cwe") != "UNKNOWN", F.col("cwe"))
+    number = F.regexp_extract("cwe", r"^\s*(?:CWE-)?\s*([0-9]+)\s*$", 1).try_cast("int")
+    family = F.lit("other")
+    for name, numbers in CWE_FAMILIES.items():
+        family = F.when(number.isin(*numbers), name).otherwise(family)
+    paths = F.filter(F.transform(F.coalesce(F.col("files"), F.array()), lambda f: f["path"]), lambda p: p.isNotNull())
+    top = F.lower(F.substring_index(F.get(F.filter(paths, lambda p: p.contains("/")), 0), "/", 1))
+    own = F.coalesce(F.col("subsystem"), F.lit("")) != ""
+    subsystem = F.when(own, F.array(F.lower("subsystem"))).when(top.isNotNull(), F.array(top)).otherwise(none)
+    tokens = F.transform(F.flatten(F.transform(paths, lambda p: F.split(p, "[/._-]+"))), lambda t: F.lower(t))
+    names = F.transform(F.coalesce(F.col("changes"), F.array()), lambda c: F.lower(c["name"]))
+    filled = lambda values: F.filter(values, lambda v: v != "")
+    features = F.concat(
+        kind("cwe", single(stated)),
+        kind("fam", F.when(F.coalesce(stated, F.lit("")) != "", F.array(family)).otherwise(none)),
+        kind("proj", single(F.lower("project"))),
+        kind("sub", subsystem),
+        kind("path", F.filter(tokens, lambda t: (F.length(t) >= 2) & ~t.isin(*EXTENSIONS))),
+        kind("fn", filled(F.concat(nested("files", "functions"), names))),
+        kind("fixcall", nested("changes", "calls")),
+        kind("kg", nested("changes", "grams")),
+    )
+    rows = records.select("key", F.explode(F.array_distinct(features)).alias("feature"))
+    weights = F.create_map(*(F.lit(x) for item in FEATURE_WEIGHTS.items() for x in item))
+    return rows.withColumn("weight", weights[F.substring_index("feature", ":", 1)])
+
+
 def explain_pairs(vectors: DataFrame, pairs: DataFrame, k: int = 3) -> DataFrame:
     """(key, other, reasons): the k features that give a pair most of its score."""
     both = pairs.join(vectors.select("key", "feature", F.col("w").alias("a")), "key").join(

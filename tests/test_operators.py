@@ -332,6 +332,47 @@ def test_document_signatures_equal_brute_force(spark, tmp_path):
     assert row.g == {digest("a\x1fb\x1fa"): 2, digest("b\x1fa\x1fb"): 2} and row.one == {digest("a"): 1} and row.none == {}
 
 
+def test_record_features(spark):
+    schema = "key long, cwe string, project string, subsystem string, files array<struct<path: string, functions: array<string>>>, changes array<struct<name: string, calls: array<string>, grams: array<string>>>"
+    rows = [
+        (1, "CWE-416", "Curl", None, [("README", None), ("Lib/url_parse.c", ["Free_It"])], [("free_it", ["Kfree", "kfree"], ["AB"])]),
+        (2, "UNKNOWN", None, "Net", [("drivers/x.c", None)], None),
+        (3, "999", "", None, None, None),
+        (4, None, None, None, [], []),
+    ]
+    got = {}
+    for r in similarity.record_features(spark.createDataFrame(rows, schema)).collect():
+        assert (r.key, r.feature) not in {(k, f) for k, v in got.items() for f in v}
+        got.setdefault(r.key, {})[r.feature] = r.weight
+    assert got == {
+        1: {"cwe:CWE-416": 3, "fam:memory-safety": 2, "proj:curl": 1, "sub:lib": 2, "path:readme": 1, "path:lib": 1, "path:url": 1, "path:parse": 1, "fn:free_it": 3, "fixcall:kfree": 2, "kg:ab": 1},
+        2: {"sub:net": 2, "path:drivers": 1},
+        3: {"cwe:999": 3, "fam:other": 2},
+    }
+    many = [(k, None, None, None, None, [("f", ["shared"] if k < 2 else [f"c{k}"], None)]) for k in range(60)]
+    found = similarity.related(similarity.record_features(spark.createDataFrame(many, schema)), F.col("key") == 0)
+    assert [(r.key, r.other) for r in found.collect()] == [(0, 1)]  # they share a callee only
+
+
+def test_iterated_graph_retrieval(spark):
+    part = "array<struct<id: string, source: string, target: string>>"
+    answers = {
+        "q": [("r1", 1, [("e2", None, None)], [("p1", "file:b", "symbol:a"), ("p0", "c", "x:q")], None)],
+        "a": [("r2", 1, [], [], None), ("r1", 2, [("e1", None, None), ("e2", "new", None)], [], None)],
+        "b": [("r3", 1, [], [("p9", "z", "z")], None), ("r2", 2, [], [], None)],
+    }
+    asked = []
+
+    def search(text):
+        asked.append(text)
+        return spark.createDataFrame(answers[text], f"id string, rank int, evidence {part}, paths {part}, claims {part}")
+
+    got = graph.iterate(search, "q").collect()
+    assert asked == ["q", "a", "b"] and [(r.id, r.call) for r in got] == [("r1", 0), ("r2", 1), ("r3", 2)]
+    assert [tuple(e) for e in got[0].evidence] == [("e1", None, None), ("e2", "new", None)]
+    assert [p.id for p in got[0].paths] == ["p0", "p1"] and [r.id for r in graph.iterate(search, "q", limit=1).collect()] == ["r1"]
+
+
 def test_lsh_and_nearest(spark):
     prints = spark.createDataFrame([(1, [1] * 64), (2, [1] * 32 + [2] * 32), (3, list(range(64))), (4, [])], "id long, signature array<long>")
     got = {(r.left, r.right): r.jaccard for r in similarity.lsh_pairs(prints, prints).collect()}
