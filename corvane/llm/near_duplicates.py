@@ -33,9 +33,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from corvane.llm.words import ascii_lower, binary_column, blank_words
-from corvane.session import checkpointed
+from corvane.session import bounded_batches, checkpointed
 from corvane.sources.tables import table
 
 SHINGLE = 3
@@ -208,13 +209,19 @@ def near_duplicates(documents: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> D
     their component; a null doc_id belongs to one but never names it, unless all its ids are
     null: then component_id is null. Other columns are not looked at.
     """
+    columns = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    return placed_rows(documents, bucket_limit).select("doc_id", *columns)
+
+
+def placed_rows(documents: DataFrame, bucket_limit: int) -> DataFrame:
+    """doc_id, fp, root (the component itself) and component_id (its least id, which two components can share)."""
     rows = checkpointed(fingerprints(documents))
     prints = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = components(links(prints.select("fp"), bucket_limit))
     placed = prints.join(found, F.col("fp") == F.col("v"), "left").select("fp", "least", F.coalesce("u", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = placed.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return rows.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of_print = placed.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
+    return rows.join(of_print, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 #: Ids up to this number are sent to all executors (8 bytes each); beyond it the join shuffles.
@@ -224,11 +231,37 @@ BROADCAST_IDS = 1_000_000
 def one_of_each_group(documents: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """One row of each component of `documents`, all columns kept: the row of its component_id.
 
-    Rows that repeat a kept id are the same document: of them the one with the smallest values
-    stays. Rows without an id can neither stand for a group nor be named as copies: they stay.
+    Rows of a component that repeat its id are the same document: of them the one with the smallest
+    values stays. Rows without an id can neither stand for a group nor be named as copies: they stay.
+    An id says which rows go only if all its rows have one fingerprint; rows of other ids are
+    fingerprinted once more and each goes or stays with its own component.
     """
     columns = documents.columns
-    found = checkpointed(near_duplicates(documents, bucket_limit).select("doc_id", "component_id"))
+    found = checkpointed(placed_rows(documents, bucket_limit))
+    mixed = checkpointed(found.where("doc_id is not null").groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("mixed")).where("mixed").select(F.col("doc_id").alias("_mixed")))
+    if mixed.isEmpty():
+        return _one_of_each_id(documents, found)
+    mixed = F.broadcast(mixed) if mixed.count() <= BROADCAST_IDS else mixed
+    plain = documents.join(mixed, documents["doc_id"] == mixed["_mixed"], "left_anti")
+    kept = _one_of_each_id(plain, found.join(mixed, found["doc_id"] == mixed["_mixed"], "left_anti"))
+    bounded_batches(documents.sparkSession)
+    several = documents.join(mixed, documents["doc_id"] == mixed["_mixed"], "left_semi")
+    whole = several.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = StructType([whole.schema["row"], StructField("doc_id", LongType()), StructField("fp", LongType())])
+    stand = found.where("doc_id = component_id").select("doc_id", "fp", "root").distinct()
+    least = whole.mapInArrow(_fingerprinted_rows, schema).join(stand, ["doc_id", "fp"]).groupBy("root").agg(F.min("row").alias("row"))
+    return kept.unionByName(least.select("row.*"))
+
+
+def _fingerprinted_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = [signed(fingerprint(data)) for data in binary_column(batch, "text")]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(prints, pa.int64())], names=["row", "doc_id", "fp"])
+
+
+def _one_of_each_id(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """`one_of_each_group` where all rows of an id have one fingerprint."""
+    columns = documents.columns
     kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     repeated = kept.where("n > 1").select("doc_id")

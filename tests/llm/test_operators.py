@@ -223,6 +223,17 @@ def test_pigeonring_never_misses():
         assert any(near_duplicates.chain_holds(difference, s)[0] for s in range(near_duplicates.SEGMENTS))
 
 
+def test_rows_of_one_id_with_different_texts_go_with_their_own_component(spark):
+    a, b, c = prose(31, 60), prose(32, 60), prose(33, 60)
+    rows_in = [(3, b), (7, a), (7, b), (8, c), (8, prose(34, 60)), (8, c), (9, c), (None, a), (10, prose(35, 60))]
+    frame = clash(spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows_in], DOCUMENTS))
+    got = near_duplicates.one_of_each_group(frame)
+    assert got.columns == frame.columns
+    # (7, b) is a copy of 3; both texts of 8 stand for a component, 9 and the second (8, c) are copies
+    want = [(3, b), (7, a), (8, c), (8, prose(34, 60)), (None, a), (10, prose(35, 60))]
+    assert rows(got.select("doc_id", "text")) == sorted(want, key=str)
+
+
 def test_one_row_of_each_group_stays(spark, documents):
     kept = near_duplicates.one_of_each_group(clash(documents))
     assert kept.columns == clash(documents).columns
