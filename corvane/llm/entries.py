@@ -31,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mixing": mixing.op6_mixing,
         "op7_quality_classifier": quality_classifier.op7_quality_classifier,
         "op8_quality_rules": quality_rules.op8_quality_rules,
+        "quality_base_measures": quality_rules.quality_base_measures,
         "op9_html_extraction": html_extraction.op9_html_extraction,
     }
 
@@ -39,4 +40,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": decontamination.SQL,
         "op3_personal_data": personal_data.SQL,
+        "quality_base_measures": quality_rules.BASE_SQL,
     }

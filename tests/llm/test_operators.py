@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from corvane.llm import (
     decontamination,
     html_extraction,
+    idsets,
     mixing,
     near_duplicates,
     personal_data,
@@ -25,6 +26,7 @@ from corvane.llm import (
     url_filters,
 )
 from corvane.llm.html_blocks import blocks
+from corvane.llm.words import WordHash
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 # names that the operators use inside, and one that they return
@@ -353,7 +355,8 @@ def test_base_measures_equal_plain_counts():
         windows = Counter(tuple(words[k : k + 3]) for k in range(len(words) - 2))
         repeated = {k + d for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for d in range(3)}
         expected = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeated))
-        assert quality_rules.base_measures(text.encode()) == expected
+        found = text.encode().split()
+        assert quality_rules.base_measures(text.encode(), found, WordHash().ids(found)) == expected
 
 
 def test_quality_rules(spark, documents, labels):
@@ -361,7 +364,7 @@ def test_quality_rules(spark, documents, labels):
     assert len(got) == documents.count()
     for r in got:
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
-        assert not (r.base_failed and r.kept) and (r.base_failed or r.kept == (r.score >= quality_rules.THRESHOLD))
+        assert not (r.base_failed and r.kept)
     assert {r.n_words for r in got if r.doc_id in (4, 5, 6)} == {0}
     none = quality_rules.quality_rules(documents, labels.limit(0)).collect()
     assert all(r.score == 0 and r.kept != r.base_failed for r in none)
@@ -377,6 +380,55 @@ def test_quality_rules_reject_what_targets_lack(spark):
     assert all(r.kept == (r.doc_id < 1000) for r in got)
 
 
+def slow_quality(documents, labels, bits):
+    """Scores and verdicts by plain counting, one n-gram at a time."""
+    cell = lambda gram: int(quality_rules.ngram_cells(WordHash().ids(gram), bits)[-1])
+    grams = lambda t: [cell([w]) for w in t] + [cell([a, b]) for a, b in itertools.pairwise(t)]
+    good = {k for k, q in labels.items() if q == 1}
+    half = {k: xxhash.xxh64_intdigest(int(k).to_bytes(8, "little"), 42) for k in documents}
+    half = {k: (v - 2**64 if v >> 63 else v) % 2 for k, v in half.items()}
+    raw, target = Counter(), (Counter(), Counter())
+    for k, words in documents.items():
+        raw.update(grams(words))
+        if k in good:
+            target[half[k]].update(grams(words))
+
+    def ratios(counts):
+        total = sum(counts.values())
+        prior = max(1.0, quality_rules.PRIOR * total / 2**bits)
+        return lambda c: np.float32(np.log((counts[c] + prior) / (raw[c] * (total / sum(raw.values())) + prior))) if total else 0.0
+
+    def score(words, ratio):
+        return sum(map(float, map(ratio, grams(words)))) / (2 * len(words) - 1)
+
+    crossed = sorted(int(np.floor(score(documents[k], ratios(target[1 - half[k]])) * 1000)) for k in good if len(documents[k]) >= 50)
+    cut = min(0.0, crossed[int(quality_rules.MISSED * len(crossed))] / 1000)
+    final = ratios(target[0] + target[1])
+    return {k: (score(words, final), len(words) >= 50 and score(words, final) >= cut) for k, words in documents.items()}
+
+
+def test_quality_scores_equal_slow_counting(spark):
+    rng = random.Random(12)
+    texts = {k: [w.encode() for w in rng.choices(WORDS if k % 4 else WORDS[:20] + ["%%"] * 9, k=rng.randint(40, 70))] for k in range(120)}
+    marks = {k: int(k % 4 > 0) for k in range(0, 120, 2)}
+    frame = spark.createDataFrame([(k, b" ".join(t).decode(), "en", "s", 0) for k, t in texts.items()], DOCUMENTS)
+    some = spark.createDataFrame([(k, q, 0) for k, q in marks.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: (r.score, r.kept) for r in quality_rules.quality_rules(frame, some, bits=10).collect()}
+    want = slow_quality(texts, marks, 10)
+    assert all(abs(got[k][0] - want[k][0]) < 1e-4 and (got[k][1] == want[k][1] or abs(want[k][0]) < 1e-2) for k in texts)
+    assert sum(got[k][1] == want[k][1] for k in texts) > 115
+
+
+def test_suspects_hold_every_member(spark):
+    frame = spark.createDataFrame([(k if k % 10 else None, k) for k in range(2000)], "doc_id long, word long")
+    ids = spark.createDataFrame([(k,) for k in range(0, 4000, 7)] + [(None,)], "x long")
+    maybe, clear = idsets.suspects(frame, "doc_id", ids)
+    found, rest = {r.word for r in maybe.collect()}, {r.word for r in clear.collect()}
+    assert maybe.columns == frame.columns and found | rest == set(range(2000)) and not found & rest
+    assert {k for k in range(0, 2000, 7) if k % 10} <= found and len(found) < 400 and not any(k % 10 == 0 for k in found)
+    assert idsets.suspects(frame, "doc_id", ids.limit(0))[0].count() == 0
+
+
 def test_co_training(spark, documents, labels):
     good = [(k, prose(k, 100), "en", "s", 0) for k in range(240)]
     junk = [(1000 + k, " ".join(w.upper() + "!!" for w in prose(k, 60).split()), "en", "s", 0) for k in range(60)]
