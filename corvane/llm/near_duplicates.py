@@ -5,12 +5,13 @@ it. Texts link at `LIMIT` = 2 or fewer differing bits, and the operator returns
 component of every row.
 
 Equal fingerprints are merged first (a map-side combined group-by), so groups of exact copies
-cost one row. The distinct fingerprints are cut into a ring of `SEGMENTS` = 5 segments. If two of
-them differ in at most 2 bits, the pigeonring principle promises a start segment from which every
-chain of l consecutive segments has at most l * 2 / 5 differing bits in total: none over the first
-two segments, one over three and over four, two over all five. The first two segments form the
-bucket key (25 or 26 bits), the longer chains prune inside the bucket, and only survivors get the
-full Hamming check.
+cost one row. The distinct fingerprints are cut into a ring of m = 2 k + 1 segments. If two of them
+differ in at most 2 bits, the pigeonring principle promises a start segment from which every chain
+of l consecutive segments has at most l * 2 / m differing bits in total: none over the first k
+segments, one over the next k, two over the whole ring. The first k segments form the bucket key,
+the longer chains prune inside the bucket, and only survivors get the full Hamming check. The ring
+grows with the number of distinct fingerprints (`ring_size`), so that buckets stay small: k = 2
+gives keys of 25 bits, k = 4 of 28 and k = 8 of 30.
 
 Buckets are counted before they are gathered. Those of at most `bucket_limit` fingerprints are
 compared inside one row and emit a spanning forest of their links, never all pairs. Larger ones,
@@ -35,16 +36,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from corvane.llm.words import ascii_lower, binary_column, blank_words
+from corvane.llm.idsets import suspects
+from corvane.llm.words import ROWS_OUT, ascii_lower, binary_column, blank_words
 from corvane.session import bounded_batches, checkpointed
 from corvane.sources.tables import table
 
 SHINGLE = 3
 LIMIT = 2
-#: (lowest bit, width) of the ring's segments.
-RING = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-SEGMENTS = len(RING)
+#: Numbers of segments that a ring may have, and how many fingerprints a bucket should have on average at most.
+RINGS, FILL = (5, 9, 17), 64
 BUCKET_LIMIT = 512
+#: A fingerprint that more than one in that many rows have is hot.
+HOT = 1000
 SEED = 42
 
 
@@ -81,22 +84,30 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return docs.mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
-def _segment(segment: int) -> tuple[int, int]:
-    low, width = RING[segment % SEGMENTS]
-    return low, (1 << width) - 1
+def ring(segments: int) -> list[tuple[int, int]]:
+    """(lowest bit, width) of the segments that cut 64 bits."""
+    edges = [64 * k // segments for k in range(segments + 1)]
+    return [(low, high - low) for low, high in zip(edges, edges[1:], strict=False)]
 
 
-def ring_keys(prints: DataFrame) -> DataFrame:
-    """(fp, start, key): one row per ring start, the key being its first two segments."""
+def ring_size(prints: int) -> int:
+    """The smallest ring whose keys spread that many fingerprints over buckets of FILL; else the largest."""
+    return next((m for m in RINGS if prints <= FILL << 64 * (m // 2) // m), RINGS[-1])
 
-    def part(segment: int):
-        low, mask = _segment(segment)
-        return F.shiftrightunsigned("fp", low).bitwiseAND(F.lit(mask))
 
-    keys = [
-        F.struct(F.lit(k).alias("start"), F.shiftleft(part(k), 13).bitwiseOR(part(k + 1)).alias("key"))
-        for k in range(SEGMENTS)
-    ]
+def ring_keys(prints: DataFrame, segments: int) -> DataFrame:
+    """(fp, start, key): one row per ring start, the key being its first segments // 2 segments."""
+    cuts = ring(segments)
+
+    def key(start: int):
+        parts = F.lit(0).cast("long")
+        for step in range(segments // 2):
+            low, width = cuts[(start + step) % segments]
+            part = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1))
+            parts = F.shiftleft(parts, width).bitwiseOR(part)
+        return parts
+
+    keys = [F.struct(F.lit(k).alias("start"), key(k).alias("key")) for k in range(segments)]
     return prints.select("fp", F.inline(F.array(*keys)))
 
 
@@ -108,18 +119,19 @@ def bit_count(values: np.ndarray) -> np.ndarray:
     return sum(_BITS[(values >> np.uint64(shift)) & np.uint64(0xFFFF)].astype(np.int64) for shift in (0, 16, 32, 48))
 
 
-def chain_holds(differences: np.ndarray, start: int) -> np.ndarray:
+def chain_holds(differences: np.ndarray, start: int, segments: int) -> np.ndarray:
     """Whether each chain from `start` of the XORed fingerprints stays within its budget."""
+    cuts = ring(segments)
     total = np.zeros(differences.shape, np.int64)
     holds = np.ones(differences.shape, bool)
-    for length in range(1, SEGMENTS + 1):
-        low, mask = _segment(start + length - 1)
-        total += bit_count((differences >> np.uint64(low)) & np.uint64(mask))
-        holds &= total * SEGMENTS <= length * LIMIT
+    for length in range(1, segments + 1):
+        low, width = cuts[(start + length - 1) % segments]
+        total += bit_count((differences >> np.uint64(low)) & np.uint64((1 << width) - 1))
+        holds &= total * segments <= length * LIMIT
     return holds
 
 
-def bucket_edges(members: np.ndarray, start: int) -> list[tuple[int, int]]:
+def bucket_edges(members: np.ndarray, start: int, segments: int) -> list[tuple[int, int]]:
     """A spanning forest of the links that pass the chain filter from `start` (signed ids)."""
     values = members.astype(np.int64).view(np.uint64)
     root = list(range(len(values)))
@@ -133,7 +145,7 @@ def bucket_edges(members: np.ndarray, start: int) -> list[tuple[int, int]]:
     edges = []
     for i in range(len(values) - 1):
         xor = values[i + 1 :] ^ values[i]
-        near = np.flatnonzero(chain_holds(xor, start))
+        near = np.flatnonzero(chain_holds(xor, start, segments))
         for j in near[bit_count(xor[near]) <= LIMIT] + i + 1:
             a, b = find(i), find(int(j))
             if a != b:
@@ -142,19 +154,26 @@ def bucket_edges(members: np.ndarray, start: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _bucket_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in batches:
-        edges = [
-            edge
-            for start, members in zip(frame["start"], frame["members"], strict=True)
-            for edge in bucket_edges(np.sort(np.asarray(members)), int(start))
-        ]
-        yield pd.DataFrame(edges, columns=["u", "v"], dtype="int64")
+def _bucket_edges(segments: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            edges = [
+                edge
+                for start, members in zip(frame["start"], frame["members"], strict=True)
+                for edge in bucket_edges(np.sort(np.asarray(members)), int(start), segments)
+            ]
+            yield pd.DataFrame(edges, columns=["u", "v"], dtype="int64")
+
+    return run
 
 
-def links(prints: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints that connect just those within LIMIT bits."""
-    keyed = ring_keys(prints)
+def links(prints: DataFrame, bucket_limit: int = BUCKET_LIMIT, segments: int | None = None) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints that connect just those within LIMIT bits.
+
+    `segments` of the ring follow the number of fingerprints if not given.
+    """
+    segments = segments or ring_size(prints.count())
+    keyed = ring_keys(prints, segments)
     counted = keyed.groupBy("start", "key").agg(F.count("*").alias("n")).where("n > 1")
     large = checkpointed(counted.where(F.col("n") > bucket_limit).select("start", "key"))
     some_large = not large.isEmpty()
@@ -162,7 +181,7 @@ def links(prints: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     if some_large:
         small = keyed.join(large, ["start", "key"], "left_anti")
     gathered = small.groupBy("start", "key").agg(F.collect_list("fp").alias("members")).where(F.size("members") > 1)
-    edges = gathered.select("start", "members").mapInPandas(_bucket_edges, "u long, v long")
+    edges = gathered.select("start", "members").mapInPandas(_bucket_edges(segments), "u long, v long")
     if some_large:
         hot = keyed.join(large, ["start", "key"], "left_semi").select("fp").distinct()
         flips = F.array(F.lit(0).cast("long"), *(F.lit(signed(1 << k)) for k in range(64)))
@@ -214,18 +233,23 @@ def near_duplicates(documents: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> D
 
 
 def placed_rows(documents: DataFrame, bucket_limit: int) -> DataFrame:
-    """doc_id, fp, root (the component itself) and component_id (its least id, which two components can share)."""
+    """doc_id, fp, root (the component itself) and component_id (its least id, which two components can share).
+
+    Rows meet their fingerprint's component by a join. Fingerprints of more than one in HOT rows,
+    of which there can be HOT at most, are broadcast, so no key of the shuffled rest is hot.
+    """
     rows = checkpointed(fingerprints(documents))
-    prints = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    prints = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     found = components(links(prints.select("fp"), bucket_limit))
-    placed = prints.join(found, F.col("fp") == F.col("v"), "left").select("fp", "least", F.coalesce("u", "fp").alias("root"))
+    placed = prints.join(found, F.col("fp") == F.col("v"), "left").select("fp", "least", "n", F.coalesce("u", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = placed.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
-    return rows.join(of_print, "fp").select("doc_id", "fp", "root", "component_id")
-
-
-#: Ids up to this number are sent to all executors (8 bytes each); beyond it the join shuffles.
-BROADCAST_IDS = 1_000_000
+    of_print = checkpointed(placed.select("fp", "n", "root").join(named, "root").select(F.col("fp").alias("_fp"), "n", "root", "component_id"))
+    many = F.col("n") > rows.count() / HOT
+    hot = F.broadcast(of_print.where(many))  # HOT rows at most
+    columns = "doc_id", "fp", "root", "component_id"
+    common = rows.join(hot, F.col("fp") == F.col("_fp")).select(*columns)
+    rare = rows.join(hot.select("_fp"), F.col("fp") == F.col("_fp"), "left_anti")
+    return common.unionByName(rare.join(of_print.where(~many), F.col("fp") == F.col("_fp")).select(*columns))
 
 
 def one_of_each_group(documents: DataFrame, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
@@ -233,51 +257,31 @@ def one_of_each_group(documents: DataFrame, bucket_limit: int = BUCKET_LIMIT) ->
 
     Rows of a component that repeat its id are the same document: of them the one with the smallest
     values stays. Rows without an id can neither stand for a group nor be named as copies: they stay.
-    An id says which rows go only if all its rows have one fingerprint; rows of other ids are
-    fingerprinted once more and each goes or stays with its own component.
+    Rows of one id with different texts go or stay each with its own component. An empty table stays empty.
+
+    The plan is the same at every size. Ids that occur once and stand for their component need no
+    decision. Rows of the other ids, and those few that a filter of fixed size can't tell from them,
+    are fingerprinted once more, merged by id and fingerprint and looked up among those that stand.
     """
-    columns = documents.columns
     found = checkpointed(placed_rows(documents, bucket_limit))
-    mixed = checkpointed(found.where("doc_id is not null").groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("mixed")).where("mixed").select(F.col("doc_id").alias("_mixed")))
-    if mixed.isEmpty():
-        return _one_of_each_id(documents, found)
-    mixed = F.broadcast(mixed) if mixed.count() <= BROADCAST_IDS else mixed
-    plain = documents.join(mixed, documents["doc_id"] == mixed["_mixed"], "left_anti")
-    kept = _one_of_each_id(plain, found.join(mixed, found["doc_id"] == mixed["_mixed"], "left_anti"))
+    named = found.where("doc_id is not null")
+    unsure = named.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") != F.col("component_id")).alias("copy"))
+    several, single = suspects(documents, "doc_id", checkpointed(unsure.where("n > 1 or copy").select("doc_id")))
     bounded_batches(documents.sparkSession)
-    several = documents.join(mixed, documents["doc_id"] == mixed["_mixed"], "left_semi")
-    whole = several.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    whole = several.select(F.struct(*(f"`{c}`" for c in documents.columns)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = StructType([whole.schema["row"], StructField("doc_id", LongType()), StructField("fp", LongType())])
-    stand = found.where("doc_id = component_id").select("doc_id", "fp", "root").distinct()
-    least = whole.mapInArrow(_fingerprinted_rows, schema).join(stand, ["doc_id", "fp"]).groupBy("root").agg(F.min("row").alias("row"))
-    return kept.unionByName(least.select("row.*"))
+    merged = whole.mapInArrow(_fingerprinted_rows, schema).groupBy("doc_id", "fp").agg(F.min("row").alias("row"))
+    stand = named.where("doc_id = component_id").select("doc_id", "fp", "root").distinct()
+    kept = merged.join(stand.hint("merge"), ["doc_id", "fp"]).groupBy("root").agg(F.min("row").alias("row"))
+    return single.unionByName(kept.select("row.*"))
 
 
 def _fingerprinted_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = [signed(fingerprint(data)) for data in binary_column(batch, "text")]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(prints, pa.int64())], names=["row", "doc_id", "fp"])
-
-
-def _one_of_each_id(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """`one_of_each_group` where all rows of an id have one fingerprint."""
-    columns = documents.columns
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    repeated = kept.where("n > 1").select("doc_id")
-
-    def ids(frame: DataFrame) -> DataFrame:
-        return F.broadcast(frame) if frame.count() <= BROADCAST_IDS else frame
-
-    dropped = ids(dropped)
-    rows = documents.join(dropped, documents["doc_id"] == dropped["_gone"], "left_anti")
-    if repeated.isEmpty():
-        return rows.select(*columns)
-    again = ids(repeated.withColumnRenamed("doc_id", "_again"))
-    same = rows["doc_id"] == again["_again"]
-    single, several = rows.join(again, same, "left_anti"), rows.join(again, same, "left_semi")
-    least = several.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
-    return single.select(*columns).unionByName(least.select(*columns))
+        for start in range(0, batch.num_rows, ROWS_OUT):  # whole rows go out in small batches
+            part = batch.slice(start, ROWS_OUT)
+            prints = [signed(fingerprint(data)) for data in binary_column(part, "text")]
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), pa.array(prints, pa.int64())], names=["row", "doc_id", "fp"])
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

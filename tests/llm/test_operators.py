@@ -199,8 +199,8 @@ def test_near_duplicates_equal_brute_force(spark, documents, limit):
     assert near_duplicates.near_duplicates(documents.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("limit", [512, 3])
-def test_links_of_close_fingerprints(spark, limit):
+@pytest.mark.parametrize(("limit", "segments"), [(512, 5), (3, 5), (512, 9), (512, 17)])
+def test_links_of_close_fingerprints(spark, limit, segments):
     rng = random.Random(7)
     values = set()
     for _ in range(12):  # families around random centres, joined by chains of close steps
@@ -210,7 +210,7 @@ def test_links_of_close_fingerprints(spark, limit):
             at ^= sum(1 << b for b in rng.sample(range(64), rng.choice((1, 2, 2, 3))))
     expected = brute_components({v: v for v in values})
     frame = spark.createDataFrame([(near_duplicates.signed(v),) for v in values], "fp long")
-    found = near_duplicates.components(near_duplicates.links(frame, limit)).collect()
+    found = near_duplicates.components(near_duplicates.links(frame, limit, segments)).collect()
     root = {r.v % 2**64: r.u % 2**64 for r in found}
     mine = {v: root.get(v, v) for v in values}
     groups = lambda m: sorted(sorted(k for k in m if m[k] == r) for r in set(m.values()))
@@ -222,7 +222,9 @@ def test_pigeonring_never_misses():
     for _ in range(2000):
         x = sum(1 << b for b in rng.sample(range(64), rng.randint(0, 2)))
         difference = np.array([x], np.uint64)
-        assert any(near_duplicates.chain_holds(difference, s)[0] for s in range(near_duplicates.SEGMENTS))
+        for m in near_duplicates.RINGS:
+            assert any(near_duplicates.chain_holds(difference, s, m)[0] for s in range(m))
+    assert [near_duplicates.ring_size(n) for n in (0, 10**9, 10**10, 10**11)] == [5, 5, 9, 17]
 
 
 def test_rows_of_one_id_with_different_texts_go_with_their_own_component(spark):
