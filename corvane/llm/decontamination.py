@@ -3,15 +3,19 @@
 The alphabet is the word: a text is its word sequence, a pattern is a window of `window`
 consecutive item words (an item of fewer words is one pattern). For each pattern length there are
 
-* a shift table over blocks of two words: how far the search may jump when that block ends at the
-  present position (absent blocks allow the full length - 1),
-* buckets of the patterns by their last block, split by their first block,
-* a direct comparison of the whole window with the patterns of the bucket.
+* a shift table over hashed blocks of two words: how far the search may jump when that block ends at
+  the present position (blocks that no pattern has allow the full length - 1),
+* buckets of the patterns by the hash of their last block, within a bucket sorted by the hash of the
+  whole pattern, so that a bucket of many patterns is searched by bisection,
+* a direct comparison of the whole window with the patterns that remain.
 
 Most positions are never looked at, and the search is one map over the documents: no shuffle, no
-join, memory of one batch. The pattern side is broadcast only in blocks of at most
-`block_bytes` bytes of item text, measured beforehand; a larger benchmark is searched in several
-chained passes whose partial hits travel with the row, so the result stays exact at any size.
+join. Words of the benchmark are numbered and everything else is arrays of numbers: a searcher takes
+some 30 bytes per word of its patterns plus the distinct words, and nothing per window in Python.
+
+The pattern side is sent out in blocks of at most `block_bytes` bytes of text, measured beforehand.
+A larger benchmark is searched in one pass per block, and only one block is held at a time, by the
+driver and by each worker: the passes read one checkpoint of numbered rows and write hits only.
 """
 
 from __future__ import annotations
@@ -25,67 +29,122 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm.words import ROWS_OUT, alnum_words, binary_column
-from corvane.session import bounded_batches
+from corvane.session import bounded_batches, checkpointed
 from corvane.sources.tables import table
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+#: Text of one block at most; a worker holds some 5 bytes for each of it, and 16 while it builds.
+BLOCK_BYTES = 16 << 20
+#: Words of one piece of an item; longer items are cut into pieces that overlap by a window less one word.
+PIECE = 50_000
+_MASK = (1 << 64) - 1
+_STEP, _LEFT, _RIGHT = 0x9E3779B97F4A7C15, 0x9E3779B1, 0x85EBCA6B  # odd multipliers; word numbers stay below 2**31
+
+
+def _block_hash(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes of pairs of word numbers (`WuManber.search` has the same for a pair)."""
+    mixed = (left.astype(np.int64) * _LEFT) ^ (right.astype(np.int64) * _RIGHT)
+    return (mixed >> 15) & ((1 << bits) - 1)
 
 
 class WuManber:
-    """Search for patterns that are word sequences of one common length."""
+    """Search for patterns of one common length among numbered words.
 
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], set[str]]):
+    codes: all words of the items in a row; starts: where the patterns start; owners: the item of each.
+    """
+
+    def __init__(self, length: int, codes: np.ndarray, starts: np.ndarray, owners: np.ndarray):
         self.length = length
-        self.block = min(2, length)
-        self.full = length - self.block + 1
-        self.shift: dict = {}
-        self.buckets: dict = {}
-        for words, items in patterns.items():
-            for end in range(self.block, length + 1):
-                key = words[end - 1] if self.block == 1 else words[end - 2 : end]
-                distance = length - end
-                if self.shift.get(key, self.full) > distance:
-                    self.shift[key] = distance
-            last = words[-1] if self.block == 1 else words[-2:]
-            self.buckets.setdefault(last, {}).setdefault(words[: self.block], []).append((list(words), items))
-
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, set[str]]]:
-        """(start, items) of every occurrence, starts ascending."""
-        length, full, shift = self.length, self.full, self.shift.get
-        at, end = length - 1, len(words)
-        if self.block == 1:
-            for at, word in enumerate(words):
-                if word in self.buckets:
-                    for _, items in self.buckets[word][(word,)]:
-                        yield at, items
-            return
+        self.full = max(1, length - 1)
+        self.bits = min(22, max(8, int(len(starts)).bit_length() + 3))
+        last = self._blocks(codes, starts, length)
+        hashes = np.zeros(len(starts), np.uint64)
+        for k in range(length):
+            hashes = (hashes + codes[starts + k].astype(np.uint64) + np.uint64(1)) * np.uint64(_STEP)
+            hashes ^= hashes >> np.uint64(31)
+        order = np.lexsort((hashes, last))
+        self.starts, self.hashes, self.owners = starts[order], hashes[order], owners[order]
+        self.codes = codes
+        self.bucket = np.searchsorted(last[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
+        shift = np.full(1 << self.bits, self.full, np.uint8)
+        for end in range(2, length + 1):  # later blocks of the pattern allow shorter jumps
+            shift[self._blocks(codes, starts, end)] = length - end
+        self.shift = shift.tobytes()
+
+    def _blocks(self, codes: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
+        """Hashes of the two words (one, twice, in patterns of one word) that end at `end`."""
+        return _block_hash(codes[starts + max(0, end - 2)], codes[starts + end - 1], self.bits)
+
+    def search(self, words: list[bytes], number) -> Iterator[tuple[int, np.ndarray]]:
+        """(start, items) of every occurrence, starts ascending; number(word) is None for a word that no item has."""
+        length, full, shift, mask = self.length, self.full, self.shift, (1 << self.bits) - 1
+        at, end, back = length - 1, len(words), min(1, length - 1)
         while at < end:
-            block = (words[at - 1], words[at])
-            step = shift(block, full)
-            if step:
-                at += step
+            right = number(words[at])
+            left = right if not back else None if right is None else number(words[at - 1])
+            if left is None or right is None:
+                at += full
+                continue
+            block = ((left * _LEFT) ^ (right * _RIGHT)) >> 15 & mask
+            if shift[block] and back:
+                at += shift[block]
                 continue
-            start = at - length + 1
-            for pattern, items in self.buckets[block].get((words[start], words[start + 1]), ()):
-                if words[start : at + 1] == pattern:
-                    yield start, items
+            found = self._compare(words[at - length + 1 : at + 1], number, block)
+            if found is not None:
+                yield at - length + 1, found
             at += 1
 
-
-def searchers(items: list[tuple[str | None, bytes]], window: int = WINDOW) -> list[WuManber]:
-    """One searcher for each pattern length that the items have."""
-    by_length: dict[int, dict[tuple[bytes, ...], set[str]]] = {}
-    for item, text in items:
-        words = alnum_words(text)
-        size = min(window, len(words))
-        if not size:
-            continue
-        for start in range(len(words) - size + 1):
-            found = by_length.setdefault(size, {}).setdefault(tuple(words[start : start + size]), set())
-            if item is not None:
-                found.add(item)
-    return [WuManber(size, patterns) for size, patterns in sorted(by_length.items())]
+    def _compare(self, window: list[bytes], number, block: int) -> np.ndarray | None:
+        low, high = int(self.bucket[block]), int(self.bucket[block + 1])
+        if low == high:
+            return None
+        numbers = [number(w) for w in window]
+        if None in numbers:
+            return None
+        value = 0
+        for code in numbers:
+            value = ((value + code + 1) * _STEP) & _MASK
+            value ^= value >> 31
+        part = self.hashes[low:high]
+        first, stop = np.searchsorted(part, np.uint64(value)), np.searchsorted(part, np.uint64(value), "right")
+        if first == stop:
+            return None
+        places = self.starts[low + first : low + stop]
+        same = (self.codes[places[:, None] + np.arange(self.length)] == np.array(numbers, np.int32)).all(axis=1)
+        return self.owners[low + first : low + stop][same] if same.any() else None
+
+
+class Searchers:
+    """One Wu-Manber searcher for each pattern length that the pieces (item id or None, text) have."""
+
+    def __init__(self, pieces: list[tuple[str | None, bytes]], window: int = WINDOW):
+        numbers: dict[bytes, int] = {}
+        self.number, self.items = numbers.get, [item for item, _ in pieces]
+        parts, sizes = [], np.zeros(len(pieces), np.int64)
+        for k, (_, text) in enumerate(pieces):
+            words = alnum_words(text)
+            parts.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)))
+            sizes[k] = len(words)
+        codes = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        begins = np.cumsum(sizes) - sizes
+        self.each = []
+        for length in sorted({min(window, int(n)) for n in sizes} - {0}):
+            of = np.flatnonzero(np.minimum(sizes, window) == length)
+            counts = sizes[of] - length + 1
+            starts = np.repeat(begins[of] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            self.each.append(WuManber(length, codes, starts.astype(np.int32), np.repeat(of, counts).astype(np.int32)))
+
+    def spans(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """(word ranges of all occurrences, ids of the items that they belong to)."""
+        rows, owners = [], set()
+        for searcher in self.each:
+            for start, found in searcher.search(words, self.number):
+                rows.append((start, start + searcher.length))
+                owners.update(found.tolist())
+        return rows, {self.items[k] for k in owners} - {None}
+
+    def occur(self, words: list[bytes]) -> bool:
+        return any(True for searcher in self.each for _ in searcher.search(words, self.number))
 
 
 def hit_words(spans: np.ndarray) -> int:
@@ -98,35 +157,27 @@ def hit_words(spans: np.ndarray) -> int:
     return int(np.maximum(0, spans[:, 1] - np.maximum(spans[:, 0], before)).sum())
 
 
-FOUND = "n_words long, _spans binary, _items array<string>"
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
-def _search(items: list[tuple[str | None, bytes]], window: int, keep: list[str]):
-    """One pass: adds what these items hit to the spans and items that the row already carries."""
+def _search(pieces: list[tuple[str | None, bytes]], window: int, keep: list[str], all_rows: bool):
+    """Maps rows to `keep`, n_words, _spans (int64 word ranges) and _items; without all_rows, those with hits only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = searchers(items, window)
+        searchers = Searchers(pieces, window)
         for batch in batches:
             n_words, spans, names = [], [], []
-            has = "_spans" in batch.schema.names
-            old_spans = batch.column("_spans").to_pylist() if has else [b""] * batch.num_rows
-            old_items = batch.column("_items").to_pylist() if has else [[]] * batch.num_rows
-            for row, data in enumerate(binary_column(batch, "text")):
+            for data in binary_column(batch, "text"):
                 words = alnum_words(data)
-                rows, hit = [], set(old_items[row])
-                for searcher in found:
-                    for start, ids in searcher.search(words):
-                        rows.append((start, start + searcher.length))
-                        hit |= ids
+                rows, items = searchers.spans(words)
                 n_words.append(len(words))
-                spans.append(old_spans[row] + np.array(rows, np.int64).tobytes())
-                names.append(sorted(hit))
-            arrays = [batch.column(name) for name in keep]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(n_words, pa.int64()), pa.array(spans, pa.binary()), pa.array(names, pa.list_(pa.string()))],
+                spans.append(np.array(rows, np.int64).tobytes())
+                names.append(sorted(items))
+            out = pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in keep), pa.array(n_words, pa.int64()), pa.array(spans, pa.binary()), pa.array(names, pa.list_(pa.string()))],
                 names=[*keep, "n_words", "_spans", "_items"],
             )
+            yield out if all_rows else out.filter(pa.array([len(x) > 0 for x in spans], pa.bool_()))
 
     return run
 
@@ -148,16 +199,39 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The items in lists of about `block_bytes` bytes of text each; the size is measured first."""
-    items = benchmark.select(
-        F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text")
-    ).distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def _pieces(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items, numbers, texts = [], [], []
+            for item, data in zip(batch.column("item").to_pylist(), binary_column(batch, "text"), strict=True):
+                words = alnum_words(data)
+                for number, start in enumerate(range(0, max(1, len(words) - window + 1), PIECE)):
+                    items.append(item)
+                    numbers.append(number)
+                    texts.append(b" ".join(words[start : start + PIECE + window - 1]).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(numbers, pa.int64()), pa.array(texts, pa.string())], names=["item", "number", "text"])
+
+    return run
+
+
+def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """(pieces of the items with the column block, number of blocks of about `block_bytes` bytes of text each).
+
+    A piece has the words of its item, or of a part of it, that share no window with any other piece.
+    """
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    pieces = checkpointed(items.mapInArrow(_pieces(window), "item string, number long, text string").distinct())
+    total = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    for block in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        yield [(row["item"], row["text"].encode()) for row in part.collect()]
+    return pieces.withColumn("block", F.pmod(F.xxhash64("item", "number", "text"), F.lit(blocks))), blocks
+
+
+def block_of(pieces: DataFrame, block: int) -> list[tuple[str | None, bytes]]:
+    """The pieces of one block, which the driver holds while it plans the block's pass."""
+    return [(row["item"], row["text"].encode()) for row in pieces.where(F.col("block") == block).select("item", "text").collect()]
+
+
+_FOUND = "n_words long, _spans binary, _items array<string>"
 
 
 def search_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -166,14 +240,20 @@ def search_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = W
     A null text has no words. An item whose id is null marks words but is not counted as an item.
     Repeated rows are judged one by one.
     """
-    frame = documents.select("doc_id", "text")
-    blocks = list(benchmark_blocks(benchmark, block_bytes))
-    fields = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
-    for number, items in enumerate(blocks):
-        keep = list(fields) if number < len(blocks) - 1 else [c for c in fields if c != "text"]
-        schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", " + FOUND
-        frame = frame.mapInArrow(_search(items, window, keep), schema)
-    return frame
+    pieces, blocks = benchmark_blocks(benchmark, window, block_bytes)
+    if blocks == 1:
+        return documents.select("doc_id", "text").mapInArrow(_search(block_of(pieces, 0), window, ["doc_id"], True), f"doc_id long, {_FOUND}")
+    rows = checkpointed(documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row")))
+    found = checkpointed(rows.mapInArrow(_search(block_of(pieces, 0), window, ["doc_id", "row"], True), f"doc_id long, row long, {_FOUND}"))
+    hits = found.select("row", "_spans", "_items").where(F.length("_spans") > 0)
+    for block in range(1, blocks):  # one live block a pass: its hits are written before the next is read
+        more = rows.mapInArrow(_search(block_of(pieces, block), window, ["row"], False), f"row long, {_FOUND}")
+        hits = hits.unionByName(checkpointed(more.drop("n_words")))
+    each = hits.groupBy("row").agg(F.collect_list("_spans").alias("parts"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"))
+    joined = F.aggregate("parts", F.lit(b""), lambda all_, part: F.concat(all_, part))  # a part per block at most
+    each = each.select("row", joined.alias("_spans"), "_items")
+    merged = found.select("doc_id", "n_words", "row").join(each, "row", "left")
+    return merged.select("doc_id", "n_words", F.coalesce("_spans", F.lit(b"")).alias("_spans"), F.coalesce("_items", F.array().cast("array<string>")).alias("_items"))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -186,25 +266,31 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     return search_benchmark(docs, benchmark, window, block_bytes).mapInArrow(_digest, RESULT)
 
 
-def _keep_clean(items: list[tuple[str | None, bytes]], window: int):
+def _keep_clean(pieces: list[tuple[str | None, bytes]], window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = searchers(items, window)
+        searchers = Searchers(pieces, window)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_OUT):  # whole rows go out in small batches
-                part, clean = batch.slice(start, ROWS_OUT), []
-                for data in binary_column(part, "text"):
-                    words = alnum_words(data)
-                    clean.append(not any(True for searcher in found for _ in searcher.search(words)))
+                part = batch.slice(start, ROWS_OUT)
+                clean = [not searchers.occur(alnum_words(data)) for data in binary_column(part, "text")]
                 yield part.filter(pa.array(clean, pa.bool_()))
 
     return run
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of `documents` that share no window with the benchmark, all columns kept."""
+    """The rows of `documents` that share no window with the benchmark, all columns kept.
+
+    Null, empty and wordless texts stay, repeated rows are judged each for itself, and with an empty
+    benchmark or empty documents every row stays. Between the passes of a benchmark of several blocks
+    the rows that are left are written, so that one block is live at a time.
+    """
     bounded_batches(documents.sparkSession)
-    for items in benchmark_blocks(benchmark, block_bytes):
-        documents = documents.mapInArrow(_keep_clean(items, window), documents.schema)
+    pieces, blocks = benchmark_blocks(benchmark, window, block_bytes)
+    for block in range(blocks):
+        documents = documents.mapInArrow(_keep_clean(block_of(pieces, block), window), documents.schema)
+        if block < blocks - 1:
+            documents = checkpointed(documents)
     return documents
 
 

@@ -109,8 +109,30 @@ def test_wu_manber_on_few_words(seed):
     items = [(k, " ".join(rng.choices("ab", k=rng.choice((1, 2, 3, 5, 12, 14))))) for k in range(5)]
     text = " ".join(rng.choices("abc", k=300))
     words = text.encode().split()
-    spans = {(s, s + w.length) for w in decontamination.searchers([(str(i), t.encode()) for i, t in items]) for s, _ in w.search(words)}
-    assert len({p for a, b in spans for p in range(a, b)}) == brute_hits(text, items)[1]
+    spans, found = decontamination.Searchers([(str(i), t.encode()) for i, t in items]).spans(words)
+    expected = brute_hits(text, items)
+    assert (len({p for a, b in spans for p in range(a, b)}), len(found)) == expected[1:3]
+
+
+def test_long_items_are_cut_into_pieces(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "PIECE", 7)
+    item = prose(40, 60)
+    frame = spark.createDataFrame([(k, " ".join(item.split()[k : k + 10 + k % 2])) for k in range(45)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item), (2, "x"), (3, None)], "item_id long, text string")
+    want = sorted(((r.doc_id, *brute_hits(r.text, [(1, item)])) for r in frame.collect()), key=str)
+    assert rows(decontamination.decontaminate(frame, benchmark)) == want and all(r[-1] for r in want)
+
+
+def test_a_searcher_takes_few_bytes_per_word():
+    import tracemalloc
+
+    rng = random.Random(2)
+    pieces = [(str(k), " ".join(rng.choices(WORDS, k=5000)).encode()) for k in range(40)]
+    tracemalloc.start()
+    searchers = decontamination.Searchers(pieces)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(searchers.each) == 1 and held < 45 * 200_000 + (8 << 20)
 
 
 # --- personal data ---
