@@ -9,6 +9,11 @@ where the last match ended (`\\G`), and repeats possessively, which finds just t
 plain patterns in `PLAIN`, leftmost and non-overlapping. A card pattern reads whole digit runs and
 takes only those of 12 to 19 digits, as shorter or longer ones would be dropped anyway.
 
+So is the rest, however many spans a text has. Arrays can't grow in place, so running offsets are
+summed in two levels: `BLOCK` matches at a time, and the blocks' sums. And a string has no index, so
+context and the text between spans are taken from `CHUNK` code points at a time, an array of which
+is made once per text.
+
 Base kinds (email, ip, card, phone) need their check and stay whatever their score. Added kinds
 are IBANs, confirmed by the mod-97 checksum, and US social security numbers, which have no
 checksum and count only beside a context word.
@@ -60,6 +65,34 @@ OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 SPAN = "array<struct<start:int,no:int,stop:int,score:double>>"
+#: Matches of one block of running sums, and code points of one chunk of a text.
+BLOCK, CHUNK = 256, 1024
+
+
+def in_blocks(array: Column) -> Column:
+    """Numbers of the blocks of a non-empty array."""
+    return F.sequence(F.lit(0), ((F.size(array) - 1) / BLOCK).cast("int"))
+
+
+def block_of(array: Column, number: Column) -> Column:
+    return F.slice(array, number * BLOCK + 1, F.lit(BLOCK))
+
+
+def running(values: Column, merge) -> Column:
+    """For each of the values, a 0 merged with all values before it."""
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    step = lambda s, v: F.struct(merge(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+    return F.aggregate(values, begin, step, lambda s: s["out"])
+
+
+def piece(chunks: Column, start: Column, stop: Column) -> Column:
+    """Code points [start, stop) of the text that was cut into chunks."""
+    first, last = (start / CHUNK).cast("int"), (stop / CHUNK).cast("int")
+    head = F.coalesce(F.get(chunks, first), F.lit(""))
+    tail = F.substring(F.coalesce(F.get(chunks, last), F.lit("")), F.lit(1), stop - last * CHUNK)
+    between = F.array_join(F.slice(chunks, first + 2, last - first - 1), "")
+    from_head = F.substring(head, start - first * CHUNK + 1, F.least(stop - start, F.lit(CHUNK)))
+    return F.when(first == last, from_head).otherwise(F.concat(from_head, between, tail))
 
 
 def luhn(digits: Column) -> Column:
@@ -98,17 +131,14 @@ def confirmed(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def kind_spans(kind: str, text: Column, found: Column) -> Column:
-    """The confirmed spans of a kind whose matches are `found`."""
-    gaps = F.split(text, PATTERNS[kind], -1)
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda gap, x: F.struct(F.length(gap).alias("gap"), x.alias("x")))
+def kind_spans(kind: str, pairs: Column, begins: Column, chunks: Column) -> Column:
+    """The confirmed spans of a kind; pairs are its matches and the gaps before them, begins the offsets of their blocks."""
     empty = F.array().cast(SPAN)
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + pair["gap"]
         stop = start + F.length(pair["x"])
-        low = F.greatest(start - REACH, F.lit(0))
-        near = F.lower(F.concat_ws(" ", F.substring(text, low + 1, start - low), F.substring(text, stop + 1, F.lit(REACH))))
+        near = F.lower(F.concat_ws(" ", piece(chunks, F.greatest(start - REACH, F.lit(0)), start), piece(chunks, stop, stop + REACH)))
         score = F.lit(PRIOR[kind]) + F.when(near.rlike(rf"(?:{CONTEXT[kind]})"), CONTEXT_GAIN).otherwise(0.0)
         span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("no"), stop.alias("stop"), F.least(score, F.lit(1.0)).alias("score"))
         good = confirmed(kind, pair["x"])
@@ -116,19 +146,23 @@ def kind_spans(kind: str, text: Column, found: Column) -> Column:
             good = good & (score >= ENOUGH)
         return F.struct(stop.alias("at"), F.when(good, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
-    begin = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, begin, step, lambda state: state["out"])).otherwise(empty)
+    def block(number: Column) -> Column:
+        begin = F.struct(F.get(begins, number).alias("at"), empty.alias("out"))
+        return F.aggregate(block_of(pairs, number), begin, step, lambda state: state["out"])
 
+    some = (F.size(pairs) > 0) & (F.size(begins) > 0)
+    return F.when(some, F.flatten(F.transform(in_blocks(pairs), block))).otherwise(empty)
 
-def with_spans(documents: DataFrame) -> tuple[DataFrame, str, str]:
-    """`documents` with the text (null as empty) and its spans, sorted by start and kind, and the names of these two columns.
 
-    New columns begin with one underscore more than any that the table has.
+def with_spans(documents: DataFrame) -> tuple[DataFrame, str, str, str]:
+    """`documents` with the text (null as empty), its chunks and its spans, sorted by start and kind, and the names of these three columns.
+
+    New columns begin with one underscore more than any that the table has. What lambdas use is a
+    column of its own that is used twice or more, as the optimizer would inline it into them otherwise.
     """
     mark = "_" * (1 + max(len(c) - len(c.lstrip("_")) for c in documents.columns))
-    name = mark + "text"
-    text = F.col(name)
-    frame = documents.withColumn(name, F.coalesce(F.col("text").cast("string"), F.lit("")))
+    text = F.col(mark + "text")
+    frame = documents.withColumn(mark + "text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     found = {}
     for kind in KINDS:
         matches = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
@@ -136,8 +170,28 @@ def with_spans(documents: DataFrame) -> tuple[DataFrame, str, str]:
             matches = F.when(F.contains(text, F.lit(NEEDS[kind])), matches).otherwise(F.array().cast("array<string>"))
         found[mark + kind] = matches
     frame = frame.withColumns(found)
-    spans = F.array_sort(F.concat(*(kind_spans(kind, text, F.col(mark + kind)) for kind in KINDS)))
-    return frame.withColumn(mark + "spans", spans).drop(*found), name, mark + "spans"
+
+    def paired(kind: str) -> Column:
+        one = F.col(mark + kind)
+        gaps = F.slice(F.split(text, PATTERNS[kind], -1), F.lit(1), F.size(one))
+        pairs = F.zip_with(gaps, one, lambda gap, x: F.struct(F.length(gap).alias("gap"), x.alias("x")))
+        return F.when(F.size(one) > 0, pairs).otherwise(F.array().cast("array<struct<gap:int,x:string>>"))
+
+    some = sum(F.size(mark + kind) for kind in KINDS) > 0
+    chunks = F.when(some, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    frame = frame.withColumns({mark + "chunks": chunks} | {mark + kind + "_pairs": paired(kind) for kind in KINDS})
+
+    def begins(kind: str) -> Column:
+        pairs = F.col(mark + kind + "_pairs")
+        total = lambda number: F.aggregate(block_of(pairs, number), F.lit(0), lambda t, p: t + p["gap"] + F.length(p["x"]))
+        summed = running(F.transform(in_blocks(pairs), total), lambda at, v: at + v)
+        return F.when(F.size(pairs) > 0, summed).otherwise(F.array().cast("array<int>"))
+
+    frame = frame.withColumns({mark + kind + "_begins": begins(kind) for kind in KINDS})
+    each = (kind_spans(kind, F.col(mark + kind + "_pairs"), F.col(mark + kind + "_begins"), F.col(mark + "chunks")) for kind in KINDS)
+    frame = frame.withColumn(mark + "spans", F.array_sort(F.concat(*each)))
+    own = (mark + "text", mark + "chunks", mark + "spans")
+    return frame.select(*(f"`{c}`" for c in documents.columns), *own), *own
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
@@ -147,7 +201,7 @@ def personal_data(documents: DataFrame) -> DataFrame:
     starts the kind listed first comes first. Repeated rows are judged each for itself; other
     columns are not looked at. n_iban, n_ssn and scores (in the order of spans) follow.
     """
-    frame, _, name = with_spans(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    frame, _, _, name = with_spans(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     spans = F.col(name)
     names = F.array(*(F.lit(k) for k in KINDS))
 
@@ -174,28 +228,33 @@ def redact(documents: DataFrame) -> DataFrame:
 
     Overlapping spans become one, named by the first. Texts without spans, null ones included,
     stay as they are; n_chars is changed only where the column exists and spans were found.
+    Repeated rows are changed alike, and an empty table stays empty.
     """
     columns = documents.columns
-    frame, text_name, spans_name = with_spans(documents)
-    text, spans, clean = F.col(text_name), F.col(spans_name), text_name + "_clean"
+    frame, text_name, chunks_name, spans_name = with_spans(documents)
+    text, chunks, spans, clean = F.col(text_name), F.col(chunks_name), F.col(spans_name), text_name + "_clean"
     marks = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
+    stops = F.transform(in_blocks(spans), lambda number: F.array_max(F.transform(block_of(spans, number), lambda s: s["stop"])))
+    reached = text_name + "_reached"
+    frame = frame.withColumn(reached, F.when(F.size(spans) > 0, running(stops, F.greatest)))
+    begins = F.col(reached)
 
     def step(state: Column, s: Column) -> Column:
-        piece = F.array(F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.get(marks, s["no"]))
-        return F.struct(
-            F.greatest(state["at"], s["stop"]).alias("at"),
-            F.when(s["start"] >= state["at"], F.concat(state["out"], piece)).otherwise(state["out"]).alias("out"),
-        )
+        more = F.concat(state["out"], F.array(piece(chunks, state["at"], s["start"]), F.get(marks, s["no"])))
+        return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), F.when(s["start"] >= state["at"], more).otherwise(state["out"]).alias("out"))
 
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    built = F.aggregate(
-        spans, begin, step, lambda state: F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text)))
-    )
-    frame = frame.withColumn(clean, F.when(F.size(spans) > 0, built))
+    def block(number: Column) -> Column:
+        begin = F.struct(F.get(begins, number).alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(block_of(spans, number), begin, step, lambda state: F.array_join(state["out"], ""))
+
+    last = F.array_max(F.transform(spans, lambda s: s["stop"]))
+    rest = F.substring(text, last + 1, F.length(text))
+    built = F.concat(F.array_join(F.transform(in_blocks(spans), block), ""), rest)
+    frame = frame.withColumn(clean, F.when((F.size(spans) > 0) & (F.size(begins) > 0), built))
     changed = {"text": F.coalesce(clean, "text")}
     if "n_chars" in columns:
         changed["n_chars"] = F.coalesce(F.length(clean).cast(documents.schema["n_chars"].dataType), F.col("n_chars"))
-    return frame.withColumns(changed).select(*columns)
+    return frame.withColumns(changed).select(*(f"`{c}`" for c in columns))
 
 
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

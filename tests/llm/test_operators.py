@@ -5,6 +5,7 @@ import html
 import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -168,6 +169,23 @@ def test_personal_data_equals_plain_patterns(spark):
         assert got[k].base_sha256 == hashlib.sha256(expected.encode()).hexdigest()
 
 
+def test_texts_of_many_spans_take_time_in_proportion(spark):
+    unit = "bob@ex.org,10.0.0.1 +1 (212) 555-0100; 4111 1111 1111 1111 x\n"
+
+    def seconds(repeats):
+        frame = spark.createDataFrame([(1, unit * repeats, "en", "a", 0)], DOCUMENTS)
+        began = time.time()
+        row, clean = personal_data.personal_data(frame).first(), personal_data.redact(frame).first()
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == (repeats,) * 4
+        assert clean.text == "<EMAIL>,<IP> <PHONE>; <CARD> x\n" * repeats
+        assert row.spans.endswith(",".join(f"{k}:{a + len(unit) * (repeats - 1)}:{b + len(unit) * (repeats - 1)}" for k, a, b in (("email", 0, 10), ("ip", 11, 19), ("phone", 20, 37), ("card", 39, 58))))
+        return time.time() - began
+
+    small = seconds(100)
+    middle, large = seconds(3_000), seconds(30_000)  # 0.18 and 1.8 MB
+    assert large - small < 20 * max(middle - small, 1.0)
+
+
 def test_added_kinds_and_redaction(spark, documents):
     text = "IBAN DE89 3704 0044 0532 0130 00 and GB33BUKB20201555555555; DE89 3704 0044 0532 0130 01. SSN 078-05-1120 far away " + "z " * 40 + "078-05-1121"
     frame = spark.createDataFrame([(1, text, "en", "a", len(text))], DOCUMENTS)
