@@ -32,6 +32,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_classifier": quality_classifier.op7_quality_classifier,
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "quality_base_measures": quality_rules.quality_base_measures,
+        "mixing_targets": mixing.mixing_targets,
+        "url_rules": url_filters.url_rules,
+        "url_link_graph": url_filters.url_link_graph,
         "op9_html_extraction": html_extraction.op9_html_extraction,
     }
 
@@ -41,4 +44,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_decontamination": decontamination.SQL,
         "op3_personal_data": personal_data.SQL,
         "quality_base_measures": quality_rules.BASE_SQL,
+        "mixing_targets": mixing.TARGETS_SQL,
+        "url_rules": url_filters.RULES_SQL,
     }

@@ -13,15 +13,20 @@ a balanced sample:
   a window of three undecided documents.
 * Blocks: documents are dealt by hash into blocks of about `block_rows` within their source, and
   each block flies by itself; at most two, and the `RESERVE` largest, which wait, remain undecided.
-* Landing: the undecided ones of a source fly once more, together. At most `RESERVE` + 2 remain,
-  and of their outcomes the one nearest to the source's totals is taken.
+* Tree of flights: the undecided ones are dealt into blocks anew and fly again, until all of a
+  source fit one block. Every flight leaves some 12 of `block_rows`, so no task ever sees more than
+  about a block of a source, however many documents that has.
+* Landing: the last flight of a source leaves at most `RESERVE` + 2, and of their outcomes the one
+  nearest to the source's totals is taken.
 
 The rows that move are (id, source, size), never texts. Coins are hashes of ids and the order in
-a block is by size, hash and id, so reruns agree whatever the partitioning.
+a block is by size, hash and id, so reruns agree whatever the partitioning. Sources are ranked and
+levelled by sorted partitions and one-row aggregates, never all in one task.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import zlib
 from collections.abc import Iterator
@@ -46,29 +51,45 @@ def word_count(text: Column) -> Column:
     return F.greatest(F.size(pieces) - blank, F.lit(0)).cast("long")
 
 
+def ranked(sources: DataFrame) -> DataFrame:
+    """`sources` with the column place: 0, 1, ... in the order of the column source, null last.
+
+    Range partitions are written sorted; the rows before each are the sums of the counts of those
+    before it, a table of one row per partition.
+    """
+    parts = sources.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
+    parts = checkpointed(parts)
+    counts = parts.groupBy("part").agg(F.count("*").alias("n"))
+    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1
+    return parts.withColumn("inside", inside).join(F.broadcast(before), "part").withColumn("place", F.col("before") + F.col("inside")).drop("part", "inside", "before")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeat: int = REPEAT) -> DataFrame:
     """One row per source of (source, size): source, source_size, n_rows, target, rate.
 
-    The windows run over one row per source, pre-aggregated. Sources that reach their cap are
-    those with the smallest cap per weight, so one pass in that order finds the level at which
-    the rest share: no iteration.
+    The level is what a unit of weight gets. Sources whose cap is below their weight's share at
+    the present level are capped and the rest levelled anew, which can only raise the level, until
+    no more are; each step is an aggregate of one row, over a written table of one row per source.
     """
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     cycle = F.array(*(F.lit(float(w)) for w in weights))
-    weighed = sources.withColumn("weight", F.get(cycle, place % len(weights))).withColumn("cap", repeat * F.col("source_size"))
-    by_cap = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    level = (F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / (
-        F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    )
-    levelled = weighed.withColumn("level", level).withColumn("capped", F.col("level") * F.col("weight") >= F.col("cap"))
-    # the first uncapped source has the highest level of the uncapped, and it holds for them all
-    shared = levelled.withColumn("share", F.max(F.when(~F.col("capped"), F.col("level"))).over(everything))
-    target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.col("share") * F.col("weight"))
+    weighed = checkpointed(ranked(sources).withColumn("weight", F.get(cycle, (F.col("place") % len(weights)).cast("int"))))
+    cap = (repeat * F.col("source_size")).cast("double")
+    level, capped = 0.0, F.lit(False)
+    total = weighed.agg(F.sum("source_size")).first()[0] or 0
+    n_open = -1
+    while True:
+        held, open_, count = weighed.agg(
+            F.sum(F.when(capped, repeat * F.col("source_size")).otherwise(0)), F.sum(F.when(capped, 0.0).otherwise(F.col("weight"))), F.count_if(~capped)
+        ).first()
+        if not count or count == n_open:  # all are capped, or no more than before
+            break
+        level, n_open = (total - held) / open_, count
+        capped = cap <= level * F.col("weight")
+    target = F.when(capped, cap).otherwise(level * F.col("weight"))
     rate = F.when(F.col("source_size") > 0, F.least(target / F.col("source_size"), F.lit(float(repeat)))).otherwise(0.0)
-    return shared.select("source", "source_size", "n_rows", target.alias("target"), rate.alias("rate"))
+    return weighed.select("source", "source_size", "n_rows", target.alias("target"), rate.alias("rate"))
 
 
 class Flight:
@@ -220,12 +241,22 @@ def mix(
         F.concat(F.pmod(seed, F.col("blocks")).cast("string"), F.lit(":"), name).alias("key"),
         F.when(F.col("size") > 0, F.col("rate") - whole).otherwise(0.0).alias("p"),
     )
-    flown = checkpointed(_dealt(rows).mapInArrow(_fly(1, RESERVE), _ROW))
     undecided = (F.col("p") > 0) & (F.col("p") < 1)
-    rest = flown.where(undecided).withColumn("key", name)
-    again = checkpointed(_dealt(rest).mapInArrow(_fly(2, RESERVE), _ROW))
-    landed = again.where(undecided).groupBy("key").applyInArrow(_land, _ROW)
-    decided = flown.where(~undecided).unionByName(again.where(~undecided)).unionByName(landed)
+    decided, level = [], 1
+    while True:
+        flown = checkpointed(_dealt(rows).mapInArrow(_fly(level, RESERVE), _ROW))
+        decided.append(flown.where(~undecided))
+        left = flown.where(undecided).withColumn("source_key", name)
+        most = left.groupBy("source_key").agg(F.count("*").alias("n"))
+        if (most.agg(F.max("n")).first()[0] or 0) <= RESERVE + 2:
+            break
+        level += 1
+        need = F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).alias("need")
+        dealt = left.join(most.select(F.col("source_key").alias("_key"), need), F.col("source_key") == F.col("_key"))
+        again = F.concat(F.pmod(F.xxhash64("seed", F.lit(level)), F.col("need")).cast("string"), F.lit(":"), "source_key")
+        rows = dealt.select(*(again.alias(c) if c == "key" else c for c in flown.columns))
+    landed = flown.where(undecided).withColumn("key", name).groupBy("key").applyInArrow(_land, _ROW)
+    decided = functools.reduce(DataFrame.unionByName, decided, landed)
     copies = F.col("whole") + F.col("p").cast("long")
     return decided.select(
         "doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", copies.alias("copies")
@@ -234,3 +265,23 @@ def mix(
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
+
+
+#: Sizes and targets, which `mixing_targets` returns; which documents are taken has no form in SQL.
+TARGETS_SQL = rf"""
+WITH doc AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+src AS (
+  SELECT source, sum(size) AS total, CAST([{", ".join(map(str, WEIGHTS))}][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} AS INT) + 1] AS DOUBLE) AS weight
+  FROM doc GROUP BY source),
+levels AS (
+  SELECT *, {REPEAT} * total AS cap, (sum(total) OVER () - coalesce(sum({REPEAT} * total) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM src WINDOW before AS (ORDER BY {REPEAT} * total / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+shared AS (SELECT *, level * weight >= cap AS capped, max(CASE WHEN level * weight < cap THEN level END) OVER () AS share FROM levels)
+SELECT doc_id, size, CAST(total AS BIGINT) AS source_size, round(CASE WHEN capped THEN cap ELSE share * weight END, 3) AS target
+FROM doc JOIN shared ON doc.source IS NOT DISTINCT FROM shared.source
+"""
+
+
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the operator's result that SQL can express; targets rounded to 3 places."""
+    return op6_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))

@@ -11,7 +11,8 @@ many does not condemn a host.
 Links are aggregated to weighted host edges before anything else (map-side combined, so a host
 that holds a third of all pages costs one row per task and target). Both walks run in one join
 and one aggregation per round over (walk, host) keys, cut by a reliable checkpoint every `ROUNDS`
-rounds, until all mass that is still on its way is below `TOLERANCE` pages.
+rounds, until no host can change by more than `TOLERANCE` pages; more than `MOST` rounds are an error.
+The walk at a host without links ahead returns to its seeds, so no mass is lost.
 Only html, url and page_id are read, and html only to find links.
 """
 
@@ -32,8 +33,8 @@ RULES = (
     ("block", "com/de/"),
 )
 #: ROUNDS lie between two checkpoints, where the walks are tested for convergence.
-DAMPING, ROUNDS = 0.85, 8
-#: No trust or distrust, in pages, is further than this from its limit.
+DAMPING, ROUNDS, MOST = 0.85, 8, 400
+#: The sum over all hosts of what trust or distrust, in pages, still lacks at most.
 TOLERANCE = 1e-4
 RATIO, SHARE = 1.0, 0.1
 #: Host tables of up to that many rows are sent to all executors; larger ones are joined by shuffling.
@@ -78,34 +79,40 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """(host, trust, distrust) of both walks from seeds (host, allowed, blocked), run to convergence.
 
-    Restart mass is a host's number of allowed or blocked pages, so the two walks are on one scale,
-    and the result is divided by the restart share: a host without links keeps its seeds.
+    Restart mass is a host's number of allowed or blocked pages, so the two walks are on one scale and
+    each sums to its seeds; without any links a host keeps its own. A walk that comes to a host without
+    links ahead restarts: that only multiplies what the walks that end there give by a number, so it is
+    done once, at the end, by scaling each walk to the sum of its seeds.
 
-    A host's mass is the sum of what flows to it over 0, 1, 2, ... links; `flow` is the last of these
-    terms. All flow of one round is at most `damping` times that of the round before, so later rounds
-    add at most flow * damping / (1 - damping) to any host; the walks end where that is in `tolerance`.
+    Before that a host's mass is the sum of what flows to it over 0, 1, 2, ... links; `flow` is the last
+    of these terms. All flow of one round is at most `damping` times that of the round before, so later
+    rounds add at most flow * damping / (1 - damping) in all; the walks end where that is within
+    `tolerance`, the summed error of all hosts.
     """
     walks = F.array(
         F.struct(F.lit(True).alias("forward"), F.col("allowed").cast("double").alias("mass")),
         F.struct(F.lit(False).alias("forward"), F.col("blocked").cast("double").alias("mass")),
     )
     rank = checkpointed(seeds.select("host", F.inline(walks)).where("mass > 0").withColumn("flow", F.col("mass")))
-    if not edges.isEmpty():
-        both = F.array(
-            F.struct(F.lit(True).alias("forward"), F.col("src").alias("tail"), F.col("dst").alias("head")),
-            F.struct(F.lit(False).alias("forward"), F.col("dst").alias("tail"), F.col("src").alias("head")),
-        )
-        arcs = edges.select("weight", F.inline(both))
-        total = arcs.groupBy("forward", "tail").agg(F.sum("weight").alias("total"))
-        arcs = checkpointed(arcs.join(total, ["forward", "tail"]).select("forward", "tail", "head", (F.col("weight") / F.col("total")).alias("share")))
-        base = rank.withColumn("flow", F.lit(0.0))
-        while (rank.agg(F.sum("flow")).first()[0] or 0.0) * damping / (1 - damping) > tolerance:
-            for _ in range(rounds):
-                carried = [(F.col(c) * F.col("share") * damping).alias(c) for c in ("mass", "flow")]
-                moved = arcs.join(rank.withColumnRenamed("host", "tail"), ["forward", "tail"]).select(F.col("head").alias("host"), "forward", *carried)
-                rank = base.unionByName(moved).groupBy("host", "forward").agg(F.sum("mass").alias("mass"), F.sum("flow").alias("flow"))
-            rank = checkpointed(rank)
-    return rank.groupBy("host").agg(
+    both = F.array(
+        F.struct(F.lit(True).alias("forward"), F.col("src").alias("tail"), F.col("dst").alias("head")),
+        F.struct(F.lit(False).alias("forward"), F.col("dst").alias("tail"), F.col("src").alias("head")),
+    )
+    arcs = edges.select("weight", F.inline(both))
+    total = arcs.groupBy("forward", "tail").agg(F.sum("weight").alias("total"))
+    arcs = checkpointed(arcs.join(total, ["forward", "tail"]).select("forward", "tail", "head", (F.col("weight") / F.col("total")).alias("share")))
+    base, done = rank.withColumn("flow", F.lit(0.0)), 0
+    while (rank.agg(F.sum("flow")).first()[0] or 0.0) * damping / (1 - damping) > tolerance:
+        if done >= MOST:
+            raise RuntimeError(f"the walks did not settle within {MOST} rounds")
+        for _ in range(rounds):
+            carried = [(F.col(c) * F.col("share") * damping).alias(c) for c in ("mass", "flow")]
+            moved = arcs.join(rank.withColumnRenamed("host", "tail"), ["forward", "tail"]).select(F.col("head").alias("host"), "forward", *carried)
+            rank = base.unionByName(moved).groupBy("host", "forward").agg(F.sum("mass").alias("mass"), F.sum("flow").alias("flow"))
+        rank, done = checkpointed(rank), done + rounds
+    scale = base.groupBy("forward").agg(F.sum("mass").alias("seeds")).join(rank.groupBy("forward").agg(F.sum("mass").alias("all")), "forward")
+    scaled = rank.join(F.broadcast(scale), "forward").select("host", "forward", (F.col("mass") * F.col("seeds") / F.col("all")).alias("mass"))  # two rows
+    return scaled.groupBy("host").agg(
         F.sum(F.when(F.col("forward"), F.col("mass")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("forward"), 0.0).otherwise(F.col("mass"))).alias("distrust"),
     )
@@ -145,5 +152,53 @@ def filter_urls(
     )
 
 
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, html): orders as pages of customers' hosts that link to hosts of other customers.
+
+    A tenth of the hosts is under .com, of whose pages those of low priority are blocked by rule, and a
+    tenth under .org, of whose pages all are allowed; the rest has no rule. A twentieth of the hosts
+    links to one .com host each, and seeds alone would allow all that these hosts have.
+    """
+    orders = table(spark, sf_dir, "orders")
+    kind = lambda key: F.when(key % 10 == 0, ".com").when(key % 10 == 1, ".org").otherwise(".net")
+    host = lambda key: F.concat(F.lit("c"), key.cast("string"), kind(key))
+    own = F.col("o_custkey")
+    far = F.when(own % 20 == 3, own + 7).otherwise((own * 7 + F.col("o_orderkey") % 3) % 1500 + 1)
+    path = F.when(F.col("o_orderpriority").rlike("^[45]"), "/de/").otherwise("/x/")
+    link = F.concat(F.lit('<p>a</p><a href="https://'), host(far), F.lit('/y">b</a>'))
+    return orders.select(F.col("o_orderkey").alias("page_id"), F.concat(F.lit("https://"), host(own), path, F.col("o_orderkey")).alias("url"), link.alias("html"))
+
+
+def url_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator over pages that link across hosts: host, n_pages, n_blocked, n_ruled (pages that a rule decides), trust and distrust."""
+    judged = filter_urls(linked_pages(spark, sf_dir))
+    return judged.groupBy("host").agg(
+        F.count("*").alias("n_pages"),
+        F.count_if(F.col("verdict") == "block").alias("n_blocked"),
+        F.count_if(F.col("rule").isNotNull()).alias("n_ruled"),
+        F.round(F.max("trust"), 2).alias("trust"),
+        F.round(F.max("distrust"), 2).alias("distrust"),
+    )
+
+
+#: host, path and rule, which `url_rules` returns.
+RULES_SQL = rf"""
+WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS t FROM pages),
+part AS (SELECT page_id, regexp_extract(t, '^[^/?#]*') AS h, t FROM rest),
+place AS (SELECT page_id, translate(h, '{UPPER}', '{LOWER}') AS host, regexp_extract(substr(t, length(h) + 1), '^[^?#]*') AS path FROM part),
+rule(r) AS (VALUES {", ".join(f"('{text}')" for _, text in RULES)}),
+fit AS (
+  SELECT page_id, host, path, arg_max(r, length(r)) FILTER (
+    (host = split_part(r, '/', 1) OR ends_with(host, '.' || split_part(r, '/', 1))) AND starts_with(path, substr(r, instr(r, '/')))) AS rule
+  FROM place CROSS JOIN rule GROUP BY ALL)
+SELECT * FROM fit
+"""
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the operator's result that SQL can express."""
+    return op1_url_filters(spark, sf_dir).select("page_id", "host", "path", "rule")
+
+
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))

@@ -510,13 +510,19 @@ def slow_verdicts(pages, rules):
         out = Counter()
         for (a, _), w in arcs.items():
             out[a] += w
-        now = {h: m * 0.15 for h, m in mass[kind].items()}
-        for _ in range(url_filters.ROUNDS):
+        seeds = sum(mass[kind].values())
+        now = Counter(mass[kind])
+        for _ in range(200):  # power iteration of the walk with restarts
             new = Counter({h: m * 0.15 for h, m in mass[kind].items()})
+            for h, m in now.items():
+                if out[h]:
+                    continue
+                for s, at in mass[kind].items():  # no links ahead: back to the seeds
+                    new[s] += 0.85 * m * at / seeds
             for (a, b), w in arcs.items():
                 new[b] += 0.85 * now.get(a, 0) * w / out[a]
             now = new
-        rank[kind] = {h: m / 0.15 for h, m in now.items()}
+        rank[kind] = now
     verdicts = {}
     for page, (host, path) in parts.items():
         trust, distrust = rank["allow"].get(host, 0), rank["block"].get(host, 0)
@@ -545,9 +551,28 @@ def test_url_filters_reach_hosts_many_links_away(spark):
     pages += [(2000 + k, f"https://c{k}.com/{'de' if k == 0 else 'es'}/1", f'<a href="//c{(k + 1) % 3}.com/">') for k in range(3)]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
     got = {r.page_id: r for r in url_filters.filter_urls(frame).collect()}
-    for k in range(13):  # 13 - k links before h13
-        assert got[1000 + k].verdict == "block" and abs(got[1000 + k].distrust - 100 * 0.85 ** (13 - k)) < 1e-3
-    assert abs(sum(got[2000 + k].distrust for k in range(3)) - 1 / 0.15) < 1e-3  # a cycle loses nothing
+    reach = [got[1000 + k].distrust for k in range(13)] + [got[0].distrust]
+    for k in range(13):  # 13 - k links before h13, each of which passes 0.85 on
+        assert got[1000 + k].verdict == "block" and abs(reach[k] - 0.85 * reach[k + 1]) < 1e-3
+    assert abs(sum(reach) + sum(got[2000 + k].distrust for k in range(3)) - 101) < 1e-3  # no distrust is lost
+
+
+def test_links_flip_what_seeds_alone_would_say(spark):
+    bad = [(k, f"https://bad.com/de/{k}", None) for k in range(30)]
+    friend = [(100 + k, f"https://friend.net/x{k}", '<a href="//bad.com/a">') for k in range(5)]
+    plain = [(200 + k, f"https://plain.net/x{k}", '<a href="//friend.org/a">') for k in range(5)]
+    mixed = [(300 + k, f"https://mixed.com/{'de' if k else 'fr'}/{k}", None) for k in range(2)] + [(310, "https://mixed.com/x", None)]
+    good = [(400 + k, f"https://friend.org/{k}", '<a href="//mixed.com/z">') for k in range(20)]
+    with_links = spark.createDataFrame(bad + friend + plain + mixed + good, "page_id long, url string, html string")
+    without = with_links.withColumn("html", F.lit(None).cast("string"))
+    a = {r.page_id: r.verdict for r in url_filters.filter_urls(with_links).collect()}
+    b = {r.page_id: r.verdict for r in url_filters.filter_urls(without).collect()}
+    assert (b[100], a[100]) == ("allow", "block") and (b[200], a[200]) == ("allow", "allow")
+    assert (b[310], a[310]) == ("allow", "allow") and all(a[k] == b[k] for k in a if k not in range(100, 105))
+    bare = spark.createDataFrame(mixed[1:] + good, "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in url_filters.filter_urls(bare).collect()}[310] == "allow"  # trusted hosts link to it
+    alone = url_filters.filter_urls(bare.withColumn("html", F.lit(""))).collect()
+    assert {r.page_id: r.verdict for r in alone}[310] == "block"
 
 
 # --- html extraction ---
