@@ -484,6 +484,44 @@ def test_co_training(spark, documents, labels):
     assert quality_classifier.classify_quality(documents.limit(0), labels).count() == 0
 
 
+def test_co_training_beats_either_view(spark):
+    rng = random.Random(21)
+    rows, truth = [], {}
+    for k in range(1500):  # a text tells by its words, of which there are many, its source by itself; each is wrong now and then
+        good = k % 2
+        side = "g" if (rng.random() < 0.92) == bool(good) else "b"
+        words = rng.choices(WORDS[:40], k=30) + [f"{side}{rng.randrange(150)}" for _ in range(5)]
+        rng.shuffle(words)
+        source = f"s{rng.randrange(4) + 4 * ((rng.random() < 0.88) == bool(good))}"
+        rows.append((k, " ".join(words), "en", source, 100))
+        truth[k] = good
+    frame = spark.createDataFrame(rows, DOCUMENTS).repartition(4)
+    some = spark.createDataFrame([(k, truth[k], 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    got = [r for r in quality_classifier.classify_quality(frame, some).collect() if r.doc_id >= 60]
+    alone = [r for r in quality_classifier.classify_quality(frame, some, rounds=0).collect() if r.doc_id >= 60]
+
+    def ranks(result, column):
+        """Share of pairs of a good and a bad document that the score puts in order."""
+        good, bad = (np.sort([r[column] for r in result if truth[r.doc_id] == y]) for y in (1, 0))
+        return np.searchsorted(bad, good).mean() / len(bad)
+
+    together = ranks(got, "score")
+    assert together > max(ranks(got, "text_score"), ranks(got, "meta_score"), ranks(alone, "score")) + 0.005
+    assert ranks(got, "text_score") > ranks(alone, "text_score") + 0.05  # the rounds teach the text view
+
+
+def test_views_of_a_batch_equal_plain_sums():
+    texts = [b"a b a", b"", b"x  y\nx y\n\nlonger line here"]
+    got_rows, cells, values = quality_classifier.text_cells(texts, WordHash(), 14)
+    for k, text in enumerate(texts):
+        counts = Counter(int(c) for w in text.split() for c in quality_classifier.spread(WordHash().ids([w]), 14))
+        norm = sum(counts.values()) ** 0.5
+        mine = dict(zip(cells[got_rows == k].tolist(), values[got_rows == k].tolist(), strict=True))
+        assert mine.keys() == counts.keys() and all(abs(mine[c] - n**0.5 / norm) < 1e-12 for c, n in counts.items())
+    meta = quality_classifier.meta_rows(texts, ["en", None, "xx"], ["s", None, "t"], [5, None, 10**9])
+    assert meta.shape == (3, quality_classifier.META) and meta[1, : -quality_classifier.LAYOUT].sum() == 0 and meta[2].sum() > 2
+
+
 # --- url filters ---
 
 
