@@ -34,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_base_measures": quality_rules.quality_base_measures,
         "mixing_targets": mixing.mixing_targets,
         "url_rules": url_filters.url_rules,
+        "token_edits": token_counts.token_edits,
         "url_link_graph": url_filters.url_link_graph,
         "op9_html_extraction": html_extraction.op9_html_extraction,
     }

@@ -12,27 +12,32 @@ beyond its end (a run of white space leaves its last blank to the next word). So
 behind the edit that the old text had too: from there both are the same text, cut from the same
 place.
 
-The tree is a sequence of leaf blocks with the sums of each block and of all (two levels are
-enough for a text in memory): replacing leaves touches their blocks only.
-
-The query counts every document as it is, then again after a fixed edit script of the corpus
-(`edits_of`: each e-mail address is masked), by re-encoding the touched regions only.
+The tree is a B+ tree whose leaves hold up to `LEAVES` pre-tokens, their lengths, counts and text, and
+whose inner nodes hold up to `FAN` children and the sums of code points, tokens, pre-tokens and
+leaves below them. An edit takes new leaves in along one path, so its cost is the text that it
+touches and the logarithm of the document's length; neither the text nor the sums are copied.
+
+Trees are kept per document as a table (`build_trees`: the leaves in arrays), and `apply_edits` takes a
+table of edits to it and gives the next one. The query counts every document as it is, then again
+after a fixed edit script of the corpus (`edits_of`: each e-mail address is masked), by re-encoding
+the touched regions only.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.llm.words import ROWS_OUT
+from corvane.session import bounded_batches
 from corvane.sources.tables import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -42,8 +47,8 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 ASCII_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Pre-tokens before an edit that are cut again with it.
 BACK = 2
-#: Leaves of one block of the tree.
-LEAVES = 64
+#: Pre-tokens of a leaf and children of an inner node of the tree, at most.
+LEAVES, FAN = 64, 16
 #: Pre-tokens whose counts a worker remembers.
 REMEMBERED = 500_000
 
@@ -76,104 +81,189 @@ def load_ranks(lines: list[bytes]) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line)}
 
 
+class Leaf:
+    __slots__ = ("chars", "leaves", "lengths", "pieces", "text", "tokens", "total")
+
+    def __init__(self, text: str, lengths: list[int], tokens: list[int]):
+        self.text, self.lengths, self.tokens = text, lengths, tokens
+        self.chars, self.total, self.pieces, self.leaves = len(text), sum(tokens), len(lengths), 1
+
+
+class Inner:
+    __slots__ = ("chars", "children", "leaves", "pieces", "total")
+
+    def __init__(self, children: list):
+        self.children = children
+        self.chars = sum(c.chars for c in children)
+        self.total = sum(c.total for c in children)
+        self.pieces = sum(c.pieces for c in children)
+        self.leaves = sum(c.leaves for c in children)
+
+
+def _cut_leaves(text: str, lengths: list[int], tokens: list[int]) -> list[Leaf]:
+    leaves, at = [], 0
+    for k in range(0, len(lengths), LEAVES):
+        own = lengths[k : k + LEAVES]
+        leaves.append(Leaf(text[at : at + sum(own)], own, tokens[k : k + LEAVES]))
+        at += leaves[-1].chars
+    return leaves
+
+
 class Tree:
-    """Leaves (length, tokens) of a text's pre-tokens with block sums of both."""
-
-    def __init__(self, lengths: list[int], tokens: list[int]):
-        self.blocks = [(lengths[k : k + LEAVES], tokens[k : k + LEAVES]) for k in range(0, len(lengths), LEAVES)] or [([], [])]
-        self.spans = [sum(b[0]) for b in self.blocks]
-        self.sums = [sum(b[1]) for b in self.blocks]
-        self._sum()
-
-    def _sum(self) -> None:
-        self.starts = [0, *accumulate(self.spans)]
-        self.total = sum(self.sums)
-
-    def leaf_at(self, offset: int) -> tuple[int, int, int]:
-        """(block, leaf, start) of the leaf that holds the offset; the last leaf for the end."""
-        block = min(bisect_right(self.starts, offset) - 1, len(self.blocks) - 1)
-        start = self.starts[block]
-        lengths = self.blocks[block][0]
-        for leaf, length in enumerate(lengths):
-            if offset < start + length:
-                return block, leaf, start
+    """A sequence of leaves under sums; leaves are numbered from 0."""
+
+    def __init__(self, leaves: list[Leaf]):
+        self.root = self._above(leaves or [Leaf("", [], [])])
+
+    @staticmethod
+    def _above(nodes: list):
+        while len(nodes) > 1:
+            nodes = [Inner(nodes[k : k + FAN]) for k in range(0, len(nodes), FAN)]
+        return nodes[0]
+
+    def find(self, offset: int) -> tuple[int, int, int]:
+        """(leaf, pre-token in it, its start) of the pre-token that holds the offset; the last one for the end."""
+        node, number, start = self.root, 0, 0
+        while isinstance(node, Inner):
+            for child in node.children:
+                if offset < start + child.chars or child is node.children[-1]:
+                    break
+                number, start = number + child.leaves, start + child.chars
+            node = child
+        for piece, length in enumerate(node.lengths):
+            if offset < start + length or piece == node.pieces - 1:
+                return number, piece, start
             start += length
-        return block, max(0, len(lengths) - 1), start - (lengths[-1] if lengths else 0)
-
-    def before(self, block: int, leaf: int, start: int, steps: int) -> tuple[int, int, int]:
-        for _ in range(steps):
-            if leaf:
-                leaf -= 1
-            elif block:
-                block -= 1
-                leaf = len(self.blocks[block][0]) - 1
-            else:
-                break
-            start -= self.blocks[block][0][leaf]
-        return block, leaf, start
-
-    def boundaries(self, block: int, leaf: int, start: int) -> Iterator[tuple[int, int, int]]:
-        """(start, block, leaf) of this and all later leaves, then of the end."""
-        while block < len(self.blocks):
-            lengths = self.blocks[block][0]
-            while leaf < len(lengths):
-                yield start, block, leaf
-                start += lengths[leaf]
-                leaf += 1
-            block, leaf = block + 1, 0
-        yield start, len(self.blocks), 0
-
-    def replace(self, first: tuple[int, int], last: tuple[int, int], lengths: list[int], tokens: list[int]) -> None:
-        """Puts new leaves in the place of those from `first` up to, not including, `last`."""
-        block, leaf = first
-        end, stop = last
-        head = self.blocks[block] if block < len(self.blocks) else ([], [])
-        tail = self.blocks[end] if end < len(self.blocks) else ([], [])
-        lengths = head[0][:leaf] + lengths + tail[0][stop:]
-        tokens = head[1][:leaf] + tokens + tail[1][stop:]
-        fresh = [(lengths[k : k + LEAVES], tokens[k : k + LEAVES]) for k in range(0, len(lengths), LEAVES)]
-        self.blocks[block : end + 1] = fresh
-        self.spans[block : end + 1] = [sum(b[0]) for b in fresh]
-        self.sums[block : end + 1] = [sum(b[1]) for b in fresh]
-        if not self.blocks:
-            self.blocks, self.spans, self.sums = [([], [])], [0], [0]
-        self._sum()
+        return number, 0, start
+
+    def walk(self, number: int) -> Iterator[Leaf]:
+        """The leaves from that number on."""
+        stack = [(self.root, 0)]  # (node, number of its first leaf)
+        while stack:
+            node, first = stack.pop()
+            if first + node.leaves <= number:
+                continue
+            if isinstance(node, Leaf):
+                yield node
+                continue
+            at, below = first, []
+            for child in node.children:
+                if at + child.leaves > number:
+                    below.append((child, at))
+                at += child.leaves
+            stack.extend(reversed(below))
+
+    def replace(self, first: int, stop: int, fresh: list[Leaf]) -> None:
+        """Puts new leaves in the place of those numbered from `first` up to, not including, `stop`."""
+        self.root = self._above(self._spliced(self.root, first, stop, fresh) or [Leaf("", [], [])])
+        while isinstance(self.root, Inner) and len(self.root.children) == 1:
+            self.root = self.root.children[0]
+
+    def _spliced(self, node, first: int, stop: int, fresh: list[Leaf]) -> list:
+        """Nodes of the level of `node` for its leaves with [first, stop) replaced; fresh ones may need several."""
+        if isinstance(node, Leaf):
+            return fresh
+        children, at, given = [], 0, False
+        for child in node.children:
+            low, high = first - at, stop - at
+            at += child.leaves
+            if high <= 0 or low >= child.leaves:
+                children.append(child)
+                continue
+            children += self._spliced(child, max(0, low), min(high, child.leaves), [] if given else fresh)
+            given = True
+        if len(children) <= FAN:
+            return [Inner(children)] if children else []
+        number = -(-len(children) // FAN)
+        edges = [len(children) * k // number for k in range(number + 1)]
+        return [Inner(children[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
 
 class CountedText:
-    """A text, its tree, and edits that keep both in step."""
-
-    def __init__(self, text: str, counter: Counter):
-        self.text, self.counter = text, counter
-        pieces = counter.pieces(text)
-        self.tree = Tree(list(map(len, pieces)), list(map(counter.__getitem__, pieces)))
+    """A text in a tree of counted pre-tokens, and edits to it."""
+
+    def __init__(self, text: str, counter: Counter, lengths: list[int] | None = None, tokens: list[int] | None = None):
+        self.counter = counter
+        if lengths is None:
+            pieces = counter.pieces(text)
+            lengths, tokens = list(map(len, pieces)), list(map(counter.__getitem__, pieces))
+        self.tree = Tree(_cut_leaves(text, lengths, tokens))
         self.encoded = 0
 
     @property
     def tokens(self) -> int:
-        return self.tree.total
+        return self.tree.root.total
+
+    @property
+    def text(self) -> str:
+        return "".join(leaf.text for leaf in self.tree.walk(0))
 
     def edit(self, start: int, end: int, replacement: str) -> None:
         """Replaces code points [start, end)."""
-        tree, text = self.tree, self.text
-        after = text[:start] + replacement + text[end:]
-        shift = len(after) - len(text)
-        block, leaf, place = tree.before(*tree.leaf_at(start), BACK)
-        old = tree.boundaries(block, leaf, place)
-        mark = next(old)
-        lengths, tokens = [], []
+        number, piece, place = self.tree.find(start)
+        leaf = next(self.tree.walk(number))
+        for _ in range(BACK):
+            if not piece:
+                if not number:
+                    break
+                number -= 1
+                leaf = next(self.tree.walk(number))
+                piece = leaf.pieces
+            piece -= 1
+            place -= leaf.lengths[piece]
+        inside = sum(leaf.lengths[:piece])
+        lengths, tokens, head = leaf.lengths[:piece], leaf.tokens[:piece], leaf.text[:inside]
+        ahead, taken = self.tree.walk(number), []
+        marks: list[tuple[int, int, int]] = []  # (old start, leaf taken, pre-token) of the pre-tokens at or after the edit's end
+        built, cover = "", place - inside
+
+        def more() -> bool:
+            """Takes the next leaf in; False at the end of the text."""
+            nonlocal built, cover
+            leaf = next(ahead, None)
+            if leaf is None:
+                return False
+            if cover + leaf.chars >= end:
+                at = cover
+                for k, length in enumerate(leaf.lengths):
+                    if at >= end:
+                        marks.append((at, len(taken), k))
+                    at += length
+            taken.append(leaf)
+            built += leaf.text
+            cover += leaf.chars
+            return True
+
+        while (not taken or cover < end) and more():
+            pass
+        built = built[inside:]
+        built = built[: start - place] + replacement + built[end - place :]
+        shift, fixed = len(replacement) - (end - start), start - place + len(replacement)
+        at, mark, done = 0, 0, 0
         while True:
-            while mark[0] < end or mark[0] + shift < place:
-                mark = next(old)
-            if mark[0] + shift == place and place >= start + len(replacement):
+            while True:  # the first old boundary that is not behind
+                while mark < len(marks) and marks[mark][0] + shift - place < at:
+                    mark += 1
+                if mark < len(marks) or not more():
+                    break
+            if at >= fixed and (mark < len(marks) and marks[mark][0] + shift - place == at or at == len(built)):
                 break  # from here on both texts are cut alike
-            piece = self.counter.cut.match(after, place)[0]
-            lengths.append(len(piece))
-            tokens.append(self.counter[piece])
-            place += len(piece)
-        self.encoded += len(lengths)
-        tree.replace((block, leaf), mark[1:], lengths, tokens)
-        self.text = after
+            found = self.counter.cut.match(built, at)
+            while found.end() + 2 >= len(built) and more():
+                found = self.counter.cut.match(built, at)
+            lengths.append(found.end() - at)
+            tokens.append(self.counter[found[0]])
+            done += 1
+            at = found.end()
+        self.encoded += done
+        rest, stop = "", number + len(taken)
+        if mark < len(marks):
+            _, where, k = marks[mark]
+            last = taken[where]
+            rest = last.text[sum(last.lengths[:k]) :]
+            lengths, tokens = lengths + last.lengths[k:], tokens + last.tokens[k:]
+            stop = number + where + 1
+        self.tree.replace(number, stop, _cut_leaves(head + built[:at] + rest, lengths, tokens))
 
 
 def edits_of(text: str) -> list[tuple[int, int, str]]:
@@ -200,7 +290,7 @@ def _count(lines: list[bytes]):
                     rows.append((tokens, len(pieces), 0, tokens, 0))
                     continue
                 counted = CountedText(text, counter)
-                tokens, pieces = counted.tokens, sum(len(b[0]) for b in counted.tree.blocks)
+                tokens, pieces = counted.tokens, counted.tree.root.pieces
                 for edit in edits:
                     counted.edit(*edit)
                 rows.append((tokens, pieces, len(edits), counted.tokens, counted.encoded))
@@ -211,6 +301,111 @@ def _count(lines: list[bytes]):
     return run
 
 
+TREES = "doc_id long, text string, lengths binary, tokens binary, n_tokens long, n_edits long, n_reencoded long"
+
+
+def _tree_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    columns = list(zip(*rows, strict=True)) or [[]] * 7
+    names = [c.split()[0] for c in TREES.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def _tree_row(doc_id: int | None, counted: CountedText, edits: int) -> tuple:
+    leaves = list(counted.tree.walk(0))
+    packed = [np.array([x for leaf in leaves for x in getattr(leaf, name)], np.int32).tobytes() for name in ("lengths", "tokens")]
+    return doc_id, "".join(leaf.text for leaf in leaves), *packed, counted.tokens, edits, counted.encoded
+
+
+def _build(lines: list[bytes]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(load_ranks(lines))
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_OUT):
+                batch = whole.slice(start, ROWS_OUT)
+                ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+                yield _tree_batch([_tree_row(i, CountedText(t or "", counter), 0) for i, t in zip(ids, texts, strict=True)])
+
+    return run
+
+
+def _vocabulary_lines(vocabulary: str) -> list[bytes]:
+    with open(vocabulary, "rb") as file:
+        return file.read().splitlines()
+
+
+def build_trees(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """The tree of every row of `documents`: its text, the lengths and token counts of its pre-tokens as int32, and n_tokens.
+
+    Null texts count as empty. Other columns are not looked at.
+    """
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.mapInArrow(_build(_vocabulary_lines(vocabulary)), TREES)
+
+
+def _edit(lines: list[bytes]):
+    """Streams trees, each followed by its edits; holds one document at a time, however many edits it has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(load_ranks(lines))
+        doc_id, counted, edits, out = None, None, 0, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["seq"] is None:  # a tree
+                    if counted is not None:
+                        if row["doc_id"] is not None and row["doc_id"] == doc_id:
+                            raise ValueError(f"two trees of document {doc_id}")
+                        out.append(_tree_row(doc_id, counted, edits))
+                    lengths, tokens = (np.frombuffer(row[c], np.int32).tolist() for c in ("lengths", "tokens"))
+                    doc_id, counted, edits = row["doc_id"], CountedText(row["text"], counter, lengths, tokens), 0
+                elif counted is not None and row["doc_id"] == doc_id:
+                    size = counted.tree.root.chars
+                    start = min(max(0, row["start"]), size)
+                    counted.edit(start, min(max(start, row["stop"]), size), row["text"])
+                    edits += 1
+                if len(out) == 100:
+                    yield _tree_batch(out)
+                    out = []
+        if counted is not None:
+            out.append(_tree_row(doc_id, counted, edits))
+        if out:
+            yield _tree_batch(out)
+
+    return run
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """`trees` after `edits` (doc_id, seq, start, stop, replacement), with the number of edits and of pre-tokens that were encoded.
+
+    A document's edits are applied in the order of seq (then start, stop, replacement), each to what the one
+    before left; code points [start, stop) are replaced, ranges are cut to the text. Null numbers and
+    replacements count as 0 and empty. Edits of unknown documents and null ids change nothing, trees without
+    edits stay as they are, two trees of one id are an error.
+    """
+    blank = F.lit(None).cast("long")
+    first = trees.select("doc_id", blank.alias("seq"), blank.alias("start"), blank.alias("stop"), "text", "lengths", "tokens")
+    zero = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c)
+    none = F.lit(None).cast("binary")
+    text = F.coalesce(F.col("replacement").cast("string"), F.lit("")).alias("text")
+    then = edits.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), zero("seq"), zero("start"), zero("stop"), text, none.alias("lengths"), none.alias("tokens"))
+    bounded_batches(trees.sparkSession)
+    # null ids have no edits: they are spread by their texts
+    dealt = first.unionByName(then).repartition(F.coalesce("doc_id", F.xxhash64("text")))
+    order = (F.col("doc_id").asc_nulls_first(), F.col("seq").asc_nulls_first(), "start", "stop", "text")
+    return dealt.sortWithinPartitions(*order).mapInArrow(_edit(_vocabulary_lines(vocabulary)), TREES)
+
+
+def token_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents after two edits of each: the source put before the text and the middle third cut out."""
+    documents = table(spark, sf_dir, "documents")
+    size = F.length(F.coalesce("text", F.lit("")))
+    edit = lambda seq, start, stop, text: F.struct(F.lit(seq).alias("seq"), start.alias("start"), stop.alias("stop"), text.alias("replacement"))
+    third = (size / 3).cast("int")
+    both = F.array(edit(2, third, third * 2, F.lit("")), edit(1, F.lit(0), F.lit(0), F.concat(F.coalesce("source", F.lit("")), F.lit(": "))))
+    edited = apply_edits(build_trees(documents), documents.select("doc_id", F.inline(both)))
+    return edited.select("doc_id", "n_tokens", "n_edits", "n_reencoded")
+
+
 def count_tokens(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Token counts of every row of `documents`, before and after the edit script.
 
@@ -218,8 +413,7 @@ def count_tokens(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFram
     are not looked at. The vocabulary file, of fixed size (under 1 MB), is read by the driver and
     sent with the map, so executors need no copy of it.
     """
-    with open(vocabulary, "rb") as file:
-        lines = file.read().splitlines()
+    lines = _vocabulary_lines(vocabulary)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_count(lines), RESULT)
 

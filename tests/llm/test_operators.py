@@ -689,7 +689,67 @@ def test_edited_counts_equal_full_encodings(counter):
             stop = rng.randint(start, min(len(counted.text), start + rng.choice((0, 1, 5, 200))))
             counted.edit(start, stop, "".join(rng.choices(letters, k=rng.choice((0, 0, 1, 3, 12, 200)))))
             assert counted.tokens == len(counter.encoding.encode_ordinary(counted.text))
-            assert sum(counted.tree.spans) == len(counted.text)
+            check_sums(counted.tree.root)
+
+
+def check_sums(node, depth=0):
+    """Whether all sums of a tree are right and its leaves lie at one depth; that depth."""
+    if isinstance(node, token_counts.Leaf):
+        assert (node.chars, node.total, node.pieces) == (sum(node.lengths), sum(node.tokens), len(node.tokens)) and node.chars == len(node.text)
+        return depth
+    assert 0 < len(node.children) <= token_counts.FAN
+    for name in ("chars", "total", "pieces", "leaves"):
+        assert getattr(node, name) == sum(getattr(c, name) for c in node.children)
+    depths = {check_sums(c, depth + 1) for c in node.children}
+    assert len(depths) == 1
+    return depths.pop()
+
+
+def test_many_edits_of_a_long_text(counter):
+    rng = random.Random(15)
+    text = " ".join(rng.choices([*WORDS, "1234", "é漢", "\n\n", "..."], k=20_000))
+    counted = token_counts.CountedText(text, counter)
+    for _ in range(300):
+        start = rng.randint(0, len(text))
+        stop = min(len(text), start + rng.choice((0, 0, 1, 3, 40, 3000)))
+        new = "".join(rng.choices(["a", " ", "x1", "\n", prose(3, 100)], k=rng.choice((0, 1, 2, 5))))
+        text = text[:start] + new + text[stop:]
+        counted.edit(start, stop, new)
+    assert counted.text == text and counted.tokens == len(counter.encoding.encode_ordinary(text))
+    assert check_sums(counted.tree.root) >= 2
+    counted.edit(0, len(text), "")
+    assert counted.text == "" and counted.tokens == 0
+
+
+def test_time_of_an_edit_does_not_follow_the_length(counter):
+    def seconds(words):
+        counted = token_counts.CountedText(prose(5, 1000) * (words // 1000), counter)
+        began = time.time()
+        for k in range(400):
+            counted.edit(k * 7, k * 7 + 3, "zz")
+        return time.time() - began
+
+    seconds(10_000)
+    assert seconds(1_000_000) < 5 * seconds(10_000) + 0.2
+
+
+def test_edits_of_a_table(spark, documents, counter):
+    unique = documents.where("doc_id is null or doc_id <> 8")
+    trees = token_counts.build_trees(clash(unique))
+    edits = [(1, 2, 0, 4, "AB"), (1, 1, 5, 9, None), (4, 1, 0, 0, "new text"), (99, 1, 0, 1, "x"), (None, 1, 0, 1, "x"), (5, 1, -3, 50, "y"), (10, 1, 10**6, 10**7, "end"), (10, None, None, None, "start ")]
+    frame = clash(spark.createDataFrame(edits, "doc_id long, seq long, start long, stop long, replacement string"))
+    got = {r.doc_id: r for r in token_counts.apply_edits(trees, frame).collect()}
+    want = {r.doc_id: r.text or "" for r in unique.collect()}
+    want[1] = "AB" + (want[1][:5] + want[1][9:])[4:]
+    want |= {4: "new text", 5: "y", 10: "start " + want[10] + "end"}
+    assert {k: r.text for k, r in got.items()} == want
+    assert all(r.n_tokens == len(counter.encoding.encode_ordinary(r.text)) for r in got.values())
+    assert (got[1].n_edits, got[10].n_edits, got[2].n_edits) == (2, 2, 0) and got[2].n_reencoded == 0 < got[10].n_reencoded < 20
+    again = token_counts.apply_edits(token_counts.apply_edits(trees, frame), frame.limit(0)).collect()
+    assert {(r.doc_id, r.text, r.n_tokens, bytes(r.lengths)) for r in again} == {(r.doc_id, r.text, r.n_tokens, bytes(r.lengths)) for r in got.values()}
+    assert token_counts.apply_edits(trees.limit(0), frame).count() == 0
+    with pytest.raises(Exception, match="two trees"):
+        token_counts.apply_edits(token_counts.build_trees(documents), frame).collect()
 
 
 def test_edits_touch_their_region_only(counter):
