@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.html_blocks import Block, blocks
+from corvane.llm.html_blocks import Block, Element, blocks
 from corvane.sources.tables import table
 
 DIGIT = re.compile(r"[0-9]")
@@ -34,7 +34,7 @@ PATH_CELLS, WORD_CELLS, SHAPES = 96, 32, 6
 INPUTS = PATH_CELLS + WORD_CELLS + SHAPES
 HIDDEN = 16
 TRAIN_PAGES, EPOCHS, BATCH = 480, 14, 32
-#: Blocks of one padded batch of pages.
+#: Blocks whose vectors and hidden states exist at a time.
 BATCH_BLOCKS = 20_000
 
 
@@ -42,11 +42,36 @@ BATCH_BLOCKS = 20_000
 
 
 @functools.lru_cache(maxsize=100_000)
-def _path_cells(path: tuple[tuple[str, ...], ...]) -> np.ndarray:
-    """Every element of the path, and once more the innermost ones apart."""
-    names = {name for part in path for name in part}
-    names |= {f"in:{name}" for part in path[-2:] for name in part}
-    return np.array(sorted({zlib.crc32(n.encode()) % PATH_CELLS for n in names}), np.int64)
+def _cell(name: str) -> int:
+    return 1 << zlib.crc32(name.encode("utf-8", "replace")) % PATH_CELLS
+
+
+@functools.lru_cache(maxsize=100_000)
+def _places(mask: int) -> np.ndarray:
+    return np.array([k for k in range(PATH_CELLS) if mask >> k & 1], np.int64)
+
+
+def path_mask(path: Element | None) -> int:
+    """Bits of the names of all elements of a path, each element adding its own to its parent's."""
+    fresh = []
+    while path is not None and path.mask is None:
+        fresh.append(path)
+        path = path.parent
+    mask = 0 if path is None else path.mask
+    for part in reversed(fresh):
+        for name in part.names:
+            mask |= _cell(name)
+        part.mask = mask
+    return mask
+
+
+def _path_cells(path: Element | None) -> np.ndarray:
+    """Every element of the path, and once more the innermost two apart."""
+    mask = path_mask(path)
+    for part in (path, path and path.parent):
+        for name in part.names if part is not None else ():
+            mask |= _cell(f"in:{name}")
+    return _places(mask)
 
 
 class _WordCells(dict):
@@ -62,11 +87,12 @@ class _WordCells(dict):
 _word_cell = _WordCells().__getitem__
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """One row per block."""
-    out = np.zeros((len(page), INPUTS), np.float32)
-    for k, block in enumerate(page):
-        row = out[k]
+def vectors(page: list[Block], start: int = 0, stop: int | None = None) -> np.ndarray:
+    """One row per block of the page's blocks [start, stop)."""
+    stop = len(page) if stop is None else min(stop, len(page))
+    out = np.zeros((max(0, stop - start), INPUTS), np.float32)
+    for k in range(start, stop):
+        block, row = page[k], out[k - start]
         row[_path_cells(block.path)] = 1.0
         words = block.text.lower().split()
         cells = np.fromiter(map(_word_cell, words), np.int64, len(words))
@@ -102,14 +128,15 @@ def init(seed: int = 11) -> dict[str, np.ndarray]:
     return model
 
 
-def _run(x: np.ndarray, mask: np.ndarray, model: dict[str, np.ndarray], way: str, keep: list | None = None) -> np.ndarray:
+def _run(x: np.ndarray, mask: np.ndarray, model: dict[str, np.ndarray], way: str, keep: list | None = None, state: list | None = None) -> np.ndarray:
     """Hidden states (time, page, HIDDEN) of one direction; x and mask already turned for 'b'.
 
-    Padding leaves the state as it is. keep collects what the backward pass needs.
+    Padding leaves the state as it is. keep collects what the backward pass needs. state, if given,
+    holds [hidden, cell] to go on from, or nothing, and is left with those at the end.
     """
     steps, pages = x.shape[:2]
     ahead = x @ model[f"{way}x"] + model[f"{way}0"]
-    h, c = np.zeros((pages, HIDDEN), x.dtype), np.zeros((pages, HIDDEN), x.dtype)
+    h, c = state or (np.zeros((pages, HIDDEN), x.dtype), np.zeros((pages, HIDDEN), x.dtype))
     out = np.empty((steps, pages, HIDDEN), x.dtype)
     for t in range(steps):
         gates = ahead[t] + h @ model[f"{way}h"]
@@ -123,6 +150,8 @@ def _run(x: np.ndarray, mask: np.ndarray, model: dict[str, np.ndarray], way: str
             keep.append((h, c, forget, enter, leave, new, bent))
         h, c = np.where(m, leave * bent, h), np.where(m, cell, c)
         out[t] = h
+    if state is not None:
+        state[:] = h, c
     return out
 
 
@@ -375,15 +404,45 @@ def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = 11) -> dic
 # --- extraction -------------------------------------------------------------------------------
 
 
-def label_pages(pages: list[list[Block]], model: dict[str, np.ndarray]) -> list[np.ndarray]:
+def logits_of(pages: list[list[Block]], model: dict[str, np.ndarray], steps: int) -> np.ndarray:
+    """Logits (time, page) of a group of pages, read `steps` blocks at a time.
+
+    Vectors and hidden states exist for one stretch of blocks only; the state is carried from one to the
+    next, forward and then backward, so the result is that of one piece and a page of any length fits.
+    """
+    longest = max(map(len, pages))
+    out = np.full((longest, len(pages)), model["out0"][0], np.float32)
+    starts, ready = range(0, longest, steps), {}
+
+    def stretch(start: int) -> tuple[np.ndarray, np.ndarray]:
+        size = min(steps, longest - start)
+        x, mask = np.zeros((size, len(pages), INPUTS), np.float32), np.zeros((size, len(pages)), bool)
+        for k, page in enumerate(pages):
+            rows = vectors(page, start, start + size)
+            x[: len(rows), k], mask[: len(rows), k] = rows, True
+        return x, mask
+
+    for way, order in (("f", starts), ("b", reversed(starts))):
+        state: list = []
+        for start in order:
+            x, mask = ready.pop(start, None) or stretch(start)
+            if len(starts) == 1 and way == "f":
+                ready[start] = x, mask
+            turn = slice(None, None, 1 if way == "f" else -1)
+            hidden = _run(x[turn], mask[turn], model, way, None, state)[turn]
+            part = model["out"][:HIDDEN] if way == "f" else model["out"][HIDDEN:]
+            out[start : start + len(x)] += hidden @ part
+    return out
+
+
+def label_pages(pages: list[list[Block]], model: dict[str, np.ndarray], batch_blocks: int = BATCH_BLOCKS) -> list[np.ndarray]:
     """For each page, whether each of its blocks is main text; pages of like length go together."""
     labels = [np.zeros(0, bool)] * len(pages)
     order = sorted((k for k, p in enumerate(pages) if p), key=lambda k: len(pages[k]))
     while order:
         longest = len(pages[order[-1]])
-        group = [order.pop() for _ in range(min(len(order), max(1, BATCH_BLOCKS // longest)))]
-        x, mask = padded([vectors(pages[k]) for k in group])
-        found = scores(x, mask, model) > 0
+        group = [order.pop() for _ in range(min(len(order), max(1, batch_blocks // longest)))]
+        found = logits_of([pages[k] for k in group], model, max(1, batch_blocks // len(group))) > 0
         for column, k in enumerate(group):
             labels[k] = found[: len(pages[k]), column]
     return labels
@@ -412,7 +471,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) for every row of `pages`.
 
     Null or empty html, and pages without main text, give an empty text. Repeated rows give equal
-    texts. Markup may be unclosed or broken. Other columns are not looked at.
+    texts. Markup may be unclosed, broken or deep, and pages of any length. Other columns are not looked at.
     """
     frame = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     kinds = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
