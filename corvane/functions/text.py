@@ -92,8 +92,8 @@ def family(text: Column, rules: list[tuple[str, str]], default: str = "other") -
 
 
 def query_terms(query: Column, most: int = 32) -> Column:
-    """Distinct words of a query, first seen first."""
-    words = F.regexp_extract_all(F.lower(query), F.lit(r"(?U)\w+"), F.lit(0))
+    """Distinct words of a query in lower case, `ß` as `ss`, first seen first."""
+    words = F.regexp_extract_all(F.replace(F.lower(query), F.lit("ß"), F.lit("ss")), F.lit(r"(?U)\w+"), F.lit(0))
     return F.slice(F.array_distinct(words), 1, most)
 
 
@@ -124,11 +124,11 @@ def canonical_json(row: Column) -> Column:
 
 
 def trailers(message: Column, kind: str) -> Column:
-    """Hashes that a commit message names: kind 'fixes', 'reverts' or 'picks'."""
+    """Hashes that lines of a commit message name: kind 'fixes', 'reverts' or 'picks'."""
     pattern = {
-        "fixes": r"(?mi)^Fixes:\s*([0-9a-f]{7,40})\b",
-        "reverts": r"(?i)This reverts commit\s+([0-9a-f]{7,40})\b",
-        "picks": r"(?i)(?:cherry[ -]picked from commit|backport of|upstream commit)\s+([0-9a-f]{7,40})\b",
+        "fixes": r"(?m)^Fixes:\s+([0-9a-f]{12,40})",
+        "reverts": r"(?mi)^\s*This reverts commit\s+([0-9a-f]{7,40})\b",
+        "picks": r"(?mi)^\s*(?:\(?cherry[ -]picked from commit|Backport(?: of)?(?: commit)?[: ]+)\s*([0-9a-f]{7,40})\b",
     }[kind]
     return F.array_distinct(F.transform(F.regexp_extract_all(message, F.lit(pattern), F.lit(1)), F.lower))
 

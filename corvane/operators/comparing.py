@@ -64,7 +64,7 @@ def all_valid(ids: Column, valid: Column) -> Column:
 
 def added_guards(before: Column, after: Column) -> Column:
     """Guards (kind, vars) of the new version that the old one lacks, once each, sorted."""
-    shape = lambda g: F.struct(g["kind"].alias("kind"), F.array_sort(g["vars"]).alias("vars"))
+    shape = lambda g: F.struct(g["kind"].alias("kind"), g["vars"].alias("vars"))
     return F.array_sort(F.array_except(F.array_distinct(F.transform(after, shape)), F.transform(before, shape)))
 
 

@@ -15,65 +15,101 @@ from corvane.functions.text import first_fixed, package_name
 DEPENDENCY = "path string, ordinal int, ecosystem string, name string, version string"
 
 
+# What a pinned requirement and a module line of a go.sum look like.
+PINNED = re.compile(r"([A-Za-z0-9][A-Za-z0-9._-]*)(?:\[[^\]]*\])?\s*==\s*([0-9][A-Za-z0-9.!+*_]*)")
+GO_LINE = re.compile(r"(\S+)\s+(\S+)\s+h1:")
+
+
 def _requirements(text: str) -> list[tuple[str, str, str]]:
-    out = []
-    for raw in text.splitlines():
-        line = raw.split("#", 1)[0].split(";", 1)[0].strip()
-        found = re.match(r"([A-Za-z0-9][A-Za-z0-9._-]*)\s*(?:\[[^\]]*\])?\s*===?\s*([^\s,*]+)$", line)
-        if found:
-            out.append(("PyPI", re.sub(r"[-_.]+", "-", found[1]).lower(), found[2]))
-    return out
+    """Exact pins only: options, environment markers and other operators make a line none."""
+    lines = (line.strip().split(" #", 1)[0].strip() for line in text.splitlines())
+    pins = (PINNED.fullmatch(line) for line in lines if line[:1] not in ("", "#", "-"))
+    return [("PyPI", re.sub(r"[-_.]+", "-", pin[1]).lower(), pin[2]) for pin in pins if pin]
+
+
+def _unquoted(value: str) -> str:
+    return re.sub(r'\\(["\\])', r"\1", value[1:-1]) if len(value) > 1 and value[0] == value[-1] == '"' else value
 
 
 def _cargo(text: str) -> list[tuple[str, str, str]]:
-    out = []
-    for part in re.split(r"(?m)^\[\[package\]\]\s*$", text)[1:]:
-        part = re.split(r"(?m)^\[", part)[0]
-        fields = dict(re.findall(r'(?m)^(name|version|source)\s*=\s*"([^"]*)"', part))
-        if "name" in fields and "version" in fields and fields.get("source", "registry+").startswith("registry+"):
-            out.append(("crates.io", fields["name"], fields["version"]))
+    """`[[package]]` tables from a registry; those of the oldest format name no source."""
+    out: list[tuple[str, str, str]] = []
+    table: dict[str, str] | None = None
+    for line in [*map(str.strip, text.splitlines()), "[end]"]:
+        if line.startswith("["):
+            if table and table.get("name") and table.get("version") and table.get("source", "registry+").startswith("registry+"):
+                out.append(("crates.io", table["name"], table["version"]))
+            table = {} if re.match(r"\[\[\s*package\s*\]\]", line) else None
+        elif table is not None and not line.startswith("#") and "=" in line:
+            key, value = (x.strip() for x in line.split("=", 1))
+            table[key] = _unquoted(value)
     return out
 
 
 def _npm(text: str) -> list[tuple[str, str, str]]:
+    """`packages` of newer files, workspace folders included and links left out; else nested `dependencies`, inner ones first."""
     try:
         data = json.loads(text)
     except ValueError:
         return []
-    out = []
-    for place, entry in (data.get("packages") or {}).items():
-        if "node_modules/" in place and entry.get("version") and not entry.get("link"):
-            out.append(("npm", entry.get("name") or place.rpartition("node_modules/")[2], entry["version"]))
+    if not isinstance(data, dict):
+        return []
+    places = data.get("packages")
+    if isinstance(places, dict):
+        real = ((p, e) for p, e in places.items() if p and isinstance(e, dict) and not e.get("link") and e.get("version"))
+        return [("npm", str(e.get("name") or p.rpartition("node_modules/")[2]), str(e["version"])) for p, e in real]
+    out: list[tuple[str, str, str]] = []
 
     def nested(entries: dict) -> None:
-        for name, entry in entries.items():
-            if entry.get("version") and "://" not in entry["version"] and not entry["version"].startswith("file:"):
-                out.append(("npm", name, entry["version"]))
-            nested(entry.get("dependencies") or {})
-
-    if not data.get("packages"):
-        nested(data.get("dependencies") or {})
+        for name in sorted(entries):
+            entry = entries[name]
+            if isinstance(entry, dict):
+                if isinstance(entry.get("dependencies"), dict):
+                    nested(entry["dependencies"])
+                if entry.get("version"):
+                    out.append(("npm", str(name), str(entry["version"])))
+
+    nested(data.get("dependencies") or {})
     return out
 
 
+def _package_key(line: str) -> tuple[str, str] | None:
+    """(name, version) of a line `name@version:`, scoped or not, quoted or not, without peers in parentheses."""
+    key = line.strip().removesuffix(":").strip().strip("'\"").split("(", 1)[0].strip()
+    name, at, version = key[1:].partition("@") if key.startswith("@") else key.partition("@")
+    name = key[: len(key) - len(at) - len(version)] if at else ""
+    return (name, version) if name and version else None
+
+
 def _pnpm(text: str) -> list[tuple[str, str, str]]:
-    out, inside = [], False
+    """Keys of the `packages:` section, all at one depth, which older files have at column 0; deeper lines belong to a key."""
+    out: list[tuple[str, str, str]] = []
+    inside, depth = False, None
     for line in text.splitlines():
-        if line and not line[0].isspace():
-            inside = line.startswith("packages:")
-        found = inside and re.match(r"""\s{2}['"]?/?((?:@[^/@]+/)?[^/@'"]+)[@/]([0-9][^('":_/]*)[^:]*:\s*(?:\{.*)?$""", line)
-        if found:
-            out.append(("npm", found[1], found[2]))
+        bare = line.strip()
+        if not bare.endswith(":") or bare.startswith("#"):
+            continue
+        indent, key = len(line) - len(line.lstrip(" ")), _package_key(bare)
+        if not inside:
+            inside, depth = (True, None) if indent == 0 and bare[:-1].strip().strip("'\"") == "packages" else (False, None)
+            continue
+        if depth is not None and indent > depth:
+            continue
+        if key is None or (depth is not None and indent < depth and indent > 0):
+            inside, depth = False, None
+            continue
+        if depth is not None and indent < depth:  # a key further out begins a section of its own depth
+            depth = indent
+            continue
+        depth = indent
+        out.append(("npm", *key))
     return out
 
 
 def _go_sum(text: str) -> list[tuple[str, str, str]]:
-    out = []
-    for line in text.splitlines():
-        parts = line.split()
-        if len(parts) == 3 and not parts[1].endswith("/go.mod"):
-            out.append(("Go", parts[0], parts[1].removeprefix("v")))
-    return out
+    """Module lines; those of go.mod files are none. Versions keep their v."""
+    lines = (GO_LINE.match(line.strip()) for line in text.splitlines() if not line.strip().startswith("#"))
+    return [("Go", line[1], line[2].removesuffix("+incompatible")) for line in lines if line and not line[2].endswith("/go.mod")]
 
 
 def parser(path: str):

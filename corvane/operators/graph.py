@@ -107,9 +107,11 @@ def iterate(search: Callable[[str], DataFrame], query: str, limit: int = 5, foll
 def reach(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
     """(root, node, hop): every node within `hops` undirected steps of a seed, at its least distance.
 
-    One join per hop on the frontier only; seen nodes leave by an anti-join, so cycles cost nothing.
+    The arcs of both directions are written once; each hop joins the frontier alone with them, and seen
+    nodes leave by an anti-join, so cycles cost nothing.
     """
-    both = edges.select("source", "target").unionByName(edges.select(F.col("target").alias("source"), F.col("source").alias("target"))).distinct()
+    ends = F.array(F.struct("source", "target"), F.struct(F.col("target").alias("source"), F.col("source").alias("target")))
+    both = checkpointed(edges.select(F.inline(ends)).distinct())
     seen = seeds.select(F.col("node").alias("root"), "node", F.lit(0).alias("hop")).distinct()
     frontier = seen
     for hop in range(1, hops + 1):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.scores import rounded
 from corvane.functions.vectors import map_cosine
-from corvane.operators.similarity import lsh_pairs
+from corvane.operators.similarity import lsh_classes
 
 CALLS = "array<struct<callee:string,line:int,args:array<string>>>"
 GUARDS = "array<struct<kind:string,line:int,vars:array<string>>>"
@@ -31,57 +31,94 @@ def _arguments(function: Column) -> Column:
     return F.flatten(per_call)
 
 
-def _guarded(function: Column, arg: Column, reach: int | None, not_naming_callee: bool) -> Column:
-    """Whether a guard on the argument's variable stands before its call (within `reach` lines)."""
+def _guarded(guards: Column, arg: Column, reach: int | None = None, precondition: bool = False) -> Column:
+    """Whether one of the guards checks the argument's variable before its call, within `reach` lines if given.
+
+    A precondition must not name the callee: such a guard checks the call's own result.
+    """
 
     def test(g: Column) -> Column:
         gap = arg["line"] - g["line"]
         fits = F.array_contains(g["vars"], arg["var"]) & (gap > 0)
         if reach is not None:
             fits = fits & (gap <= reach)
-        if not_naming_callee:
+        if precondition:
             fits = fits & ~F.array_contains(g["vars"], arg["callee"])
         return fits
 
-    return F.exists(function["guards"], test)
+    return F.exists(guards, test)
+
+
+def _variable(arg: Column) -> Column:
+    """Whether an argument is a variable: not empty, and not capitalised as constants are."""
+    return (F.coalesce(arg["var"], F.lit("")) != "") & ~F.coalesce(arg["var"], F.lit("")).rlike("^[A-Z]")
 
 
 def guard_rules(before: Column, after: Column) -> Column:
-    """array of (callee, at): argument places that the fixed version guards just before the call
-    and the vulnerable one nowhere before it.
+    """array of (callee, at): argument places that a guard which the fix added checks just before the
+    call, while the vulnerable version has such an argument without any guard before it.
 
-    Variables that go to `MANY_CALLEES` or more callees are context handles, and capitalised names
-    constants: neither makes a rule.
+    A guard that the fix only moved, of the same kind and variables, is not added. Variables that go to
+    `MANY_CALLEES` or more callees are context handles and make no rule.
     """
     after_args, before_args = _arguments(after), _arguments(before)
+    same = lambda a, b: (a["kind"] == b["kind"]) & (a["vars"] == b["vars"])
+    added = F.filter(after["guards"], lambda g: ~F.exists(before["guards"], lambda old: same(g, old)))
 
     def is_rule(a: Column) -> Column:
         callees = F.size(F.array_distinct(F.transform(F.filter(after_args, lambda x: x["var"] == a["var"]), lambda x: x["callee"])))
         unguarded = F.exists(
             before_args,
-            lambda b: (b["callee"] == a["callee"]) & (b["at"] == a["at"]) & ~_guarded(before, b, None, False),
+            lambda b: (b["callee"] == a["callee"]) & (b["at"] == a["at"]) & (b["var"] != "") & ~_guarded(before["guards"], b),
         )
-        return _guarded(after, a, GUARD_REACH, True) & (callees < MANY_CALLEES) & ~a["var"].rlike("^[A-Z]") & unguarded
+        return _variable(a) & (callees < MANY_CALLEES) & _guarded(added, a, GUARD_REACH, True) & unguarded
 
     rules = F.transform(F.filter(after_args, is_rule), lambda a: F.struct(a["callee"].alias("callee"), a["at"].alias("at")))
     return F.when(before.isNull() | after.isNull(), F.array().cast("array<struct<callee:string,at:int>>")).otherwise(F.array_distinct(rules))
 
 
 def missing_guards(target: Column, rules: Column) -> Column:
-    """array of (line, var, callee), sorted: calls of the target that fall under a rule, with no guard before them."""
+    """array of (line, var, callee), sorted: calls of the target that fall under a rule, with no precondition before them."""
     falls = F.filter(
         _arguments(target),
-        lambda a: F.exists(rules, lambda r: (r["callee"] == a["callee"]) & (r["at"] == a["at"])) & ~_guarded(target, a, None, False),
+        lambda a: _variable(a)
+        & F.exists(rules, lambda r: (r["callee"] == a["callee"]) & (r["at"] == a["at"]))
+        & ~_guarded(target["guards"], a, None, True),
     )
     return F.array_sort(F.array_distinct(F.transform(falls, lambda a: F.struct(a["line"].alias("line"), a["var"].alias("var"), a["callee"].alias("callee")))))
 
 
-def is_boilerplate(name: Column, path: Column | None = None) -> Column:
-    """Tests and generated helpers are no targets."""
-    found = name.startswith("test_") | name.endswith("_test") | name.isin("main", "fmt", "default", "clone", "drop", "from", "into")
-    if path is not None:
-        found = found | F.exists(F.split(F.lower(path), "/"), lambda p: p.isin("test", "tests", "testing", "bench", "examples"))
-    return found
+# Names of functions that every project has alike, and folders of tests.
+BOILERPLATE = (
+    "fmt", "clone", "clone_from", "eq", "ne", "cmp", "partial_cmp", "hash",
+    "default", "from", "into", "try_from", "try_into", "as_ref", "as_mut",
+    "deref", "deref_mut", "borrow", "borrow_mut", "to_string", "from_str",
+)
+TEST_FOLDERS = ("test", "tests", "testsuite", "unittests", "unit-tests")
+
+
+def is_boilerplate(name: Column) -> Column:
+    """Tests and trait implementations are no targets."""
+    return name.startswith("test_") | name.endswith("_test") | name.startswith("check_") | name.isin(*BOILERPLATE)
+
+
+def is_test_path(path: Column) -> Column:
+    """Whether a folder of the path is one of tests; fixes of such files make no fingerprint."""
+    parts = F.split(path, "/")
+    return F.exists(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: p.isin(*TEST_FOLDERS))
+
+
+def slim_function(function: Column) -> Column:
+    """A function without its variables, which only reports on targets need."""
+    return function.dropFields("vars")
+
+
+def commit_url(project: Column, repository: Column, sha: Column, default: Column | None = None) -> Column:
+    """The URL of a fix: the kernel's own for its projects, else that of the repository, or of the project's default; null if neither is known."""
+    slug = F.coalesce(repository, default) if default is not None else repository
+    return F.when(project.isin("linux", "linux-cna"), F.concat(F.lit("https://git.kernel.org/linus/"), sha)).otherwise(
+        F.concat(F.lit("https://github.com/"), slug, F.lit("/commit/"), sha)
+    )
 
 
 def match(
@@ -100,15 +137,17 @@ def match(
     """
     big = lambda c: F.coalesce(c["node_count"], F.lit(min_nodes)) >= min_nodes
     mine = targets.withColumn("id", F.concat_ws("\x1f", "file", F.col("function.name"), F.col("function.start_line").cast("string")))
-    near = lsh_pairs(
+    left, right, near = lsh_classes(
         mine.select("id", F.col("function.signature").alias("signature")),
         corpus.where("before is not null").select(F.col("advisory").alias("id"), F.col("before.signature").alias("signature")),
         NEAR,
     )
     pairs = (
-        near.select(F.col("left").alias("id"), F.col("right").alias("advisory")).distinct()
+        near.select("left_class", "right_class")
+        .join(left.select(F.col("class_id").alias("left_class"), "id"), "left_class")
+        .join(right.select(F.col("class_id").alias("right_class"), F.col("id").alias("advisory")), "right_class")
         .join(mine, "id").join(corpus, "advisory")
-        .where(~is_boilerplate(F.col("function.name"), F.col("file")))
+        .where(~is_boilerplate(F.col("function.name")))
     )
     judged = (
         pairs.withColumn("s_before", map_cosine(F.col("function.grams"), F.col("before.grams")))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.functions.text import commit_of_url
+
 
 def ordered_union(value: Column, order: Column) -> Column:
     """Aggregate: the elements of all arrays, first seen first, once each."""
@@ -87,6 +89,62 @@ def with_aliases(rows: DataFrame, key: str = "advisory_id", aliases: str = "alia
     return rows.select(F.col(key).alias("root"), F.posexplode(F.array_distinct(ids)).alias("ordinal", "id"))
 
 
+def alias_documents(rows: DataFrame, documents: DataFrame, arrays: tuple[str, ...], key: str = "advisory_id") -> DataFrame:
+    """(root, found, ...): the documents of an advisory and of its aliases, one hop, as ordered unions of their arrays.
+
+    documents: (id, arrays...); found counts those that exist. The advisory's own come first, then those of its aliases in their order.
+    """
+    placed = with_aliases(rows, key).join(documents, "id", "left")
+    have = F.coalesce(*(F.col(c).cast("string") for c in arrays)).isNotNull()
+    return placed.groupBy("root").agg(F.count_if(have).alias("found"), *(ordered_union(F.col(c), F.col("ordinal")).alias(c) for c in arrays))
+
+
+def with_commits(rows: DataFrame, vetted: DataFrame, key: str = "advisory_id") -> DataFrame:
+    """Rows whose fix_shas are their own full hashes, then the vetted ones, then those in their patch URLs, once each.
+
+    vetted: (key, shas), one row per advisory; from_vetted tells whether it had one.
+    """
+    none = F.array().cast("array<string>")
+    own = F.filter(F.transform(F.coalesce("fix_shas", none), F.lower), lambda s: s.rlike("^[0-9a-f]{40}$"))
+    linked = F.filter(F.transform(F.coalesce("patch_urls", none), commit_of_url), lambda s: s.isNotNull())
+    joined = rows.join(vetted.select(key, F.col("shas").alias("_shas")), key, "left")
+    every = F.array_distinct(F.concat(own, F.coalesce("_shas", none), linked))
+    return joined.withColumn("fix_shas", every).withColumn("from_vetted", F.col("_shas").isNotNull()).drop("_shas")
+
+
+def mirror_status(rows: DataFrame, mirror: DataFrame | None, key: str = "advisory_id") -> DataFrame:
+    """(key, sha_status, n_missing) of rows with fix_shas: NOT_JOINED without any, MIRROR_UNCHECKED without a mirror,
+    NOT_IN_MIRROR if one is missing from the mirror (sha), else VERIFIED_IN_MIRROR."""
+    count = F.size(F.coalesce("fix_shas", F.array().cast("array<string>")))
+    if mirror is None:
+        return rows.select(key, F.when(count == 0, "NOT_JOINED").otherwise("MIRROR_UNCHECKED").alias("sha_status"), F.lit(0).cast("long").alias("n_missing"))
+    each = rows.select(key, F.explode_outer("fix_shas").alias("sha")).join(mirror.select("sha", F.lit(True).alias("there")).distinct(), "sha", "left")
+    missing = F.count_if(F.col("sha").isNotNull() & F.col("there").isNull())
+    status = F.when(F.count("sha") == 0, "NOT_JOINED").when(missing > 0, "NOT_IN_MIRROR").otherwise("VERIFIED_IN_MIRROR")
+    return each.groupBy(key).agg(status.alias("sha_status"), missing.alias("n_missing"))
+
+
+def single_parent_fixes(rows: DataFrame, parents: DataFrame, key: str = "advisory_id") -> DataFrame:
+    """rows with fix_shas of one parent only; merges and roots move to the end of fixed_in_shas, and demoted counts them.
+
+    parents: (sha, parents). A fix that it lacks is an error when the result is computed: nothing is guessed.
+    """
+    none = F.array().cast("array<string>")
+    each = rows.select(key, F.posexplode(F.coalesce("fix_shas", none)).alias("at", "sha")).join(parents.dropDuplicates(["sha"]), "sha", "left")
+    lacking = F.raise_error(F.concat(F.lit("no parents known of fix "), "sha", F.lit(" of "), F.col(key).cast("string"))).cast("int")
+    known = each.withColumn("parents", F.coalesce("parents", lacking))
+    in_order = lambda test: F.transform(F.array_sort(F.collect_list(F.when(test, F.struct("at", "sha")))), lambda x: x["sha"])
+    split = known.groupBy(key).agg(in_order(F.col("parents") == 1).alias("_kept"), in_order(F.col("parents") != 1).alias("_merges"))
+    before = F.coalesce("fixed_in_shas", none) if "fixed_in_shas" in rows.columns else none
+    return (
+        rows.join(split, key, "left")
+        .withColumn("fix_shas", F.coalesce("_kept", none))
+        .withColumn("fixed_in_shas", F.array_distinct(F.concat(before, F.coalesce("_merges", none))))
+        .withColumn("demoted", F.size(F.coalesce("_merges", none)))
+        .drop("_kept", "_merges")
+    )
+
+
 def alias_components(rows: DataFrame, group: list[str], rank: tuple[str, ...] = ("CVE-", "GHSA-")) -> DataFrame:
     """Joins findings of a group that share ids: primary id, all aliases, fixed versions, first severity.
 
@@ -108,17 +166,20 @@ def alias_components(rows: DataFrame, group: list[str], rank: tuple[str, ...] =
                 x = root[x]
             return x
 
-        names = [[r["id"], *(r["aliases"] if r["aliases"] is not None else ())] for _, r in frame.iterrows()]
+        names = [[i, *(a if a is not None else ())] for i, a in zip(frame["id"], frame["aliases"], strict=True)]
         for ids in names:
             for other in ids[1:]:
                 root[find(other)] = find(ids[0])
-        out = []
-        for component in dict.fromkeys(find(ids[0]) for ids in names):
-            rows_in = [k for k, ids in enumerate(names) if find(ids[0]) == component]
-            known = sorted({x for k in rows_in for x in names[k]}, key=place)
-            fixed = list(dict.fromkeys(v for k in rows_in for v in (frame["fixed"].iloc[k] if frame["fixed"].iloc[k] is not None else ())))
-            severity = next((s for k in rows_in if (s := frame["severity"].iloc[k])), None)
-            out.append((*(frame[g].iloc[0] for g in group), known[0], known[1:], fixed, severity))
+        parts: dict[str, tuple[set, dict, list]] = {}
+        for ids, versions, severity in zip(names, frame["fixed"], frame["severity"], strict=True):
+            known, fixed, stated = parts.setdefault(find(ids[0]), (set(), {}, []))
+            known.update(ids)
+            fixed.update(dict.fromkeys(versions if versions is not None else ()))
+            stated += [severity] if severity else []
+        own, out = [frame[g].iloc[0] for g in group], []
+        for known, fixed, stated in parts.values():
+            first, *rest = sorted(known, key=place)
+            out.append((*own, first, rest, list(fixed), stated[0] if stated else None))
         return pd.DataFrame(out, columns=[*group, "primary", "aliases", "fixed", "severity"])
 
     return rows.groupBy(*group).applyInPandas(fold, schema)

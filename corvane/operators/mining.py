@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from corvane.functions.text import trailers
 from corvane.functions.vectors import map_difference
 from corvane.operators.audit import masked
-from corvane.operators.comparing import full_outer, limit_breadth
+from corvane.operators.comparing import added_guards, full_outer, limit_breadth
 from corvane.operators.intervals import in_ranges
 
 #: From good to bad; a whole is as good as its worst part.
-COVERAGE_ORDER = ("OK", "PARTIAL", "PARSER_SKIPPED", "INCOMPLETE")
+COVERAGE_ORDER = ("OK", "PARSER_SKIPPED", "INCOMPLETE")
+# Words before a parenthesis that name no function.
 KEYWORDS = {"if", "for", "while", "switch", "return", "sizeof", "catch", "do", "else", "case", "defined"}
 
 _HEAD = re.compile(r"(?m)^[A-Za-z_][\w\s\*&:<>,~]*?\b([A-Za-z_]\w*)\s*\(")
@@ -53,7 +54,8 @@ def closing_brace(code: str, start: int) -> int | None:
 def function_units(text: str) -> list[tuple[str, int, int, str, bool, str]]:
     """(symbol, start, stop, body hash, conditional, coverage) of the functions of a C-like text.
 
-    A head whose body never closes is reported as PARSER_SKIPPED up to the text's end.
+    The hash is that of the body, from brace to brace; a function is conditional if its head is. A head
+    whose body never closes is reported as PARSER_SKIPPED, without a hash, and the search goes on behind it.
     """
     code = masked(text)
     inside = preprocessor_ranges(text)
@@ -68,11 +70,13 @@ def function_units(text: str) -> list[tuple[str, int, int, str, bool, str]]:
         stop = closing_brace(code, body.start())
         first = code.count("\n", 0, match.start(1)) + 1
         last = code.count("\n", 0, len(code) if stop is None else stop) + 1
-        conditional = any(a <= last and first <= b for a, b in inside)
-        source = text[match.start() : len(text) if stop is None else stop + 1]
-        out.append((match[1], first, last, hashlib.sha256(source.encode()).hexdigest(), conditional, "OK" if stop is not None else "PARSER_SKIPPED"))
+        conditional = any(a <= first <= b for a, b in inside)
         if stop is None:
-            break
+            out.append((match[1], first, last, None, conditional, "PARSER_SKIPPED"))
+            at = body.end()
+            continue
+        digest = hashlib.sha256(text[body.start() : stop + 1].encode()).hexdigest()
+        out.append((match[1], first, last, digest, conditional, "OK"))
         at = stop + 1
     return out
 
@@ -131,7 +135,7 @@ def attribute_lines(lines: DataFrame, found: DataFrame) -> DataFrame:
     """(path, symbol, added, removed, conditional, coverage) of diff lines by the unit that holds them.
 
     lines: (path, kind, old_line, new_line); found: units of both sides with `side` old or new.
-    Lines outside all units count for symbol null, with coverage PARTIAL.
+    Lines outside all units count for symbol null, with coverage INCOMPLETE.
     """
     line = F.when(F.col("kind") == "-", F.col("old_line")).otherwise(F.col("new_line"))
     changed = lines.where(F.col("kind").isin("+", "-")).withColumns({"line": line, "side": F.when(F.col("kind") == "-", "old").otherwise("new")})
@@ -142,21 +146,51 @@ def attribute_lines(lines: DataFrame, found: DataFrame) -> DataFrame:
         F.count_if(F.col("kind") == "+").alias("added"),
         F.count_if(F.col("kind") == "-").alias("removed"),
         F.coalesce(F.bool_or("_unit.conditional"), F.lit(False)).alias("conditional"),
-        worst(F.coalesce("_unit.coverage", F.lit("PARTIAL"))).alias("coverage"),
+        worst(F.coalesce("_unit.coverage", F.lit("INCOMPLETE"))).alias("coverage"),
     )
 
 
+def hunk_symbol(context: Column) -> Column:
+    """The function that a hunk header's context names: the first `name(` that is no keyword; null for file scope."""
+    name = F.regexp_extract(F.coalesce(context, F.lit("")), r"([A-Za-z_][A-Za-z0-9_]*)\s*\(", 1)
+    return F.when((name != "") & ~name.isin(*sorted(KEYWORDS)), name)
+
+
+def fragment_histograms(fragments: DataFrame) -> DataFrame:
+    """(kind, value, n): records by coverage, and their functions by coverage and by method, zero rows included.
+
+    fragments: (record_id, coverage, functions), the last an array of structs with coverage and method.
+    """
+    kinds = [("record_coverage", c) for c in COVERAGE_ORDER] + [("function_coverage", c) for c in COVERAGE_ORDER] + [("method", m) for m in ("ast", "hunk", "hunk_fallback")]
+    spark = fragments.sparkSession
+    each = fragments.select(F.explode("functions").alias("f"))
+    values = F.array(F.struct(F.lit("function_coverage").alias("kind"), F.col("f.coverage").alias("value")), F.struct(F.lit("method").alias("kind"), F.col("f.method").alias("value")))
+    counted = fragments.select(F.lit("record_coverage").alias("kind"), F.col("coverage").alias("value")).unionByName(each.select(F.inline(values)))
+    counts = counted.groupBy("kind", "value").agg(F.count("*").alias("n"))
+    return spark.createDataFrame(kinds, "kind string, value string").join(counts, ["kind", "value"], "full_outer").fillna(0, ["n"])
+
+
 def fix_fingerprints(before: DataFrame, after: DataFrame, most: int = 60) -> DataFrame:
-    """One row per advisory: coverage and files with functions (name, before, after, added and removed k-grams).
+    """One row per advisory: coverage and files with functions (name, before, after, what was added and removed).
 
-    before and after: (advisory, path, name, ord, grams, calls), one row per touched function; of
-    functions with one name in a file the last counts. Fixes of too many functions keep none.
+    before and after: (advisory, path, name, ord, grams, calls, guards, coverage), one row per touched function, the
+    last two optional; of functions with one name in a file the last counts. k-grams are differences of multisets,
+    calls of sets, and guards are those of new kind and variables. The coverage is the worst of the functions'.
+    Fixes of too many functions keep none.
     """
     keys = ["advisory", "path", "name"]
-    pairs = full_outer(before, after, keys, "ord")
+    guards, state = "array<struct<kind:string,line:int,vars:array<string>>>", "coverage"
+
+    def filled(frame: DataFrame) -> DataFrame:
+        missing = {c: F.lit(None).cast(t) for c, t in (("guards", guards), (state, "string")) if c not in frame.columns}
+        return frame.withColumns(missing) if missing else frame
+
+    pairs = full_outer(filled(before), filled(after), keys, "ord")
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
     old, new = F.coalesce("before.grams", empty), F.coalesce("after.grams", empty)
-    none = F.array().cast("array<string>")
+    none, no_guard = F.array().cast("array<string>"), F.array().cast(guards)
+    both = F.array(F.coalesce("before.coverage", F.lit("OK")), F.coalesce("after.coverage", F.lit("OK")))
+    rank = lambda c: F.array_position(F.array(*(F.lit(x) for x in COVERAGE_ORDER)), c)
     functions = pairs.select(
         "advisory", "path",
         F.struct(
@@ -164,34 +198,47 @@ def fix_fingerprints(before: DataFrame, after: DataFrame, most: int = 60) -> Dat
             map_difference(new, old).alias("added_grams"), map_difference(old, new).alias("removed_grams"),
             F.array_except(F.coalesce("after.calls", none), F.coalesce("before.calls", none)).alias("added_calls"),
             F.array_except(F.coalesce("before.calls", none), F.coalesce("after.calls", none)).alias("removed_calls"),
+            added_guards(F.coalesce("before.guards", no_guard), F.coalesce("after.guards", no_guard)).alias("added_guards"),
         ).alias("f"),
+        F.array_max(F.transform(both, rank)).alias("rank"),
     )
     # maps do not sort: order by name alone
-    by_file = functions.groupBy("advisory", "path").agg(F.collect_list("f").alias("functions"))
+    by_file = functions.groupBy("advisory", "path").agg(F.collect_list("f").alias("functions"), F.max("rank").alias("rank"))
     ordered = F.array_sort("functions", lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0))
-    files = by_file.withColumn("functions", ordered).groupBy("advisory").agg(F.collect_list(F.struct("path", "functions")).alias("files"))
+    files = by_file.withColumn("functions", ordered).groupBy("advisory").agg(F.collect_list(F.struct("path", "functions")).alias("files"), F.max("rank").alias("rank"))
     in_order = F.array_sort("files", lambda a, b: F.when(a["path"] < b["path"], -1).otherwise(1))
-    return files.select("advisory", limit_breadth(in_order, F.lit("OK")).alias("r")).select("advisory", "r.coverage", "r.files")
+    coverage = F.get(F.array(*(F.lit(x) for x in COVERAGE_ORDER)), (F.col("rank") - 1).cast("int"))
+    return files.select("advisory", limit_breadth(in_order, coverage).alias("r")).select("advisory", "r.coverage", "r.files")
 
 
-def evolution(fixes: DataFrame, commits: DataFrame, commit_files: DataFrame) -> DataFrame:
-    """(advisory, outcome, n_later, reverts, backports): what happened to a fix afterwards.
+def evolution(fixes: DataFrame, commits: DataFrame, commit_files: DataFrame, ancestors: DataFrame | None = None, until: str | None = None) -> DataFrame:
+    """(advisory, outcome, horizon, n_later, reverts, backports): what happened to a fix afterwards.
 
-    fixes: (advisory, sha, date); commits: (sha, date, message); commit_files: (sha, path). Later
-    commits that share a path count; one that says it reverts the fix makes it REVERTED, one that
-    picks it BACKPORTED, else the outcome is UNKNOWN. Abbreviated hashes name a fix they begin.
+    fixes: (advisory, sha, date); commits: (sha, date, message); commit_files: (sha, path); ancestors: (sha, ancestor)
+    of the fixes. Later commits that share a path count, from the fix's date up to the day `until`, but neither the fix
+    nor its ancestors. One whose line says that it reverts the fix makes it REVERTED, one that picks it BACKPORTED, else
+    the outcome is UNKNOWN. Abbreviated hashes name a fix they begin. The horizon is the last day that counts.
     """
     touched = fixes.join(commit_files, "sha").select("advisory", F.col("sha").alias("fix"), F.col("date").alias("fixed"), "path")
     others = commit_files.join(commits, "sha").select(F.col("sha").alias("later"), "path", "date", "message")
     sharing = touched.join(others, "path").where((F.col("later") != F.col("fix")) & (F.col("date") >= F.col("fixed")))
-    distinct = sharing.select("advisory", "fix", "later", "message").distinct()
+    if until is not None:
+        sharing = sharing.where(F.substring("date", 1, 10) <= until)
+    if ancestors is not None:
+        past = ancestors.select(F.col("sha").alias("fix"), F.col("ancestor").alias("later"))
+        sharing = sharing.join(past, ["fix", "later"], "left_anti")
+    distinct = sharing.select("advisory", "fix", "later", "date", "message").distinct()
     names = lambda kind: F.exists(trailers(F.col("message"), kind), lambda h: F.col("fix").startswith(h))
     per_fix = distinct.groupBy("advisory").agg(
-        F.countDistinct("later").alias("n_later"), F.count_if(names("reverts")).alias("reverts"), F.count_if(names("picks")).alias("backports")
+        F.countDistinct("later").alias("n_later"),
+        F.count_if(names("reverts")).alias("reverts"),
+        F.count_if(names("picks") & ~names("reverts")).alias("backports"),
+        F.max(F.substring("date", 1, 10)).alias("last"),
     )
-    found = fixes.select("advisory").distinct().join(per_fix, "advisory", "left").fillna(0, ["n_later", "reverts", "backports"])
+    first = fixes.groupBy("advisory").agg(F.max(F.substring("date", 1, 10)).alias("fixed"))
+    found = first.join(per_fix, "advisory", "left").fillna(0, ["n_later", "reverts", "backports"])
     outcome = F.when(F.col("reverts") > 0, "REVERTED").when(F.col("backports") > 0, "BACKPORTED").otherwise("UNKNOWN")
-    return found.withColumn("outcome", outcome)
+    return found.select("advisory", outcome.alias("outcome"), F.greatest("fixed", "last").alias("horizon"), "n_later", "reverts", "backports")
 
 
 def citations(families: DataFrame, evidence: DataFrame, most: int = 3) -> DataFrame:

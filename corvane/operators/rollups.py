@@ -67,7 +67,8 @@ def study_slice(frame: DataFrame, tests: list[tuple[str, Column]], order: list[C
 
     Accepted rows beyond keep get the reason max_records_reached.
     """
-    ranked = frame.withColumn("place", F.row_number().over(Window.orderBy(*order))).where(F.col("place") <= examine)  # a top-k feature
+    first = frame.orderBy(*order).limit(examine)  # a top-k feature; the windows below see that many rows
+    ranked = first.withColumn("place", F.row_number().over(Window.orderBy(*order)))
     judged = ranked.withColumn("reason", first_reason(tests))
     accepted = F.sum(F.when(F.col("reason").isNull(), 1).otherwise(0)).over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
     return judged.withColumn("reason", F.when(F.col("reason").isNull() & (accepted > keep), "max_records_reached").otherwise(F.col("reason")))

@@ -17,24 +17,29 @@ from corvane.operators.search import word_tokens
 from corvane.session import checkpointed
 
 
-def inverse_frequencies(features: DataFrame) -> DataFrame:
-    """(feature, df, n, idf) of a long table (key, feature): idf = ln(n / df)."""
-    total = features.agg(F.countDistinct("key").alias("n"))
+def inverse_frequencies(features: DataFrame, total: DataFrame | None = None) -> DataFrame:
+    """(feature, df, n, idf) of a long table (key, feature) of distinct pairs: idf = ln(n / df).
+
+    total: one row with the number of keys as n; counted from the pairs if not given. Counts are combined
+    before the one shuffle, of one row per task and feature.
+    """
+    if total is None:
+        total = features.agg(F.countDistinct("key").alias("n"))
     return (
-        features.groupBy("feature").agg(F.countDistinct("key").alias("df"))
+        features.groupBy("feature").agg(F.count("*").alias("df"))
         .crossJoin(F.broadcast(total))  # one row
         .withColumn("idf", F.ln(F.col("n") / F.col("df")))
     )
 
 
 def weighted(features: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """(key, feature, w, df, n): tf-idf weights of unit length, rounded to 4 places.
+    """(key, feature, w, length, df, n): tf-idf weights above 0, rounded to 4 places, and the key's length.
 
-    The length comes from the unrounded weights.
+    The length comes from the unrounded weights; a cosine is the product of the rounded weights over both lengths.
     """
-    raw = features.join(frequencies, "feature").withColumn("w", F.col("weight") * F.col("idf"))
+    raw = features.join(frequencies, "feature").withColumn("w", F.col("weight") * F.col("idf")).where("w > 0")
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("key")))
-    return raw.withColumn("length", length).where("length > 0").select("key", "feature", rounded(F.col("w") / F.col("length")).alias("w"), "df", "n")
+    return raw.withColumn("length", length).select("key", "feature", rounded(F.col("w")).alias("w"), "length", "df", "n")
 
 
 def related(features: DataFrame, is_query: Column, k: int = 10, cut: float = 0.05, min_keys: int = 40) -> DataFrame:
@@ -49,12 +54,14 @@ def related(features: DataFrame, is_query: Column, k: int = 10, cut: float = 0.0
     asked = vectors.where(is_query)
     finders = asked.where(selective).select("key", "feature")
     pairs = finders.join(vectors.where(selective).select(F.col("key").alias("other"), "feature"), "feature").where("key <> other").select("key", "other").distinct()
-    left = pairs.join(asked.select("key", "feature", F.col("w").alias("a")), "key")
+    left = pairs.join(asked.select("key", "feature", F.col("w").alias("a"), F.col("length").alias("la")), "key")
+    right = vectors.select(F.col("key").alias("other"), "feature", F.col("w").alias("b"), F.col("length").alias("lb"))
     scores = (
-        left.join(vectors.select(F.col("key").alias("other"), "feature", F.col("w").alias("b")), ["other", "feature"])
+        left.join(right, ["other", "feature"])
         .groupBy("key", "other")
-        .agg(scaled(F.sum(F.col("a") * F.col("b"))).alias("score"))
-        .where("score > 0")
+        .agg(F.sum(F.col("a") * F.col("b")).alias("dot"), F.first("la").alias("la"), F.first("lb").alias("lb"))
+        .where("dot > 0")
+        .select("key", "other", scaled(F.col("dot") / (F.col("la") * F.col("lb"))).alias("score"))
     )
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("score").desc(), "other"))
     return scores.withColumn("rank", rank).where(F.col("rank") <= k)
@@ -194,33 +201,40 @@ def nearest(queries: DataFrame, frame: DataFrame, k: int = 10, block: int = QUER
     return out.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def lsh_pairs(left: DataFrame, right: DataFrame, threshold: float = 0.3, permutations: int = 64) -> DataFrame:
-    """(left, right, jaccard): pairs that share a band of their signatures and are similar enough.
+def lsh_classes(left: DataFrame, right: DataFrame, threshold: float = 0.3, permutations: int = 64) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(left members, right members, pairs of their classes) that share a band of their signatures and are similar enough.
 
-    Both frames have (id, signature). Equal signatures on one side are one class in the join and
-    are expanded afterwards from the class table, so repeated rows cost one probe. A row whose
-    signature has the wrong length cannot be filtered: it is compared with every class of the other side, which
-    the caller sees as pairs without a jaccard.
+    Both frames have (id, signature). Rows of one signature are a class, named by its least id; members are
+    (class_id, id), pairs (left_class, right_class, jaccard). Rows whose signature has the wrong length, or none,
+    cannot be filtered: on each side they are one class (class_id ''), which is paired with every class of the other
+    side, jaccard null. So a group of copies, or of unusable rows, costs one row on either side, whatever its size.
     """
-    usable = F.size("signature") == permutations
-
-    def classes(frame: DataFrame, side: str) -> DataFrame:
-        return frame.where(usable).groupBy(F.col("signature").alias(f"{side}_s")).agg(F.min("id").alias(f"{side}_c"))
+    usable = F.coalesce(F.size("signature") == permutations, F.lit(False))
+    def classes(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+        marked = frame.select("id", F.when(usable, F.col("signature")).alias("signature"))
+        each = marked.groupBy("signature").agg(F.min("id").alias("first"))
+        each = checkpointed(each.select("signature", F.when(F.col("signature").isNotNull(), F.col("first").cast("string")).otherwise("").alias("class_id")))
+        members = marked.join(each, marked["signature"].eqNullSafe(each["signature"])).select("class_id", "id")
+        return each, members
 
     def banded(frame: DataFrame, side: str) -> DataFrame:
-        return frame.select(f"{side}_c", F.posexplode(band_keys(F.col(f"{side}_s"))).alias("band", "part"))
-
-    a, b = classes(left, "l"), classes(right, "r")
-    near = banded(a, "l").join(banded(b, "r"), ["band", "part"]).select("l_c", "r_c").distinct()
-    judged = near.join(a, "l_c").join(b, "r_c").withColumn("jaccard", estimated_jaccard(F.col("l_s"), F.col("r_s"))).where(F.col("jaccard") >= threshold)
-    members_l = left.where(usable).select(F.col("id").alias("left"), F.col("signature").alias("l_s"))
-    members_r = right.where(usable).select(F.col("id").alias("right"), F.col("signature").alias("r_s"))
-    pairs = judged.join(members_l, "l_s").join(members_r, "r_s").select("left", "right", "jaccard")
-    odd_l, odd_r = left.where(~usable | F.col("signature").isNull()), right.where(~usable | F.col("signature").isNull())
-    loose = odd_l.select(F.col("id").alias("left")).join(right.select(F.col("id").alias("right"))).unionByName(
-        left.where(usable).select(F.col("id").alias("left")).join(odd_r.select(F.col("id").alias("right")))
+        return frame.where("signature is not null").select(F.col("class_id").alias(f"{side}_class"), F.posexplode(band_keys(F.col("signature"))).alias("band", "part"))
+
+    (a, members_a), (b, members_b) = classes(left), classes(right)
+    near = banded(a, "left").join(banded(b, "right"), ["band", "part"]).select("left_class", "right_class").distinct()
+    judged = (
+        near.join(a.select(F.col("class_id").alias("left_class"), F.col("signature").alias("l")), "left_class")
+        .join(b.select(F.col("class_id").alias("right_class"), F.col("signature").alias("r")), "right_class")
+        .select("left_class", "right_class", estimated_jaccard(F.col("l"), F.col("r")).alias("jaccard"))
+        .where(F.col("jaccard") >= threshold)
     )
-    return pairs.unionByName(loose.withColumn("jaccard", F.lit(None).cast("double")))
+    # the unusable class of a side is one row at most: a broadcast of it against the classes of the other
+    odd_a, odd_b = a.where("class_id = ''").select(F.col("class_id").alias("left_class")), b.where("class_id = ''").select(F.col("class_id").alias("right_class"))
+    loose = (
+        b.select(F.col("class_id").alias("right_class")).join(F.broadcast(odd_a)).select("left_class", "right_class")
+        .unionByName(a.where("class_id <> ''").select(F.col("class_id").alias("left_class")).join(F.broadcast(odd_b)).select("left_class", "right_class"))
+    )
+    return members_a, members_b, judged.unionByName(loose.withColumn("jaccard", F.lit(None).cast("double")))
 
 
 def _signatures(k: int, permutations: int):

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The words that records may use.
-STATUSES = ("observed", "validated", "hypothesis", "refuted")
-COVERAGES = ("OK", "PARTIAL", "PARSER_SKIPPED", "INCOMPLETE", "TOO_BROAD")
+STATUSES = ("observed", "hypothesis", "validated", "unknown")
+NODE_KINDS = ("repository", "advisory", "commit", "code_version", "pattern", "test_observation", "review_observation")
+RELATIONS = ("parent_of", "fixes", "fixed_by", "changes", "before", "after", "backport_of", "reverts", "supersedes", "affects", "supports", "refutes")
+OUTCOMES = ("UNKNOWN", "REFINED", "REVERTED", "BACKPORTED", "FIXED_STABLE", "TEST_SUPPORTED", "DISPUTED")
+FOLLOW_UPS = ("test_result", "revert", "backport", "path_followup", "fix_followup", "dispute")
+#: What an outcome needs among the follow-ups.
+NEEDED = {"FIXED_STABLE": "test_result", "BACKPORTED": "backport", "TEST_SUPPORTED": "test_result", "REVERTED": "revert", "REFINED": "fix_followup", "DISPUTED": "dispute"}
+#: Relations of an edge that supports a follow-up on a commit.
+SUPPORTING = {"path_followup": ("changes",), "revert": ("reverts",), "backport": ("backport_of",), "fix_followup": ("fixes", "supersedes")}
+COVERAGES = ("OK", "PARSER_SKIPPED", "INCOMPLETE", "TOO_BROAD")
 CATALOG_COLUMNS = ("advisory_id", "published", "cwe", "cwe_state", "patch_urls", "fix_shas", "subsystem")
 
 
@@ -46,26 +56,121 @@ def catalog_violations(rows: DataFrame) -> DataFrame:
     return violations(rows, "advisory_id", rules).unionByName(duplicates(rows, "advisory_id", "unique"))
 
 
+def _text(name: str) -> Column:
+    return F.length(F.trim(F.coalesce(F.col(name).cast("string"), F.lit("")))) > 0
+
+
+def _references(name: str) -> Column:
+    """Whether an array of ids is not empty, has no blank and no repeated one."""
+    ids = F.col(name)
+    return ids.isNotNull() & (F.size(ids) > 0) & (F.size(F.array_distinct(ids)) == F.size(ids)) & F.forall(ids, lambda i: i.isNotNull() & (F.trim(i) != ""))
+
+
 def record_violations(records: DataFrame, nodes: DataFrame, edges: DataFrame, evidence: DataFrame, claims: DataFrame) -> DataFrame:
-    """Violations of an evidence pack's five tables: statuses, unique ids, dangling edges and evidence."""
+    """Violations of an evidence pack's five tables: fields, words, unique ids, dangling edges and evidence.
+
+    Rules about columns that a table lacks (schema_version, kind, relation, known_at, sha256, url and the like) are not asked.
+    """
     keyed = lambda frame: frame.withColumn("key", F.concat_ws("/", "record_id", "id"))
     n, e, v, c = map(keyed, (nodes, edges, evidence, claims))
     ends = F.array(F.concat_ws("/", "record_id", "source"), F.concat_ws("/", "record_id", "target"))
     cited = F.transform(F.coalesce("evidence_ids", F.array().cast("array<string>")), lambda i: F.concat_ws("/", F.col("record_id"), i))
+
+    def asked(frame: DataFrame, key: str, rules: dict[str, tuple[str, Column]]) -> DataFrame:
+        """The rules (name: column, test) whose column the frame has."""
+        return violations(frame, key, {name: test for name, (column, test) in rules.items() if column in frame.columns})
+
+    https = lambda name: (name, F.col(name).startswith("https://"))
     parts = [
-        violations(records, "id", {"title": F.length(F.trim("title")) > 0, "project": F.length(F.trim("project")) > 0}),
+        asked(records, "id", {
+            "title": ("title", _text("title")), "project": ("project", _text("project")), "record_id": ("id", F.col("id").rlike("^[A-Za-z0-9_.-]+$")),
+            "schema_version": ("schema_version", F.col("schema_version") == "0.1.0"), "record_status": ("status", F.col("status").isin(*STATUSES)),
+        }),
+        asked(n, "key", {"node_kind": ("kind", F.col("kind").isin(*NODE_KINDS)), "node_label": ("label", _text("label"))}),
+        asked(e, "key", {
+            "edge_status": ("status", F.col("status").isin(*STATUSES)), "edge_relation": ("relation", F.col("relation").isin(*RELATIONS)),
+            "edge_known_at": ("known_at", _text("known_at")), "edge_references": ("evidence_ids", _references("evidence_ids")),
+        }),
+        asked(c, "key", {
+            "claim_status": ("status", F.col("status").isin(*STATUSES)), "claim_text": ("text", _text("text")), "claim_references": ("evidence_ids", _references("evidence_ids")),
+        }),
+        asked(v, "key", {
+            "evidence_sha256": ("sha256", F.col("sha256").rlike("^[0-9a-f]{64}$")), "evidence_url": https("url"), "evidence_fetch_url": https("fetch_url"),
+            **{f"evidence_{f}": (f, _text(f)) for f in ("observed_at", "hash_scope", "source_license", "extractor", "canonicalization")},
+        }),
         duplicates(records, "id", "unique_record"),
-        violations(e, "key", {"edge_status": F.col("status").isin(*STATUSES)}),
-        violations(c, "key", {"claim_status": F.col("status").isin(*STATUSES), "claim_text": F.length(F.trim("text")) > 0}),
         *(duplicates(f, "key", f"unique_{name}") for name, f in (("node", n), ("edge", e), ("evidence", v), ("claim", c))),
+        *(records.join(f.select(F.col("record_id").alias("id")), "id", "left_anti").select(F.lit(f"record_{name}").alias("rule_id"), "id") for name, f in (("nodes", n), ("evidence", v))),
         dangling(e, "key", ends, n, "key", "edge_end"),
         dangling(e, "key", cited, v, "key", "edge_evidence"),
         dangling(c, "key", cited, v, "key", "claim_evidence"),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def evolution_violations(records: DataFrame, follow_ups: DataFrame, nodes: DataFrame, edges: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Violations of what records say about the evolution of their fixes.
+
+    records: (id, outcome, coverage); follow_ups: (record_id, kind, node_id, evidence_ids); nodes also (kind, attributes map).
+    A follow-up must name a node and evidence of its record; a test result a passing test observation with command, revision
+    and environment; one on a commit an edge from it of a supporting relation that shares evidence; a dispute a review.
+    An outcome needs a follow-up of its kind.
+    """
+    f = follow_ups.withColumn("key", F.concat_ws("/", "record_id", "kind", "node_id"))
+    node = nodes.select("record_id", F.col("id").alias("node_id"), F.col("kind").alias("_kind"), "attributes")
+    relation = F.lit(None).cast("string")
+    support = edges.select("record_id", F.col("source").alias("node_id"), F.col("relation").alias("_relation"), F.col("status").alias("_status"), F.col("evidence_ids").alias("_cited"))
+    with_node = f.join(node, ["record_id", "node_id"], "left")
+    allowed = relation
+    for kind, names in SUPPORTING.items():
+        firm = F.lit(True) if kind == "path_followup" else F.col("_status").isin("observed", "validated")
+        allowed = F.when((F.col("kind") == kind), F.when(F.col("_relation").isin(*names) & firm & F.arrays_overlap("_cited", "evidence_ids"), "yes")).otherwise(allowed)
+    supported = f.join(support, ["record_id", "node_id"]).where(allowed == "yes").select("key").distinct().withColumn("_supported", F.lit(True))
+    passing = (F.col("_kind") == "test_observation") & (F.col("attributes")["outcome"] == "PASS") & F.forall(
+        F.array(*(F.lit(k) for k in ("command", "revision", "environment"))), lambda k: F.coalesce(F.trim(F.element_at("attributes", k)), F.lit("")) != ""
+    )
+    on_commit = F.col("kind").isin(*SUPPORTING)
+    good = (
+        F.when(F.col("kind") == "test_result", passing)
+        .when(on_commit, (F.col("_kind") == "commit") & F.coalesce("_supported", F.lit(False)))
+        .otherwise(F.col("_kind") == "review_observation")
+    )
+    judged = with_node.join(supported, "key", "left")
+    cited = F.transform(F.coalesce("evidence_ids", F.array().cast("array<string>")), lambda i: F.concat_ws("/", F.col("record_id"), i))
+    need = F.lit(None).cast("string")
+    for outcome, kind in NEEDED.items():
+        need = F.when(F.col("outcome") == outcome, kind).otherwise(need)
+    have = follow_ups.groupBy(F.col("record_id").alias("id")).agg(F.collect_set("kind").alias("_kinds"))
+    kinds = F.coalesce("_kinds", F.array().cast("array<string>"))
+    parts = [
+        violations(judged, "key", {
+            "followup_kind": F.col("kind").isin(*FOLLOW_UPS), "followup_node": F.col("_kind").isNotNull(), "followup_references": _references("evidence_ids"), "followup_support": good,
+        }),
+        dangling(f, "key", cited, evidence.withColumn("key", F.concat_ws("/", "record_id", "id")), "key", "followup_evidence"),
+        violations(records.withColumn("_need", need).join(have, "id", "left"), "id", {
+            "outcome": F.col("outcome").isin(*OUTCOMES), "evolution_coverage": _text("coverage"), "outcome_support": F.col("_need").isNull() | F.array_contains(kinds, F.col("_need")),
+        }),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def slice_violations(rows: DataFrame, project: str, hosts: tuple[str, ...], start: str, end: str) -> DataFrame:
+    """Violations of a project's study slice (advisory_id, project, published, coverage, fix_sha, fix_url): the project itself, a
+    publication inside [start, end], a stated coverage, a full fix hash, and a fix URL of an allowed host that names the hash."""
+    host = F.regexp_extract(F.lower("fix_url"), "^https://([^/?#:]+)", 1)
+    own = F.lit(False)
+    for name in hosts:
+        own = own | (host == name) | host.endswith("." + name)
+    rules = {
+        "slice_id": F.col("advisory_id").rlike(r"^[A-Z][A-Z0-9]*-[A-Za-z0-9-]+$"),
+        "slice_project": F.col("project") == project,
+        "slice_window": F.substring("published", 1, 10).between(start, end),
+        "slice_coverage": F.col("coverage").isin(*COVERAGES),
+        "slice_fix": F.col("fix_sha").rlike("^[0-9a-f]{40}$"),
+        "slice_host": own,
+        "slice_url": F.contains(F.lower("fix_url"), F.col("fix_sha")),
+    }
+    return violations(rows, "advisory_id", rules).unionByName(duplicates(rows, "advisory_id", "slice_unique"))
 
 
 def fragment_violations(fragments: DataFrame) -> DataFrame:

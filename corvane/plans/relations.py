@@ -121,10 +121,10 @@ def gaps_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT l_orderkey AS orderkey, CAST(l_linenumber * 3 AS BIGINT) AS a, CAST(l_linenumber * 3 + CAST(l_quantity AS BIGINT) % 3 AS BIGINT) AS b FROM lineitem),
+WITH s AS (SELECT l_orderkey AS orderkey, CAST(l_linenumber * 3 AS BIGINT) AS a, CAST(l_linenumber * 3 + CAST(l_quantity AS BIGINT) % 3 AS BIGINT) AS b, count(*) AS k FROM lineitem GROUP BY ALL),
 f AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY orderkey ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM s),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY orderkey ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS run FROM f)
-SELECT orderkey, min(a) AS start, max(b) AS stop, count(*) AS n FROM g GROUP BY orderkey, run
+SELECT orderkey, min(a) AS start, max(b) AS stop, CAST(sum(k) AS BIGINT) AS n FROM g GROUP BY orderkey, run
 """)
 def interval_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = (F.col("l_linenumber") * 3).cast("long")

@@ -23,10 +23,10 @@ SELECT feature, count(*) AS df, CAST(floor(ln(CAST(any_value(n) AS DOUBLE) / cou
 FROM f, n GROUP BY feature
 """)
 def df_idf_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("key"), F.explode(F.array_distinct(word_tokens(F.col("text")))).alias("feature")
-    )
-    return similarity.inverse_frequencies(features).select("feature", "df", scaled(F.col("idf")).alias("idf"))
+    documents = table(spark, sf_dir, "documents")  # one row per id
+    total = documents.agg(F.count_if(F.col("text").rlike(r"[\p{L}\p{N}]")).alias("n"))
+    features = documents.select(F.col("doc_id").alias("key"), F.explode(F.array_distinct(word_tokens(F.col("text")))).alias("feature"))
+    return similarity.inverse_frequencies(features, total).select("feature", "df", scaled(F.col("idf")).alias("idf"))
 
 
 def _part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,18 +45,18 @@ f AS (
 n AS (SELECT count(DISTINCT key) AS n FROM f),
 d AS (SELECT feature, count(DISTINCT key) AS df FROM f GROUP BY feature),
 r AS (SELECT key, f.feature, weight * ln(CAST(n AS DOUBLE) / df) AS w, df, n FROM f JOIN d USING (feature), n),
-l AS (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY key)) AS length FROM r),
-v AS (SELECT key, feature, floor(w / length * 10000 + 0.5) / 10000 AS w, df, n FROM l WHERE length > 0)"""
+l AS (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY key)) AS length FROM r WHERE w > 0),
+v AS (SELECT key, feature, floor(w * 10000 + 0.5) / 10000 AS w, length, df, n FROM l)"""
 
 
 @query(f"""
 WITH {_VECTORS},
 p AS (SELECT DISTINCT a.key, b.key AS other FROM v a JOIN v b ON a.feature = b.feature AND a.key <> b.key
   WHERE a.key % 100 = 0 AND (a.n < 40 OR a.df <= 0.05 * a.n)),
-s AS (SELECT p.key, p.other, CAST(floor(sum(a.w * b.w) * 10000 + 0.5) AS BIGINT) AS score
-  FROM p JOIN v a ON a.key = p.key JOIN v b ON b.key = p.other AND b.feature = a.feature GROUP BY 1, 2)
+s AS (SELECT p.key, p.other, CAST(floor(sum(a.w * b.w) / (any_value(a.length) * any_value(b.length)) * 10000 + 0.5) AS BIGINT) AS score
+  FROM p JOIN v a ON a.key = p.key JOIN v b ON b.key = p.other AND b.feature = a.feature GROUP BY 1, 2 HAVING sum(a.w * b.w) > 0)
 SELECT key, other, score, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, other) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, other) AS rank FROM s) WHERE rank <= 10
 """)
 def tfidf_related_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.related(_part_features(spark, sf_dir), F.col("key") % 100 == 0)
@@ -111,14 +111,16 @@ def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {_GRAMS},
 b AS (SELECT id, i AS band, list_slice(signature, i * 4 + 1, i * 4 + 4) AS part FROM m, unnest(range(0, 16)) AS u(i)),
-p AS (SELECT DISTINCT x.id AS l, y.id AS r FROM b x JOIN b y USING (band, part))
-SELECT l AS "left", r AS "right", CAST(floor(len(list_filter(range(1, 65), lambda i: a.signature[i] = c.signature[i])) / 64.0 * 10000 + 0.5) AS BIGINT) AS jaccard
+c AS (SELECT signature, min(id) AS class FROM m GROUP BY signature),
+p AS (SELECT DISTINCT u.class AS l, w.class AS r FROM b x JOIN b y USING (band, part) JOIN m s ON s.id = x.id JOIN m t ON t.id = y.id
+  JOIN c u ON u.signature = s.signature JOIN c w ON w.signature = t.signature)
+SELECT CAST(l AS VARCHAR) AS left_class, CAST(r AS VARCHAR) AS right_class, CAST(floor(len(list_filter(range(1, 65), lambda i: a.signature[i] = c.signature[i])) / 64.0 * 10000 + 0.5) AS BIGINT) AS jaccard
 FROM p JOIN m a ON a.id = l JOIN m c ON c.id = r
 WHERE len(list_filter(range(1, 65), lambda i: a.signature[i] = c.signature[i])) >= 0.3 * 64
 """)
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = _fingerprints(spark, sf_dir)
-    return similarity.lsh_pairs(prints, prints).withColumn("jaccard", scaled(F.col("jaccard")))
+    return similarity.lsh_classes(prints, prints)[2].withColumn("jaccard", scaled(F.col("jaccard")))
 
 
 def _document_prints(spark: SparkSession, sf_dir: str) -> DataFrame:

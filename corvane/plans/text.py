@@ -123,12 +123,13 @@ def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT sha256(string_agg(h, chr(10) ORDER BY h)) AS state, count(*) AS n_rows
-FROM (SELECT sha256(concat(CAST(n_nationkey AS VARCHAR), '|', n_name, '|', CAST(n_regionkey AS VARCHAR))) AS h FROM nation)
+WITH r AS (SELECT sha256(concat_ws('|', CAST(o_orderkey AS VARCHAR), coalesce(o_orderstatus, ''), coalesce(o_orderpriority, ''))) AS h FROM orders),
+c AS (SELECT h, count(*) AS n FROM r GROUP BY h),
+b AS (SELECT substr(h, 1, 4) AS bucket, sha256(string_agg(concat(h, ':', n), chr(10) ORDER BY concat(h, ':', n))) AS state, sum(n) AS n FROM c GROUP BY 1)
+SELECT sha256(string_agg(concat(bucket, ':', state), chr(10) ORDER BY concat(bucket, ':', state))) AS state, CAST(sum(n) AS BIGINT) AS n_rows FROM b
 """)
 def table_state_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    return audit.state_hash(nation, ["n_nationkey", "n_name", "n_regionkey"])
+    return audit.state_hash(table(spark, sf_dir, "orders"), ["o_orderkey", "o_orderstatus", "o_orderpriority"])
 
 
 FAMILIES = [

@@ -40,9 +40,9 @@ def test_versions(spark):
 def test_query_terms_gates_and_hashes(spark):
     row = one(spark, T.query_terms(F.lit("Über über a_b CVE")).alias("a"), T.ids_contained(F.lit("x cve-2020-1"), F.lit("CVE-2020-1")).alias("b"), T.ids_contained(F.lit("CVE-2020-12"), F.lit("CVE-2020-1")).alias("c"), T.ids_contained(F.lit("none"), F.lit("")).alias("d"), T.blob_hash(F.lit("hello\n")).alias("e"), T.line_of(F.lit("a\nb\nc"), F.lit(4)).alias("f"))
     assert tuple(row) == (["über", "a_b", "cve"], True, False, True, "ce013625030ba8dba906f756967f9e9ca394464a", 3)
-    message = "Fix\n\nFixes: abcdef1 (\"x\")\nThis reverts commit 1234567890.\n"
+    message = "Fix\n\nFixes: abcdef123456 (\"x\")\nFixes: abcdef1\nfixes: abcdef123457\n  This reverts commit 1234567890.\nSee: This reverts commit abcdefabc1\n(cherry picked from commit aaaaaaa1)\nBackport of: bbbbbbb2\nupstream commit ccccccc3\n"
     row = one(spark, T.trailers(F.lit(message), "fixes").alias("a"), T.trailers(F.lit(message), "reverts").alias("b"), T.trailers(F.lit(message), "picks").alias("c"))
-    assert tuple(row) == (["abcdef1"], ["1234567890"], [])
+    assert tuple(row) == (["abcdef123456"], ["1234567890"], ["aaaaaaa1", "bbbbbbb2"])
 
 
 def test_vectors(spark):
@@ -181,12 +181,13 @@ def test_validators(spark):
 
 def test_lock_files_and_advisories(spark):
     files = [
-        ("a/requirements.txt", "# c\nLeft_Pad==1.0  # x\nuvicorn[standard]==0.3.1 ; python_version>'3'\n-r other\nfoo>=1\nuvicorn==0.3.1\n"),
+        ("a/requirements.txt", "# c\nLeft_Pad==1.0  # x\nuvicorn[standard]==0.3.1 ; python_version>'3'\n-r other\nfoo>=1\nbar===1\nuvicorn==0.3.1\nbaz==x1\n"),
         ("b/Cargo.lock", '[[package]]\nname = "a"\nversion = "1.0.0"\nsource = "registry+x"\n\n[[package]]\nname = "mine"\nversion = "0.1.0"\n\n[[package]]\nname = "g"\nversion = "2"\nsource = "git+x"\n'),
-        ("c/package-lock.json", '{"packages":{"":{"version":"1"},"node_modules/x":{"version":"1.1"},"node_modules/a/node_modules/@s/y":{"version":"2"}}}'),
+        ("c/package-lock.json", '{"packages":{"":{"version":"1"},"node_modules/x":{"version":"1.1"},"node_modules/a/node_modules/@s/y":{"version":"2"},"packages/w":{"version":"5"},"node_modules/l":{"link":true,"version":"1"}}}'),
         ("d/package-lock.json", '{"dependencies":{"x":{"version":"1","dependencies":{"z":{"version":"3"}}}}}'),
-        ("e/pnpm-lock.yaml", "lockfileVersion: 6\npackages:\n\n  /@s/a@1.2.0(react@1):\n    x: 1\n  'b@2.0.0':\n    y: 1\nother:\n  c@3.0.0:\n"),
-        ("f/go.sum", "h/m v1.2.3 h1:x\nh/m v1.2.3/go.mod h1:y\n"), ("g/package-lock.json", "{bad"), ("h/other.txt", "x"),
+        ("e/pnpm-lock.yaml", "lockfileVersion: 6\npackages:\n\n  '@s/a@1.2.0(react@1)':\n    x: 1\n    q@1:\n  'b@2.0.0':\n    y: 1\nother:\n  c@3.0.0:\n"),
+        ("i/pnpm-lock.yaml", "packages:\n\n@s/a@1.0.0:\n  peers:\nb@2.0.0:\n  x@9:\nsnapshots:\n  c@1:\n"),
+        ("f/go.sum", "h/m v1.2.3 h1:x\nh/m v1.2.3/go.mod h1:y\nh/n v2.0.0+incompatible h1:z\nh/o v1 x\n"), ("g/package-lock.json", "{bad"), ("h/other.txt", "x"),
     ]
     got = dependencies.parse(spark.createDataFrame(files, "path string, text string"))
     by = {}
@@ -194,8 +195,9 @@ def test_lock_files_and_advisories(spark):
         by.setdefault(r.path[0], []).append((r.ecosystem, r.name, r.version))
     assert by["a"] == [("PyPI", "left-pad", "1.0"), ("PyPI", "uvicorn", "0.3.1")]
     assert by["b"][0] == ("crates.io", "a", "1.0.0") and ("crates.io", "g", "2") not in by["b"]
-    assert by["c"] == [("npm", "x", "1.1"), ("npm", "@s/y", "2")] and by["d"] == [("npm", "x", "1"), ("npm", "z", "3")]
-    assert by["e"] == [("npm", "@s/a", "1.2.0"), ("npm", "b", "2.0.0")] and by["f"] == [("Go", "h/m", "1.2.3")] and not {"g", "h"} & set(by)
+    assert by["c"] == [("npm", "x", "1.1"), ("npm", "@s/y", "2"), ("npm", "packages/w", "5")] and by["d"] == [("npm", "z", "3"), ("npm", "x", "1")]
+    assert by["e"] == [("npm", "@s/a", "1.2.0"), ("npm", "b", "2.0.0")] and by["i"] == [("npm", "@s/a", "1.0.0"), ("npm", "b", "2.0.0")]
+    assert by["f"] == [("Go", "h/m", "v1.2.3"), ("Go", "h/n", "v2.0.0")] and not {"g", "h"} & set(by)
     schema = "id string, aliases array<string>, affected array<struct<package:struct<name:string,ecosystem:string>,ranges:array<struct<type:string,events:array<struct<introduced:string,fixed:string>>>>>>, severity array<struct<score:string>>, database_severity string"
     events = lambda *fixed: [("SEMVER", [("0", None), *((None, f) for f in fixed)])]
     advisories = spark.createDataFrame([("GHSA-1", ["CVE-1"], [(("uvicorn", "PyPI"), events("0.3.2", "0.4.0", "0.2.9"))], [], "HIGH"), ("GHSA-2", [], [(("x", None), events())], [("7.5",)], None), ("GHSA-3", [], [(("x", "PyPI"), events())], [], None)], schema)
@@ -294,6 +296,68 @@ def test_matcher(spark):
     assert rules.first().m == []  # a fixed version never breaks its own rule
 
 
+def slow_rules(before, after):
+    added = {(k, tuple(v)) for k, _, v in after[6]} - {(k, tuple(v)) for k, _, v in before[6]}
+    callees = {}
+    for callee, _, args in after[5]:
+        for v in args:
+            callees.setdefault(v, set()).add(callee)
+    found = set()
+    for callee, line, args in after[5]:
+        for at, v in enumerate(args):
+            near = any((k, tuple(g)) in added and v in g and callee not in g and 0 < line - n <= 8 for k, n, g in after[6])
+            if v and not v[0].isupper() and len(callees[v]) < 3 and near:
+                found.add((callee, at))
+    free = lambda v, line: v and not any(v in g and n < line for _, n, g in before[6])
+    return {(c, at) for c, at in found if any(b == c and at < len(a) and free(a[at], n) for b, n, a in before[5])}
+
+
+def slow_missing(target, rules):
+    out = set()
+    for callee, line, args in target[5]:
+        for at, v in enumerate(args):
+            if (callee, at) in rules and v and not v[0].isupper() and not any(v in g and callee not in g and n < line for _, n, g in target[6]):
+                out.add((line, v, callee))
+    return sorted(out)
+
+
+def test_guard_rules_equal_plain_loops(spark):
+    rng = random.Random(17)
+
+    def function():
+        calls = [(rng.choice("fgh"), rng.randint(1, 20), rng.choices(["a", "b", "c", "MAX", ""], k=rng.randint(0, 3))) for _ in range(rng.randint(1, 5))]
+        guards = [(rng.choice(("if", "while")), rng.randint(1, 20), rng.sample(["a", "b", "c", "f", "g"], k=rng.randint(1, 2))) for _ in range(rng.randint(0, 4))]
+        return ("n", 1, 50, {"k": 1}, [1], calls, guards)
+
+    def fixed(old):
+        extra = [("if", rng.randint(1, 20), rng.sample(["a", "b", "c", "f"], k=rng.randint(1, 2))) for _ in range(rng.randint(0, 3))]
+        moved = [(k, max(1, n - rng.randint(0, 5)), v) for k, n, v in old[6]]
+        return (*old[:5], old[5], moved + extra)
+
+    cases = [(k, b, fixed(b), function()) for k, b in enumerate(function() for _ in range(400))]
+    frame = spark.createDataFrame(cases, f"id int, before {matching.FUNCTION}, after {matching.FUNCTION}, target {matching.FUNCTION}")
+    ruled = frame.withColumn("rules", matching.guard_rules(F.col("before"), F.col("after")))
+    got = {r.id: r for r in ruled.withColumn("missing", matching.missing_guards(F.col("target"), F.col("rules"))).collect()}
+    some = 0
+    for k, before, after, target in cases:
+        rules = slow_rules(before, after)
+        some += bool(rules)
+        assert {tuple(r) for r in got[k].rules} == rules and [tuple(m) for m in got[k].missing] == slow_missing(target, rules)
+    assert some > 30
+
+
+def test_fixes_and_names_of_the_matcher(spark):
+    names = ["test_a", "a_test", "check_x", "from_str", "main", "drop", "parse"]
+    frame = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r.b for r in frame.select(matching.is_boilerplate(F.col("n")).alias("b")).collect()] == [True] * 4 + [False] * 3
+    paths = spark.createDataFrame([("a/tests/b.c",), ("tests.c",), ("unit-tests/x",), ("a/contest/b",)], "p string")
+    assert [r.b for r in paths.select(matching.is_test_path(F.col("p")).alias("b")).collect()] == [True, False, True, False]
+    urls = spark.createDataFrame([("linux", None, "s"), ("curl", None, "s"), ("x", "o/r", "s"), ("y", None, "s")], "project string, repo string, sha string")
+    known = F.when(F.col("project") == "curl", "curl/curl")
+    got = [r.u for r in urls.select(matching.commit_url(F.col("project"), F.col("repo"), F.col("sha"), known).alias("u")).collect()]
+    assert got == ["https://git.kernel.org/linus/s", "https://github.com/curl/curl/commit/s", "https://github.com/o/r/commit/s", None]
+
+
 def test_document_signatures_equal_brute_force(spark, tmp_path):
     import hashlib
     import re
@@ -375,8 +439,12 @@ def test_iterated_graph_retrieval(spark):
 
 def test_lsh_and_nearest(spark):
     prints = spark.createDataFrame([(1, [1] * 64), (2, [1] * 32 + [2] * 32), (3, list(range(64))), (4, [])], "id long, signature array<long>")
-    got = {(r.left, r.right): r.jaccard for r in similarity.lsh_pairs(prints, prints).collect()}
-    assert got[1, 2] == 0.5 and (1, 3) not in got and got[4, 3] is None and got[1, 4] is None
+    prints = prints.unionByName(spark.createDataFrame([(5, [1] * 64), (6, None), (7, [3] * 64), (8, [3] * 64)], prints.schema))
+    left, right, near = similarity.lsh_classes(prints, prints)
+    got = {(r.left_class, r.right_class): r.jaccard for r in near.collect()}
+    assert got["1", "2"] == 0.5 and ("1", "3") not in got and got["", "3"] is None and got["1", ""] is None and got["", ""] is None
+    assert near.count() == len(got) == 4 + 2 + 9  # equal signatures are one class, and so are the unusable rows
+    assert {(r.class_id, r.id) for r in left.collect()} == {("1", 1), ("1", 5), ("2", 2), ("3", 3), ("7", 7), ("7", 8), ("", 4), ("", 6)} == {(r.class_id, r.id) for r in right.collect()}
     rng = random.Random(2)
     rows = [(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(60)] + [(99, None), (100, [0.0] * 8)]
     frame = spark.createDataFrame(rows, "id long, vector array<double>").repartition(5)
