@@ -72,6 +72,33 @@ def retrieve(nodes: DataFrame, edges: DataFrame, max_hops: int = 2, max_nodes: i
     return both.groupBy("record_id").applyInPandas(walk, REACHED)
 
 
+def kept_evidence(found: DataFrame, edges: DataFrame, claims: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Evidence (record_id, id, ...) that an edge which `found` keeps, or a valid claim of a found record, cites.
+
+    found: the result of `retrieve`; edges and claims: (record_id, id, evidence_ids), valid ones.
+    """
+    kept = found.select("record_id", F.explode("edges").alias("id")).join(edges, ["record_id", "id"]).select("record_id", F.explode("evidence_ids").alias("id"))
+    claimed = claims.join(found.select("record_id"), "record_id", "left_semi").select("record_id", F.explode("evidence_ids").alias("id"))
+    return evidence.join(kept.unionByName(claimed).distinct(), ["record_id", "id"], "left_semi")
+
+
+def answer(seeds: DataFrame, nodes: DataFrame, edges: DataFrame, evidence: DataFrame, claims: DataFrame, moment: str | None = None, max_hops: int = 2, max_nodes: int = 10) -> DataFrame:
+    """Records that a search found (seeds: record_id, rank), with what was known of them at a moment.
+
+    record_id, rank, nodes, edges, truncated of the bounded walk, and the ids of the claims and of the evidence that kept
+    edges and claims cite, sorted.
+    """
+    own = lambda frame: frame.join(seeds.select("record_id"), "record_id", "left_semi")
+    known, good_claims, good_edges = valid_parts(own(nodes), own(edges), own(evidence), own(claims), moment)
+    found = retrieve(own(nodes), good_edges, max_hops, max_nodes)
+    ids = lambda frame, name: frame.groupBy("record_id").agg(F.array_sort(F.collect_set("id")).alias(name))
+    none = F.array().cast("array<string>")
+    cited = ids(kept_evidence(found, good_edges, good_claims, known), "evidence")
+    joined = seeds.join(found, "record_id", "left").join(ids(good_claims, "claims"), "record_id", "left").join(cited, "record_id", "left")
+    filled = {c: F.coalesce(c, none) for c in ("nodes", "edges", "claims", "evidence")} | {"truncated": F.coalesce("truncated", F.lit(False))}
+    return joined.withColumns(filled).orderBy("rank", "record_id")
+
+
 def iterate(search: Callable[[str], DataFrame], query: str, limit: int = 5, follow_ups: int = 2) -> DataFrame:
     """The best `limit` results of a query and of its follow-ups: id, call, rank, evidence, paths, claims.
 

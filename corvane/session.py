@@ -36,11 +36,15 @@ def local_session(cpus: int = 8, partitions: int | None = None, **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where that is unset (tests, laptops) is one made under the session's warehouse.
+    Only where that is unset in local mode (tests, laptops) is one made under the session's warehouse; on a cluster
+    it is an error, as a folder of one machine would lose what another has written.
     """
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or os.path.join(
-        spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints"
-    )
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -56,9 +60,10 @@ BATCH_BYTES = 16 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batch size where it is larger than BATCH_BYTES.
+    """Lowers the session's Arrow batch size where it is larger than BATCH_BYTES, and leaves it so.
 
-    Maps that hand whole documents back hold a batch several times over, on both sides.
+    Maps that hand whole documents back hold a batch several times over, on both sides. Plans read the setting when they
+    run, which is after the operator has returned, so it can't be put back here.
     """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     number, unit = re.fullmatch(r"(-?[0-9]+)([a-z]*)", spark.conf.get(key).lower()).groups()

@@ -67,6 +67,13 @@ def yearly_feed(spark: SparkSession, pattern: str, years: list[int], schema: str
     return out
 
 
+def first_entries(feed: DataFrame, array: str, key: str) -> DataFrame:
+    """(key, year, entry) of the entries in an array column of yearly feeds; of an id that comes again the first counts, by year and place."""
+    entries = feed.select("year", F.posexplode(array).alias("place", "entry"))
+    first = entries.groupBy(F.col(f"entry.{key}").alias("key")).agg(F.min_by(F.struct("year", "entry"), F.struct("year", "place")).alias("first"))
+    return first.select("key", "first.year", "first.entry")
+
+
 def bundle(folder: str, target: str) -> str:
     """A reproducible tar.gz of a folder; returns its sha256."""
     raw = io.BytesIO()

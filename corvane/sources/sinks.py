@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+
+def _sorted_value(value: Column, kind: DataType) -> Column:
+    """The value with the fields of its structs and the keys of its maps in order, at every depth."""
+    if isinstance(kind, StructType):
+        fields = [_sorted_value(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _sorted_value(x, kind.elementType))
+    if isinstance(kind, MapType):
+        entries = F.array_sort(F.transform(F.map_keys(value), lambda k: F.struct(k.alias("key"))))
+        return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"].alias("key"), _sorted_value(value[e["key"]], kind.valueType).alias("value"))))
+    return value
 
 
 def canonical_column(frame: DataFrame) -> Column:
-    """JSON of a row with sorted fields and sorted map keys; nulls stay."""
-    fields = []
-    for field in sorted(frame.schema.fields, key=lambda f: f.name):
-        value = F.col(f"`{field.name}`")
-        if field.dataType.typeName() == "map":
-            value = F.map_from_entries(F.array_sort(F.map_entries(value)))
-        fields.append(value.alias(field.name))
+    """JSON of a row with sorted fields and sorted map keys, nested ones too; nulls stay."""
+    fields = [_sorted_value(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in sorted(frame.schema.fields, key=lambda f: f.name)]
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
@@ -22,25 +31,43 @@ def write_jsonl(frame: DataFrame, path: str, order: list[str]) -> None:
     frame.orderBy(*order).select(canonical_column(frame).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_entities(frame: DataFrame, path: str, shard: str, order: list[str]) -> None:
-    """One folder for each value of `shard`, rows sorted within; readers prune by it."""
-    frame.repartition(shard).sortWithinPartitions(shard, *order).write.mode("overwrite").partitionBy(shard).json(path)
+def write_entities(frame: DataFrame, path: str, shard: str, order: list[str], parts: int = 4) -> None:
+    """One folder for each value of `shard`, rows sorted within a file; readers prune by it.
+
+    A shard is dealt over `parts` tasks by the hash of its order columns, so a hot one is not a task's alone.
+    """
+    part = F.pmod(F.xxhash64(*order), F.lit(parts))
+    frame.repartition(shard, part).sortWithinPartitions(shard, *order).write.mode("overwrite").partitionBy(shard).json(path)
 
 
 def swap(frame: DataFrame, path: str) -> None:
-    """Writes Parquet beside a table and moves it in place by renames of the store."""
+    """Writes Parquet beside a table and moves it in place by renames of the store.
+
+    The old table is there until the new one is whole. What a crash between the renames leaves aside is put back
+    first, and so it is if the second rename fails.
+    """
     spark = frame.sparkSession
     jvm = spark._jvm
     frame.write.mode("overwrite").parquet(path + ".new")
     here, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, path + ".new", path + ".old"))
     store = here.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if store.exists(old) and not store.exists(here):
+        store.rename(old, here)
     store.delete(old, True)
     if store.exists(here):
         store.rename(here, old)
-    store.rename(new, here)
+    if not store.rename(new, here):
+        store.rename(old, here)
+        raise OSError(f"{path}: the new table could not be moved in place")
     store.delete(old, True)
 
 
+def swap_in_order(tables: list[tuple[DataFrame, str]]) -> None:
+    """Swaps several tables one after the other, those that others point to first: a catalog before its index."""
+    for frame, path in tables:
+        swap(frame, path)
+
+
 def write_if_changed(frame: DataFrame, path: str) -> bool:
     """Replaces a Parquet table only if rows differ, as multisets; True if it wrote."""
     spark = frame.sparkSession

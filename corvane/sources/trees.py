@@ -37,10 +37,12 @@ def walk(
 ) -> DataFrame:
     """(path, relative, length, text, readable) of a tree's source files, without skipped and hidden folders.
 
-    path and length are file metadata, so what they exclude is not read. A file that is no UTF-8
+    Endings are a filter of the listing and the length one of the metadata, so what they exclude is not read. A file that is no UTF-8
     has a null text and readable = false, for audits to report. max_files keeps the first by path.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    either = lambda word: "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+    glob = "*.{" + ",".join(either(e.lstrip(".")) for e in extensions) + "}"  # other files are not even listed
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     relative = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root.rstrip("/")) + "/", "")
     folders = F.slice(F.split(relative, "/"), F.lit(1), F.size(F.split(relative, "/")) - 1)
     wanted = files.where(F.col("length") <= max_bytes).withColumn("relative", relative)
