@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as T
@@ -63,13 +63,22 @@ def anti_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT 'large_part' AS rule_id, CAST(p_partkey AS VARCHAR) AS id FROM part WHERE NOT (p_size <= 45)
-UNION ALL SELECT 'price', CAST(p_partkey AS VARCHAR) FROM part WHERE NOT (p_retailprice < 1900)
-UNION ALL SELECT 'brand', CAST(p_partkey AS VARCHAR) FROM part WHERE NOT regexp_matches(p_brand, '^Brand#[0-9]$')
+WITH r AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders)
+SELECT 'id' AS rule_id, 'bad id ' || k AS id FROM r WHERE k % 7 = 0 UNION ALL SELECT 'published', CASE WHEN k % 7 = 0 THEN 'bad id ' ELSE 'CVE-' END || k FROM r WHERE c % 5 = 0
+UNION ALL SELECT 'links', CASE WHEN k % 7 = 0 THEN 'bad id ' ELSE 'CVE-' END || k FROM r WHERE c % 11 = 0 UNION ALL SELECT 'hashes', CASE WHEN k % 7 = 0 THEN 'bad id ' ELSE 'CVE-' END || k FROM r WHERE c % 13 = 0
+UNION ALL SELECT 'cwe', CASE WHEN k % 7 = 0 THEN 'bad id ' ELSE 'CVE-' END || k FROM r WHERE c % 17 = 0 UNION ALL SELECT 'cwe_state', CASE WHEN k % 7 = 0 THEN 'bad id ' ELSE 'CVE-' END || k FROM r WHERE c % 19 = 0
 """)
 def validator_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = {"large_part": F.col("p_size") <= 45, "price": F.col("p_retailprice") < 1900, "brand": F.col("p_brand").rlike("^Brand#[0-9]$")}
-    return validating.violations(table(spark, sf_dir, "part"), "p_partkey", rules)
+    """Orders as advisories of a catalog, some of which break a rule."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.when(k % 7 == 0, "bad id ").otherwise("CVE-"), k.cast("string")).alias("advisory_id"),
+        F.when(c % 5 == 0, "2020-13-01").otherwise("2020-12-01T00:00").alias("published"),
+        F.array(F.when(c % 11 == 0, "http://x").otherwise("https://x")).alias("patch_urls"),
+        F.array(F.when(c % 13 == 0, "short").otherwise(F.sha1(k.cast("string").cast("binary")))).alias("fix_shas"),
+        F.when(c % 17 == 0, "CWE-x").otherwise("CWE-1").alias("cwe"), F.when(c % 19 == 0, "missing").otherwise("stated").alias("cwe_state"),
+    )
+    return validating.catalog_violations(rows)
 
 
 @query("""
@@ -82,14 +91,15 @@ def min_fixed_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT a AS version, count(*) AS n, CAST(row_number() OVER (ORDER BY a) AS INTEGER) AS place FROM (SELECT p_size AS a FROM part) GROUP BY a
+WITH v AS (SELECT p_size % 12 AS a, p_partkey % 13 AS b, p_partkey % 3 AS c, count(*) AS n FROM part GROUP BY 1, 2, 3)
+SELECT concat(a, '.', b, CASE c WHEN 0 THEN '-rc1' WHEN 1 THEN '' ELSE '.0' END) AS version, n, CAST(row_number() OVER (ORDER BY a, b, CASE c WHEN 1 THEN 0 WHEN 0 THEN 1 ELSE 2 END) AS INTEGER) AS place FROM v
 """)
 def version_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    sizes = table(spark, sf_dir, "part").groupBy(F.col("p_size").alias("version")).agg(F.count("*").alias("n"))  # one row per size
-    key = T.version_key(F.col("version").cast("string"))
-    return sizes.withColumn("place", F.row_number().over(Window.orderBy(key)))
+    """Versions in order: numbers by value, a word after a number below a further number."""
+    tail = F.when(F.col("p_partkey") % 3 == 0, "-rc1").when(F.col("p_partkey") % 3 == 1, "").otherwise(".0")
+    version = F.concat((F.col("p_size") % 12).cast("string"), F.lit("."), (F.col("p_partkey") % 13).cast("string"), tail)
+    each = table(spark, sf_dir, "part").groupBy(version.alias("version")).agg(F.count("*").alias("n"))  # one row per version
+    return each.withColumn("place", F.row_number().over(Window.orderBy(T.version_key(F.col("version")))))
 
 
 @query("""
@@ -123,7 +133,8 @@ def session_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT user_id, event_type, min(ts) AS first_ts, count(*) AS n FROM events GROUP BY 1, 2
 """)
 def watermark_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("ts").alias("first_ts"), F.count("*").alias("n"))
+    first = incremental.first_seen(table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts")
+    return first.select("user_id", "event_type", F.col("ts").alias("first_ts"), "n")
 
 
 @query("""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.scores import scaled
@@ -69,9 +69,8 @@ def topk_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_custkey AS custkey, arg_min(o_orderkey, o_orderkey) AS orderkey, arg_min(o_orderpriority, o_orderkey) AS priority FROM orders GROUP BY 1")
 def first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(
-        F.min("o_orderkey").alias("orderkey"), F.min_by("o_orderpriority", "o_orderkey").alias("priority")
-    )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("orderkey"), F.col("o_orderpriority").alias("priority"))
+    return rollups.top_per_group(orders, ["custkey"], [F.col("orderkey")], 1).drop("rank")
 
 
 @query("""
@@ -244,15 +243,21 @@ def bounded_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.reach(seeds, edges, 2).groupBy("root", "hop").agg(F.count("*").alias("n"))
 
 
-@query(None)
+@query("""
+WITH l AS (SELECT DISTINCT l_orderkey AS r, concat('s', l_suppkey) AS s, concat('p', l_partkey) AS t FROM lineitem),
+n AS (SELECT r, id, row_number() OVER (PARTITION BY r ORDER BY id) AS place FROM (SELECT r, s AS id FROM l UNION SELECT r, t FROM l)),
+c AS (SELECT r, count(*) AS n FROM n GROUP BY 1),
+e AS (SELECT l.r, count(*) AS n FROM l JOIN n a ON a.r = l.r AND a.id = l.s AND a.place <= 10 JOIN n b ON b.r = l.r AND b.id = l.t AND b.place <= 10 GROUP BY 1)
+SELECT CAST(c.r AS VARCHAR) AS record_id, CAST(least(c.n, 10) AS INTEGER) AS n_nodes, CAST(coalesce(e.n, 0) AS INTEGER) AS n_edges, c.n > 10 AS truncated FROM c LEFT JOIN e USING (r)
+""")
 def graph_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a record: its parts and suppliers as nodes, its lines as edges, 2 hops, 10 nodes."""
     lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("record_id"), F.col("l_linenumber").alias("ord"),
-        F.concat(F.lit("s"), "l_suppkey").alias("source"), F.concat(F.lit("p"), "l_partkey").alias("target"),
-    )
-    nodes = lines.select("record_id", F.explode(F.array("source", "target")).alias("id")).distinct().withColumn("ord", F.xxhash64("id"))
-    edges = lines.select("record_id", F.col("ord").cast("long").alias("ord"), F.concat_ws(">", "source", "target").alias("id"), "source", "target").distinct()
+        F.col("l_orderkey").cast("string").alias("record_id"), F.concat(F.lit("s"), "l_suppkey").alias("source"), F.concat(F.lit("p"), "l_partkey").alias("target")
+    ).distinct()
+    place = F.row_number().over(Window.partitionBy("record_id").orderBy("id"))
+    nodes = lines.select("record_id", F.explode(F.array("source", "target")).alias("id")).distinct().withColumn("ord", place.cast("long"))
+    edges = lines.select("record_id", F.lit(0).cast("long").alias("ord"), F.concat_ws(">", "source", "target").alias("id"), "source", "target")
     found = graph.retrieve(nodes, edges)
     return found.select("record_id", F.size("nodes").alias("n_nodes"), F.size("edges").alias("n_edges"), "truncated")
 

@@ -203,7 +203,18 @@ def map_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(None)
+@query(f"""
+WITH {_GRAMS},
+b AS (SELECT id, i AS band, list_slice(signature, i * 4 + 1, i * 4 + 4) AS part FROM m, unnest(range(0, 16)) AS u(i)),
+p AS (SELECT DISTINCT x.id AS t, y.id AS b FROM b x JOIN b y USING (band, part)),
+near AS (SELECT t, b FROM p JOIN m x ON x.id = t JOIN m y ON y.id = b WHERE len(list_filter(range(1, 65), lambda i: x.signature[i] = y.signature[i])) >= 0.3 * 64),
+w AS (SELECT item_id AS id, unnest(list_transform(range(1, greatest(len(t) - 2, 1) + 1), lambda i: substr(sha256(array_to_string(list_slice(t, i, i + 2), chr(31))), 1, 8))) AS k FROM (SELECT item_id, {_TOKENS} AS t FROM benchmark)),
+k AS (SELECT id, k, count(*) AS n FROM w GROUP BY 1, 2), l AS (SELECT id, sqrt(sum(n * n)) AS l FROM k GROUP BY 1),
+d AS (SELECT x.id AS t, y.id AS b, sum(x.n * y.n) AS dot FROM k x JOIN k y USING (k) GROUP BY 1, 2),
+c AS (SELECT lx.id AS t, ly.id AS b, coalesce(dot, 0) / (lx.l * ly.l) AS cos FROM l lx CROSS JOIN l ly LEFT JOIN d ON d.t = lx.id AND d.b = ly.id),
+s AS (SELECT near.t, near.b, x.cos AS before, y.cos AS after FROM near JOIN c x ON x.t = near.t AND x.b = near.b JOIN c y ON y.t = near.t AND y.b = near.b + 1)
+SELECT concat('file', t) AS file, concat('item', t) AS name, concat('A-', b) AS advisory, CAST(floor(least(before, 1) * 10000 + 0.5) AS BIGINT) AS score FROM s WHERE before >= 0.55 AND before >= after + 0.05
+""")
 def fingerprint_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark item as the fixed version of the one before it, matched against all items."""
     prints = _fingerprints(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.functions.scores import scaled
-from corvane.operators import audit, search
+from corvane.operators import audit, merging, search
 from corvane.plans.registry import query
 from corvane.sources.tables import table
 
@@ -177,26 +177,31 @@ def audit_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, CAST(CASE WHEN octet_length(encode(text)) <= 500 THEN octet_length(encode(text)) ELSE 0 END AS BIGINT) AS kept_bytes,
-  octet_length(encode(text)) > 500 AS dropped FROM documents
+WITH u AS (SELECT p_partkey AS k, octet_length(encode(concat('{"row":{"k":', p_partkey, '},"urls":[]}'))) AS base, p_size * 4 + 3 AS len FROM part)
+SELECT k, CAST(CASE WHEN base + 3 * len + 2 <= 500 THEN 3 WHEN base + 2 * len + 1 <= 500 THEN 2 WHEN base + len <= 500 THEN 1 ELSE 0 END AS INTEGER) AS kept FROM u
 """)
 def size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.octet_length("text")
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.when(size <= 500, size).otherwise(0).cast("long").alias("kept_bytes"), (size > 500).alias("dropped")
-    )
+    """How many of three links fit a record of 500 bytes."""
+    link = lambda c: F.concat(F.lit(c), F.repeat(F.lit("x"), F.col("p_size") * 4))
+    part = table(spark, sf_dir, "part").select(F.struct(F.col("p_partkey").alias("k")).alias("row"), F.array(*map(link, "abc")).alias("urls"))
+    return part.select("row.k", F.size(merging.fit_record(F.col("row"), F.col("urls"))).alias("kept"))
 
 
 @query("""
-SELECT doc_id, CAST(w AS VARCHAR) AS first_words, CAST(n AS BIGINT) AS n_distinct FROM (
-  SELECT doc_id, array_to_string(list_slice(u, 1, 5), ' ') AS w, len(u) AS n FROM (
+SELECT doc_id, CAST(w AS VARCHAR) AS first_words, CAST(n AS INTEGER) AS n_distinct FROM (
+  SELECT doc_id, array_to_string(list_slice(u, 1, 5), ' ') AS w, least(len(u), 32) AS n FROM (
     SELECT doc_id, list_transform(list_sort(list_transform(map_entries(m), lambda e: {'p': e.value, 'w': e.key})), lambda x: x.w) AS u FROM (
       SELECT doc_id, map_from_entries(list_transform(list_distinct(t), lambda x: {'k': x, 'v': list_position(t, x)})) AS m FROM (
-        SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+'), lambda x: x <> '') AS t FROM documents))))
+        SELECT doc_id, list_filter(string_split_regex(replace(lower(text), 'ß', 'ss'), '[^\\p{L}\\p{N}_]+'), lambda x: x <> '') AS t FROM documents))))
 """)
 def query_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"), lambda x: x != "")
-    terms = F.array_distinct(words)
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.array_join(F.slice(terms, 1, 5), " ").alias("first_words"), F.size(terms).cast("long").alias("n_distinct")
-    )
+    terms = table(spark, sf_dir, "documents").select("doc_id", T.query_terms(F.col("text")).alias("terms"))
+    return terms.select("doc_id", F.array_join(F.slice("terms", 1, 5), " ").alias("first_words"), F.size("terms").alias("n_distinct"))
+
+
+@query("""
+SELECT o_orderkey AS orderkey, sha256(concat('{"cust":', o_custkey, ',"key":', o_orderkey, ',"none":null,"status":"', o_orderstatus, '"}')) AS sha256 FROM orders
+""")
+def canonical_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    row = F.struct(F.col("o_custkey").alias("cust"), F.col("o_orderkey").alias("key"), F.lit(None).cast("string").alias("none"), F.col("o_orderstatus").alias("status"))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), F.sha2(T.canonical_json(row).cast("binary"), 256).alias("sha256"))

@@ -81,6 +81,16 @@ def tumbling_counts(events: DataFrame, time: str, width: str, keys: list[str], l
     return grouped.select(F.col("w.start").alias("start"), *keys, "n", "value")
 
 
+def first_seen(events: DataFrame, keys: list[str], time: str, late: str = "1 day") -> DataFrame:
+    """The first event of each key: of a stream, of those that come again within the watermark the first that arrives; of a
+    table the earliest, ties going to the smallest values, with the number n of all."""
+    if events.isStreaming:
+        return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+    rest = [c for c in events.columns if c not in (*keys, time)]
+    first = events.groupBy(*keys).agg(F.min(F.struct(time, *rest)).alias("_first"), F.count("*").alias("n"))
+    return first.select(*keys, "_first.*", "n")
+
+
 def sessions(events: DataFrame, time: str, gap: str, key: str, late: str | None = None) -> DataFrame:
     """(key, start, stop, n): bursts of events less than `gap` apart."""
     frame = events.withWatermark(time, late) if late else events
