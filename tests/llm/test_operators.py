@@ -3,6 +3,7 @@
 import hashlib
 import html
 import itertools
+import math
 import random
 import re
 import time
@@ -314,6 +315,27 @@ def test_toxicity_on_held_out_rows(insults):
     assert ((scored.score >= 0.7) == (scored.predicted == 1)).all() and scored.score.between(0, 1).all()
 
 
+def test_ftrl_equals_plain_steps():
+    """Each weight from its own sums, one coordinate and one example at a time."""
+    rng = random.Random(3)
+    examples = [(np.array(sorted(rng.sample(range(64), 6))), rng.randint(0, 1)) for _ in range(200)]
+    model = toxicity.Ftrl(6, alpha=0.7, beta=0.9, l1=0.4, l2=0.3)
+    z, n, bz, bn = [0.0] * 64, [0.0] * 64, 0.0, 0.0
+    weight = lambda i: 0.0 if abs(z[i]) <= 0.4 else -(z[i] - math.copysign(0.4, z[i])) / ((0.9 + n[i] ** 0.5) / 0.7 + 0.3)
+    for cells, label in examples:
+        bias = -bz / ((0.9 + bn**0.5) / 0.7)
+        g = 1 / (1 + math.exp(-(bias + sum(weight(i) for i in cells)))) - label
+        old = {i: weight(i) for i in cells}
+        for i in cells:
+            z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 0.7 * old[i]
+            n[i] += g * g
+        bz += g - ((bn + g * g) ** 0.5 - bn**0.5) / 0.7 * bias
+        bn += g * g
+        model.learn(cells, label)
+    assert np.allclose(model.weights(slice(None)), [weight(i) for i in range(64)]) and abs(model.bias + bz / ((0.9 + bn**0.5) / 0.7)) < 1e-9
+    assert 0 < np.count_nonzero(model.weights(slice(None))) < 64
+
+
 def test_toxicity_edge_cases(spark, documents, labels):
     got = toxicity.score_toxicity(clash(documents), clash(labels)).collect()
     assert len(got) == documents.count() and all(0 <= r.score <= 1 for r in got)
