@@ -141,8 +141,8 @@ def explain_pairs(vectors: DataFrame, pairs: DataFrame, k: int = 3) -> DataFrame
     return top.groupBy("key", "other").agg(reasons.alias("reasons"))
 
 
-#: Query vectors that are sent to all executors at once.
-QUERY_BLOCK = 2048
+#: Query vectors that are sent to all executors for one scan, and those that a worker multiplies at once.
+QUERY_BLOCK, AT_ONCE = 16_384, 1024
 
 
 def _nearest(ids: list[int], matrix: np.ndarray, k: int):
@@ -157,18 +157,18 @@ def _nearest(ids: list[int], matrix: np.ndarray, k: int):
                 continue
             block = np.stack(rows)
             lengths = np.linalg.norm(block, axis=1)
-            block = block / np.where(lengths > 0, lengths, 1.0)[:, None]
-            scores = matrix @ block.T
-            for q, row in enumerate(scores):
-                enough = min(len(row), k + 1)
-                for at in np.argpartition(-row, enough - 1)[:enough] if len(row) > enough else range(len(row)):
-                    if keys[at] != ids[q]:
-                        entry = (float(row[at]), -keys[at])
-                        heap = best[q]
-                        if len(heap) < k:
-                            heapq.heappush(heap, entry)
-                        elif entry > heap[0]:
-                            heapq.heapreplace(heap, entry)
+            block = (block / np.where(lengths > 0, lengths, 1.0)[:, None]).T
+            for first in range(0, len(ids), AT_ONCE):
+                for q, row in enumerate(matrix[first : first + AT_ONCE] @ block, first):
+                    enough = min(len(row), k + 1)
+                    for at in np.argpartition(-row, enough - 1)[:enough] if len(row) > enough else range(len(row)):
+                        if keys[at] != ids[q]:
+                            entry = (float(row[at]), -keys[at])
+                            heap = best[q]
+                            if len(heap) < k:
+                                heapq.heappush(heap, entry)
+                            elif entry > heap[0]:
+                                heapq.heapreplace(heap, entry)
         rows = [(ids[q], -key, score) for q, heap in enumerate(best) for score, key in heap]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["query", "id", "score"])

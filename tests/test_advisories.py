@@ -285,3 +285,78 @@ def test_refreshes(spark):
         refresh.run_plan([step("a", "b"), step("b", "a")])
     with pytest.raises(ValueError, match="no step"):
         refresh.run_plan([step("a", "zz")])
+
+
+def test_small_functions(spark):
+    import numpy as np
+
+    from corvane.functions import vectors as V
+    from corvane.operators import dependencies, intervals, matching, metrics, search
+    from corvane.streaming import incremental
+
+    texts = ["", "  ", "ab", "Hello hello", "é漢字 x", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for text, got in zip(texts, values(frame, V.trigram_embedding(F.col("t"))), strict=True):
+        plain = (text or "").strip().lower()
+        if not plain:
+            assert got is None
+            continue
+        want = np.zeros(384)
+        for k in range(max(1, len(plain) - 2)):
+            number = int(hashlib.sha256(plain[k : k + 3].encode()).hexdigest(), 16)
+            want[number % 384] += 1 - 2 * (number % 2)
+        assert np.allclose(got, want / np.linalg.norm(want))
+    units = spark.createDataFrame([(5, [(1, 4, "a"), (3, 9, "b"), (5, 5, "c")]), (0, [])], "line int, u array<struct<start:int,stop:int,name:string>>")
+    assert [x and x.name for x in values(units, intervals.first_unit(F.col("line"), F.col("u")))] == ["b", None]
+    sets = spark.createDataFrame([([["a"], ["a", "b"]], ["b", "a"]), ([["a"]], ["a", "b"]), ([], ["a"]), ([["x"]], [])], "r array<array<string>>, e array<string>")
+    assert values(sets, metrics.any_complete(F.col("r"), F.col("e"))) == [True, False, False, True]
+    ids = spark.createDataFrame([("GHSA-1",), ("CVE-1",), ("X",)], "i string")
+    assert values(ids, T.rank_of_prefix(F.col("i"), ("CVE-", "GHSA-"))) == [1, 0, 2]
+    names = spark.createDataFrame([("Foo__Bar.baz",)], "name string")
+    assert dependencies.normal_names(names).first().name == "foo-bar-baz"
+    outcomes = spark.createDataFrame([("FAILED",), ("FAILED",), ("OK",)], "outcome string")
+    assert incremental.is_outage(outcomes).first().outage and not incremental.is_outage(outcomes.where("outcome = 'OK'")).first().outage
+    hits = spark.createDataFrame([("before", "A", True), ("before", "B", False), ("after", "A", False), ("after", "B", True)], "kind string, advisory string, hit boolean")
+    assert tuple(matching.self_test(hits).first()) == (0.5, 0.5, 2)
+    found = spark.createDataFrame([("a", 1, ["f"], []), ("b", 2, ["f", "g"], ["net"]), ("c", 3, [], []), ("d", 3, None, ["net"])], "id string, score int, s array<string>, p array<string>")
+    assert [(r.id, r.weight) for r in search.rerank(found.where("s is not null"), ["f", "g"], ["net"], "s", "p", "id", 2).collect()] == [("b", 10), ("a", 4)]
+    hot = spark.createDataFrame([("k", 3, "z"), ("k", 1, "b"), ("k", 1, "a"), ("j", 9, "q")], "k string, at int, v string")
+    assert sorted(map(tuple, incremental.first_seen(hot, ["k"], "at").collect())) == [("j", 9, "q", 1), ("k", 1, "a", 3)]
+
+
+def test_first_seen_of_a_stream(spark, tmp_path):
+    from corvane.streaming import incremental
+
+    rows = [("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:05:00"), ("b", "2024-01-01 00:01:00")]
+    source, schema = str(tmp_path / "in"), "k string, ts timestamp"
+    spark.createDataFrame(rows, "k string, ts string").select("k", F.col("ts").cast("timestamp").alias("ts")).coalesce(1).write.parquet(source)
+    stream = incremental.first_seen(spark.readStream.schema(schema).parquet(source), ["k"], "ts", "1 hour")
+    job = stream.writeStream.format("memory").queryName("seen").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    job.awaitTermination(120)
+    assert sorted(r.k for r in spark.table("seen").collect()) == ["a", "b"]
+
+
+def test_evolution_stays_in_its_window(spark):
+    sha = "a" * 40
+    fixes = spark.createDataFrame([("A", sha, "2020-01-05")], "advisory string, sha string, date string")
+    commits = spark.createDataFrame([(sha, "2020-01-05", "fix"), ("c1", "2020-02-01", f"(cherry picked from commit {sha})"), ("c2", "2020-03-01", f"x\n  This reverts commit {sha[:12]}."), ("c3", "2021-01-01", "later"), ("c4", "2020-01-06", "ancestor")], "sha string, date string, message string")
+    files = spark.createDataFrame([(s, "p") for s in (sha, "c1", "c2", "c3", "c4")], "sha string, path string")
+    past = spark.createDataFrame([(sha, "c4")], "sha string, ancestor string")
+    read = lambda **k: tuple(mining.evolution(fixes, commits, files, **k).first())
+    assert read(ancestors=past, until="2020-12-31") == ("A", "REVERTED", "2020-03-01", 2, 1, 1)
+    assert read(ancestors=past, until="2020-02-28") == ("A", "BACKPORTED", "2020-02-01", 1, 0, 1) and read()[3] == 4
+    assert read(until="2020-01-01") == ("A", "UNKNOWN", "2020-01-05", 0, 0, 0)
+
+
+def test_fingerprints_keep_guards_and_coverage(spark):
+    guards = "array<struct<kind:string,line:int,vars:array<string>>>"
+    schema = f"advisory string, path string, name string, ord int, grams map<string,int>, calls array<string>, guards {guards}, coverage string"
+    before = spark.createDataFrame([("A", "a.c", "f", 1, {"x": 1}, [], [("if", 3, ["a"])], "OK"), ("A", "b.c", "g", 1, {}, [], None, "PARSER_SKIPPED")], schema)
+    after = spark.createDataFrame([("A", "a.c", "f", 1, {"x": 1}, [], [("if", 9, ["a"]), ("if", 1, ["b"]), ("if", 2, ["b"])], "OK")], schema)
+    row = mining.fix_fingerprints(before, after).first()
+    assert row.coverage == "PARSER_SKIPPED" and [tuple(g) for g in row.files[0].functions[0].added_guards] == [("if", ["b"])]
+    unit = "int f(int a)\n{\n  return a;\n}\n"
+    assert mining.function_units(unit)[0][3] == hashlib.sha256(b"{\n  return a;\n}").hexdigest()
+    got = mining.function_units("int g(void) {\n {\n" + unit.replace("f", "h"))
+    assert [(u[0], u[5], u[3] is None) for u in got] == [("g", "PARSER_SKIPPED", True), ("h", "OK", False)]
+    assert mining.function_units("int f(int a)\n{\n#if X\n a;\n#endif\n}\n")[0][4] is False
