@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corvane.functions.text import family
+
 # Spellings and sentinels of the feeds.
 CWE = "^CWE-[0-9]+$"
 SENTINELS = ("NVD-CWE-noinfo", "NVD-CWE-Other")
@@ -44,6 +46,61 @@ OWNERS: dict[str, tuple[tuple[str, ...], tuple[tuple[str, tuple[str, ...]], ...]
 WHOLE_URL = ("git.kernel.org", "sourceware.org", "sysoev.ru", "openbsd.org", "freedesktop.org", "nlnetlabs.nl")
 
 
+# Words of descriptions by the family that they tell, in the order in which they are tried, and what is left.
+FAMILIES: dict[str, tuple[tuple[tuple[str, str], ...], str]] = {
+    "sqlite": (
+        (
+            ("memory-lifetime", "use-after-free|double free|lifetime|dangling"), ("bounds", "out-of-bounds|buffer overflow|over-read|bounds"),
+            ("integer", "integer overflow|underflow|wrap"), ("concurrency", "race condition|lock|concurrency|thread"),
+            ("authz", "permission|auth|privilege|access control"), ("injection", "injection"), ("crypto", "crypto|cipher|digest|tls|key"),
+            ("path-resolution", "path traversal|directory traversal|symlink"), ("parser", "parser|syntax|malformed|unexpected token"),
+            ("resource-accounting", "resource exhaustion|memory leak|denial of service|dos|infinite loop"), ("logic", "logic|mishandle|miscalculation|incorrect"),
+        ),
+        "unknown",
+    ),
+    "systemd": (
+        (
+            ("memory-lifetime", "use-after-free|double free|lifetime|dangling|memory leak|refcount"), ("bounds", "out-of-bounds|buffer overflow|oob|bounds|underflow|overread"),
+            ("integer", "integer overflow|integer underflow|wraparound"), ("concurrency", "race condition|data race|concurrency|lock"),
+            ("authz", "polkit|privilege|authz|permission|authorization|unauthorized"), ("injection", "injection"), ("crypto", "crypto|tls|certificate|key"),
+            ("path-resolution", "path traversal|symlink|directory traversal|path-resolution"), ("parser", "parser|parsing|format string"),
+            ("resource-accounting", "denial of service|dos|resource|exhaustion|memory consumption"), ("logic", "logic|validation|incorrect|improper"),
+        ),
+        "unknown",
+    ),
+    "qemu": (
+        (
+            ("memory-lifetime", "use-after-free|double free|freeing|virtqueue elements"), ("bounds", "out-of-bounds|buffer overflow|overrun"),
+            ("integer", "underflow|division by zero"), ("bounds", "integer"), ("concurrency", "reentrancy|dma|race|concurrent"),
+            ("authz", "installer|elevation|privilege|unprivileged"), ("path-resolution", "traversal|directory|path"),
+        ),
+        "logic",
+    ),
+    "glibc": (
+        (
+            ("authz", "ld_library_path|setuid|environment variable|cwe-426"), ("bounds", "cwe-12[0125]|cwe-787"), ("integer", "integer overflow|wraparound|cwe-190"),
+            ("memory-lifetime", "use-after-free|double free|cwe-41[56]"), ("concurrency", "race condition|concurrency|deadlock"),
+            ("bounds", "out-of-bounds|buffer overflow|bounds check"), ("parser", "parser|format string"),
+        ),
+        "logic",
+    ),
+}
+# Fixed value: advisories whose family is known to be another.
+KNOWN_FAMILIES = {"CVE-2022-26354": "memory-lifetime"}
+
+
+def pattern_family(project: str, text: Column, classes: Column | None = None, identifier: Column | None = None) -> Column:
+    """The family that a project's rules give to a description, whose stated classes (array) count as its words."""
+    rules, default = FAMILIES[project]
+    words = text if classes is None else F.concat_ws(" ", text, F.concat(F.array_join(classes, " "), F.lit(" ")))
+    found = F.when(F.coalesce(words, F.lit("")) == "", default).otherwise(family(words, list(rules), default))
+    if identifier is None:
+        return found
+    for name, known in KNOWN_FAMILIES.items():
+        found = F.when(identifier == name, known).otherwise(found)
+    return found
+
+
 def guarded(column: Column, kind: str) -> Column:
     """Whether a value is well formed: kind cve, cwe, sha, date or project. Null is not."""
     return F.coalesce(column.rlike(GUARDS[kind]) & ~column.endswith("\n"), F.lit(False))

@@ -73,6 +73,23 @@ def with_class_names(frame: DataFrame, curated: DataFrame, official: DataFrame,
     return names.withColumn("title", F.coalesce("_official", "_curated", default)).drop("_official", "_curated")
 
 
+# What flaws of some classes presuppose.
+PRECONDITIONS = {
+    "Untrusted buffer length or unbounded string processing": ("CWE-119", "CWE-120", "CWE-125", "CWE-787"),
+    "Asynchronous lifecycle, double free, or aliased pointer reuse": ("CWE-416",),
+    "Unchecked return value from allocator or lookup function": ("CWE-476",),
+    "Multithreaded / interrupt context without adequate lock barrier": ("CWE-362",),
+    "Missing boundary / sanitize check on incoming payload": ("CWE-20", "CWE-200"),
+    "Resource exhaustion path without rate limit or quota": ("CWE-399", "CWE-400", "CWE-401"),
+}
+
+
+def preconditions(cwe: Column) -> Column:
+    """Array of what a class presupposes; empty for others."""
+    stated = F.array(*(F.when(cwe.isin(*classes), text) for text, classes in PRECONDITIONS.items()))
+    return F.array_compact(stated)
+
+
 def provenance_summary(rows: DataFrame, sources: tuple[str, ...]) -> DataFrame:
     """(source, n): rows by where their class is from: catalog, each of the overlay's sources (0 included), and unknown.
 

@@ -50,9 +50,10 @@ def first_unit(line: Column, units: Column) -> Column:
 
 
 def diff_lines(patches: DataFrame, keys: list[str], patch: str = "patch") -> DataFrame:
-    """(keys, pos, kind, old_line, new_line, text) of a unified diff's lines; kind is +, - or blank.
+    """(keys, hunk, pos, kind, old_line, new_line, text, context) of a unified diff's lines; kind is +, - or blank.
 
-    Line numbers run on from the hunk's header; the marker for a missing last newline is no line.
+    Line numbers run on from the hunk's header; the marker for a missing last newline is no line. context is what the
+    header says behind its ranges.
     """
     lines = patches.where(F.col(patch).isNotNull()).select(*keys, F.posexplode(F.split(patch, "\n")).alias("pos", "raw"))
     header = F.col("raw").rlike(r"^@@ -[0-9]+(?:,[0-9]+)? \+[0-9]+(?:,[0-9]+)? @@")
@@ -60,6 +61,7 @@ def diff_lines(patches: DataFrame, keys: list[str], patch: str = "patch") -> Dat
     so_far = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     marked = (
         lines.withColumn("_old", number(r"^@@ -([0-9]+)")).withColumn("_new", number(r"^@@ -[0-9]+(?:,[0-9]+)? \+([0-9]+)"))
+        .withColumn("_context", F.when(header, F.regexp_extract("raw", r"^@@ [^@]* @@ ?(.*)$", 1)))
         .withColumn("hunk", F.sum(F.when(header, 1).otherwise(0)).over(so_far))
         .withColumn("kind", F.when(header | (F.col("hunk") == 0) | F.col("raw").startswith("\\") | (F.col("raw") == ""), None).otherwise(F.substring("raw", 1, 1)))
     )
@@ -68,12 +70,12 @@ def diff_lines(patches: DataFrame, keys: list[str], patch: str = "patch") -> Dat
     new_step = F.when(F.col("kind").isin("+", " "), 1).otherwise(0)
     counted = marked.withColumn("old_line", F.first("_old", True).over(within) + F.sum(old_step).over(within) - 1).withColumn(
         "new_line", F.first("_new", True).over(within) + F.sum(new_step).over(within) - 1
-    )
+    ).withColumn("context", F.first("_context", True).over(within))
     return counted.where("kind is not null").select(
         *keys, "hunk", "pos", "kind",
         F.when(F.col("kind") != "+", F.col("old_line")).alias("old_line"),
         F.when(F.col("kind") != "-", F.col("new_line")).alias("new_line"),
-        F.expr("substring(raw, 2)").alias("text"),
+        F.expr("substring(raw, 2)").alias("text"), "context",
     )
 
 

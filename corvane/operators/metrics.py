@@ -23,6 +23,24 @@ def any_complete(records: Column, evidence: Column) -> Column:
     return F.exists(records, lambda r: F.size(F.array_except(evidence, r)) == 0)
 
 
+def citation_completeness(records: Column, evidence: Column, found: Column) -> Column:
+    """Share of the pairs of an expected record and a required piece of evidence that the results cite; null if none is required.
+
+    records and evidence: arrays of ids; found: array of (record, evidence, url, sha256). Evidence ids are local to a record, so
+    another record's don't count, nor does a citation without a URL or a hash.
+    """
+    sound = F.filter(found, lambda f: (F.coalesce(f["url"], F.lit("")) != "") & (F.coalesce(f["sha256"], F.lit("")) != ""))
+    cited = F.array_distinct(F.transform(sound, lambda f: F.struct(f["record"].alias("r"), f["evidence"].alias("e"))))
+    wanted = F.size(F.array_distinct(records)) * F.size(F.array_distinct(evidence))
+    hits = F.size(F.filter(cited, lambda p: F.array_contains(records, p["r"]) & F.array_contains(evidence, p["e"])))
+    return F.when(wanted > 0, hits / wanted)
+
+
+def means(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: the mean of each column over the queries that have a value, null if none has; and the number of queries."""
+    return frame.agg(F.count("*").alias("n"), *(F.avg(F.col(c).cast("double")).alias(c) for c in columns))
+
+
 def verdict_rates(frame: DataFrame, keys: list[str], verdict: str, names: list[str]) -> DataFrame:
     """n, the count of each verdict and its rate; the rate of nothing is null."""
     grouped = frame.groupBy(*keys) if keys else frame.groupBy()
@@ -45,14 +63,15 @@ def cohens_kappa(frame: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def reviewer_summary(reviews: DataFrame) -> DataFrame:
-    """One row: items, reviewers, reviewed once, never reviewed, paired, from (id, reviewer, expect)."""
-    per_item = reviews.groupBy("id").agg(F.array_sort(F.collect_set("reviewer")).alias("who"))
+    """One row: items, reviewers, reviewed once, never reviewed, paired and agreed (pairs of one opinion), from (id, reviewer, expect)."""
+    per_item = reviews.groupBy("id").agg(F.array_sort(F.collect_set("reviewer")).alias("who"), F.countDistinct(F.when(F.col("reviewer").isNotNull(), F.col("expect"))).alias("opinions"))
     who = reviews.agg(F.countDistinct("reviewer").alias("reviewers"))
     return per_item.agg(
         F.count("*").alias("items"),
         F.count_if(F.size("who") == 1).alias("single"),
         F.count_if(F.size("who") == 0).alias("unreviewed"),
         F.count_if(F.size("who") >= 2).alias("paired"),
+        F.count_if((F.size("who") >= 2) & (F.col("opinions") == 1)).alias("agreed"),
     ).crossJoin(F.broadcast(who))
 
 

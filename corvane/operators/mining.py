@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from corvane.functions.text import trailers
 from corvane.functions.vectors import map_difference
 from corvane.operators.audit import masked
-from corvane.operators.comparing import added_guards, full_outer, limit_breadth
-from corvane.operators.intervals import in_ranges
+from corvane.operators.comparing import added_guards, full_outer, limit_breadth, unique_pairs
+from corvane.operators.intervals import first_unit, in_ranges
 
 #: From good to bad; a whole is as good as its worst part.
 COVERAGE_ORDER = ("OK", "PARSER_SKIPPED", "INCOMPLETE")
@@ -132,17 +132,19 @@ def changed_units(found: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def attribute_lines(lines: DataFrame, found: DataFrame) -> DataFrame:
-    """(path, symbol, added, removed, conditional, coverage) of diff lines by the unit that holds them.
+    """(path, symbol, method, added, removed, conditional, coverage) of diff lines by the unit that holds them.
 
-    lines: (path, kind, old_line, new_line); found: units of both sides with `side` old or new.
-    Lines outside all units count for symbol null, with coverage INCOMPLETE.
+    lines: (path, kind, old_line, new_line, context); found: units of both sides with `side` old or new. The method is ast for
+    lines in a unit; others go to the function that their hunk's header names (hunk_fallback), or to the file (symbol null), with
+    coverage INCOMPLETE.
     """
     line = F.when(F.col("kind") == "-", F.col("old_line")).otherwise(F.col("new_line"))
     changed = lines.where(F.col("kind").isin("+", "-")).withColumns({"line": line, "side": F.when(F.col("kind") == "-", "old").otherwise("new")})
     arrays = found.groupBy("path", "side").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "symbol", "conditional", "coverage"))).alias("_units"))
-    holder = F.get(F.filter("_units", lambda u: (u["start"] <= F.col("line")) & (F.col("line") <= u["stop"])), F.lit(0))
-    placed = changed.join(arrays, ["path", "side"], "left").withColumn("_unit", holder)
-    return placed.groupBy("path", F.col("_unit.symbol").alias("symbol")).agg(
+    placed = changed.join(arrays, ["path", "side"], "left").withColumn("_unit", first_unit(F.col("line"), F.col("_units")))
+    held = F.col("_unit").isNotNull()
+    named = hunk_symbol(F.col("context") if "context" in lines.columns else F.lit(None).cast("string"))
+    return placed.groupBy("path", F.when(held, F.col("_unit.symbol")).otherwise(named).alias("symbol"), F.when(held, "ast").otherwise("hunk_fallback").alias("method")).agg(
         F.count_if(F.col("kind") == "+").alias("added"),
         F.count_if(F.col("kind") == "-").alias("removed"),
         F.coalesce(F.bool_or("_unit.conditional"), F.lit(False)).alias("conditional"),
@@ -150,6 +152,17 @@ def attribute_lines(lines: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def revision_index(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(path, symbol, state, before, after): units of two revisions that have their path and name once on either side.
+
+    before and after: units as `units` gives them. The state is unchanged or changed by the hash of the body, or skipped where one has none.
+    """
+    pairs = unique_pairs(before, after, ["path", "symbol"])
+    old, new = F.col("before.body_sha256"), F.col("after.body_sha256")
+    state = F.when(old.isNull() | new.isNull(), "skipped").when(old == new, "unchanged").otherwise("changed")
+    return pairs.select("path", "symbol", state.alias("state"), "before", "after")
+
+
 def hunk_symbol(context: Column) -> Column:
     """The function that a hunk header's context names: the first `name(` that is no keyword; null for file scope."""
     name = F.regexp_extract(F.coalesce(context, F.lit("")), r"([A-Za-z_][A-Za-z0-9_]*)\s*\(", 1)

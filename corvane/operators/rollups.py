@@ -46,6 +46,14 @@ def pattern_families(frame: DataFrame, family: str, key: str, project: str, fixe
     return counts.join(shares, family).join(ids, family).orderBy(F.col("n").desc(), "least")
 
 
+def class_counts(frame: DataFrame, cwe: str, project: str) -> DataFrame:
+    """(cwe, n, projects): counts by class with a map of projects; what is no CWE-<n> counts as UNKNOWN."""
+    bucket = F.when(F.col(cwe).rlike("^CWE-[0-9]+$"), F.col(cwe)).otherwise("UNKNOWN")
+    each = frame.groupBy(bucket.alias("cwe"), project).agg(F.count("*").alias("n"))
+    shares = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(project), F.col("n")))))
+    return each.groupBy("cwe").agg(F.sum("n").alias("n"), shares.alias("projects"))
+
+
 def maturity(checks: list[tuple[Column, int]], claimed: Column) -> Column:
     """Weighted sum of passed checks, not above what is claimed; a claim that is no number counts as 0."""
     raw = sum((F.when(ok, weight).otherwise(0) for ok, weight in checks), F.lit(0))
@@ -62,6 +70,14 @@ def first_reason(tests: list[tuple[str, Column]]) -> Column:
     return F.coalesce(*(F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in tests))
 
 
+def slice_summary(judged: DataFrame, family: str) -> DataFrame:
+    """(coverage, accepted, families) of a study slice: WINDOW_SAMPLED if any row was accepted, else INCOMPLETE; counts by family."""
+    kept = judged.where("reason is null").groupBy(F.col(family).alias("family")).agg(F.count("*").alias("n"))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    families = F.map_from_entries(F.array_sort(F.collect_list(F.struct("family", "n"))))
+    return kept.agg(F.when(total > 0, "WINDOW_SAMPLED").otherwise("INCOMPLETE").alias("coverage"), total.alias("accepted"), families.alias("families"))
+
+
 def study_slice(frame: DataFrame, tests: list[tuple[str, Column]], order: list[Column], examine: int = 40, keep: int = 8) -> DataFrame:
     """Of the first `examine` rows in order, with the first failing test as `reason`, the first `keep` accepted ones.
 

@@ -105,6 +105,18 @@ def with_status(found: DataFrame) -> DataFrame:
     return found.agg(F.when(n > 0, "EVIDENCE_FOUND").otherwise("ABSTAIN_NO_MATCH").alias("status"), n.alias("n_found"))
 
 
+def with_payload(found: DataFrame, parts: dict[str, DataFrame], key: str) -> DataFrame:
+    """Found rows with what belongs to them: for each of the parts (rows with record_id, e.g. claims, evidence, edges) an array of
+    structs, sorted, empty where there is none. Parts are cut to the found records before they are gathered."""
+    out = found
+    for name, rows in parts.items():
+        fields = [c for c in rows.columns if c != "record_id"]
+        own = rows.join(found.select(F.col(key).alias("record_id")), "record_id", "left_semi")
+        gathered = own.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name)).withColumnRenamed("record_id", "_record")
+        out = out.join(gathered, F.col(key) == F.col("_record"), "left").drop("_record").withColumn(name, F.coalesce(name, F.array().cast(gathered.schema[name].dataType)))
+    return out
+
+
 def rerank(found: DataFrame, symbols: list[str], paths: list[str], symbol_tokens: str, path_tokens: str, key: str, keep: int = 5) -> DataFrame:
     """Re-orders a first result by 4 points for each shared symbol and 2 for each shared path token."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions import advisories as A
-from corvane.operators import atlas, audit, dependencies, matching, merging, mining
+from corvane.operators import atlas, audit, dependencies, matching, merging, mining, rollups
 from corvane.plans.registry import query
 from corvane.session import checkpointed
 from corvane.sources import packs
@@ -336,3 +336,25 @@ def pack_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     claims = orders.select("record_id", "id", F.lit("hypothesis").alias("status"), F.lit("t").alias("text"), F.array("id").alias("evidence_ids"))
     return packs.pack_violations({"records": records, "nodes": nodes, "edges": edges, "evidence": evidence, "claims": claims})
+
+
+@query("""
+WITH r AS (SELECT CASE WHEN o_custkey % 7 = 0 THEN 'UNKNOWN' ELSE concat('CWE-', o_custkey % 20) END AS cwe, o_orderstatus AS s FROM orders), c AS (SELECT cwe, s, count(*) AS n FROM r GROUP BY 1, 2)
+SELECT cwe, CAST(sum(n) AS BIGINT) AS n, string_agg(concat(s, ':', n), ',' ORDER BY s) AS projects FROM c GROUP BY 1
+""")
+def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cwe = F.when(F.col("o_custkey") % 7 == 0, "not stated").otherwise(F.concat(F.lit("CWE-"), (F.col("o_custkey") % 20).cast("string")))
+    counts = rollups.class_counts(table(spark, sf_dir, "orders").select(cwe.alias("cwe"), F.col("o_orderstatus").alias("project")), "cwe", "project")
+    entries = F.transform(F.map_entries("projects"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
+    return counts.select("cwe", "n", F.array_join(F.array_sort(entries), ",").alias("projects"))
+
+
+@query("""
+WITH w AS (SELECT p_partkey AS k, ['double free', 'an OUT-OF-BOUNDS read', 'underflow', 'a deadlock', 'permission', 'digest', 'symlink', 'denial of service', 'mishandled', 'nothing', ''][CAST(p_partkey % 11 AS INT) + 1] AS t FROM part)
+SELECT k, CASE k % 11 WHEN 0 THEN 'memory-lifetime' WHEN 1 THEN 'bounds' WHEN 2 THEN 'integer' WHEN 3 THEN 'concurrency' WHEN 4 THEN 'authz' WHEN 5 THEN 'crypto' WHEN 6 THEN 'path-resolution' WHEN 7 THEN 'resource-accounting' WHEN 8 THEN 'logic' ELSE 'unknown' END AS sqlite,
+  CASE k % 11 WHEN 0 THEN 'memory-lifetime' WHEN 1 THEN 'bounds' WHEN 2 THEN 'integer' ELSE 'logic' END AS qemu FROM w
+""")
+def pattern_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = ("double free", "an OUT-OF-BOUNDS read", "underflow", "a deadlock", "permission", "digest", "symlink", "denial of service", "mishandled", "nothing", "")
+    text = F.get(F.array(*(F.lit(w) for w in words)), (F.col("p_partkey") % len(words)).cast("int"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), A.pattern_family("sqlite", text).alias("sqlite"), A.pattern_family("qemu", text).alias("qemu"))

@@ -87,11 +87,11 @@ def related_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH r AS (SELECT o_custkey AS id, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS reviewer FROM orders), i AS (SELECT id, count(DISTINCT reviewer) AS n FROM r GROUP BY 1)
-SELECT count(*) AS items, count(*) FILTER (n = 1) AS single, count(*) FILTER (n = 0) AS unreviewed, count(*) FILTER (n >= 2) AS paired, (SELECT count(DISTINCT reviewer) FROM r) AS reviewers FROM i
+WITH r AS (SELECT o_custkey AS id, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS reviewer, o_orderkey % 40 > 0 AS expect FROM orders), i AS (SELECT id, count(DISTINCT reviewer) AS n, count(DISTINCT expect) FILTER (reviewer IS NOT NULL) AS o FROM r GROUP BY 1)
+SELECT count(*) AS items, count(*) FILTER (n = 1) AS single, count(*) FILTER (n = 0) AS unreviewed, count(*) FILTER (n >= 2) AS paired, count(*) FILTER (n >= 2 AND o = 1) AS agreed, (SELECT count(DISTINCT reviewer) FROM r) AS reviewers FROM i
 """)
 def reviewer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reviews = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("reviewer"))
+    reviews = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("reviewer"), (F.col("o_orderkey") % 40 > 0).alias("expect"))
     return metrics.reviewer_summary(reviews)
 
 

@@ -360,3 +360,53 @@ def test_fingerprints_keep_guards_and_coverage(spark):
     got = mining.function_units("int g(void) {\n {\n" + unit.replace("f", "h"))
     assert [(u[0], u[5], u[3] is None) for u in got] == [("g", "PARSER_SKIPPED", True), ("h", "OK", False)]
     assert mining.function_units("int f(int a)\n{\n#if X\n a;\n#endif\n}\n")[0][4] is False
+
+
+def test_families_of_descriptions(spark):
+    cases = [("sqlite", "A double free in x", "memory-lifetime"), ("sqlite", "deadlock", "concurrency"), ("sqlite", "zz", "unknown"), ("sqlite", "", "unknown"), ("systemd", "OOB read", "bounds"), ("qemu", "integer issue", "bounds"), ("qemu", "zz", "logic"), ("glibc", "Format string", "parser")]
+    for project, text, want in cases:
+        assert values(spark.createDataFrame([(text,)], "t string"), A.pattern_family(project, F.col("t"))) == [want]
+    glibc = spark.createDataFrame([("zz", ["CWE-125"]), ("zz", []), ("setuid", ["CWE-190"])], "t string, c array<string>")
+    assert values(glibc, A.pattern_family("glibc", F.col("t"), F.col("c"))) == ["bounds", "logic", "authz"]
+    known = spark.createDataFrame([("race", "CVE-2022-26354"), ("race", "CVE-1")], "t string, i string")
+    assert values(known, A.pattern_family("qemu", F.col("t"), None, F.col("i"))) == ["memory-lifetime", "concurrency"]
+    classes = spark.createDataFrame([("CWE-125",), ("CWE-401",), ("CWE-7",), (None,)], "c string")
+    assert [len(x) for x in values(classes, atlas.preconditions(F.col("c")))] == [1, 1, 0, 0]
+
+
+def test_measures_and_payloads(spark):
+    from corvane.operators import intervals, metrics, rollups, search
+
+    pairs = "array<struct<record:string,evidence:string,url:string,sha256:string>>"
+    frame = spark.createDataFrame([(["r"], ["a", "b"], [("r", "a", "u", "h"), ("x", "b", "u", "h"), ("r", "b", "", "h")]), (["r"], [], []), (["r"], ["a"], [("r", "a", "u", "h")] * 2)], f"r array<string>, e array<string>, f {pairs}")
+    got = frame.select(metrics.citation_completeness(F.col("r"), F.col("e"), F.col("f")).alias("c"))
+    assert [r.c for r in got.collect()] == [0.5, None, 1.0] and tuple(metrics.means(got, ["c"]).first()) == (3, 0.75) and metrics.means(got.limit(0), ["c"]).first().c is None
+    reviews = spark.createDataFrame([("i", "a", "x"), ("i", "b", "x"), ("j", "a", "x"), ("j", "b", "y"), ("k", "a", "x"), ("l", None, None)], "id string, reviewer string, expect string")
+    row = metrics.reviewer_summary(reviews).first()
+    assert (row["items"], row.single, row.unreviewed, row.paired, row.agreed, row.reviewers) == (4, 1, 1, 2, 1, 2)
+    found = spark.createDataFrame([("r", 1), ("s", 2)], "id string, score int")
+    claims = spark.createDataFrame([("r", "c2"), ("r", "c1"), ("zz", "c9")], "record_id string, claim string")
+    assert [(r.id, [c.claim for c in r.claims]) for r in search.with_payload(found, {"claims": claims}, "id").orderBy("score").collect()] == [("r", ["c1", "c2"]), ("s", [])]
+    counts = {r.cwe: (r.n, r.projects) for r in rollups.class_counts(spark.createDataFrame([("CWE-1", "p"), ("cwe-1", "p"), (None, "q"), ("CWE-1", "q")], "c string, p string"), "c", "p").collect()}
+    assert counts == {"CWE-1": (2, {"p": 1, "q": 1}), "UNKNOWN": (2, {"p": 1, "q": 1})}
+    judged = spark.createDataFrame([("a", None), ("a", None), ("b", "no"), ("c", None)], "family string, reason string")
+    assert tuple(rollups.slice_summary(judged, "family").first()) == ("WINDOW_SAMPLED", 3, {"a": 2, "c": 1}) and rollups.slice_summary(judged.limit(0), "family").first().coverage == "INCOMPLETE"
+    patch = "--- a/x.c\n+++ b/x.c\n@@ -1,2 +1,3 @@ int outer(int a)\n a\n+b\n c\n@@ -9 +10,2 @@\n x\n+y\n"
+    lines = intervals.diff_lines(spark.createDataFrame([("x.c", patch)], "path string, patch string"), ["path"])
+    units = spark.createDataFrame([], "path string, symbol string, start int, stop int, body_sha256 string, conditional boolean, coverage string, side string")
+    assert sorted((r.symbol or "", r.method, r.added, r.coverage) for r in mining.attribute_lines(lines, units).collect()) == [("", "hunk_fallback", 1, "INCOMPLETE"), ("outer", "hunk_fallback", 1, "INCOMPLETE")]
+    code = "int f(void) {\n a;\n}\nint g(void) {\n b;\n}\n"
+    files = spark.createDataFrame([("x.c", code, code.replace("b;", "c;"))], "path string, old string, new string")
+    index = mining.revision_index(*(mining.units(files.select("path", F.col(c).alias("text"))) for c in ("old", "new")))
+    assert sorted((r.symbol, r.state) for r in index.collect()) == [("f", "unchanged"), ("g", "changed")]
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from corvane import __main__ as command
+
+    path = str(tmp_path / "atlas")
+    spark.createDataFrame([("curl", "CVE-1", "CWE-1", "G", "2020", None, ["s"], "heap overflow read")], "project string, id string, cwe string, group string, published string, subsystem string, fixes array<string>, text string").write.parquet(path)
+    monkeypatch.setattr(command, "local_session", lambda: spark)
+    assert command.main(["--atlas", path, "show", "CVE-1"]) == 0 and json.loads(capsys.readouterr().out)["project"] == "curl"
+    assert command.main(["--atlas", path, "stats"]) == 0 and len(capsys.readouterr().out.splitlines()) == 2
+    assert command.main(["--atlas", path, "tree", "--cwe", "cwe-1"]) == 0 and command.main(["--atlas", path, "ask", "heap read"]) == 0 and command.main(["--atlas", path, "find", "nothing"]) == 1
