@@ -343,12 +343,19 @@ class _Page:
 
         def inside() -> None:
             if rng.random() < 0.8:
-                self.leaf("h1", self.words(2, 12, rng.choice(("", "."))), True)
+                self.leaf(rng.choice(("h1",) * 4 + ("h2",)), self.words(2, 12, rng.choice(("", "."))), True)
             for _ in range(rng.randint(1, 3)):
                 self.paragraphs(True, rng.choice((0, 1, 2)), rng.choice((2, 5, 14)))
-                if rng.random() < 0.15:
-                    rng.choice((self.advert, self.side, self.form, self.menu))()
-
+                if rng.random() < 0.2:
+                    rng.choice((self.advert, self.advert, self.side, self.form, self.menu))()
+
+        if rng.random() < 0.1:  # a page laid out as a table
+            self.html.append("<table><tr><td>")
+            self.listing(False, True)
+            self.html.append("</td><td>")
+            inside()
+            self.html.append("</td></tr></table>")
+            return
         tag = rng.choice(("article",) * 6 + ("main", "main", "div", "div", "section"))
         self.box(tag, CONTENT, inside, 0.3)
 

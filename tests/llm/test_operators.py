@@ -729,17 +729,26 @@ HAND_WRITTEN = [
     ("<nav class='breadcrumb'><a href='/'>Home</a> &gt; <a href='/n'>News</a></nav><div itemprop='articleBody' class='article-body'><p>The council met on Monday to vote on the bridge.</p><p>Nine members were in favour, two were against.</p><p>Work will begin in spring.</p></div><form action='/s'><label>Your mail</label><input><button>Subscribe</button></form>", ["The council met on Monday to vote on the bridge.", "Nine members were in favour, two were against.", "Work will begin in spring."]),
 ]
 
+# the same, written after the generator was last changed
+LATER_WRITTEN = [
+    ("<body><header><a href=/ class=logo>The Daily</a><nav><a href=/w>World</a><a href=/s>Sport</a></nav></header><main><h1>Trains late again</h1><p>Snow held up trains on the northern line on Friday.</p><figure><img src=a.jpg><figcaption>A train in the snow.</figcaption></figure><p>Most were running again by evening, the operator said.</p></main><section class=newsletter><h3>Newsletter</h3><p>Get our news by mail.</p></section><footer><ul><li><a href=/i>Imprint</a><li><a href=/p>Privacy</a></ul></footer></body>", ["Trains late again", "Snow held up trains on the northern line on Friday.", "A train in the snow.", "Most were running again by evening, the operator said."]),
+    ("<div id=page><div id=banner><p>Free delivery this week!</p></div><div id=content><div class=entry><h2>How to sharpen a knife</h2><ol><li>Wet the stone.</li><li>Hold the blade at a low angle.</li><li>Draw it across the stone ten times.</li></ol><p>Repeat on the other side until the edge is keen.</p></div></div><div id=sidebar><h3>Archive</h3><ul><li><a href=/1>May</a></li><li><a href=/2>June</a></li></ul></div></div>", ["How to sharpen a knife", "Wet the stone.", "Hold the blade at a low angle.", "Draw it across the stone ten times.", "Repeat on the other side until the edge is keen."]),
+    ("<article class=blog-post><div class=meta><span>12 May</span></div><h1>On rivers</h1><p>A river is never the same twice, as the old saying goes, and yet we give it a name.</p><pre>flow = width * depth * speed</pre><p>Measured over a year, the numbers vary less than one would think.</p><div class='share social'><a href=#>Share</a><a href=#>Like</a></div></article><div id=disqus><p>First!</p><p>I disagree with the second part.</p></div>", ["On rivers", "A river is never the same twice, as the old saying goes, and yet we give it a name.", "flow = width * depth * speed", "Measured over a year, the numbers vary less than one would think."]),
+    ("<html><body><center><font size=5>My cat page</font></center><hr><p>This is my cat. She is grey and sleeps all day long on the chair by the window.<p>She was born in a barn in the spring of that year.<hr><a href=index.html>Back</a></body></html>", ["My cat page", "This is my cat. She is grey and sleeps all day long on the chair by the window.", "She was born in a barn in the spring of that year."]),
+]
 
-def test_hand_written_pages():
+
+@pytest.mark.parametrize(("pages", "most"), [(HAND_WRITTEN, 0.15), (LATER_WRITTEN, 0.35)])
+def test_hand_written_pages(pages, most):
     """Pages unlike those that training saw; the share of wrong blocks is published in the README."""
     model, wrong, total = html_extraction.train(), 0, 0
-    for text, main in HAND_WRITTEN:
+    for text, main in pages:
         page = blocks(text)
         labels = html_extraction.label_pages([page], model)[0]
         wrong += sum(bool(m) != (b.text in main) for b, m in zip(page, labels, strict=True))
         total += len(page)
     print("hand-written blocks wrong:", wrong, "of", total)
-    assert wrong / total <= 0.15
+    assert wrong / total <= most
 
 
 def test_gradients_are_right():
