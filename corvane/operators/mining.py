@@ -269,3 +269,20 @@ def citations(families: DataFrame, evidence: DataFrame, most: int = 3) -> DataFr
     best = F.row_number().over(Window.partitionBy("family", "advisory").orderBy(rank, "sha"))
     place = F.row_number().over(Window.partitionBy("family").orderBy(rank, "advisory", "sha"))
     return candidates.withColumn("_best", best).where("_best = 1").withColumn("place", place).where(F.col("place") <= most).drop("_best")
+
+
+def guardrail_families(rules: DataFrame, clusters: DataFrame, evidence: DataFrame, most: int = 3) -> DataFrame:
+    """(cwe, title, rules, citations, covered): classes that a rule is about, with up to `most` citations of fixes each.
+
+    rules: (rule_id, cwe); clusters: (cwe, title, samples); evidence as for `citations`, of which only full hashes count. A class
+    without a cluster goes by its id, and without evidence it is not covered and cites none.
+    """
+    families = rules.groupBy("cwe").agg(F.array_sort(F.collect_set("rule_id")).alias("rules"))
+    named = families.join(clusters.select("cwe", "title", "samples"), "cwe", "left")
+    examples = F.coalesce("samples", F.array().cast("array<string>"))
+    sound = evidence.where(F.col("sha").rlike("^[0-9a-f]{40}$"))
+    cited = citations(named.select(F.col("cwe").alias("family"), "cwe", examples.alias("examples")), sound, most)
+    gathered = cited.groupBy(F.col("family").alias("cwe")).agg(F.array_sort(F.collect_list(F.struct("place", "advisory", "sha", "kind"))).alias("citations"))
+    none = F.array().cast("array<struct<place:int,advisory:string,sha:string,kind:string>>")
+    joined = named.join(gathered, "cwe", "left")
+    return joined.select("cwe", F.coalesce("title", "cwe").alias("title"), "rules", F.coalesce("citations", none).alias("citations"), F.col("citations").isNotNull().alias("covered"))

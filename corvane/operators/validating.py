@@ -189,3 +189,34 @@ def receipt_violations(receipts: DataFrame) -> DataFrame:
         "digest": F.col("digest").rlike("^[0-9a-f]{64}$"),
         "path": ~F.col("id").rlike(r"\.\.|^/|\\"),
     })
+
+
+# The fields of an enrolment, and what they look like.
+REQUIRED, OPTIONAL = ("repo", "primary_contact"), ("auto_ccs", "homepage", "pgp", "disabled", "dockerfile", "threat_model")
+HTTPS_URL = r"^https://[^\s#]+(#[A-Za-z0-9._/-]{1,100})?$"
+ADDRESS = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+INNER_PATH = r"^(?!/)(?!.*\.\.)[A-Za-z0-9._/-]+$"
+
+
+def enrolment_problems(rows: DataFrame) -> DataFrame:
+    """rows with problems, an array of what is wrong with each enrolment; empty if nothing is.
+
+    rows: name, keys (array of the fields that are given), repo, primary_contact, auto_ccs (array), homepage, dockerfile, threat_model,
+    and has_dockerfile (whether one lies beside it). A bad name is the only problem that is told of its row.
+    """
+    none = F.array().cast("array<string>")
+    given = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    fits = lambda c, pattern: F.col(c).isNull() | F.col(c).rlike(pattern)
+    unknown = F.transform(F.array_except(F.coalesce("keys", none), F.array(*(F.lit(k) for k in REQUIRED + OPTIONAL))), lambda k: F.concat(F.lit("unknown field "), k))
+    people = F.concat(F.when(given("primary_contact"), F.array("primary_contact")).otherwise(none), F.coalesce("auto_ccs", none))
+    bad = F.transform(F.filter(people, lambda a: ~a.rlike(ADDRESS)), lambda a: F.concat(F.lit("bad email "), a))
+    beside = F.coalesce("has_dockerfile", F.lit(False))
+    single = F.array_compact(F.array(
+        *(F.when(~given(k), f"missing {k}") for k in REQUIRED),
+        F.when(~fits("repo", HTTPS_URL), "repo is no https URL"), F.when(~fits("homepage", r"^https://[^\s#]+(#.*)?$"), "homepage is no https URL"),
+        *(F.when(~fits(k, INNER_PATH), f"{k} is no path inside the repository") for k in ("dockerfile", "threat_model")),
+        F.when(~beside & F.col("dockerfile").isNull(), "a Dockerfile is required"), F.when(beside & F.col("dockerfile").isNotNull(), "a Dockerfile is given twice"),
+    ))
+    every = F.concat(unknown, single, bad)
+    good = F.coalesce(F.col("name").rlike("^[a-z0-9][a-z0-9._-]{0,62}$"), F.lit(False))
+    return rows.withColumn("problems", F.when(good, every).otherwise(F.array(F.lit("bad name"))))

@@ -410,3 +410,43 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     assert command.main(["--atlas", path, "show", "CVE-1"]) == 0 and json.loads(capsys.readouterr().out)["project"] == "curl"
     assert command.main(["--atlas", path, "stats"]) == 0 and len(capsys.readouterr().out.splitlines()) == 2
     assert command.main(["--atlas", path, "tree", "--cwe", "cwe-1"]) == 0 and command.main(["--atlas", path, "ask", "heap read"]) == 0 and command.main(["--atlas", path, "find", "nothing"]) == 1
+
+
+def test_site_files(spark, tmp_path):
+    from corvane.sources import site
+
+    rows = [("curl", "CVE-2", "CWE-1", "G", "2020-05", "net", True, False, True), ("curl", "CVE-1", None, "U", "", None, False, False, False), ("git", "CVE-1", "CWE-1", "G", "2020", None, True, True, False)]
+    atlas_ = spark.createDataFrame(rows, "project string, id string, cwe string, group string, published string, subsystem string, has_fix boolean, has_fragments boolean, has_fingerprint boolean")
+    vectors = spark.createDataFrame([("CVE-2", {"b": 1.5, "a": 2.0}), ("CVE-1", {})], "id string, features map<string,double>")
+    folder = str(tmp_path / "site")
+    site.write_site(atlas_, vectors, folder)
+    index = site.load_index(spark, folder).first()
+    assert (index.totals.cves, index.totals.projects, index.totals.with_fix, index.totals.with_fragments) == (3, 2, 2, 1)
+    assert [(g.name, g.cves, [(c.id, c.cves, [tuple(p) for p in c.projects]) for c in g.cwes]) for g in index.groups] == [("G", 2, [("CWE-1", 2, [("curl", 1), ("git", 1)])]), ("U", 1, [("UNKNOWN", 1, [("curl", 1)])])]
+    assert [(p.name, p.cves, [(y.year, y.n) for y in p.years]) for p in index.projects] == [("curl", 2, [("2020", 1)]), ("git", 1, [("2020", 1)])]
+    assert [(r.id, r.project) for r in site.load_search(spark, folder).collect()] == [("CVE-1", "curl"), ("CVE-1", "git"), ("CVE-2", "curl")]
+    assert spark.sql("select count(*) n from site_search where cwe = 'UNKNOWN'").first().n == 1
+    assert [r.value for r in spark.read.text(f"{folder}/vectors").collect()] == ['{"features":{},"id":"CVE-1"}', '{"features":{"a":2.0,"b":1.5},"id":"CVE-2"}']
+    assert spark.read.json(f"{folder}/cwe").where("class = 'CWE-1'").count() == 2
+    spark.createDataFrame([('{"schema":"other","groups":[]}',)], "value string").write.mode("overwrite").text(f"{folder}/index")
+    with pytest.raises(Exception, match="not an index document"):
+        site.load_index(spark, folder).collect()
+
+
+def test_guardrails_and_enrolments(spark):
+    rules = spark.createDataFrame([("R2", "CWE-1"), ("R1", "CWE-1"), ("R3", "CWE-2"), ("R4", "CWE-3")], "rule_id string, cwe string")
+    clusters = spark.createDataFrame([("CWE-1", "Ones", ["X-9"]), ("CWE-2", "Twos", [])], "cwe string, title string, samples array<string>")
+    evidence = spark.createDataFrame([("X-1", "CWE-1", SHA, "catalog"), ("X-9", "CWE-7", "b" * 40, "pack_record"), ("X-2", "CWE-2", "short", "catalog")], "advisory string, cwe string, sha string, kind string")
+    got = {r.cwe: (r.title, r.rules, [c.advisory for c in r.citations], r.covered) for r in mining.guardrail_families(rules, clusters, evidence).collect()}
+    assert got == {"CWE-1": ("Ones", ["R1", "R2"], ["X-9", "X-1"], True), "CWE-2": ("Twos", ["R3"], [], False), "CWE-3": ("CWE-3", ["R4"], [], False)}
+    rows = [
+        ("good", ["repo", "primary_contact"], "https://g/x", "a@b.c", ["d@e.f"], "https://h#x", None, None, True), ("Bad", [], None, None, None, None, None, None, None),
+        ("odd", ["repo", "zz"], "http://x", None, ["no"], "ftp://x", "../up", "/etc", True), ("bare", ["repo", "primary_contact"], "https://g/x", "a@b.c", None, None, None, None, False),
+    ]
+    frame = spark.createDataFrame(rows, "name string, keys array<string>, repo string, primary_contact string, auto_ccs array<string>, homepage string, dockerfile string, threat_model string, has_dockerfile boolean")
+    got = {r.name: r.problems for r in validating.enrolment_problems(frame).collect()}
+    assert got["good"] == [] and got["Bad"] == ["bad name"] and got["bare"] == ["a Dockerfile is required"]
+    assert got["odd"] == [
+        "unknown field zz", "missing primary_contact", "repo is no https URL", "homepage is no https URL", "dockerfile is no path inside the repository",
+        "threat_model is no path inside the repository", "a Dockerfile is given twice", "bad email no",
+    ]
