@@ -450,3 +450,23 @@ def test_guardrails_and_enrolments(spark):
         "unknown field zz", "missing primary_contact", "repo is no https URL", "homepage is no https URL", "dockerfile is no path inside the repository",
         "threat_model is no path inside the repository", "a Dockerfile is given twice", "bad email no",
     ]
+
+
+def test_reports(spark):
+    from corvane.sources import reports
+
+    found = spark.createDataFrame([("a.c", "f", 3, "A-1", 0.95, 0.1, [(7, "n", "copy")], 0.95), ("b.c", "g", 1, "A-2", 0.6, 0.5, [], 0.6)], "file string, name string, start_line int, advisory string, s_before double, s_after double, missing array<struct<line:int,var:string,callee:string>>, score double").orderBy(F.col("score").desc())
+    text = reports.findings_report(found)
+    assert "2 functions to review: 1 strong" in text and "- line 7: `n` goes to `copy` unchecked" in text and text.index("a.c") < text.index("b.c")
+    assert "Only the first 1 are shown" in reports.findings_report(found, 1) and reports.findings_report(found.limit(0)).endswith("No findings.\n")
+    clusters = spark.createDataFrame([("CWE-1", "Ones", 3, 2, {"b": 1, "a": 2}, ["X"], ["p"])], "cwe string, title string, n long, with_fix long, projects map<string,long>, examples array<string>, preconditions array<string>")
+    assert "3 advisories, 2 with a fix (a 2, b 1)" in reports.clusters_report(clusters)
+    families = spark.createDataFrame([("CWE-2", "Twos", ["R2"], [], False), ("CWE-9", "Nines", ["R1"], [(1, "X-1", SHA, "catalog")], True)], "cwe string, title string, rules array<string>, citations array<struct<place:int,advisory:string,sha:string,kind:string>>, covered boolean")
+    text = reports.guardrails_report(families)
+    assert "1 of 2 families have evidence" in text and text.index("CWE-9") < text.index("CWE-2") and f"X-1 fixed in `{SHA}`" in text
+    commits = spark.createDataFrame([("s<1", None, "fix <b>\nmore", ["f"] * 22, []), ("s2", "X", None, None, ["Fixes"])], "sha string, advisory string, message string, files array<string>, signals array<string>")
+    page = reports.review_page(commits)
+    assert "s&lt;1" in page and "fix &lt;b&gt;" in page and "more</td>" not in page and "and 2 more" in page and "UNBOUND" in page and "<b>" not in page
+    spots = audit.hotspots(spark.createDataFrame([("a.c", "R", 4), ("a.c", "R", 2)], "path string, rule_id string, line long"))
+    text = reports.threat_report("x", "does y", [], spots, families)
+    assert "- `a.c`: 2 findings: R at 2, 4" in text and "- CWE-9: Nines, 1 cited" in text and "CWE-2" not in text and "- not specified" in text
