@@ -14,6 +14,7 @@ from corvane.llm import (
     personal_data,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     token_counts,
     toxicity,
     url_filters,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "token_edits": token_counts.token_edits,
         "url_link_graph": url_filters.url_link_graph,
         "op9_html_extraction": html_extraction.op9_html_extraction,
+        "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
     }
 
 
