@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm import (
     decontamination,
+    hard_negatives,
     html_extraction,
     mixing,
     near_duplicates,
@@ -18,6 +19,7 @@ from corvane.llm import (
     token_counts,
     toxicity,
     url_filters,
+    vector_codes,
 )
 
 
@@ -38,6 +40,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "token_edits": token_counts.token_edits,
         "url_link_graph": url_filters.url_link_graph,
         "op9_html_extraction": html_extraction.op9_html_extraction,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_vector_codes": vector_codes.op12_vector_codes,
         "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
     }
 
@@ -49,4 +53,6 @@ def oracle_sql() -> dict[str, str]:
         "quality_base_measures": quality_rules.BASE_SQL,
         "mixing_targets": mixing.TARGETS_SQL,
         "url_rules": url_filters.RULES_SQL,
+        "op11_hard_negatives": hard_negatives.SQL,
+        "op12_vector_codes": vector_codes.SQL,
     }
