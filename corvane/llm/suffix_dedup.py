@@ -18,8 +18,8 @@ compared by content, never each with each:
 4. Marks go back to the places of their strings, are joined with the texts by their hash, and those bytes go.
 
 Texts that occur twice and are long enough go as a whole, and only one of them takes part in the search. A
-minimum with more than GROUP different strings, which a passage of hardly more than LENGTH bytes in very
-many surroundings could cause, would not fit a block: its windows are hashed and counted one by one.
+minimum whose different strings have more than GROUP bytes, which a passage of hardly more than LENGTH bytes in
+very many surroundings can cause, would not fit a block: its windows are hashed and counted one by one.
 """
 
 from __future__ import annotations
@@ -40,8 +40,9 @@ from corvane.sources.tables import table
 LENGTH = 200
 #: Bytes of the strings whose hashes are compared for the minimum.
 GRAM = 50
-#: Bytes of a block, and different strings of one minimum, at most (a group never leaves its block).
-BLOCK, GROUP = 1 << 20, 4096
+#: Bytes at which a block is closed, and bytes of the different strings of one minimum at most: a group stays in one
+#: block, so a block has less than their sum.
+BLOCK, GROUP = 3 << 18, 1 << 20
 #: Windows of one stretch at most, and windows that are hashed at a time.
 STRETCH, PIECE = 2048, 1 << 18
 #: Between the strings of a block; no UTF-8 text has this byte.
@@ -368,7 +369,8 @@ def repeated_runs(keyed: DataFrame, group: int = GROUP) -> DataFrame:
     stored = spark.read.schema("h long, string binary, digest binary, first int, bytes binary").parquet(folder)
     place = F.xxhash64("digest", "first")
     strings = stored.groupBy("h", "string").agg(F.max("bytes").alias("bytes"), (F.min(place) != F.max(place)).alias("several"))
-    crowded = checkpointed(stored.select("h", "string").distinct().groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > group).select("h"))
+    sizes = stored.groupBy("h", "string").agg(F.max(F.length("bytes") + 1).alias("n"))
+    crowded = checkpointed(sizes.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > group).select("h"))
     rest, counted = strings, None
     if not crowded.isEmpty():
         rest, counted = strings.join(crowded, "h", "left_anti"), _counted_windows(strings.join(crowded, "h", "left_semi"))
