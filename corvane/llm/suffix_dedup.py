@@ -364,7 +364,7 @@ def repeated_runs(keyed: DataFrame, group: int = GROUP) -> DataFrame:
     minima = keyed.mapInArrow(_minima, "h long, place long").groupBy("h").agg(F.min("place").alias("a"), F.max("place").alias("b"))
     often = checkpointed(minima.where("a <> b").select("h"))
     maybe, _ = suspects(keyed.mapInArrow(_places, "h long, digest binary, first int, windows int"), "h", often)
-    places = maybe.join(often, "h").groupBy("digest").agg(F.collect_set(F.struct("first", "h", "windows")).alias("stretch"))
+    places = checkpointed(maybe.join(often, "h").groupBy("digest").agg(F.collect_set(F.struct("first", "h", "windows")).alias("stretch")))
     _of_texts(keyed, places).mapInArrow(_strings, "h long, string binary, digest binary, first int, bytes binary").write.parquet(folder)
     stored = spark.read.schema("h long, string binary, digest binary, first int, bytes binary").parquet(folder)
     place = F.xxhash64("digest", "first")
