@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.functions.scores import scaled
-from corvane.operators import audit, merging, search
+from corvane.operators import audit, merging, search, text_index
 from corvane.plans.registry import query
 from corvane.sources.tables import table
 
@@ -40,14 +40,29 @@ def _bm25_sql(phrase_list: list[list[str]], limit: int = 10) -> str:
     """
 
 
+def _index(spark: SparkSession, sf_dir: str) -> text_index.TextIndex:
+    return text_index.index_of(table(spark, sf_dir, "documents"), "doc_id", "text", f"{sf_dir}/documents")
+
+
 @query(_bm25_sql(search.phrases(SEARCHED)))
 def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.bm25(table(spark, sf_dir, "documents"), SEARCHED, "doc_id", "text").withColumn("score", scaled(F.col("score")))
+    return _index(spark, sf_dir).search(SEARCHED, key="doc_id").withColumn("score", scaled(F.col("score")))
 
 
 @query(_bm25_sql(search.phrases(PHRASED)))
 def bm25_phrase_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.bm25(table(spark, sf_dir, "documents"), PHRASED, "doc_id", "text").withColumn("score", scaled(F.col("score")))
+    return _index(spark, sf_dir).search(PHRASED, key="doc_id").withColumn("score", scaled(F.col("score")))
+
+
+@query(_bm25_sql(search.phrases("worthless the"), 40).replace("FROM documents)", "FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN concat(text, ' worthless') ELSE text END AS text FROM documents))"))
+def bm25_after_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index in three slices, one of which is replaced by changed texts."""
+    documents, path = table(spark, sf_dir, "documents"), text_index.new_folder(spark)
+    for part in range(3):
+        text_index.upsert(documents.where(F.col("doc_id") % 3 == part), "doc_id", "text", path, str(part))
+    changed = documents.withColumn("text", F.concat("text", F.lit(" worthless")))
+    text_index.upsert(changed.where(F.col("doc_id") % 3 == 1), "doc_id", "text", path, "1")
+    return text_index.TextIndex(spark, path).search("worthless the", 40, key="doc_id").withColumn("score", scaled(F.col("score")))
 
 
 @query("""
