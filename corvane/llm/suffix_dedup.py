@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corvane.llm.idsets import suspects
 from corvane.session import bounded_batches, checkpointed, shared_folder
@@ -351,9 +352,12 @@ def _counted_windows(strings: DataFrame) -> DataFrame:
     windows = strings.select("string", "several", "bytes", F.explode(F.expr(f"sequence(0, length(bytes) - {LENGTH})")).alias("begin"))
     hashed = windows.select("string", "several", "begin", F.unhex(F.sha2(F.expr(f"substring(bytes, begin + 1, {LENGTH})"), 256)).alias("window"))
     place = F.xxhash64("string", "begin")
-    repeated = hashed.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("several").alias("several")).where("a <> b or several")
-    found = hashed.join(repeated.select("window"), "window").select("string", F.struct("begin", (F.col("begin") + 1).alias("end")).alias("run"))
-    return found.groupBy("string").agg(F.collect_list("run").alias("runs"))
+    counted = hashed.groupBy("window").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("several").alias("several"))
+    repeated = checkpointed(counted.where("a <> b or several").select("window"))  # a plain side, so that a skewed join can be split
+    nth = F.row_number().over(Window.partitionBy("string").orderBy("begin"))
+    islands = hashed.join(repeated, "window").select("string", "begin", (F.col("begin") - nth).alias("island"))
+    runs = islands.groupBy("string", "island").agg(F.min("begin").alias("begin"), (F.max("begin") + 1).alias("end"))
+    return runs.groupBy("string").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
 
 
 def repeated_runs(keyed: DataFrame, group: int = GROUP) -> DataFrame:
@@ -376,10 +380,9 @@ def repeated_runs(keyed: DataFrame, group: int = GROUP) -> DataFrame:
         rest, counted = strings.join(crowded, "h", "left_anti"), _counted_windows(strings.join(crowded, "h", "left_semi"))
     marks = rest.repartition("h").sortWithinPartitions("h").mapInArrow(_indexed, "string binary, runs array<struct<begin: int, end: int>>")
     marks = marks if counted is None else marks.unionByName(counted)
-    run = F.inline("runs")
-    found = stored.select("string", "digest", "first").join(marks, "string").select("digest", "first", run)
-    gone = found.select("digest", F.struct((F.col("first") + F.col("begin")).alias("begin"), (F.col("first") + F.col("end") + LENGTH - 1).alias("end")).alias("run"))
-    result = checkpointed(gone.groupBy("digest").agg(F.collect_list("run").alias("gone")))
+    in_text = F.expr(f"transform(runs, r -> struct(first + r.begin as begin, first + r.end + {LENGTH - 1} as end))")
+    gone = stored.select("string", "digest", "first").join(marks, "string").select("digest", in_text.alias("runs"))
+    result = checkpointed(gone.groupBy("digest").agg(F.flatten(F.collect_list("runs")).alias("gone")))
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return result
