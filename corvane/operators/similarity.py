@@ -42,29 +42,91 @@ def weighted(features: DataFrame, frequencies: DataFrame) -> DataFrame:
     return raw.withColumn("length", length).select("key", "feature", rounded(F.col("w")).alias("w"), "length", "df", "n")
 
 
-def related(features: DataFrame, is_query: Column, k: int = 10, cut: float = 0.05, min_keys: int = 40) -> DataFrame:
-    """(key, other, score, rank): the k most similar keys of each query key.
+#: A query is scored against that many keys of each of its RAREST features first, for a floor of its k-th best score.
+PROBES, RAREST = 32, 8
 
-    features: (key, feature, weight), one row per pair of key and feature. A feature that more
-    than `cut` of at least `min_keys` keys have finds no candidates, which keeps the join on
-    features free of hot keys, but it counts in the score. Ties go to the smaller key.
-    """
-    vectors = checkpointed(weighted(features, inverse_frequencies(features)))
-    selective = (F.col("n") < min_keys) | (F.col("df") <= cut * F.col("n"))
-    asked = vectors.where(is_query)
-    finders = asked.where(selective).select("key", "feature")
-    pairs = finders.join(vectors.where(selective).select(F.col("key").alias("other"), "feature"), "feature").where("key <> other").select("key", "other").distinct()
+
+def signs(vectors: DataFrame) -> DataFrame:
+    """(key, sign): the same sign for just the keys of equal vectors."""
+    whole = vectors.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("feature", "w"))).alias("v"), F.max("length").alias("length"))
+    return whole.select("key", F.unhex(F.sha2(F.to_json(F.struct("v", "length")), 256)).alias("sign"))
+
+
+def suffixes(vectors: DataFrame) -> DataFrame:
+    """Adds `rest`, the norm of a key's weights behind this feature in the order of (df, feature), and `upto`, with this one."""
+    later = Window.partitionBy("key").orderBy(F.col("df").desc(), F.col("feature").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    squares = F.coalesce(F.sum(F.col("w") * F.col("w")).over(later), F.lit(0.0))
+    return vectors.withColumn("rest", F.sqrt(squares)).withColumn("upto", F.sqrt(squares + F.col("w") * F.col("w")))
+
+
+def _scores(pairs: DataFrame, asked: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(key, other, score) of pairs from their whole vectors, above 0."""
     left = pairs.join(asked.select("key", "feature", F.col("w").alias("a"), F.col("length").alias("la")), "key")
     right = vectors.select(F.col("key").alias("other"), "feature", F.col("w").alias("b"), F.col("length").alias("lb"))
-    scores = (
+    return (
         left.join(right, ["other", "feature"])
         .groupBy("key", "other")
         .agg(F.sum(F.col("a") * F.col("b")).alias("dot"), F.first("la").alias("la"), F.first("lb").alias("lb"))
         .where("dot > 0")
         .select("key", "other", scaled(F.col("dot") / (F.col("la") * F.col("lb"))).alias("score"))
     )
+
+
+def candidates(vectors: DataFrame, asked: DataFrame, selective: Column, k: int) -> DataFrame:
+    """(key, other): pairs of `asked` with `vectors` that may be among the k best, no key with itself.
+
+    Features stand in one order for all keys, rare ones first. If a pair's first common feature is f, its product is at most
+    w_f * w_f' + rest * rest' by what both have behind f. A floor of each key's k-th best score, from exact scores with a few
+    keys of its rarest features, drops first the features from which on a key can't reach it with anything, which are then
+    not looked up, then the pairs whose bound stays below it. Equal scores stay, as ties go by key.
+    """
+    own, others = suffixes(asked), suffixes(vectors)
+    finders = own.where(selective)
+    posted = others.where(selective).select(F.col("key").alias("other"), "feature", F.col("w").alias("b"), F.col("rest").alias("behind"), F.col("length").alias("lb"))
+    rarest = finders.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("df", "feature"))).where(F.col("nth") <= RAREST)
+    few = posted.withColumn("nth", F.row_number().over(Window.partitionBy("feature").orderBy("other"))).where(F.col("nth") <= PROBES)
+    probes = rarest.select("key", "feature").join(few.select("feature", "other"), "feature").where("key <> other").select("key", "other").distinct()
+    placed = F.row_number().over(Window.partitionBy("key").orderBy(F.col("score").desc()))
+    floors = _scores(probes, asked, vectors).withColumn("nth", placed).where(F.col("nth") == k).select("key", F.col("score").alias("floor"))
+    longest = others.groupBy("key").agg((F.max("upto") / F.max("length")).alias("r")).agg(F.max("r").alias("r"))  # rounding can lengthen a vector
+    may = F.col("floor").isNull()
+    within = lambda bound: may | (scaled(bound * (1 + 1e-9)) >= F.col("floor"))
+    looked = finders.join(floors, "key", "left").crossJoin(F.broadcast(longest))  # one row
+    looked = looked.where(within(F.col("upto") / F.col("length") * F.col("r"))).select("key", "feature", "w", "rest", "length", "floor")
+    met = looked.join(posted, "feature").where("key <> other")
+    bound = (F.col("w") * F.col("b") + F.col("rest") * F.col("behind")) / (F.col("length") * F.col("lb"))
+    return met.where(within(bound)).select("key", "other").distinct()
+
+
+def related(features: DataFrame, is_query: Column, k: int = 10, cut: float = 0.05, min_keys: int = 40) -> DataFrame:
+    """(key, other, score, rank): the k most similar keys of each query key.
+
+    features: (key, feature, weight), one row per pair of key and feature. A feature that more
+    than `cut` of at least `min_keys` keys have finds no candidates, which keeps the join on
+    features free of hot keys, but it counts in the score. Ties go to the smaller key.
+
+    Keys of equal vectors are compared once, as a class: of a class only its k + 1 smallest keys can be among the k best of
+    any key. `candidates` bounds pairs of classes before whole vectors meet.
+    """
+    everything = checkpointed(weighted(features, inverse_frequencies(features)))
+    signed = checkpointed(signs(everything))
+    least = signed.groupBy("sign").agg(F.min("key").alias("class"))
+    place = F.row_number().over(Window.partitionBy("sign").orderBy("key"))
+    members = signed.withColumn("place", place).where(F.col("place") <= k + 1).join(least, "sign").select("key", "class")
+    selective = (F.col("n") < min_keys) | (F.col("df") <= cut * F.col("n"))
+    queries = checkpointed(signed.where(is_query).join(least, "sign").select("key", "class"))
+    vectors = checkpointed(everything.join(least.select(F.col("class").alias("key")), "key", "left_semi"))
+    asked = checkpointed(vectors.join(queries.select(F.col("class").alias("key")).distinct(), "key", "left_semi"))
+    pairs = candidates(vectors, asked, selective, k)
+    found = _scores(pairs, asked, vectors)
+    best = F.row_number().over(Window.partitionBy("key").orderBy(F.col("score").desc(), "other"))
+    found = found.withColumn("nth", best).where(F.col("nth") <= k).drop("nth")
+    itself = asked.where(selective).select("key").distinct()
+    own = _scores(itself.select("key", F.col("key").alias("other")), asked, vectors)
+    of_class = found.unionByName(own).select(F.col("key").alias("class"), F.col("other").alias("at"), "score")
+    spread = queries.join(of_class, "class").join(members.select(F.col("key").alias("other"), F.col("class").alias("at")), "at").where("key <> other")
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("score").desc(), "other"))
-    return scores.withColumn("rank", rank).where(F.col("rank") <= k)
+    return spread.select("key", "other", "score").withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 #: Weight of a feature by its prefix.
