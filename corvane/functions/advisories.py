@@ -78,26 +78,47 @@ FAMILIES: dict[str, tuple[tuple[tuple[str, str], ...], str]] = {
     ),
     "glibc": (
         (
-            ("authz", "ld_library_path|setuid|environment variable|cwe-426"), ("bounds", "cwe-12[0125]|cwe-787"), ("integer", "integer overflow|wraparound|cwe-190"),
-            ("memory-lifetime", "use-after-free|double free|cwe-41[56]"), ("concurrency", "race condition|concurrency|deadlock"),
-            ("bounds", "out-of-bounds|buffer overflow|bounds check"), ("parser", "parser|format string"),
+            ("authz", "ld_library_path|setuid|environment variable", ("CWE-426",)),
+            ("bounds", None, ("CWE-120", "CWE-121", "CWE-122", "CWE-125", "CWE-787")),
+            ("integer", "integer overflow|wraparound", ("CWE-190",)),
+            ("memory-lifetime", "use-after-free|double free", ("CWE-416", "CWE-415")),
+            ("concurrency", "race condition|concurrency|deadlock"),
+            ("bounds", "out-of-bounds|buffer overflow|bounds check"),
+            ("parser", "parser|format string"),
         ),
         "logic",
     ),
 }
-# Fixed value: advisories whose family is known to be another.
-KNOWN_FAMILIES = {"CVE-2022-26354": "memory-lifetime"}
+# Advisories whose family a project states itself.
+KNOWN_FAMILIES = {
+    "qemu": {
+        "CVE-2022-26354": "memory-lifetime",
+        "CVE-2023-40360": "logic",
+        "CVE-2023-42467": "integer",
+        "CVE-2023-0664": "authz",
+        "CVE-2022-35414": "logic",
+        "CVE-2022-2962": "concurrency",
+        "CVE-2022-26353": "memory-lifetime",
+        "CVE-2024-24474": "bounds",
+    },
+}
 
 
 def pattern_family(project: str, text: Column, classes: Column | None = None, identifier: Column | None = None) -> Column:
-    """The family that a project's rules give to a description, whose stated classes (array) count as its words."""
+    """The family that a project gives to an advisory: the one that it states for the identifier, else that of the first of its
+    rules of which a word occurs in the description, whatever its case, or a class is among the stated ones (an array)."""
     rules, default = FAMILIES[project]
-    words = text if classes is None else F.concat_ws(" ", text, F.concat(F.array_join(classes, " "), F.lit(" ")))
-    found = F.when(F.coalesce(words, F.lit("")) == "", default).otherwise(family(words, list(rules), default))
-    if identifier is None:
-        return found
-    for name, known in KNOWN_FAMILIES.items():
-        found = F.when(identifier == name, known).otherwise(found)
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    stated = F.coalesce(classes, F.array().cast("array<string>")) if classes is not None else F.array().cast("array<string>")
+    found = F.lit(default)
+    for name, words, *own in reversed(rules):
+        met = lower.rlike(words) if words else F.lit(False)
+        if own:
+            met = met | F.arrays_overlap(stated, F.array(*map(F.lit, own[0])))
+        found = F.when(F.coalesce(met, F.lit(False)), name).otherwise(found)
+    if identifier is not None:
+        for name, known in KNOWN_FAMILIES.get(project, {}).items():
+            found = F.when(identifier == name, known).otherwise(found)
     return found
 
 

@@ -11,9 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.functions.lexing import closing_braces, code_of
 from corvane.functions.text import trailers
 from corvane.functions.vectors import map_difference
-from corvane.operators.audit import masked
 from corvane.operators.comparing import added_guards, full_outer, limit_breadth, unique_pairs
 from corvane.operators.intervals import first_unit, in_ranges
 
@@ -41,23 +41,14 @@ def preprocessor_ranges(text: str) -> list[tuple[int, int]]:
     return out + ([(start, len(lines))] if depth else [])
 
 
-def closing_brace(code: str, start: int) -> int | None:
-    """Offset of the brace that closes the first one at or after start, in masked code; None if it stays open."""
-    depth = 0
-    for match in re.compile(r"[{}]").finditer(code, start):
-        depth += 1 if match[0] == "{" else -1
-        if depth == 0:
-            return match.start()
-    return None
-
-
 def function_units(text: str) -> list[tuple[str, int, int, str, bool, str]]:
     """(symbol, start, stop, body hash, conditional, coverage) of the functions of a C-like text.
 
     The hash is that of the body, from brace to brace; a function is conditional if its head is. A head
     whose body never closes is reported as PARSER_SKIPPED, without a hash, and the search goes on behind it.
     """
-    code = masked(text)
+    code = code_of(text, nested=False)
+    closing = closing_braces(code)
     inside = preprocessor_ranges(text)
     out, at = [], 0
     while match := _HEAD.search(code, at):
@@ -67,7 +58,7 @@ def function_units(text: str) -> list[tuple[str, int, int, str, bool, str]]:
         body = re.compile(r"[;{]").search(code, match.end())
         if body is None or body[0] == ";":
             continue
-        stop = closing_brace(code, body.start())
+        stop = closing.get(body.start())
         first = code.count("\n", 0, match.start(1)) + 1
         last = code.count("\n", 0, len(code) if stop is None else stop) + 1
         conditional = any(a <= first <= b for a, b in inside)
@@ -81,16 +72,6 @@ def function_units(text: str) -> list[tuple[str, int, int, str, bool, str]]:
     return out
 
 
-def unsafe_spans(text: str) -> list[tuple[int, int]]:
-    """Offsets (start, end) of `unsafe { ... }` blocks of a Rust text, comments and strings aside."""
-    code = masked(text)
-    spans = []
-    for match in re.finditer(r"\bunsafe\s*\{", code):
-        stop = closing_brace(code, match.start())
-        spans.append((match.start(), len(text) if stop is None else stop + 1))
-    return spans
-
-
 def units(files: DataFrame) -> DataFrame:
     """Function units of (path, text): a map over files, as braces need a scanner."""
 

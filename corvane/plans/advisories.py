@@ -358,3 +358,28 @@ def pattern_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = ("double free", "an OUT-OF-BOUNDS read", "underflow", "a deadlock", "permission", "digest", "symlink", "denial of service", "mishandled", "nothing", "")
     text = F.get(F.array(*(F.lit(w) for w in words)), (F.col("p_partkey") % len(words)).cast("int"))
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), A.pattern_family("sqlite", text).alias("sqlite"), A.pattern_family("qemu", text).alias("qemu"))
+
+
+_STATED = ("CVE-2022-26354", "CVE-2023-40360", "CVE-2023-42467", "CVE-2023-0664", "CVE-2022-35414", "CVE-2022-2962", "CVE-2022-26353", "CVE-2024-24474")
+_TOLD = ("environment variable", "see CWE-426", "wraparound", "a race condition", "bounds check", "format string", "")
+_CLASS = ("CWE-426", "CWE-1200", "CWE-787", "CWE-190", "CWE-416", "CWE-4150")
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey AS k, {list(_STATED)}[CAST(p_partkey % 10 AS INT) + 1] AS i, {list(_TOLD)}[CAST(p_partkey % 7 AS INT) + 1] AS t,
+  CASE WHEN p_partkey % 5 = 0 THEN {list(_CLASS)}[CAST(p_size % 6 AS INT) + 1] ELSE '' END AS c FROM part)
+SELECT k, CASE WHEN c = 'CWE-426' OR t = 'environment variable' THEN 'authz' WHEN c = 'CWE-787' THEN 'bounds' WHEN c = 'CWE-190' OR t = 'wraparound' THEN 'integer'
+    WHEN c = 'CWE-416' THEN 'memory-lifetime' WHEN t = 'a race condition' THEN 'concurrency' WHEN t = 'bounds check' THEN 'bounds' WHEN t = 'format string' THEN 'parser' ELSE 'logic' END AS glibc,
+  CASE i WHEN 'CVE-2022-26354' THEN 'memory-lifetime' WHEN 'CVE-2022-26353' THEN 'memory-lifetime' WHEN 'CVE-2023-40360' THEN 'logic' WHEN 'CVE-2022-35414' THEN 'logic' WHEN 'CVE-2023-42467' THEN 'integer'
+    WHEN 'CVE-2023-0664' THEN 'authz' WHEN 'CVE-2022-2962' THEN 'concurrency' WHEN 'CVE-2024-24474' THEN 'bounds' ELSE CASE WHEN t = 'a race condition' THEN 'concurrency' ELSE 'logic' END END AS qemu,
+  CASE t WHEN 'wraparound' THEN 'integer' WHEN 'a race condition' THEN 'concurrency' WHEN 'bounds check' THEN 'bounds' WHEN 'format string' THEN 'parser' ELSE 'unknown' END AS systemd
+FROM p
+""")
+def stated_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Families of three projects, with stated classes and with ids whose family a project has fixed."""
+    pick = lambda values, k: F.get(F.array(*map(F.lit, values)), F.expr(k).cast("int"))
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("k"), pick(_STATED, "p_partkey % 10").alias("i"), pick(_TOLD, "p_partkey % 7").alias("t"), F.when(F.col("p_partkey") % 5 == 0, F.array(pick(_CLASS, "p_size % 6"))).alias("c")
+    )
+    text, cve = F.col("t"), F.col("i")
+    return rows.select("k", A.pattern_family("glibc", text, F.col("c"), cve).alias("glibc"), A.pattern_family("qemu", text, None, cve).alias("qemu"), A.pattern_family("systemd", text, None, cve).alias("systemd"))

@@ -191,6 +191,41 @@ def audit_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.groupBy(audit.verdict(F.col("text"), audit.TEXT_RULES).alias("verdict")).agg(F.count("*").alias("n_docs"))
 
 
+#: Words of the texts that become source code, so that rules find something: (word, code).
+PLANTED = (
+    ("the", "strcpy (to, from);"), ("de", "p = malloc(n * size) ;"), ("der", 'eval "$x"'), ("of", "a.get_unchecked(1)"), ("und", "os.system(x)"), ("la", "/* note */ sprintf (s)"),
+)
+_SUFFIXES = ("c", "rs", "py", "sh", "txt")
+
+
+def _replaced(text: str) -> str:
+    for word, code in PLANTED:
+        text = f"replace({text}, ' {word} ', ' {code} ')"
+    return text
+
+
+@query(rf"""
+WITH f AS (SELECT concat('d', doc_id, '.', {list(_SUFFIXES)}[CAST(doc_id % 5 AS INT) + 1]) AS path, doc_id % 5 AS kind, {_replaced("text")} AS text FROM documents),
+l AS (SELECT path, kind, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM f),
+r AS (SELECT * FROM (VALUES ('SEC-CWE-120-UNBOUNDED-COPY', 'HIGH', 0, '\b(strcpy|strcat|gets|sprintf)\s*\('), ('SEC-CWE-190-INTEGER-OVERFLOW-C', 'MEDIUM', 0, '\b(malloc|kmalloc|kzalloc|vmalloc|xmalloc)\s*\(\s*([a-zA-Z0-9_]+)\s*(\*|\+)\s*([a-zA-Z0-9_]+)\s*(,[^)]+)?\)'),
+  ('SEC-CWE-78-COMMAND-INJECTION-C', 'CRITICAL', 0, '\b(system|popen)\s*\(\s*[a-zA-Z0-9_]+'), ('SEC-CWE-78-COMMAND-INJECTION-SHELL', 'CRITICAL', 3, '(eval\s+["'']?\$|\b(sh|bash)\s+-c\s+["'']?\$|\bexec\s+["'']?\$)'), ('SEC-CWE-78-COMMAND-INJECTION-PYTHON', 'CRITICAL', 2, 'os\.(system|popen)\s*\([^)]+\)')) v(rule_id, severity, of, pattern)),
+m AS (SELECT path, rule_id, severity, line, t, len(regexp_extract_all(t, pattern)) AS n FROM l JOIN r ON l.kind = r.of OR l.kind = 4)
+SELECT path, rule_id, severity, CAST(line AS BIGINT) AS line, md5(regexp_replace(regexp_replace(t, '^\s+', ''), '\s+$', '')) AS snippet,
+  CASE rule_id WHEN 'SEC-CWE-120-UNBOUNDED-COPY' THEN 'Copies' ELSE 'Standard Pattern' END AS cluster_title, CASE rule_id WHEN 'SEC-CWE-120-UNBOUNDED-COPY' THEN 'CVE-1' END AS sample
+FROM m, unnest(range(n)) WHERE n > 0
+""")
+def source_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as sources of four languages and an unknown one: all 18 rules, with lines, snippets and samples of clusters."""
+    text = F.col("text")
+    for word, code in PLANTED:
+        text = F.replace(text, F.lit(f" {word} "), F.lit(f" {code} "))
+    suffix = F.get(F.array(*map(F.lit, _SUFFIXES)), (F.col("doc_id") % 5).cast("int"))
+    sources = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit("."), suffix).alias("path"), text.alias("text"))
+    clusters = spark.createDataFrame([("CWE-120", "Copies", ["CVE-1", "CVE-2"]), ("CWE-999", "Others", [])], "cwe string, title string, samples array<string>")
+    found = audit.with_samples(audit.findings(sources, audit.SOURCE_RULES), clusters)
+    return found.select("path", "rule_id", "severity", "line", F.md5(F.col("snippet").cast("binary")).alias("snippet"), "cluster_title", "sample")
+
+
 @query("""
 WITH u AS (SELECT p_partkey AS k, octet_length(encode(concat('{"row":{"k":', p_partkey, '},"urls":[]}'))) AS base, p_size * 4 + 3 AS len FROM part)
 SELECT k, CAST(CASE WHEN base + 3 * len + 2 <= 500 THEN 3 WHEN base + 2 * len + 1 <= 500 THEN 2 WHEN base + len <= 500 THEN 1 ELSE 0 END AS INTEGER) AS kept FROM u

@@ -363,13 +363,15 @@ def test_fingerprints_keep_guards_and_coverage(spark):
 
 
 def test_families_of_descriptions(spark):
-    cases = [("sqlite", "A double free in x", "memory-lifetime"), ("sqlite", "deadlock", "concurrency"), ("sqlite", "zz", "unknown"), ("sqlite", "", "unknown"), ("systemd", "OOB read", "bounds"), ("qemu", "integer issue", "bounds"), ("qemu", "zz", "logic"), ("glibc", "Format string", "parser")]
+    cases = [("sqlite", "A double free in x", "memory-lifetime"), ("sqlite", "deadlock", "concurrency"), ("sqlite", "zz", "unknown"), ("sqlite", "", "unknown"), ("systemd", "OOB read", "bounds"), ("qemu", "integer issue", "bounds"), ("qemu", "zz", "logic"), ("glibc", "Format string", "parser"), ("glibc", "see CWE-426", "logic")]
     for project, text, want in cases:
         assert values(spark.createDataFrame([(text,)], "t string"), A.pattern_family(project, F.col("t"))) == [want]
-    glibc = spark.createDataFrame([("zz", ["CWE-125"]), ("zz", []), ("setuid", ["CWE-190"])], "t string, c array<string>")
-    assert values(glibc, A.pattern_family("glibc", F.col("t"), F.col("c"))) == ["bounds", "logic", "authz"]
-    known = spark.createDataFrame([("race", "CVE-2022-26354"), ("race", "CVE-1")], "t string, i string")
-    assert values(known, A.pattern_family("qemu", F.col("t"), None, F.col("i"))) == ["memory-lifetime", "concurrency"]
+    glibc = spark.createDataFrame([("zz", ["CWE-125"]), ("zz", []), ("setuid", ["CWE-190"]), ("zz", ["CWE-1200", None]), ("zz", None), (None, ["CWE-415"])], "t string, c array<string>")
+    assert values(glibc, A.pattern_family("glibc", F.col("t"), F.col("c"))) == ["bounds", "logic", "authz", "logic", "logic", "memory-lifetime"]
+    stated = A.KNOWN_FAMILIES["qemu"]
+    known = spark.createDataFrame([("out-of-bounds race", i) for i in (*stated, "CVE-1")], "t string, i string")
+    assert values(known, A.pattern_family("qemu", F.col("t"), None, F.col("i"))) == [*stated.values(), "bounds"] and len(stated) == 8
+    assert values(known, A.pattern_family("systemd", F.col("t"), None, F.col("i")))[1] == "bounds"
     classes = spark.createDataFrame([("CWE-125",), ("CWE-401",), ("CWE-7",), (None,)], "c string")
     assert [len(x) for x in values(classes, atlas.preconditions(F.col("c")))] == [1, 1, 0, 0]
 

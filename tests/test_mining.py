@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from corvane import api
+from corvane.functions import lexing
 from corvane.operators import intervals, mining
 
 BEFORE = "int helper(int a);\n#ifdef X\nstatic int one(char *b)\n{\n  if (b) { copy(b); }\n  return 1; // }\n}\n#endif\nvoid two(void) {\n  x(\"}\");\n}\n"
@@ -15,7 +16,12 @@ def test_units_and_spans():
     assert mining.function_units("int f(void) {\n  {\n")[0][5] == "PARSER_SKIPPED" and mining.function_units("") == []
     assert mining.preprocessor_ranges("#if A\n#if B\n#endif\nx\n#endif\n#if C\n") == [(1, 5), (6, 6)]
     text = "fn f() { unsafe { a({}) } /* unsafe { */ }"
-    assert [text[a:b] for a, b in mining.unsafe_spans(text)] == ["unsafe { a({}) }"]
+    assert [text[a : b + 1] for a, b in lexing.unsafe_bodies(lexing.code_of(text))] == ["unsafe { a({}) }"]
+    text = "unsafe extern \"C\" fn f() { '}' } unsafe impl T for S { } unsafe fn g(); // unsafe {\n'a unsafe { "
+    assert [text[a : b + 1] for a, b in lexing.unsafe_bodies(lexing.code_of(text))] == ["unsafe extern \"C\" fn f() { '}' }", "unsafe { "]
+    assert lexing.code_of("a/* /* x\n*/ y */b") == "a       \n       b" and lexing.code_of("a/* /* */b*/", nested=False) == "a        b*/"
+    literals = 'r#"a"b"#c "x\\"y" \'z\' "open'
+    assert lexing.code_of(literals) == " " * 8 + "c" + " " * (len(literals) - 9)
 
 
 def test_fragments_of_a_fix(spark):
