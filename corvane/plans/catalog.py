@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corvane.plans import advisories, facade, records, relations, retrieval, roundtrips, text  # noqa: F401  they register their queries
+from corvane.plans import advisories, facade, records, relations, retrieval, roundtrips, streams, text  # noqa: F401  they register their queries
 from corvane.plans.registry import QUERIES, SQL, Query
 
 
