@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corvane.plans.registry import query
 from corvane.session import checkpointed, shared_folder
-from corvane.sources import catalogs, sinks, trees
+from corvane.sources import catalogs, readers, sinks, trees
 from corvane.sources.tables import table
 
 
@@ -98,3 +98,32 @@ def manifest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
         return checked.groupBy("state").agg(F.count("*").alias("n"))
 
     return _through(spark, use)
+
+
+@query("SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS bytes, md5(coalesce(text, '')) AS digest FROM documents WHERE doc_id % 7 = 3")
+def zip_members_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as members of archives; those of one folder read back, by a filter that reaches the archives."""
+    readers.register(spark)
+    folder = f"{shared_folder(spark)}/zips-{uuid.uuid4().hex}"
+    member = F.concat_ws("/", F.concat(F.lit("d"), (F.col("doc_id") % 7).cast("string")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    table(spark, sf_dir, "documents").select(member.alias("member"), "text").write.format("zip_members").option("path", folder).mode("append").save()
+    read = spark.read.format("zip_members").option("path", folder).load().where(F.col("member").startswith("d3/"))
+    return read.select(F.regexp_extract("member", "/([0-9]+)", 1).cast("long").alias("doc_id"), "bytes", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, count(DISTINCT event_id // 400) AS pages FROM events GROUP BY 1")
+def recorded_pages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events recorded as pages of 400, then followed as a stream whose batches have some bytes each."""
+    readers.register(spark)
+    folder = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 400).alias("page")).agg(F.collect_list(F.struct("event_id", "event_type")).alias("rows"))
+    rows.select("page", F.to_json("rows").alias("body")).write.format("recorded_pages").option("path", f"{folder}/recorded").mode("append").save()
+    stream = spark.readStream.format("recorded_pages").options(path=f"{folder}/recorded", batch_bytes="256k").load()
+    events = stream.select("page", F.inline(F.from_json("body", "array<struct<event_id: bigint, event_type: string>>")))
+    following = events.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").start(f"{folder}/rows")
+    try:
+        following.processAllAvailable()
+    finally:
+        following.stop()
+    stored = spark.read.schema("page bigint, event_id bigint, event_type string").parquet(f"{folder}/rows")
+    return stored.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.countDistinct("page").alias("pages"))
