@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.html_blocks import Block, Element, blocks
+from corvane.llm.html_blocks import WORD, Block, Element, blocks
 from corvane.sources.tables import table
 
 DIGIT = re.compile(r"[0-9]")
-PATH_CELLS, WORD_CELLS, SHAPES = 96, 32, 6
+PATH_CELLS, WORD_CELLS, SHAPES = 128, 32, 6
 INPUTS = PATH_CELLS + WORD_CELLS + SHAPES
-HIDDEN = 16
-TRAIN_PAGES, EPOCHS, BATCH = 480, 14, 32
+HIDDEN = 20
+TRAIN_PAGES, EPOCHS, BATCH = 900, 14, 32
 #: Blocks whose vectors and hidden states exist at a time.
 BATCH_BLOCKS = 20_000
 
@@ -43,7 +43,14 @@ BATCH_BLOCKS = 20_000
 
 @functools.lru_cache(maxsize=100_000)
 def _cell(name: str) -> int:
-    return 1 << zlib.crc32(name.encode("utf-8", "replace")) % PATH_CELLS
+    """The bit of a name; names that no training page can teach anything about have none."""
+    return 1 << zlib.crc32(name.encode("utf-8", "replace")) % PATH_CELLS if name.removeprefix("in:") in _told() else 0
+
+
+@functools.cache
+def _told() -> frozenset[str]:
+    names = " ".join(" ".join(x) for x in (CONTENT, SIDE, ADS, NOTICES, COMMENTS, MENUS, HEADS, FEET))
+    return frozenset(WORD.findall(names)) | TAGS
 
 
 @functools.lru_cache(maxsize=100_000)
@@ -216,6 +223,10 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 # --- training pages ---------------------------------------------------------------------------
 
+# Tags of blocks and of what holds them.
+TAGS = frozenset(
+    "html body header footer nav main article section aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tr td th pre blockquote figure figcaption form label button".split()
+)
 # The names that the generated pages draw from.
 CONTENT = ("content", "post", "entry", "story", "article body", "main-content", "post-body", "text", "entry-content", "page-content")
 SIDE = ("sidebar", "widget", "related", "side", "widget-area", "recommended", "trending", "popular posts", "tags")
@@ -224,6 +235,11 @@ NOTICES = ("cookie", "notice", "cookie-banner", "consent", "alert", "popup", "ne
 COMMENTS = ("comments", "comment-list", "responses", "discussion", "disqus", "replies", "comment")
 MENUS = ("menu", "nav", "navbar", "breadcrumb", "topnav", "links", "pagination", "share social")
 HEADS = ("header", "site-header", "masthead", "top", "logo", "brand")
+#: Names that tell nothing: of grids, wrappers and layouts.
+NEUTRAL = (
+    "container", "container-fluid", "row", "col", "col-md-8", "col-8", "wrap", "wrapper", "page", "inner", "outer", "root", "app", "layout", "grid", "cell", "box",
+    "block", "region", "flex", "flex-1 p-6", "w-full", "body", "document", "node", "field", "panel", "card", "center", "left", "module", "section", "site",
+)
 FEET = ("footer", "site-footer", "copyright", "bottom", "legal", "colophon")
 
 
@@ -254,8 +270,46 @@ class _Page:
         style = self.rng.random()
         return text.upper() if style < 0.05 else text.replace(" ", "*** ") if style < 0.1 else text
 
+    def wrapped(self, inside, least: int = 0, most: int = 4, tags: tuple[str, ...] = ("div",) * 6 + ("section", "main")) -> None:
+        """What is inside, in boxes without names or with such as tell nothing."""
+        rng, shut = self.rng, []
+        for _ in range(rng.randint(least, most)):
+            tag, kind = rng.choice(tags), rng.random()
+            hashed = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 7))) + str(rng.randint(1, 99))
+            name = rng.choice(NEUTRAL) if kind < 0.5 else hashed if kind < 0.8 else ""
+            self.html.append(f'<{tag} {rng.choice(("class", "class", "id"))}="{name}">' if name else f"<{tag}>")
+            shut.append(f"</{tag}>")
+        inside()
+        self.html.extend(reversed(shut))
+
+    def definitions(self, main: bool) -> None:
+        self.html.append("<dl>")
+        for _ in range(self.rng.randint(1, 4)):
+            self.leaf("dt", self.words(1, 4), main)
+            self.leaf("dd", self.sentence(), main)
+        self.html.append("</dl>")
+
+    def figures(self, main: bool) -> None:
+        rng = self.rng
+        columns = rng.randint(1, 3)
+        self.html.append("<table>")
+        for _ in range(rng.randint(1, 3)):
+            self.html.append("<tr>")
+            for _ in range(columns):
+                self.leaf(rng.choice(("td", "td", "td", "th")), self.words(1, 4) if rng.random() < 0.7 else self.sentence(), main)
+            self.html.append("</tr>")
+        self.html.append("</table>")
+
+    def illustration(self, main: bool) -> None:
+        self.html.append('<figure><img src="x.png">')
+        self.leaf("figcaption", self.words(1, 5) if self.rng.random() < 0.5 else self.sentence(), main)
+        self.html.append("</figure>")
+
     def paragraphs(self, main: bool, low: int, high: int) -> None:
         for _ in range(self.rng.randint(low, high)):
+            if main and self.rng.random() < 0.12:
+                self.rng.choice((self.definitions, self.figures, self.illustration))(True)
+                continue
             self.leaf(self.rng.choice(("p",) * 12 + ("h2", "h3", "blockquote", "div", "pre")), self.sentence(), main)
             if self.rng.random() < 0.06:
                 self.listing(main, False)
@@ -349,7 +403,14 @@ class _Page:
                 if rng.random() < 0.2:
                     rng.choice((self.advert, self.advert, self.side, self.form, self.menu))()
 
-        if rng.random() < 0.1:  # a page laid out as a table
+        make = rng.random()
+        if make < 0.12:  # nothing around it
+            inside()
+            return
+        if make < 0.45:
+            self.wrapped(inside, 1)
+            return
+        if make < 0.52:  # a page laid out as a table
             self.html.append("<table><tr><td>")
             self.listing(False, True)
             self.html.append("</td><td>")
@@ -357,20 +418,39 @@ class _Page:
             self.html.append("</td></tr></table>")
             return
         tag = rng.choice(("article",) * 6 + ("main", "main", "div", "div", "section"))
-        self.box(tag, CONTENT, inside, 0.3)
+        self.wrapped(lambda: self.box(tag, CONTENT, inside, 0.3), 0, 1)
+
+
+def _plain(page: _Page) -> tuple[str, list[bool]]:
+    """A page of text alone, as it is, in one element, or in lines."""
+    rng = page.rng
+    text = rng.choice((" ", "<br><br>")).join(page.words(5, 25, ".") for _ in range(rng.randint(2, 12)))
+    tag = rng.choice(("", "pre", "p", "div", "td"))
+    page.labels.append(True)
+    whole = f"<{tag}>{text}</{tag}>" if tag else text
+    return (f"<html><body>{whole}</body></html>" if rng.random() < 0.5 else whole), page.labels
 
 
 def _page(seed: int) -> tuple[str, list[bool]]:
     page = _Page(seed)
     rng = page.rng
+    if rng.random() < 0.05:
+        return _plain(page)
     page.html.append("<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body>")
     parts = [p for p, share in ((page.head, 0.5), (page.menu, 0.8), (page.advert, 0.6), (page.form, 0.15), (page.side, 0.2)) if rng.random() < share]
     if rng.random() < 0.3:
         rng.shuffle(parts)
     rest = [p for p, share in ((page.side, 0.3), (page.comments, 0.35), (page.advert, 0.3), (page.form, 0.15), (page.menu, 0.15)) if rng.random() < share]
     rng.shuffle(rest)
-    for part in (*parts, *([page.article] if rng.random() < 0.97 else []), *rest, *([page.foot] if rng.random() < 0.9 else [])):
-        part()
+    if rng.random() < 0.2:  # little but the article
+        parts, rest = parts[:1], rest[:1]
+    whole = (*parts, *([page.article] if rng.random() < 0.97 else []), *rest, *([page.foot] if rng.random() < 0.8 else []))
+
+    def inside() -> None:
+        for part in whole:
+            page.wrapped(part, 0, 1, ("div",)) if rng.random() < 0.25 else part()
+
+    page.wrapped(inside, 0, 3) if rng.random() < 0.4 else inside()
     page.html.append("</body></html>")
     return "".join(page.html), page.labels
 
