@@ -36,7 +36,7 @@ from corvane.operators.search import B, CUT_OFF, K1, MIN_IDF, MIN_TERMS, phrases
 from corvane.session import bounded_batches, checkpointed, shared_folder
 
 #: Tokens after which a segment is closed; postings that share one bound; keys in one row.
-SEGMENT, BLOCK, KEYS = 4_000_000, 128, 1024
+SEGMENT, BLOCK, KEYS = 1_000_000, 128, 1024
 ROW_GROUP_BYTES = 1 << 20
 #: Up to that many rows of keys are looked up by name.
 FEW = 1000
@@ -134,8 +134,14 @@ def upsert(frame: DataFrame, key: str, text: str, path: str, part: str = "all")
     rows = frame.select(F.col(key).alias("key"), tokens)
     made = rows.mapInArrow(_segments, _DDL.format(key=rows.schema["key"].dataType.simpleString()))
     sliced = made.withColumn("slice", F.lit(part))
+    spark, several = frame.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(several)
+    spark.conf.set(several, "8")  # a task's three kinds of rows go to files side by side, without a sort
     writer = sliced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", ROW_GROUP_BYTES)
-    writer.partitionBy("slice", "kind").parquet(path)
+    try:
+        writer.partitionBy("slice", "kind").parquet(path)
+    finally:
+        spark.conf.set(several, before)
 
 
 def _phrase(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
