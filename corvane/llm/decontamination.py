@@ -13,28 +13,37 @@ Most positions are never looked at, and the search is one map over the documents
 join. Words of the benchmark are numbered and everything else is arrays of numbers: a searcher takes
 some 30 bytes per word of its patterns plus the distinct words, and nothing per window in Python.
 
-The pattern side is sent out in blocks of at most `block_bytes` bytes of text, measured beforehand.
-A larger benchmark is searched in one pass per block, and only one block is held at a time, by the
-driver and by each worker: the passes read one checkpoint of numbered rows and write hits only.
+The pattern side is cut into blocks of at most `block_bytes` bytes of text. One task builds the tables of a block
+and writes them to a file in the shared folder. There is one pass over the documents at every size: a worker gathers
+some texts, loads the blocks one after the other, one alive at a time, and searches the texts for each; nothing of
+the documents is copied or shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
+import pickle
+import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm.words import ROWS_OUT, alnum_words, binary_column
-from corvane.session import bounded_batches, checkpointed
+from corvane.session import bounded_batches, checkpointed, shared_folder
 from corvane.sources.tables import table
 
 WINDOW = 10
 #: Text of one block at most; a worker holds some 5 bytes for each of it, and 16 while it builds.
 BLOCK_BYTES = 16 << 20
+#: Text that a worker gathers to read it against one block after the other.
+GROUP_BYTES = 32 << 20
 #: Words of one piece of an item; longer items are cut into pieces that overlap by a window less one word.
 PIECE = 50_000
 _MASK = (1 << 64) - 1
@@ -160,24 +169,68 @@ def hit_words(spans: np.ndarray) -> int:
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
-def _search(pieces: list[tuple[str | None, bytes]], window: int, keep: list[str], all_rows: bool):
-    """Maps rows to `keep`, n_words, _spans (int64 word ranges) and _items; without all_rows, those with hits only."""
+def _groups(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about `most` bytes, one by one if None."""
+    group: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.nbytes
+        if most is None or size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+class _Blocks:
+    """The searchers of the benchmark's blocks, read from their files one after the other; a single one stays loaded."""
+
+    def __init__(self, paths: list[str]):
+        self.paths = paths
+        self.only: Searchers | None = None
+        #: Rows are gathered, so that a block is read once for many of them.
+        self.group = GROUP_BYTES if len(paths) > 1 else None
+
+    def __iter__(self) -> Iterator[Searchers]:
+        if len(self.paths) == 1:
+            self.only = self.only or _load(self.paths[0])
+            yield self.only
+            return
+        if not self.paths:
+            yield Searchers([])
+        for path in self.paths:
+            yield _load(path)  # one is alive at a time: the consumer drops the one before
+
+
+def _load(path: str) -> Searchers:
+    store, name = fs.FileSystem.from_uri(path)
+    with store.open_input_stream(name) as source:
+        return pickle.loads(source.read())
+
+
+def _search(paths: list[str], window: int):
+    """Maps rows to doc_id, n_words, _spans (int64 word ranges) and _items, in one pass whatever the number of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searchers = Searchers(pieces, window)
-        for batch in batches:
-            n_words, spans, names = [], [], []
-            for data in binary_column(batch, "text"):
-                words = alnum_words(data)
-                rows, items = searchers.spans(words)
-                n_words.append(len(words))
-                spans.append(np.array(rows, np.int64).tobytes())
-                names.append(sorted(items))
-            out = pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(n_words, pa.int64()), pa.array(spans, pa.binary()), pa.array(names, pa.list_(pa.string()))],
-                names=[*keep, "n_words", "_spans", "_items"],
+        blocks = _Blocks(paths)
+        for group in _groups(batches, blocks.group):
+            texts = [data for batch in group for data in binary_column(batch, "text")]
+            n_words, spans, names = [0] * len(texts), [b""] * len(texts), [set() for _ in texts]
+            for searchers in blocks:
+                for k, data in enumerate(texts):
+                    words = alnum_words(data)
+                    rows, items = searchers.spans(words)
+                    n_words[k] = len(words)
+                    if rows:
+                        spans[k] += np.array(rows, np.int64).tobytes()
+                        names[k] |= items
+                del searchers
+            ids = pa.chunked_array([batch.column("doc_id") for batch in group]).combine_chunks()
+            ids = ids if isinstance(ids, pa.Array) else ids.chunk(0)
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(n_words, pa.int64()), pa.array(spans, pa.binary()), pa.array(map(sorted, names), pa.list_(pa.string()))], names=["doc_id", "n_words", "_spans", "_items"]
             )
-            yield out if all_rows else out.filter(pa.array([len(x) > 0 for x in spans], pa.bool_()))
 
     return run
 
@@ -226,9 +279,26 @@ def benchmark_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: in
     return pieces.withColumn("block", F.pmod(F.xxhash64("item", "number", "text"), F.lit(blocks))), blocks
 
 
-def block_of(pieces: DataFrame, block: int) -> list[tuple[str | None, bytes]]:
-    """The pieces of one block, which the driver holds while it plans the block's pass."""
-    return [(row["item"], row["text"].encode()) for row in pieces.where(F.col("block") == block).select("item", "text").collect()]
+def block_files(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[str]:
+    """Files with the searchers of the benchmark's blocks, each built by one task, in the shared folder.
+
+    They stay there, as what reads them may run at any time; a task that is repeated writes one of its own.
+    """
+    pieces, _ = benchmark_blocks(benchmark, window, block_bytes)
+    folder = shared_folder(benchmark.sparkSession)
+    folder = f"{folder if ':' in folder else 'file://' + os.path.abspath(folder)}/patterns-{uuid.uuid4().hex}"
+
+    def build(own: pd.DataFrame) -> pd.DataFrame:
+        searchers = Searchers([(item, text.encode()) for item, text in zip(own["item"], own["text"], strict=True)], window)
+        store, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", folder))
+        store.create_dir(name, recursive=True)
+        path = f"{name}/{uuid.uuid4().hex}"
+        with store.open_output_stream(path) as out:
+            out.write(pickle.dumps(searchers, 5))
+        return pd.DataFrame({"path": [f"{re.sub('^file:/+', 'file:///', folder)}/{path.rpartition('/')[2]}"]})
+
+    built = checkpointed(pieces.groupBy("block").applyInPandas(build, "path string"))  # so that no later read builds anew
+    return [row["path"] for row in built.collect()]  # one row per block
 
 
 _FOUND = "n_words long, _spans binary, _items array<string>"
@@ -240,20 +310,8 @@ def search_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = W
     A null text has no words. An item whose id is null marks words but is not counted as an item.
     Repeated rows are judged one by one.
     """
-    pieces, blocks = benchmark_blocks(benchmark, window, block_bytes)
-    if blocks == 1:
-        return documents.select("doc_id", "text").mapInArrow(_search(block_of(pieces, 0), window, ["doc_id"], True), f"doc_id long, {_FOUND}")
-    rows = checkpointed(documents.select("doc_id", "text", F.monotonically_increasing_id().alias("row")))
-    found = checkpointed(rows.mapInArrow(_search(block_of(pieces, 0), window, ["doc_id", "row"], True), f"doc_id long, row long, {_FOUND}"))
-    hits = found.select("row", "_spans", "_items").where(F.length("_spans") > 0)
-    for block in range(1, blocks):  # one live block a pass: its hits are written before the next is read
-        more = rows.mapInArrow(_search(block_of(pieces, block), window, ["row"], False), f"row long, {_FOUND}")
-        hits = hits.unionByName(checkpointed(more.drop("n_words")))
-    each = hits.groupBy("row").agg(F.collect_list("_spans").alias("parts"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"))
-    joined = F.aggregate("parts", F.lit(b""), lambda all_, part: F.concat(all_, part))  # a part per block at most
-    each = each.select("row", joined.alias("_spans"), "_items")
-    merged = found.select("doc_id", "n_words", "row").join(each, "row", "left")
-    return merged.select("doc_id", "n_words", F.coalesce("_spans", F.lit(b"")).alias("_spans"), F.coalesce("_items", F.array().cast("array<string>")).alias("_items"))
+    paths = block_files(benchmark, window, block_bytes)
+    return documents.select("doc_id", "text").mapInArrow(_search(paths, window), f"doc_id long, {_FOUND}")
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -266,14 +324,22 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     return search_benchmark(docs, benchmark, window, block_bytes).mapInArrow(_digest, RESULT)
 
 
-def _keep_clean(pieces: list[tuple[str | None, bytes]], window: int):
+def _keep_clean(paths: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searchers = Searchers(pieces, window)
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_OUT):  # whole rows go out in small batches
-                part = batch.slice(start, ROWS_OUT)
-                clean = [not searchers.occur(alnum_words(data)) for data in binary_column(part, "text")]
-                yield part.filter(pa.array(clean, pa.bool_()))
+        blocks = _Blocks(paths)
+        for group in _groups(batches, blocks.group):
+            texts = [data for batch in group for data in binary_column(batch, "text")]
+            clean = np.ones(len(texts), bool)
+            for searchers in blocks:
+                for k in np.flatnonzero(clean):
+                    clean[k] = not searchers.occur(alnum_words(texts[k]))
+                del searchers
+            done = 0
+            for batch in group:
+                for start in range(0, batch.num_rows, ROWS_OUT):  # whole rows go out in small batches
+                    part = batch.slice(start, ROWS_OUT)
+                    yield part.filter(pa.array(clean[done : done + part.num_rows]))
+                    done += part.num_rows
 
     return run
 
@@ -282,16 +348,11 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WI
     """The rows of `documents` that share no window with the benchmark, all columns kept.
 
     Null, empty and wordless texts stay, repeated rows are judged each for itself, and with an empty
-    benchmark or empty documents every row stays. Between the passes of a benchmark of several blocks
-    the rows that are left are written, so that one block is live at a time.
+    benchmark or empty documents every row stays.
     """
     bounded_batches(documents.sparkSession)
-    pieces, blocks = benchmark_blocks(benchmark, window, block_bytes)
-    for block in range(blocks):
-        documents = documents.mapInArrow(_keep_clean(block_of(pieces, block), window), documents.schema)
-        if block < blocks - 1:
-            documents = checkpointed(documents)
-    return documents
+    paths = block_files(benchmark, window, block_bytes)
+    return documents.mapInArrow(_keep_clean(paths), documents.schema) if paths else documents
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
