@@ -36,8 +36,9 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.llm.idsets import suspects
 from corvane.llm.words import ROWS_OUT
-from corvane.session import bounded_batches
+from corvane.session import bounded_batches, checkpointed
 from corvane.sources.tables import table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -379,20 +380,23 @@ def apply_edits(trees: DataFrame, edits: DataFrame, vocabulary: str = VOCABULARY
 
     A document's edits are applied in the order of seq (then start, stop, replacement), each to what the one
     before left; code points [start, stop) are replaced, ranges are cut to the text. Null numbers and
-    replacements count as 0 and empty. Edits of unknown documents and null ids change nothing, trees without
-    edits stay as they are, two trees of one id are an error.
+    replacements count as 0 and empty. Edits of unknown documents and null ids change nothing; two trees of one id
+    that is edited are an error. Trees without edits stay as they are and where they are: only trees whose id a
+    filter of fixed size cannot clear are shuffled (`idsets`).
     """
     blank = F.lit(None).cast("long")
-    first = trees.select("doc_id", blank.alias("seq"), blank.alias("start"), blank.alias("stop"), "text", "lengths", "tokens")
+    ids = checkpointed(edits.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id")).distinct())
+    maybe, rest = suspects(trees, "doc_id", ids)
+    untouched = rest.select("doc_id", "text", "lengths", "tokens", "n_tokens", *(F.lit(0).cast("long").alias(c) for c in ("n_edits", "n_reencoded")))
+    first = maybe.select("doc_id", blank.alias("seq"), blank.alias("start"), blank.alias("stop"), "text", "lengths", "tokens")
     zero = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(c)
     none = F.lit(None).cast("binary")
     text = F.coalesce(F.col("replacement").cast("string"), F.lit("")).alias("text")
     then = edits.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), zero("seq"), zero("start"), zero("stop"), text, none.alias("lengths"), none.alias("tokens"))
     bounded_batches(trees.sparkSession)
-    # null ids have no edits: they are spread by their texts
-    dealt = first.unionByName(then).repartition(F.coalesce("doc_id", F.xxhash64("text")))
+    dealt = first.unionByName(then).repartition("doc_id")  # null ids are never suspects
     order = (F.col("doc_id").asc_nulls_first(), F.col("seq").asc_nulls_first(), "start", "stop", "text")
-    return dealt.sortWithinPartitions(*order).mapInArrow(_edit(_vocabulary_lines(vocabulary)), TREES)
+    return untouched.unionByName(dealt.sortWithinPartitions(*order).mapInArrow(_edit(_vocabulary_lines(vocabulary)), TREES))
 
 
 def token_edits(spark: SparkSession, sf_dir: str) -> DataFrame:

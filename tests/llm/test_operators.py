@@ -852,8 +852,11 @@ def test_edits_of_a_table(spark, documents, counter):
     again = token_counts.apply_edits(token_counts.apply_edits(trees, frame), frame.limit(0)).collect()
     assert {(r.doc_id, r.text, r.n_tokens, bytes(r.lengths)) for r in again} == {(r.doc_id, r.text, r.n_tokens, bytes(r.lengths)) for r in got.values()}
     assert token_counts.apply_edits(trees.limit(0), frame).count() == 0
+    twice = documents.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").first()[0]
+    plenty = token_counts.build_trees(documents)
+    assert token_counts.apply_edits(plenty, frame.where("doc_id = 99")).count() == documents.count()  # what is not edited stays as it is
     with pytest.raises(Exception, match="two trees"):
-        token_counts.apply_edits(token_counts.build_trees(documents), frame).collect()
+        token_counts.apply_edits(plenty, spark.createDataFrame([(twice, 1, 0, 1, "x")], "doc_id long, seq long, start long, stop long, replacement string")).collect()
 
 
 def test_edits_touch_their_region_only(counter):
