@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corvane.operators.comparing import all_valid, as_of
 from corvane.session import checkpointed
@@ -131,21 +132,50 @@ def iterate(search: Callable[[str], DataFrame], query: str, limit: int = 5, foll
     return merged.select("id", "first.*", *parts).orderBy("call", "rank", "id").limit(limit)
 
 
-def reach(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
-    """(root, node, hop): every node within `hops` undirected steps of a seed, at its least distance.
+def numbered_roots(seeds: DataFrame) -> DataFrame:
+    """(root, part, bit): every distinct seed as one bit of a long; about 32 roots share a part, 64 at most."""
+    roots = seeds.select(F.col("node").alias("root")).distinct()
+    parts = max(1, roots.count() // 32)
+    place = F.row_number().over(Window.partitionBy("slot").orderBy("root")) - 1
+    dealt = roots.withColumn("slot", F.pmod(F.xxhash64("root"), F.lit(parts))).withColumn("place", place)
+    return dealt.select("root", (F.col("slot") + F.lit(parts) * F.floor(F.col("place") / 64)).alias("part"), (F.col("place") % 64).alias("bit"))
+
 
-    The arcs of both directions are written once; each hop joins the frontier alone with them, and seen
-    nodes leave by an anti-join, so cycles cost nothing.
+def reach_bits(roots: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
+    """(node, part, hop, bits): the roots of a part that have a node at that least distance, within `hops` undirected steps.
+
+    All roots walk at once. A step joins the frontier with the arcs, which are written once, and bits that meet in a node are
+    united before they are shuffled; bits that a node has had leave, so cycles cost nothing. A row stands for up to 64 roots.
     """
     ends = F.array(F.struct("source", "target"), F.struct(F.col("target").alias("source"), F.col("source").alias("target")))
-    both = checkpointed(edges.select(F.inline(ends)).distinct())
-    seen = seeds.select(F.col("node").alias("root"), "node", F.lit(0).alias("hop")).distinct()
-    frontier = seen
+    arcs = checkpointed(edges.select(F.inline(ends)).distinct())
+    united = F.bit_or("bits").alias("bits")
+    frontier = checkpointed(roots.select(F.col("root").alias("node"), "part", F.expr("shiftleft(1L, cast(bit as int))").alias("bits")).groupBy("node", "part").agg(united))
+    had, found = frontier, frontier.withColumn("hop", F.lit(0))
     for hop in range(1, hops + 1):
-        step = frontier.join(both, frontier["node"] == both["source"]).select("root", F.col("target").alias("node")).distinct()
-        frontier = checkpointed(step.join(seen, ["root", "node"], "left_anti").withColumn("hop", F.lit(hop)))
-        seen = seen.unionByName(frontier)
-    return seen
+        step = frontier.join(arcs, F.col("node") == F.col("source")).groupBy(F.col("target").alias("node"), "part").agg(united)
+        known = had.select("node", "part", F.col("bits").alias("had"))
+        fresh = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("had", F.lit(0).cast("long"))))
+        frontier = checkpointed(step.join(known, ["node", "part"], "left").select("node", "part", fresh.alias("bits")).where("bits <> 0"))
+        found = found.unionByName(frontier.withColumn("hop", F.lit(hop)))
+        if hop < hops:
+            had = checkpointed(had.unionByName(frontier).groupBy("node", "part").agg(united))
+    return found.select("node", "part", "hop", "bits")
+
+
+def reach_counts(roots: DataFrame, reached: DataFrame) -> DataFrame:
+    """(root, hop, n): how many nodes each root has at each distance, summed bit by bit without a row per root and node."""
+    sums = reached.groupBy("part", "hop").agg(*(F.sum(F.expr(f"bit_get(bits, {k})").cast("long")).alias(f"n{k}") for k in range(64)))
+    each = F.array(*(F.struct(F.lit(k).alias("bit"), F.col(f"n{k}").alias("n")) for k in range(64)))
+    return sums.select("part", "hop", F.inline(each)).where("n > 0").join(roots, ["part", "bit"]).select("root", "hop", "n")
+
+
+def reach(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
+    """(root, node, hop): every node within `hops` undirected steps of a seed, at its least distance."""
+    roots = checkpointed(numbered_roots(seeds))
+    bits = F.expr("filter(sequence(0, 63), k -> (shiftrightunsigned(bits, k) & 1L) = 1L)")
+    rows = reach_bits(roots, edges, hops).select("node", "part", "hop", F.explode(bits).alias("bit"))
+    return rows.join(roots, ["part", "bit"]).select("root", "node", "hop")
 
 
 def taxonomy(levels: list[tuple[str, DataFrame]], links: list[tuple[str, DataFrame]]) -> tuple[DataFrame, DataFrame]:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.scores import scaled
-from corvane.operators import comparing, graph, intervals, metrics, rollups
+from corvane.operators import comparing, graph, hashtree, intervals, metrics, rollups
 from corvane.plans.registry import query
+from corvane.session import checkpointed, shared_folder
 from corvane.sources.tables import table
 
 
@@ -198,6 +201,18 @@ def drift_symdiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparing.drift(pick("o_orderstatus <> 'P'"), pick("o_totalprice > 100000")).groupBy("side").agg(F.count("*").alias("n"))
 
 
+@query("""
+WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 1000 <> 7), b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 900 = 3 THEN 'X' ELSE o_orderstatus END FROM orders)
+SELECT * FROM ((SELECT 'missing' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) UNION ALL (SELECT 'extra', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)))
+""")
+def tree_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a stored table of them in which some rows differ, by the trees of both."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    folder = f"{shared_folder(spark)}/tree-{uuid.uuid4().hex}"
+    hashtree.store(orders.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 900 == 3, "X").otherwise(F.col("o_orderstatus"))), ["o_orderkey"], folder)
+    return hashtree.drift(orders.where("o_orderkey % 1000 <> 7"), ["o_orderkey"], folder)
+
+
 @query("""
 SELECT count(*) FILTER (l IS NULL OR r IS NULL) = 0 AS equal, count(*) FILTER (r IS NULL) AS only_left, count(*) FILTER (l IS NULL) AS only_right
 FROM (SELECT DISTINCT o_orderkey AS k, 1 AS l FROM orders) FULL JOIN (SELECT DISTINCT l_orderkey AS k, 1 AS r FROM lineitem) USING (k)
@@ -240,7 +255,23 @@ SELECT root, hop, count(*) AS n FROM (SELECT root, root AS node, 0 AS hop FROM h
 def bounded_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("s"), "l_suppkey").alias("source"), F.concat(F.lit("p"), "l_partkey").alias("target"))
     seeds = table(spark, sf_dir, "supplier").where("s_suppkey % 100 = 0").select(F.concat(F.lit("s"), "s_suppkey").alias("node"))
-    return graph.reach(seeds, edges, 2).groupBy("root", "hop").agg(F.count("*").alias("n"))
+    roots = checkpointed(graph.numbered_roots(seeds))
+    return graph.reach_counts(roots, graph.reach_bits(roots, edges, 2))
+
+
+@query("""
+WITH e AS (SELECT DISTINCT concat('c', o_custkey) AS s, concat('p', l_partkey % 500) AS t FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber = 1),
+b AS (SELECT s, t FROM e UNION SELECT t, s FROM e), h0 AS (SELECT DISTINCT s AS root FROM e),
+h1 AS (SELECT DISTINCT root, t AS node FROM h0 JOIN b ON s = root), h2 AS (SELECT DISTINCT root, b.t AS node FROM h1 JOIN b ON s = node WHERE b.t <> root)
+SELECT root, hop, count(*) AS n FROM (SELECT root, root AS node, 0 AS hop FROM h0 UNION ALL SELECT root, node, 1 FROM h1
+  UNION ALL SELECT root, node, 2 FROM h2 WHERE NOT EXISTS (SELECT 1 FROM h1 WHERE h1.root = h2.root AND h1.node = h2.node)) GROUP BY 1, 2
+""")
+def reach_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and parts that they ordered first: two hops from every customer at once."""
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("p"), F.col("l_partkey") % 500).alias("target"))
+    edges = table(spark, sf_dir, "orders").join(lines, "o_orderkey").select(F.concat(F.lit("c"), "o_custkey").alias("source"), "target")
+    roots = checkpointed(graph.numbered_roots(edges.select(F.col("source").alias("node"))))
+    return graph.reach_counts(roots, graph.reach_bits(roots, edges, 2))
 
 
 @query("""
