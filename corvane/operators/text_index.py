@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -227,7 +228,13 @@ class TextIndex:
         self.spark, self.path = spark, path
 
     def _kind(self, kind: str) -> DataFrame:
-        return self.spark.read.parquet(self.path).where(F.col("kind") == kind)
+        try:
+            whole = self.spark.read.parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            whole = self.spark.createDataFrame([], _DDL.format(key="string"))  # an empty table leaves no file
+        return whole.where(F.col("kind") == kind)
 
     def postings(self, terms: list[list[str]], positions: bool | None = None) -> DataFrame:
         """The stored postings of the query's terms; positions only where a term is a phrase."""

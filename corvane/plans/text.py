@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.functions.scores import scaled
-from corvane.operators import audit, merging, search, text_index
+from corvane.operators import audit, gram_index, merging, search, text_index
 from corvane.plans.registry import query
 from corvane.sources.tables import table
 
@@ -78,8 +78,10 @@ SELECT doc_id, source FROM documents
 WHERE contains(lower(concat(coalesce(source, ''), ' ', coalesce(lang, ''), ' ', coalesce(text, ''))), 'src1 en the') ORDER BY doc_id LIMIT 50
 """)
 def substring_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = search.substring_search(table(spark, sf_dir, "documents"), "SRC1 en The", ("source", "lang", "text"), "doc_id", 50)
-    return found.select("doc_id", "source")
+    documents = table(spark, sf_dir, "documents")
+    index = gram_index.index_of(documents, "doc_id", ("source", "lang", "text"), f"{sf_dir}/documents")
+    found = index.search(["src1 en the"], "doc_id", 50)
+    return documents.select("doc_id", "source").join(F.broadcast(found), "doc_id")  # 50 rows
 
 
 @query("""
@@ -87,7 +89,9 @@ SELECT page_id, url FROM pages
 WHERE contains(lower(url), 'example.org') AND contains(lower(url), '/en/') AND contains(lower(url), 'https') ORDER BY page_id LIMIT 200
 """)
 def token_and_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.token_search(table(spark, sf_dir, "pages"), "example.org /en/ HTTPS", ("url",), "page_id").select("page_id", "url")
+    pages = table(spark, sf_dir, "pages")
+    found = gram_index.index_of(pages, "page_id", ("url",), f"{sf_dir}/pages").search(["example.org", "/en/", "https"], "page_id", 200)
+    return pages.select("page_id", "url").join(F.broadcast(found), "page_id")  # 200 rows
 
 
 @query("""

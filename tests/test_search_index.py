@@ -102,3 +102,5 @@ def test_an_empty_table_answers_nothing(spark, tmp_path):
     path = str(tmp_path / "index")
     text_index.upsert(spark.createDataFrame([(1, None)], "id long, text string"), "id", "text", path)
     assert text_index.TextIndex(spark, path).search("a b", key="id").count() == 0
+    text_index.upsert(spark.createDataFrame([], "id long, text string"), "id", "text", f"{path}-none")
+    assert text_index.TextIndex(spark, f"{path}-none").search("a b", key="id").count() == 0
