@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.functions.text import first_fixed, package_name
+from corvane.functions.text import first_fixed, package_name, version_key
+from corvane.operators.merging import alias_components
 
 DEPENDENCY = "path string, ordinal int, ecosystem string, name string, version string"
 
@@ -183,5 +184,24 @@ def findings(dependencies: DataFrame, advisories: DataFrame) -> DataFrame:
     ).orderBy("path", F.lower("name"), "id")
 
 
+# Which of several ids of one vulnerability names it.
+ID_RANK = ("RUSTSEC-", "GHSA-", "PYSEC-", "GO-", "CVE-")
+
+
+def vulnerabilities(found: DataFrame) -> DataFrame:
+    """`findings` with the ids that alias each other folded: one row per dependency of a file and vulnerability.
+
+    Fixed versions of all its ids ascend; fix is the first above the installed one, null if none is.
+    """
+    folded = alias_components(found, ["path", "ecosystem", "name", "version"], ID_RANK, own=True)
+    keyed = F.array_sort(F.transform("fixed", lambda v: F.struct(version_key(v).alias("key"), v.alias("v"))))
+    above = F.filter("keyed", lambda x: x["key"] > version_key(F.col("version")))
+    return (
+        folded.withColumn("keyed", keyed)
+        .select("path", "ecosystem", "name", "version", F.col("primary").alias("id"), "aliases", F.transform("keyed", lambda x: x["v"]).alias("fixed"), F.get(above, F.lit(0))["v"].alias("fix"), "severity")
+        .orderBy("path", F.lower("name"), "id")
+    )
+
+
 def normal_names(frame: DataFrame, column: str = "name") -> DataFrame:
     return frame.withColumn(column, package_name(F.col(column)))

@@ -145,9 +145,12 @@ def single_parent_fixes(rows: DataFrame, parents: DataFrame, key: str = "advisor
     )
 
 
-def alias_components(rows: DataFrame, group: list[str], rank: tuple[str, ...] = ("CVE-", "GHSA-")) -> DataFrame:
+def alias_components(rows: DataFrame, group: list[str], rank: tuple[str, ...] = ("CVE-", "GHSA-"), own: bool = False) -> DataFrame:
     """Joins findings of a group that share ids: primary id, all aliases, fixed versions, first severity.
 
+    The primary id is the first by rank and text of all ids, or with `own` of the findings' own ids; its severity comes
+    before those of the others.
+
     rows: group columns, id, aliases, fixed, severity. The groups, findings of one package in one
     lock file, are small by nature; union-find runs inside each.
     """
@@ -170,16 +173,19 @@ def alias_components(rows: DataFrame, group: list[str], rank: tuple[str, ...] =
         for ids in names:
             for other in ids[1:]:
                 root[find(other)] = find(ids[0])
-        parts: dict[str, tuple[set, dict, list]] = {}
-        for ids, versions, severity in zip(names, frame["fixed"], frame["severity"], strict=True):
-            known, fixed, stated = parts.setdefault(find(ids[0]), (set(), {}, []))
+        parts: dict[str, tuple[set, set, dict, list]] = {}
+        turns = sorted(zip(names, frame["fixed"], frame["severity"], strict=True), key=lambda x: place(x[0][0]))
+        for ids, versions, severity in turns:
+            known, first_ids, fixed, stated = parts.setdefault(find(ids[0]), (set(), set(), {}, []))
             known.update(ids)
+            first_ids.add(ids[0])
             fixed.update(dict.fromkeys(versions if versions is not None else ()))
             stated += [severity] if severity else []
-        own, out = [frame[g].iloc[0] for g in group], []
-        for known, fixed, stated in parts.values():
-            first, *rest = sorted(known, key=place)
-            out.append((*own, first, rest, list(fixed), stated[0] if stated else None))
+        shared, out = [frame[g].iloc[0] for g in group], []
+        for known, first_ids, fixed, stated in parts.values():
+            first = min(first_ids if own else known, key=place)
+            rest = sorted(known - {first}, key=None if own else place)
+            out.append((*shared, first, rest, list(fixed), stated[0] if stated else None))
         return pd.DataFrame(out, columns=[*group, "primary", "aliases", "fixed", "severity"])
 
     return rows.groupBy(*group).applyInPandas(fold, schema)

@@ -383,3 +383,49 @@ def stated_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text, cve = F.col("t"), F.col("i")
     return rows.select("k", A.pattern_family("glibc", text, F.col("c"), cve).alias("glibc"), A.pattern_family("qemu", text, None, cve).alias("qemu"), A.pattern_family("systemd", text, None, cve).alias("systemd"))
+
+
+@query("""
+WITH d AS (SELECT DISTINCT p_partkey % 200 AS g, concat('lib', p_size) AS name, CAST(p_partkey % 40 AS INT) AS m FROM part),
+f AS (SELECT *, CASE g % 4 WHEN 0 THEN 'Cargo.lock' WHEN 1 THEN 'package-lock.json' WHEN 2 THEN 'pnpm-lock.yaml' ELSE 'requirements.txt' END AS file, CASE g % 4 WHEN 0 THEN 'crates.io' WHEN 3 THEN 'PyPI' ELSE 'npm' END AS ecosystem FROM d),
+a AS (SELECT s_suppkey AS s, CAST(s_suppkey % 30 AS INT) AS x, concat('lib', s_suppkey % 50 + 1) AS name, CASE s_suppkey % 4 WHEN 1 THEN 'npm' WHEN 2 THEN 'PyPI' WHEN 3 THEN 'crates.io' END AS eco FROM supplier)
+SELECT concat('p', g, '/', file) AS path, ecosystem, name, concat('1.', m, '.0') AS version, concat(CASE WHEN s % 3 = 0 THEN 'RUSTSEC-' ELSE 'GHSA-' END, s) AS id,
+  CASE WHEN s % 3 = 0 THEN concat('CVE-', s, ',GHSA-', s) ELSE concat('CVE-', s) END AS aliases,
+  CASE WHEN s % 3 = 0 THEN concat('1.', x, '.0,1.', x + 7, '.5') ELSE concat('1.', x, '.0') END AS fixed,
+  CASE WHEN x > m THEN concat('1.', x, '.0') WHEN s % 3 = 0 AND x + 7 >= m THEN concat('1.', x + 7, '.5') END AS fix,
+  CASE WHEN s % 3 = 0 THEN '7.5' WHEN s % 2 = 0 THEN 'HIGH' END AS severity
+FROM f JOIN a USING (name) WHERE eco IS NULL OR eco = ecosystem
+""")
+def dependency_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lock files of four formats written from parts, parsed, matched with advisories of suppliers, twins folded."""
+    part = table(spark, sf_dir, "part").select((F.col("p_partkey") % 200).alias("g"), F.col("p_partkey").cast("string").alias("k"), F.concat(F.lit("lib"), "p_size").alias("n"), F.concat(F.lit("1."), F.col("p_partkey") % 40, F.lit(".0")).alias("v"))
+    kind = F.col("g") % 4
+    line = (
+        F.when(kind == 0, F.format_string('[[package]]\nname = "%s"\nversion = "%s"\nsource = "registry+https://index"\n', "n", "v"))
+        .when(kind == 1, F.format_string('"node_modules/w%s/node_modules/%s":{"version":"%s"}', "k", "n", "v"))
+        .when(kind == 2, F.format_string("  %s@%s:\n    resolution: {integrity: x}\n", "n", "v"))
+        .otherwise(F.format_string("%s==%s", "n", "v"))
+    )
+    lines = F.array_sort(F.collect_list("line"))
+    text = (
+        F.when(kind == 1, F.concat(F.lit('{"lockfileVersion":3,"packages":{"":{"name":"own"},'), F.array_join(lines, ","), F.lit("}}")))
+        .when(kind == 2, F.concat(F.lit("lockfileVersion: '6.0'\n\npackages:\n\n"), F.array_join(lines, "\n")))
+        .otherwise(F.array_join(lines, "\n"))
+    )
+    file = F.when(kind == 0, "Cargo.lock").when(kind == 1, "package-lock.json").when(kind == 2, "pnpm-lock.yaml").otherwise("requirements.txt")
+    files = part.withColumn("line", line).groupBy("g").agg(text.alias("text")).select(F.concat(F.lit("p"), F.col("g").cast("string"), F.lit("/"), file).alias("path"), "text")
+    key, minor = F.col("s_suppkey"), (F.col("s_suppkey") % 30)
+    eco = F.when(key % 4 == 1, "npm").when(key % 4 == 2, "PyPI").when(key % 4 == 3, "crates.io")
+
+    def advisory(prefix: str, aliases, fixed, severity, stated):
+        package = F.struct(F.concat(F.lit("lib"), key % 50 + 1).alias("name"), eco.alias("ecosystem"))
+        events = F.array(F.struct(F.lit("0").alias("introduced"), F.lit(None).cast("string").alias("fixed")), F.struct(F.lit(None).cast("string").alias("introduced"), fixed.alias("fixed")))
+        affected = F.array(F.struct(package.alias("package"), F.array(F.struct(F.lit("SEMVER").alias("type"), events.alias("events"))).alias("ranges")))
+        scores = F.when(F.lit(severity).isNotNull(), F.array(F.struct(F.lit(severity).cast("string").alias("score"))))
+        return F.concat(F.lit(prefix), key).alias("id"), aliases.alias("aliases"), affected.alias("affected"), scores.alias("severity"), stated.alias("database_severity")
+
+    supplier, cve = table(spark, sf_dir, "supplier"), F.concat(F.lit("CVE-"), key)
+    own = supplier.select(*advisory("GHSA-", F.array(cve), F.concat(F.lit("1."), minor, F.lit(".0")), None, F.when((key % 2 == 0) & (key % 3 > 0), "HIGH")))
+    twin = supplier.where(key % 3 == 0).select(*advisory("RUSTSEC-", F.array(cve), F.concat(F.lit("1."), minor + 7, F.lit(".5")), "7.5", F.lit(None).cast("string")))
+    found = dependencies.vulnerabilities(dependencies.findings(dependencies.parse(files), own.unionByName(twin)))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("aliases", "fixed")})
