@@ -18,32 +18,32 @@ from corvane.session import checkpointed
 
 
 def inverse_frequencies(features: DataFrame, total: DataFrame | None = None) -> DataFrame:
-    """(feature, df, n, idf) of a long table (key, feature) of distinct pairs: idf = ln(n / df).
+    """(feature, df, n, idf) of a long table (key, feature) of distinct pairs: idf = ln(n / df); with a weight, also heavy,
+    the largest product of both.
 
     total: one row with the number of keys as n; counted from the pairs if not given. Counts are combined
     before the one shuffle, of one row per task and feature.
     """
     if total is None:
         total = features.agg(F.countDistinct("key").alias("n"))
-    return (
-        features.groupBy("feature").agg(F.count("*").alias("df"))
-        .crossJoin(F.broadcast(total))  # one row
-        .withColumn("idf", F.ln(F.col("n") / F.col("df")))
-    )
+    counts = [F.count("*").alias("df"), *([F.max("weight").alias("most")] if "weight" in features.columns else [])]
+    found = features.groupBy("feature").agg(*counts).crossJoin(F.broadcast(total))  # one row
+    found = found.withColumn("idf", F.ln(F.col("n") / F.col("df")))
+    return found.withColumn("heavy", F.col("most") * F.col("idf")).drop("most") if "weight" in features.columns else found
 
 
 def weighted(features: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """(key, feature, w, length, df, n): tf-idf weights above 0, rounded to 4 places, and the key's length.
+    """(key, feature, w, length, df, n, heavy): tf-idf weights above 0, rounded to 4 places, and the key's length.
 
     The length comes from the unrounded weights; a cosine is the product of the rounded weights over both lengths.
     """
     raw = features.join(frequencies, "feature").withColumn("w", F.col("weight") * F.col("idf")).where("w > 0")
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("key")))
-    return raw.withColumn("length", length).select("key", "feature", rounded(F.col("w")).alias("w"), "length", "df", "n")
+    return raw.withColumn("length", length).select("key", "feature", rounded(F.col("w")).alias("w"), "length", "df", "n", "heavy")
 
 
-#: A query is scored against that many keys of each of its RAREST features first, for a floor of its k-th best score.
-PROBES, RAREST = 32, 8
+#: A query is scored against that many keys of each of its HEAVIEST features first, for a floor of its k-th best score.
+PROBES, HEAVIEST = 32, 8
 
 
 def signs(vectors: DataFrame) -> DataFrame:
@@ -53,8 +53,8 @@ def signs(vectors: DataFrame) -> DataFrame:
 
 
 def suffixes(vectors: DataFrame) -> DataFrame:
-    """Adds `rest`, the norm of a key's weights behind this feature in the order of (df, feature), and `upto`, with this one."""
-    later = Window.partitionBy("key").orderBy(F.col("df").desc(), F.col("feature").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    """Adds `rest`, the norm of a key's weights behind this feature in one order of all features, heavy ones first, and `upto`, with this one."""
+    later = Window.partitionBy("key").orderBy("heavy", F.col("feature").desc()).rowsBetween(Window.unboundedPreceding, -1)
     squares = F.coalesce(F.sum(F.col("w") * F.col("w")).over(later), F.lit(0.0))
     return vectors.withColumn("rest", F.sqrt(squares)).withColumn("upto", F.sqrt(squares + F.col("w") * F.col("w")))
 
@@ -75,17 +75,17 @@ def _scores(pairs: DataFrame, asked: DataFrame, vectors: DataFrame) -> DataFrame
 def candidates(vectors: DataFrame, asked: DataFrame, selective: Column, k: int) -> DataFrame:
     """(key, other): pairs of `asked` with `vectors` that may be among the k best, no key with itself.
 
-    Features stand in one order for all keys, rare ones first. If a pair's first common feature is f, its product is at most
+    Features stand in one order for all keys, heavy ones first. If a pair's first common feature is f, its product is at most
     w_f * w_f' + rest * rest' by what both have behind f. A floor of each key's k-th best score, from exact scores with a few
-    keys of its rarest features, drops first the features from which on a key can't reach it with anything, which are then
+    keys of its heaviest features, drops first the features from which on a key can't reach it with anything, which are then
     not looked up, then the pairs whose bound stays below it. Equal scores stay, as ties go by key.
     """
     own, others = suffixes(asked), suffixes(vectors)
     finders = own.where(selective)
     posted = others.where(selective).select(F.col("key").alias("other"), "feature", F.col("w").alias("b"), F.col("rest").alias("behind"), F.col("length").alias("lb"))
-    rarest = finders.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("df", "feature"))).where(F.col("nth") <= RAREST)
+    heaviest = finders.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy(F.col("heavy").desc(), "feature"))).where(F.col("nth") <= HEAVIEST)
     few = posted.withColumn("nth", F.row_number().over(Window.partitionBy("feature").orderBy("other"))).where(F.col("nth") <= PROBES)
-    probes = rarest.select("key", "feature").join(few.select("feature", "other"), "feature").where("key <> other").select("key", "other").distinct()
+    probes = heaviest.select("key", "feature").join(few.select("feature", "other"), "feature").where("key <> other").select("key", "other").distinct()
     placed = F.row_number().over(Window.partitionBy("key").orderBy(F.col("score").desc()))
     floors = _scores(probes, asked, vectors).withColumn("nth", placed).where(F.col("nth") == k).select("key", F.col("score").alias("floor"))
     longest = others.groupBy("key").agg((F.max("upto") / F.max("length")).alias("r")).agg(F.max("r").alias("r"))  # rounding can lengthen a vector

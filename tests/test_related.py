@@ -49,7 +49,7 @@ def all_pairs(rows, asked, k, cut, min_keys):
 @pytest.mark.parametrize(("seed", "k", "cut"), [(1, 10, 0.05), (2, 3, 0.02), (3, 5, 0.5)])
 def test_related_equals_all_pairs(spark, monkeypatch, seed, k, cut):
     monkeypatch.setattr(similarity, "PROBES", 3)
-    monkeypatch.setattr(similarity, "RAREST", 2)
+    monkeypatch.setattr(similarity, "HEAVIEST", 2)
     rows = records(220, seed)
     frame = spark.createDataFrame(rows, "key long, feature string, weight double").repartition(3)
     got = sorted(map(tuple, similarity.related(frame, F.col("key") % 3 == 0, k, cut).collect()))
