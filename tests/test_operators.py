@@ -172,6 +172,35 @@ def test_graph_retrieval_of_repeated_nodes_is_native(spark):
     assert "Pandas" not in found._jdf.queryExecution().toString()  # a Python group per record took the time
 
 
+def test_reach_totals_equal_reach_without_rows_of_the_last_hop(spark, monkeypatch):
+    rng = random.Random(9)
+    edges = [(f"c{rng.randrange(150)}", f"p{min(rng.randrange(40), rng.randrange(40))}") for _ in range(500)] + [("c1", "c1"), (None, "p1"), ("c2", "c3")]
+    links = spark.createDataFrame(edges, "source string, target string")
+    seeds = spark.createDataFrame([(f"c{k}",) for k in range(150)] + [("alone",)], "node string")
+    around = {}
+    for a, b in edges:
+        if a is not None:
+            around.setdefault(a, set()).add(b)
+            around.setdefault(b, set()).add(a)
+    asked = []
+    whole = graph.reach_bits
+    monkeypatch.setattr(graph, "reach_bits", lambda roots, edges, hops: asked.append(hops) or whole(roots, edges, hops))
+    for hops in (1, 2, 3):
+        expected = {}
+        for (root,) in seeds.collect():
+            seen, at = {root}, {root}
+            expected[root, 0] = 1
+            for hop in range(1, hops + 1):
+                at = {x for node in at for x in around.get(node, ())} - seen
+                seen |= at
+                if at:
+                    expected[root, hop] = len(at)
+        roots = graph.numbered_roots(seeds)
+        found = graph.reach_totals(roots, links, hops, bucket_arcs=200, block_rows=100)
+        assert {(r.root, r.hop): r.n for r in found.collect()} == expected
+    assert asked == [0, 1, 2]  # the last step has no rows
+
+
 def test_valid_parts(spark):
     evidence = spark.createDataFrame([("r", "e1", "2023"), ("r", "e2", "2025"), ("r", "e3", "")], "record_id string, id string, observed_at string")
     claims = spark.createDataFrame([("r", "c1", "observed", ["e1"], None), ("r", "c2", "observed", ["e1", "e2"], None), ("r", "c3", "refuted", [], None), ("r", "c4", "validated", [], None)], "record_id string, id string, status string, evidence_ids array<string>, known_at string")
