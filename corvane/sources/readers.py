@@ -11,15 +11,22 @@ name of its own until the job commits, and goes if it is aborted.
 
 from __future__ import annotations
 
+import bisect
 import io
+import itertools
 import json
 import posixpath
 import re
+import shutil
+import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, StringStartsWith, WriterCommitMessage
@@ -27,6 +34,14 @@ from pyspark.sql.types import Row, StructType
 
 #: Compressed bytes of the members that one task reads, of the pages of one micro-batch, and of one page at most.
 PARTITION_BYTES, BATCH_BYTES, PAGE_BYTES = 32 << 20, 32 << 20, 16 << 20
+#: How long folders have been left alone before a listing that may serve again.
+QUIET_NS = 1_000_000_000
+#: Bytes of the recorded pages that one task reads.
+TASK_BYTES = 1 << 20
+#: Bytes of text and rows of one batch that a reader of members hands on, about.
+READ_BYTES, READ_ROWS = 4 << 20, 8192
+#: An abort ends when it found nothing so many times, so many seconds apart.
+ABORT_LOOKS, ABORT_WAIT_S = 5, 0.2
 WAITING = "_waiting-"
 
 
@@ -110,10 +125,13 @@ class _ZipReader(DataSourceReader):
                 parts.append(Members(file.path, tuple(names)))
         return parts or [Members("", ())]
 
-    def read(self, partition: Members) -> Iterator[tuple]:
+    def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
+        """Members as batches of some bytes of text each."""
         if not partition.names:
             return
         store, _ = _store(self.path)
+        rows: list[tuple] = []
+        size = 0
         with store.open_input_file(partition.archive) as source, zipfile.ZipFile(source) as archive:
             for name in partition.names:
                 row = {"archive": partition.archive, "member": name, "bytes": archive.getinfo(name).file_size}
@@ -122,7 +140,17 @@ class _ZipReader(DataSourceReader):
                         row["text"] = archive.read(name).decode()
                     except (UnicodeDecodeError, zipfile.BadZipFile):
                         continue
-                yield tuple(row[c] for c in self.columns)
+                    size += row["bytes"]
+                rows.append(tuple(row[c] for c in self.columns))
+                if size >= READ_BYTES or len(rows) >= READ_ROWS:
+                    yield self._batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield self._batch(rows)
+
+    def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64() if c == "bytes" else pa.string() for c in self.columns]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=self.columns)
 
 
 @dataclass
@@ -136,12 +164,12 @@ class _FolderWriter(DataSourceWriter):
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.path, self.overwrite, self.job = options["path"], overwrite, uuid.uuid4().hex
 
-    def _put(self, name: str, content: bytes) -> tuple[str, str]:
+    def _put(self, name: str, content: BinaryIO) -> tuple[str, str]:
         store, folder = _store(self.path)
         store.create_dir(folder, recursive=True)
         waiting = posixpath.join(folder, f"{WAITING}{self.job}-{uuid.uuid4().hex}")
         with store.open_output_stream(waiting) as out:
-            out.write(content)
+            shutil.copyfileobj(content, out)
         return waiting, posixpath.join(folder, name)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -154,21 +182,29 @@ class _FolderWriter(DataSourceWriter):
                 store.move(waiting, name)
 
     def abort(self, messages: list[Written | None]) -> None:
+        """Tasks that still run may write after the others are stopped, so it looks again until there is nothing new."""
         store, folder = _store(self.path)
-        for file in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
-            if posixpath.basename(file.path).startswith(f"{WAITING}{self.job}"):
-                store.delete_file(file.path)
+        quiet = 0
+        while quiet < ABORT_LOOKS:
+            mine = [f.path for f in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if posixpath.basename(f.path).startswith(f"{WAITING}{self.job}")]
+            for path in mine:
+                store.delete_file(path)
+            quiet = 0 if mine else quiet + 1
+            time.sleep(ABORT_WAIT_S)
 
 
 class _ZipWriter(_FolderWriter):
     def write(self, iterator: Iterator[Row]) -> Written:
-        """One archive per task; equal rows give equal bytes."""
-        out, any_row = io.BytesIO(), False
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-            for row in iterator:
-                any_row = True
-                archive.writestr(zipfile.ZipInfo(row["member"]), row["text"] or "", zipfile.ZIP_DEFLATED)
-        return Written((self._put(f"part-{uuid.uuid4().hex}.zip", out.getvalue()),) if any_row else ())
+        """One archive per task, put together in an unnamed local file; equal rows give equal bytes."""
+        first = next(iterator, None)
+        if first is None:
+            return Written(())
+        with tempfile.TemporaryFile() as out:
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                for row in itertools.chain((first,), iterator):
+                    archive.writestr(zipfile.ZipInfo(row["member"]), row["text"] or "", zipfile.ZIP_DEFLATED)
+            out.seek(0)
+            return Written((self._put(f"part-{uuid.uuid4().hex}.zip", out),))
 
 
 class ZipMembers(DataSource):
@@ -189,12 +225,13 @@ class ZipMembers(DataSource):
 
 
 @dataclass
-class Page(InputPartition):
-    number: int
-    path: str
+class Pages(InputPartition):
+    """Pages that one task reads: number, path and bytes of each."""
+
+    files: tuple[tuple[int, str, int], ...]
 
     def __post_init__(self):
-        super().__init__(self.number)
+        super().__init__(self.files[:1])
 
 
 class _Pages:
@@ -206,41 +243,74 @@ class _Pages:
         self.batch = _size(options.get("batch_bytes"), BATCH_BYTES)
         self.most = _size(options.get("page_bytes"), PAGE_BYTES)
 
-    def pages(self, after: int) -> list[tuple[int, fs.FileInfo]]:
-        numbered = [(int(m[1]), f) for f in _files(self.path, ".json") if (m := re.search(r"([0-9]+)\.json$", f.path))]
-        return sorted(((n, f) for n, f in numbered if n > after), key=lambda x: x[0])
+    def pages(self) -> list[tuple[int, str, int]]:
+        return sorted((int(m[1]), f.path, f.size) for f in _files(self.path, ".json") if (m := re.search(r"([0-9]+)\.json$", f.path)))
 
-    def read(self, partition: Page) -> Iterator[tuple]:
-        if not partition.path:
-            return
+    def tasks(self, pages: list[tuple[int, str, int]]) -> list[InputPartition]:
+        """Runs of pages of some bytes each, as a task costs more than a small page."""
+        parts: list[InputPartition] = []
+        run: list[tuple[int, str, int]] = []
+        size = 0
+        for page in pages:
+            if run and size + page[2] > TASK_BYTES:
+                parts.append(Pages(tuple(run)))
+                run, size = [], 0
+            run.append(page)
+            size += page[2]
+        return [*parts, Pages(tuple(run))]
+
+    def read(self, partition: Pages) -> Iterator[tuple]:
         store, _ = _store(self.path)
-        size = store.get_file_info(partition.path).size
-        if size > self.most:
-            raise ValueError(f"page {partition.number} has {size} bytes, more than {self.most}")
-        with store.open_input_stream(partition.path) as source:
-            row = {"page": partition.number, "bytes": size, "body": source.read().decode()}
-        yield tuple(row[c] for c in self.columns)
+        for number, path, _ in partition.files:
+            size = store.get_file_info(path).size
+            if size > self.most:
+                raise ValueError(f"page {number} has {size} bytes, more than {self.most}")
+            with store.open_input_stream(path) as source:
+                row = {"page": number, "bytes": size, "body": source.read().decode()}
+            yield tuple(row[c] for c in self.columns)
 
 
 class _PageReader(_Pages, DataSourceReader):
     def partitions(self) -> list[InputPartition]:
-        return [Page(n, f.path) for n, f in self.pages(-1)] or [Page(-1, "")]
+        return self.tasks(self.pages())
 
 
 class _PageStream(_Pages, DataSourceStreamReader):
-    """Offsets are numbers of pages; a batch ends with the page that fills its bytes."""
+    """Offsets are numbers of pages; a batch ends with the page that fills its bytes.
+
+    A listing serves while its folders' times of change stay as they are, where the store has such times and they were not
+    just set as the listing began; so listings don't grow with the batches.
+    """
 
     def __init__(self, schema: StructType, options: dict[str, str]):
         super().__init__(schema, options)
         self.planned: int | None = None
+        self.listed: list[tuple[int, str, int]] = []
+        self.times: dict[str, int] | None = None
+
+    def _list(self) -> None:
+        """Lists the pages anew if they may have changed."""
+        store, folder = _store(self.path)
+        changed = lambda paths: {i.path: i.mtime_ns for i in store.get_file_info(paths)}
+        if self.times is not None and changed([*self.times]) == self.times:
+            return
+        start = time.time_ns()
+        self.listed = self.pages()
+        times = changed([*{folder, *(posixpath.dirname(path) for _, path, _ in self.listed)}])
+        quiet = all(at is not None and at < start - QUIET_NS for at in times.values())
+        self.times = times if quiet else None
 
     def initialOffset(self) -> dict:
         return {"page": -1}
 
+    def _after(self, number: int) -> int:
+        return bisect.bisect_right(self.listed, number, key=lambda page: page[0])
+
     def latestOffset(self) -> dict:
         after, size = -1 if self.planned is None else self.planned, 0
-        for number, file in self.pages(after):
-            after, size = number, size + file.size
+        self._list()
+        for number, _, length in itertools.islice(self.listed, self._after(after), None):
+            after, size = number, size + length
             if size >= self.batch:
                 break
         self.planned = after
@@ -248,7 +318,8 @@ class _PageStream(_Pages, DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         self.planned = max(end["page"], self.planned if self.planned is not None else -1)
-        return [Page(n, f.path) for n, f in self.pages(start["page"]) if n <= end["page"]]
+        self._list()
+        return self.tasks(self.listed[self._after(start["page"]) : self._after(end["page"])])
 
     def commit(self, end: dict) -> None:
         """Recorded pages stay."""
@@ -256,7 +327,7 @@ class _PageStream(_Pages, DataSourceStreamReader):
 
 class _PageWriter(_FolderWriter):
     def write(self, iterator: Iterator[Row]) -> Written:
-        return Written(tuple(self._put(f"page-{row['page']}.json", (row["body"] or "").encode()) for row in iterator))
+        return Written(tuple(self._put(f"page-{row['page']}.json", io.BytesIO((row["body"] or "").encode())) for row in iterator))
 
 
 class RecordedPages(DataSource):

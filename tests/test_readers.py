@@ -1,11 +1,13 @@
 """ZIP members and recorded pages as data sources."""
 
 import os
+import tracemalloc
 import zipfile
 
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corvane.sources import readers
 
@@ -73,3 +75,37 @@ def test_an_aborted_write_leaves_nothing(spark, sources, tmp_path):
 def test_empty_folders(spark, sources, tmp_path):
     for name in ("zip_members", "recorded_pages"):
         assert spark.read.format(name).option("path", str(tmp_path / "none")).load().count() == 0
+
+
+def test_a_quiet_folder_is_listed_once_and_pages_share_tasks(spark, tmp_path, monkeypatch):
+    for k in range(300):
+        (tmp_path / f"page-{k}.json").write_text("x" * 100)
+    os.utime(tmp_path, (1, 1))
+    calls, files = [], readers._files
+    monkeypatch.setattr(readers, "_files", lambda *a: calls.append(a) or files(*a))
+    stream = readers.RecordedPages({"path": str(tmp_path), "batch_bytes": "1000"}).streamReader(StructType.fromDDL("page bigint, bytes bigint, body string"))
+    at, read = stream.initialOffset(), []
+    while (to := stream.latestOffset()) != at:
+        tasks = stream.partitions(at, to)
+        assert len(tasks) == 1
+        read.append([number for number, *_ in tasks[0].files])
+        at = to
+    assert read == [list(range(k, k + 10)) for k in range(0, 300, 10)] and len(calls) == 1
+    (tmp_path / "page-300.json").write_text("y")
+    assert stream.latestOffset() == {"page": 300} and [n for n, *_ in stream.partitions(at, {"page": 300})[0].files] == [300]
+
+
+def test_archives_are_written_and_read_in_pieces(spark, tmp_path):
+    rows = ({"member": f"m{k}", "text": os.urandom(100_000).hex()} for k in range(100))
+    writer = readers._ZipWriter({"path": str(tmp_path)}, False)
+    tracemalloc.start()
+    written = writer.write(rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 5 << 20 and os.path.getsize(written.files[0][0]) > 10_000_000  # not gathered in memory
+    writer.commit([written])
+    source = readers.ZipMembers({"path": str(tmp_path)})
+    schema = StructType.fromDDL(source.schema())
+    reader = source.reader(schema)
+    batches = [b for part in reader.partitions() for b in reader.read(part)]
+    assert len(batches) > 1 and sum(b.num_rows for b in batches) == 100 and max(b.nbytes for b in batches) < 5 << 20
