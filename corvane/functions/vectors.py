@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -59,6 +60,114 @@ def minhash(keys: Column, permutations: int = PERMUTATIONS) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(permutations - 1)), least)
 
 
+#: Keys that are hashed at once: fewer cost calls, more leave the processor's cache.
+LANES = 32_768
+
+
+def _cube_root(n: int) -> int:
+    low, high = 0, 1 << 40
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if middle**3 <= n else (low, middle - 1)
+    return low
+
+
+# sha256's constants: the first 32 bits of the fractions of the roots of primes.
+_PRIMES = [p for p in range(2, 312) if all(p % q for q in range(2, p))]
+_START = [math.isqrt(p << 64) & 0xFFFFFFFF for p in _PRIMES[:8]]
+_ROUND = [_cube_root(p << 96) & 0xFFFFFFFF for p in _PRIMES]
+_HEX = np.array([int.from_bytes(b"%04x" % i) for i in range(1 << 16)], np.uint32)
+_WORD = [np.array(i, np.uint32) for i in range(33)]
+
+
+def _turned(x, out, other, turns: tuple[int, int, int], whole: bool):
+    """xor of x turned right by each number of bits; the last is a shift if not `whole`."""
+    left, right = np.left_shift, np.right_shift
+    one, two, three = turns
+    right(x, _WORD[one], out)
+    for shift, by in ((left, 32 - one), (right, two), (left, 32 - two), (right, three), *([(left, 32 - three)] if whole else [])):
+        np.bitwise_xor(out, shift(x, _WORD[by], other), out)
+    return out
+
+
+def _turned_word(x: int, turns: tuple[int, int, int]) -> int:
+    once = np.array([x], np.uint32)
+    return int(_turned(once, np.empty_like(once), np.empty_like(once), turns, False)[0])
+
+
+def hash_words(keys: np.ndarray, prefixes: list[bytes]):
+    """For each prefix the first 32 bits of sha256(prefix + key as 8 hex digits), of all keys (uint32) at once.
+
+    One message is one block of sha256, so its rounds run on whole arrays; a hash by hashlib takes twice as long, most of it
+    for the call. Words of the message that are the same for all keys stay numbers.
+    """
+    lanes = min(LANES, len(keys))
+    rows = np.empty((28, lanes), np.uint32)
+    for prefix in prefixes:
+        out = np.empty(len(keys), np.uint32)
+        for first in range(0, len(keys), LANES):
+            part = keys[first : first + LANES]
+            out[first : first + LANES] = _hash_words(part, prefix, rows[:, : len(part)])
+        yield out
+
+
+def _message(keys: np.ndarray, prefix: bytes) -> list:
+    """The 16 words of the block: numbers, or arrays where the key shows."""
+    high, low = _HEX[keys >> _WORD[16]], _HEX[keys & np.uint32(0xFFFF)]
+    whole, rest = divmod(len(prefix), 4)
+    words: list = [int.from_bytes(prefix[at : at + 4].ljust(4, b"\0")) for at in range(0, 4 * whole + 4, 4)] + [0] * (15 - whole)
+    right, left = _WORD[8 * rest], _WORD[32 - 8 * rest]
+    if rest:
+        words[whole] = high >> right | np.uint32(words[whole])
+        words[whole + 1] = high << left | low >> right
+        words[whole + 2] = low << left | np.uint32(0x80 << 24 - 8 * rest)
+    else:
+        words[whole : whole + 3] = high, low, 0x80 << 24
+    words[15] = 8 * (len(prefix) + 8)
+    return words
+
+
+def _hash_words(keys: np.ndarray, prefix: bytes, rows: np.ndarray) -> np.ndarray:
+    add, xor, both = np.add, np.bitwise_xor, np.bitwise_and
+    a, b, c, d, e, f, g, h = state = list(rows[:8])
+    kept, (t, u, v, last) = rows[8:24], rows[24:]
+    for row, start in zip(state, _START, strict=True):
+        row.fill(start)
+    xor(b, c, last)
+    words = _message(keys, prefix)
+    for at in range(64):
+        if at >= 16:
+            own, number, parts = kept[at % 16], 0, []
+            for word in (words[at % 16], words[(at - 7) % 16]):
+                number, parts = (number + word, parts) if isinstance(word, int) else (number, [*parts, word])
+            for word, turns, into in ((words[(at - 15) % 16], (7, 18, 3), t), (words[(at - 2) % 16], (17, 19, 10), u)):
+                if isinstance(word, int):
+                    number += _turned_word(word, turns) if word else 0
+                else:
+                    parts.append(_turned(word, into, v, turns, False))
+            number &= 0xFFFFFFFF
+            if parts:
+                total = parts[0]
+                for part in parts[1:]:
+                    total = add(total, part, own)
+                if number or total is not own:
+                    add(total, np.array(number, np.uint32), own)
+            words[at % 16] = own if parts else number
+        word = words[at % 16]
+        if isinstance(word, int):
+            add(h, np.array(word + _ROUND[at] & 0xFFFFFFFF, np.uint32), h)
+        else:
+            add(add(h, word, h), np.array(_ROUND[at], np.uint32), h)
+        add(h, _turned(e, t, u, (6, 11, 25), True), h)
+        add(h, xor(both(xor(f, g, u), e, u), g, u), h)
+        add(d, h, d)
+        add(h, _turned(a, t, u, (2, 13, 22), True), h)
+        add(h, xor(both(xor(a, b, v), last, last), b, last), h)  # a ^ b of this round is b ^ c of the next
+        v, last = last, v
+        a, b, c, d, e, f, g, h = h, a, b, c, d, e, f, g
+    return a + np.uint32(_START[0])
+
+
 def estimated_jaccard(left: Column, right: Column) -> Column:
     """Share of equal places of two signatures of one length; null if the lengths differ or are 0."""
     same = F.size(F.filter(F.zip_with(left, right, lambda a, b: a == b), lambda x: x))

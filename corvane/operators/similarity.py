@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.scores import rounded, scaled
-from corvane.functions.vectors import EMPTY_HASH, PERMUTATIONS, band_keys, estimated_jaccard
+from corvane.functions.vectors import EMPTY_HASH, PERMUTATIONS, band_keys, estimated_jaccard, hash_words
 from corvane.operators.search import word_tokens
 from corvane.session import checkpointed
 
@@ -299,23 +299,45 @@ def lsh_classes(left: DataFrame, right: DataFrame, threshold: float = 0.3, permu
     return members_a, members_b, judged.unionByName(loose.withColumn("jaccard", F.lit(None).cast("double")))
 
 
-def _signatures(k: int, permutations: int):
+#: Keys of one block, whose equal ones are hashed once: some 60 MB in a worker.
+BLOCK_KEYS = 2_000_000
+
+
+def _gram_keys(joined: str, k: int) -> np.ndarray:
+    """The keys of `vectors.k_grams` as numbers, each once."""
+    tokens = joined.split("\x1f") if joined else []
+    starts = range(max(len(tokens) - k + 1, 1)) if tokens else ()
+    found = {hashlib.sha256("\x1f".join(tokens[i : i + k]).encode()).digest()[:4] for i in starts}
+    return np.frombuffer(b"".join(found), ">u4").astype(np.uint32)
+
+
+def _least_hashes(keys: list[np.ndarray], permutations: int) -> np.ndarray:
+    """A row per array of keys: the least hash of each permutation. Keys that several arrays have are hashed once."""
+    sizes = np.array([len(x) for x in keys], np.int64)
+    out = np.full((len(keys), permutations), EMPTY_HASH, np.int64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        starts = np.cumsum(sizes[some]) - sizes[some]
+        distinct, places = np.unique(np.concatenate(keys), return_inverse=True)
+        for i, hashes in enumerate(hash_words(distinct, [b"%d:" % i for i in range(permutations)])):
+            out[some, i] = np.minimum.reduceat(hashes[places], starts)
+    return out
+
+
+def _signatures(k: int, permutations: int, most: int = BLOCK_KEYS):
     """`vectors.k_grams` and `vectors.minhash` of the tokens of each row, in time linear in them."""
-    sha256, prefixes = hashlib.sha256, [b"%d:" % i for i in range(permutations)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, signatures = [], []
-            for joined in batch.column("tokens").to_pylist():
-                tokens = joined.split("\x1f") if joined else []
-                starts = range(max(len(tokens) - k + 1, 1)) if tokens else ()
-                keys = [w[:8].encode() for w in {sha256("\x1f".join(tokens[i : i + k]).encode()).hexdigest()[:8] for i in starts}]
-                sizes.append(len(keys))
-                least = (min([sha256(p + key).digest() for key in keys]) for p in prefixes)
-                signatures.append([int.from_bytes(d[:4]) for d in least] if keys else [EMPTY_HASH] * permutations)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(signatures, pa.list_(pa.int64()))], names=["id", "n_grams", "signature"]
-            )
+            first, held, keys = 0, 0, []
+            for at, joined in enumerate(batch.column("tokens"), 1):
+                keys.append(_gram_keys(joined.as_py(), k))
+                held += len(keys[-1])
+                if held >= most or at == batch.num_rows:
+                    signatures = pa.FixedSizeListArray.from_arrays(pa.array(_least_hashes(keys, permutations).ravel()), permutations).cast(pa.list_(pa.int64()))
+                    sizes = pa.array([len(x) for x in keys], pa.int64())
+                    yield pa.RecordBatch.from_arrays([batch.column("id").slice(first, at - first), sizes, signatures], names=["id", "n_grams", "signature"])
+                    first, held, keys = at, 0, []
 
     return run
 

@@ -451,6 +451,31 @@ def test_document_signatures_equal_brute_force(spark, tmp_path):
     assert row.g == {digest("a\x1fb\x1fa"): 2, digest("b\x1fa\x1fb"): 2} and row.one == {digest("a"): 1} and row.none == {}
 
 
+def test_hashes_of_whole_arrays_equal_hashlib(monkeypatch):
+    import hashlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    keys = np.random.default_rng(5).integers(0, 2**32, 70, np.uint32)
+    monkeypatch.setattr(V, "LANES", 32)  # three parts, the last one short
+    prefixes = [b"", b"7:", b"63:", b"100:", b"1000:", b"123456789:"]
+    for prefix, found in zip(prefixes, V.hash_words(keys, prefixes), strict=True):
+        assert found.tolist() == [int.from_bytes(hashlib.sha256(prefix + b"%08x" % key).digest()[:4]) for key in keys.tolist()]
+    # blocks end with a row, wherever that is; rows without a word, and equal keys of several rows
+    tokens = ["a\x1fb\x1fc\x1fd", "", "b\x1fc\x1fd", "x", "", "a\x1fb\x1fc"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6), pa.int64()), pa.array(tokens)], names=["id", "tokens"])
+    whole = [r for b in similarity._signatures(3, 8)(iter([batch])) for r in b.to_pylist()]
+    for most in (1, 2, 3):
+        assert [r for b in similarity._signatures(3, 8, most)(iter([batch])) for r in b.to_pylist()] == whole
+    digest = lambda t: hashlib.sha256(t.encode()).digest()[:4]
+    for row, joined in zip(whole, tokens, strict=True):
+        words = joined.split("\x1f") if joined else []
+        grams = {digest("\x1f".join(words[i : i + 3])).hex() for i in range(max(len(words) - 2, 1))} if words else set()
+        assert row["n_grams"] == len(grams)
+        assert row["signature"] == [min((int.from_bytes(digest(f"{i}:{g}")) for g in grams), default=2**32 - 1) for i in range(8)]
+
+
 def test_record_features(spark):
     schema = "key long, cwe string, project string, subsystem string, files array<struct<path: string, functions: array<string>>>, changes array<struct<name: string, calls: array<string>, grams: array<string>>>"
     rows = [
