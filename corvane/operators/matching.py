@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ GUARD_REACH, MANY_CALLEES = 8, 3
 MISSING_GAIN = 0.1
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once per row: a lambda that names an expression computes it again per element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _arguments(function: Column) -> Column:
     """array of (callee, line, at, var) of all call arguments."""
     per_call = F.transform(
@@ -61,31 +68,35 @@ def guard_rules(before: Column, after: Column) -> Column:
     A guard that the fix only moved, of the same kind and variables, is not added. Variables that go to
     `MANY_CALLEES` or more callees are context handles and make no rule.
     """
-    after_args, before_args = _arguments(after), _arguments(before)
     same = lambda a, b: (a["kind"] == b["kind"]) & (a["vars"] == b["vars"])
     added = F.filter(after["guards"], lambda g: ~F.exists(before["guards"], lambda old: same(g, old)))
+    sides = F.struct(_arguments(after).alias("after"), _arguments(before).alias("before"), added.alias("added"))
 
-    def is_rule(a: Column) -> Column:
-        callees = F.size(F.array_distinct(F.transform(F.filter(after_args, lambda x: x["var"] == a["var"]), lambda x: x["callee"])))
+    def is_rule(a: Column, sides: Column) -> Column:
+        callees = F.size(F.array_distinct(F.transform(F.filter(sides["after"], lambda x: x["var"] == a["var"]), lambda x: x["callee"])))
         unguarded = F.exists(
-            before_args,
+            sides["before"],
             lambda b: (b["callee"] == a["callee"]) & (b["at"] == a["at"]) & (b["var"] != "") & ~_guarded(before["guards"], b),
         )
-        return _variable(a) & (callees < MANY_CALLEES) & _guarded(added, a, GUARD_REACH, True) & unguarded
+        return _variable(a) & _guarded(sides["added"], a, GUARD_REACH, True) & (callees < MANY_CALLEES) & unguarded
 
-    rules = F.transform(F.filter(after_args, is_rule), lambda a: F.struct(a["callee"].alias("callee"), a["at"].alias("at")))
+    found = bound(sides, lambda s: F.filter(s["after"], lambda a: is_rule(a, s)))
+    rules = F.transform(found, lambda a: F.struct(a["callee"].alias("callee"), a["at"].alias("at")))
     return F.when(before.isNull() | after.isNull(), F.array().cast("array<struct<callee:string,at:int>>")).otherwise(F.array_distinct(rules))
 
 
 def missing_guards(target: Column, rules: Column) -> Column:
     """array of (line, var, callee), sorted: calls of the target that fall under a rule, with no precondition before them."""
-    falls = F.filter(
-        _arguments(target),
-        lambda a: _variable(a)
-        & F.exists(rules, lambda r: (r["callee"] == a["callee"]) & (r["at"] == a["at"]))
-        & ~_guarded(target["guards"], a, None, True),
-    )
-    return F.array_sort(F.array_distinct(F.transform(falls, lambda a: F.struct(a["line"].alias("line"), a["var"].alias("var"), a["callee"].alias("callee")))))
+    def falls(rules: Column) -> Column:
+        return F.filter(
+            _arguments(target),
+            lambda a: _variable(a)
+            & F.exists(rules, lambda r: (r["callee"] == a["callee"]) & (r["at"] == a["at"]))
+            & ~_guarded(target["guards"], a, None, True),
+        )
+
+    found = F.transform(bound(rules, falls), lambda a: F.struct(a["line"].alias("line"), a["var"].alias("var"), a["callee"].alias("callee")))
+    return F.array_sort(F.array_distinct(found))
 
 
 # Names of functions that every project has alike, and folders of tests.

@@ -242,10 +242,13 @@ def guard_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.collect_list(call).alias("calls"), F.collect_list(F.when(checked, guard)).alias("after"), F.collect_list(F.when(checked & (F.col("l_discount") > 0.06), guard)).alias("before")
     )
     side = lambda guards: F.struct("calls", F.col(guards).alias("guards"))
-    ruled = checkpointed(gathered.select("l_orderkey", side("before").alias("before"), side("after").alias("after"))).withColumn("rules", matching.guard_rules(F.col("before"), F.col("after")))
-    missing = checkpointed(ruled).withColumn("missing", matching.missing_guards(F.col("before"), F.col("rules"))).where(F.size("missing") > 0)
+    judged = matching.bound(
+        matching.guard_rules(side("before"), side("after")),
+        lambda rules: F.struct(F.size(rules).cast("long").alias("n_rules"), matching.missing_guards(side("before"), rules).alias("missing")),
+    )
+    missing = gathered.select("l_orderkey", F.inline(F.array(judged))).where(F.size("missing") > 0)  # a filter on generated columns doesn't compute them twice
     text = F.transform("missing", lambda m: F.concat_ws(":", m["line"].cast("string"), m["var"], m["callee"]))
-    return missing.select(F.col("l_orderkey").alias("orderkey"), F.size("rules").cast("long").alias("n_rules"), F.array_join(text, ",").alias("missing"))
+    return missing.select(F.col("l_orderkey").alias("orderkey"), "n_rules", F.array_join(text, ",").alias("missing"))
 
 
 @query("""

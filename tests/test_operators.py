@@ -401,6 +401,13 @@ def test_guard_rules_equal_plain_loops(spark):
     assert some > 30
 
 
+def test_guard_arguments_are_listed_once_per_function(spark):
+    frame = spark.createDataFrame([], f"before {matching.FUNCTION}, after {matching.FUNCTION}, target {matching.FUNCTION}")
+    missing = matching.missing_guards(F.col("target"), matching.guard_rules(F.col("before"), F.col("after")))
+    plan = frame.select(missing.alias("m"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("flatten(") == 3  # a further one would run per argument
+
+
 def test_fixes_and_names_of_the_matcher(spark):
     names = ["test_a", "a_test", "check_x", "from_str", "main", "drop", "parse"]
     frame = spark.createDataFrame([(n,) for n in names], "n string")
