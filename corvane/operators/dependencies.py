@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.text import first_fixed, package_name, version_key
 from corvane.operators.merging import alias_components
+from corvane.session import checkpointed
 
 DEPENDENCY = "path string, ordinal int, ecosystem string, name string, version string"
 
@@ -160,25 +161,25 @@ def severity(advisory_scores: Column, database: Column) -> Column:
     return F.coalesce(F.get(F.filter(F.transform(advisory_scores, lambda s: s["score"]), lambda x: x.isNotNull()), F.lit(0)), database)
 
 
+def offers(packages: DataFrame, advisories: DataFrame) -> DataFrame:
+    """packages (ecosystem, name, ...) with each advisory that names them: id, aliases, fixed, severity. Which do, no version decides."""
+    offered = advisories.select("*", F.explode(F.array_distinct(F.transform("affected", lambda a: a["package"]["name"]))).alias("name"))
+    return (
+        packages.join(offered, "name")
+        .withColumn("entries", affected_entries(F.col("affected"), F.col("name"), F.col("ecosystem")))
+        .where(F.size("entries") > 0)
+        .select(*packages.columns, "id", "aliases", fixed_versions(F.col("entries")).alias("fixed"), severity(F.col("severity"), F.col("database_severity")).alias("severity"))
+    )
+
+
 def findings(dependencies: DataFrame, advisories: DataFrame) -> DataFrame:
     """(path, ecosystem, name, version, id, aliases, fixed, fix, severity) sorted by file, package, id.
 
     Distinct (ecosystem, name, version) are matched once and expanded to the files afterwards.
     advisories: (id, aliases, affected, severity, database_severity).
     """
-    keys = dependencies.select("ecosystem", "name", "version").distinct()
-    offered = advisories.select("*", F.explode(F.array_distinct(F.transform("affected", lambda a: a["package"]["name"]))).alias("name"))
-    matched = (
-        keys.join(offered, "name")
-        .withColumn("entries", affected_entries(F.col("affected"), F.col("name"), F.col("ecosystem")))
-        .where(F.size("entries") > 0)
-        .withColumn("fixed", fixed_versions(F.col("entries")))
-        .select(
-            "ecosystem", "name", "version", "id", "aliases", "fixed",
-            F.when(F.size("fixed") > 0, first_fixed(F.col("version"), F.col("fixed"))).alias("fix"),
-            severity(F.col("severity"), F.col("database_severity")).alias("severity"),
-        )
-    )
+    matched = offers(dependencies.select("ecosystem", "name", "version").distinct(), advisories)
+    matched = matched.withColumn("fix", F.when(F.size("fixed") > 0, first_fixed(F.col("version"), F.col("fixed"))))
     return dependencies.join(matched, ["ecosystem", "name", "version"]).select(
         "path", "ecosystem", "name", "version", "id", "aliases", "fixed", "fix", "severity"
     ).orderBy("path", F.lower("name"), "id")
@@ -188,19 +189,42 @@ def findings(dependencies: DataFrame, advisories: DataFrame) -> DataFrame:
 ID_RANK = ("RUSTSEC-", "GHSA-", "PYSEC-", "GO-", "CVE-")
 
 
+def _keyed(fixed: Column) -> Column:
+    return F.array_sort(F.transform(fixed, lambda v: F.struct(version_key(v).alias("key"), v.alias("v"))))
+
+
+def _with_fix(folded: DataFrame) -> DataFrame:
+    """Rows with `keyed`, the fixed versions in order, and `installed`, the key of the version, in the form of `vulnerabilities`."""
+    above = F.filter("keyed", lambda x: x["key"] > F.col("installed"))
+    return folded.select(
+        *(c for c in folded.columns if c not in ("keyed", "installed", "primary", "aliases", "fixed", "severity")),
+        F.col("primary").alias("id"), "aliases", F.transform("keyed", lambda x: x["v"]).alias("fixed"), F.get(above, F.lit(0))["v"].alias("fix"), "severity",
+    )
+
+
 def vulnerabilities(found: DataFrame) -> DataFrame:
     """`findings` with the ids that alias each other folded: one row per dependency of a file and vulnerability.
 
     Fixed versions of all its ids ascend; fix is the first above the installed one, null if none is.
     """
     folded = alias_components(found, ["path", "ecosystem", "name", "version"], ID_RANK, own=True)
-    keyed = F.array_sort(F.transform("fixed", lambda v: F.struct(version_key(v).alias("key"), v.alias("v"))))
-    above = F.filter("keyed", lambda x: x["key"] > version_key(F.col("version")))
-    return (
-        folded.withColumn("keyed", keyed)
-        .select("path", "ecosystem", "name", "version", F.col("primary").alias("id"), "aliases", F.transform("keyed", lambda x: x["v"]).alias("fixed"), F.get(above, F.lit(0))["v"].alias("fix"), "severity")
-        .orderBy("path", F.lower("name"), "id")
-    )
+    return _with_fix(folded.withColumns({"keyed": _keyed(F.col("fixed")), "installed": version_key(F.col("version"))})).orderBy("path", F.lower("name"), "id")
+
+
+def package_vulnerabilities(dependencies: DataFrame, advisories: DataFrame) -> DataFrame:
+    """`vulnerabilities` of the `findings`, folded before any version or file multiplies them.
+
+    An advisory names packages, so its ids fold alike for all versions and files: once per package. What is
+    fixed is then looked up once per version, and the files come last.
+    """
+    dependencies = checkpointed(dependencies.select("path", "ecosystem", "name", "version").distinct())
+    packages = offers(dependencies.select("ecosystem", "name").distinct(), advisories)
+    folded = alias_components(packages, ["ecosystem", "name"], ID_RANK, own=True).withColumn("keyed", _keyed(F.col("fixed")))
+    versions = dependencies.select("ecosystem", "name", "version").distinct().withColumn("installed", version_key(F.col("version")))
+    matched = _with_fix(versions.join(checkpointed(folded), ["ecosystem", "name"]))
+    return dependencies.join(matched, ["ecosystem", "name", "version"]).select(
+        "path", "ecosystem", "name", "version", "id", "aliases", "fixed", "fix", "severity"
+    ).orderBy("path", F.lower("name"), "id")
 
 
 def normal_names(frame: DataFrame, column: str = "name") -> DataFrame:

@@ -430,5 +430,5 @@ def dependency_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier, cve = table(spark, sf_dir, "supplier"), F.concat(F.lit("CVE-"), key)
     own = supplier.select(*advisory("GHSA-", F.array(cve), F.concat(F.lit("1."), minor, F.lit(".0")), None, F.when((key % 2 == 0) & (key % 3 > 0), "HIGH")))
     twin = supplier.where(key % 3 == 0).select(*advisory("RUSTSEC-", F.array(cve), F.concat(F.lit("1."), minor + 7, F.lit(".5")), "7.5", F.lit(None).cast("string")))
-    found = dependencies.vulnerabilities(dependencies.findings(dependencies.parse(files), own.unionByName(twin)))
+    found = dependencies.package_vulnerabilities(dependencies.parse(files), own.unionByName(twin))
     return found.withColumns({c: F.array_join(c, ",") for c in ("aliases", "fixed")})

@@ -483,6 +483,33 @@ def test_hashes_of_whole_arrays_equal_hashlib(monkeypatch):
         assert row["signature"] == [min((int.from_bytes(digest(f"{i}:{g}")) for g in grams), default=2**32 - 1) for i in range(8)]
 
 
+def test_advisories_fold_once_per_package(spark, monkeypatch):
+    package = lambda name, eco: {"package": {"name": name, "ecosystem": eco}, "ranges": [{"events": [{"fixed": "1.5"}, {"fixed": "1.10"}, {"fixed": None}]}]}
+    advisories = spark.createDataFrame(
+        [
+            ("GHSA-1", ["CVE-1"], [package("a", "npm"), package("b", None)], [("7.5",)], None),
+            ("RUSTSEC-1", ["CVE-1", "X-1"], [package("a", None)], None, "HIGH"),
+            ("GHSA-2", None, [package("a", "npm")], None, None),
+            ("PYSEC-3", ["X-3"], [package("b", "PyPI"), package("b", "PyPI")], None, "LOW"),
+        ],
+        "id string, aliases array<string>, affected array<struct<package:struct<name:string,ecosystem:string>,ranges:array<struct<events:array<struct<fixed:string>>>>>>, severity array<struct<score:string>>, database_severity string",
+    )
+    rows = [(f"p{k % 4}", k, eco, name, version) for k, (eco, name, version) in enumerate((e, n, v) for e in ("npm", "PyPI", None) for n in ("a", "b", "c") for v in ("1.2", "1.9", "2", None) for _ in range(3))]
+    locked = spark.createDataFrame(rows, dependencies.DEPENDENCY)
+    folded = []
+
+    def fold(found, *args, **named):
+        folded.append(found.count())
+        return merging.alias_components(found, *args, **named)
+
+    monkeypatch.setattr(dependencies, "alias_components", fold)
+    slow = dependencies.vulnerabilities(dependencies.findings(locked, advisories))
+    quick = dependencies.package_vulnerabilities(locked, advisories)
+    text = lambda frame: sorted(map(repr, frame.select(slow.columns).collect()))
+    assert text(quick) == text(slow) and len(text(slow)) > 10
+    assert folded[1] == (3 + 1) + (1 + 2) + (1 + 1) < folded[0]  # a and b of npm, PyPI and no ecosystem
+
+
 def test_record_features(spark):
     schema = "key long, cwe string, project string, subsystem string, files array<struct<path: string, functions: array<string>>>, changes array<struct<name: string, calls: array<string>, grams: array<string>>>"
     rows = [
