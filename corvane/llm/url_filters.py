@@ -9,9 +9,10 @@ exceeds `RATIO` times its trust and reaches `SHARE` of its number of pages: one
 many does not condemn a host.
 
 Links are aggregated to weighted host edges before anything else (map-side combined, so a host
-that holds a third of all pages costs one row per task and target). Both walks run in one join
-and one aggregation per round over (walk, host) keys, cut by a reliable checkpoint every `ROUNDS`
-rounds, until no host can change by more than `TOLERANCE` pages; more than `MOST` rounds are an error.
+that holds a third of all pages costs one row per task and target), and dealt by tail once for all
+rounds. Both walks run in one join and one aggregation per round over (walk, host) keys, which lie
+as the next join needs them, so a round shuffles only what it moves. A reliable checkpoint cuts
+every `ROUNDS` rounds, until no host can change by more than `TOLERANCE` pages; more than `MOST` rounds are an error.
 The walk at a host without links ahead returns to its seeds, so no mass is lost.
 Only html, url and page_id are read, and html only to find links.
 """
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.session import checkpointed
+from corvane.session import checkpointed, checkpointed_by
 from corvane.sources.tables import table
 
 #: (verdict, host and path prefix)
@@ -100,7 +101,8 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     )
     arcs = edges.select("weight", F.inline(both))
     total = arcs.groupBy("forward", "tail").agg(F.sum("weight").alias("total"))
-    arcs = checkpointed(arcs.join(total, ["forward", "tail"]).select("forward", "tail", "head", (F.col("weight") / F.col("total")).alias("share")))
+    arcs = arcs.join(total, ["forward", "tail"]).select("forward", "tail", "head", (F.col("weight") / F.col("total")).alias("share"))
+    arcs = checkpointed_by(arcs, "forward", "tail")
     base, done = rank.withColumn("flow", F.lit(0.0)), 0
     while (rank.agg(F.sum("flow")).first()[0] or 0.0) * damping / (1 - damping) > tolerance:
         if done >= MOST:
@@ -108,7 +110,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
         for _ in range(rounds):
             carried = [(F.col(c) * F.col("share") * damping).alias(c) for c in ("mass", "flow")]
             moved = arcs.join(rank.withColumnRenamed("host", "tail"), ["forward", "tail"]).select(F.col("head").alias("host"), "forward", *carried)
-            rank = base.unionByName(moved).groupBy("host", "forward").agg(F.sum("mass").alias("mass"), F.sum("flow").alias("flow"))
+            rank = base.unionByName(moved).groupBy("forward", "host").agg(F.sum("mass").alias("mass"), F.sum("flow").alias("flow"))
         rank, done = checkpointed(rank), done + rounds
     scale = base.groupBy("forward").agg(F.sum("mass").alias("seeds")).join(rank.groupBy("forward").agg(F.sum("mass").alias("all")), "forward")
     scaled = rank.join(F.broadcast(scale), "forward").select("host", "forward", (F.col("mass") * F.col("seeds") / F.col("all")).alias("mass"))  # two rows

@@ -29,6 +29,7 @@ from corvane.llm import (
 )
 from corvane.llm.html_blocks import blocks
 from corvane.llm.words import WordHash
+from corvane.session import checkpointed
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 # names that the operators use inside, and one that they return
@@ -605,6 +606,27 @@ def test_url_filters_equal_brute_force(spark):
     assert url_filters.filter_urls(frame.limit(0)).count() == 0
 
 
+def test_link_arcs_are_dealt_once_for_all_rounds(spark, monkeypatch):
+    plans = []
+
+    def checkpoint(frame):
+        if "flow" in frame.columns and "tail" not in frame.columns:
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return checkpointed(frame)
+
+    monkeypatch.setattr(url_filters, "checkpointed", checkpoint)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.createDataFrame([(f"h{k}", f"h{k * j % 50}", 1.0) for k in range(50) for j in (3, 7)], "src string, dst string, weight double")
+        seeds = spark.createDataFrame([(f"h{k}", k % 2, k % 3) for k in range(50)], "host string, allowed long, blocked long")
+        url_filters.propagate(seeds, edges, tolerance=10.0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # a round shuffles what it moves, the first one also the state before it; arcs lie as they are needed
+    assert len(plans) > 1 and all(plan.count("Exchange hashpartitioning") <= url_filters.ROUNDS + 1 for plan in plans[1:])
+
+
 def test_url_filters_reach_hosts_many_links_away(spark):
     pages = [(k, f"https://h13.com/de/{k}", None) for k in range(100)]  # blocked by their rule
     pages += [(1000 + k, f"https://h{k}.com/es/1", f'<a href="//h{k + 1}.com/">') for k in range(13)]
