@@ -102,13 +102,16 @@ def manifest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS bytes, md5(coalesce(text, '')) AS digest FROM documents WHERE doc_id % 7 = 3")
 def zip_members_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents written as members of archives; those of one folder read back, by a filter that reaches the archives."""
+    """All documents written as members of archives; those of one folder read back, by a filter that reaches the archives.
+
+    A member that doesn't come back ends the query.
+    """
     readers.register(spark)
     bounded_batches(spark)
     folder = f"{shared_folder(spark)}/zips-{uuid.uuid4().hex}"
     member = F.concat_ws("/", F.concat(F.lit("d"), (F.col("doc_id") % 7).cast("string")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     table(spark, sf_dir, "documents").select(member.alias("member"), "text").write.format("zip_members").option("path", folder).mode("append").save()
-    read = spark.read.format("zip_members").option("path", folder).load().where(F.col("member").startswith("d3/"))
+    read = spark.read.format("zip_members").options(path=folder, unreadable="fail").load().where(F.col("member").startswith("d3/"))
     return read.select(F.regexp_extract("member", "/([0-9]+)", 1).cast("long").alias("doc_id"), "bytes", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 

@@ -1,7 +1,7 @@
 """Data sources of their own: members of ZIP archives, and recorded pages of services as a table and as a stream.
 
     register(spark)
-    spark.read.format("zip_members").option("path", folder).load()
+    spark.read.format("zip_members").options(path=folder, unreadable="fail").load()
     frame.write.format("zip_members").option("path", folder).mode("append").save()
     spark.readStream.format("recorded_pages").option("path", folder).option("batch_bytes", "1m").load()
 
@@ -22,6 +22,7 @@ import tempfile
 import time
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import BinaryIO
@@ -69,8 +70,10 @@ def _files(path: str, ending: str) -> list[fs.FileInfo]:
 
 @dataclass
 class Members(InputPartition):
+    """Members of an archive by their places in its central directory, as a name can be there twice."""
+
     archive: str
-    names: tuple[str, ...]
+    places: tuple[int, ...]
 
     def __post_init__(self):
         super().__init__(self.archive)
@@ -95,6 +98,9 @@ class _ZipReader(DataSourceReader):
         self.columns = schema.names
         self.path, self.ending = options["path"], options.get("ending", "")
         self.most = _size(options.get("partition_bytes"), PARTITION_BYTES)
+        if (unreadable := options.get("unreadable", "skip")) not in ("skip", "fail"):
+            raise ValueError(f"unreadable is skip or fail, not {unreadable}")
+        self.strict = unreadable == "fail"
         self.test = _Test([])
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -105,40 +111,45 @@ class _ZipReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         """Runs of members of some bytes each, by the central directories alone."""
-        store, _ = _store(self.path)
+        store, folder = _store(self.path)
+        if self.strict and store.get_file_info(folder).type == fs.FileType.NotFound:
+            raise FileNotFoundError(f"no archives at {self.path}")
         by_archive = _Test([f for f in self.test.filters if f.attribute == ("archive",)])
         parts: list[InputPartition] = []
         for file in _files(self.path, ".zip"):
             if not by_archive(archive=file.path):
                 continue
-            names, size = [], 0
+            places, size = [], 0
             with store.open_input_file(file.path) as source, zipfile.ZipFile(source) as archive:
-                for member in archive.infolist():
+                for place, member in enumerate(archive.infolist()):
                     if member.is_dir() or not member.filename.endswith(self.ending) or not self.test(archive=file.path, member=member.filename):
                         continue
-                    if names and size + member.compress_size > self.most:
-                        parts.append(Members(file.path, tuple(names)))
-                        names, size = [], 0
-                    names.append(member.filename)
+                    if places and size + member.compress_size > self.most:
+                        parts.append(Members(file.path, tuple(places)))
+                        places, size = [], 0
+                    places.append(place)
                     size += member.compress_size
-            if names:
-                parts.append(Members(file.path, tuple(names)))
+            if places:
+                parts.append(Members(file.path, tuple(places)))
         return parts or [Members("", ())]
 
     def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
-        """Members as batches of some bytes of text each."""
-        if not partition.names:
+        """Members as batches of some bytes of text each. One that can't be decompressed or decoded is left out, or an error by option `unreadable`."""
+        if not partition.places:
             return
         store, _ = _store(self.path)
         rows: list[tuple] = []
         size = 0
         with store.open_input_file(partition.archive) as source, zipfile.ZipFile(source) as archive:
-            for name in partition.names:
-                row = {"archive": partition.archive, "member": name, "bytes": archive.getinfo(name).file_size}
+            members = archive.infolist()
+            for member in (members[place] for place in partition.places):
+                row = {"archive": partition.archive, "member": member.filename, "bytes": member.file_size}
                 if "text" in self.columns:  # else no member is decompressed
                     try:
-                        row["text"] = archive.read(name).decode()
-                    except (UnicodeDecodeError, zipfile.BadZipFile):
+                        row["text"] = archive.read(member).decode()
+                    except (UnicodeDecodeError, zipfile.BadZipFile, zlib.error) as error:
+                        if self.strict:
+                            raise ValueError(f"{member.filename} of {partition.archive} can't be read: {error}") from error
                         continue
                     size += row["bytes"]
                 rows.append(tuple(row[c] for c in self.columns))
@@ -174,6 +185,7 @@ class _FolderWriter(DataSourceWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         store, folder = _store(self.path)
+        store.create_dir(folder, recursive=True)  # a table without rows is a folder without files
         if self.overwrite:
             for file in _files(self.path, ""):
                 store.delete_file(file.path)
@@ -208,7 +220,10 @@ class _ZipWriter(_FolderWriter):
 
 
 class ZipMembers(DataSource):
-    """(archive, member, bytes, text) of the members of ZIP archives in a folder; rows of (member, text) written become archives."""
+    """(archive, member, bytes, text) of the members of ZIP archives in a folder; rows of (member, text) written become archives.
+
+    With the option unreadable="fail", a member that can't be read or a folder that isn't there is an error, not left out.
+    """
 
     @classmethod
     def name(cls) -> str:

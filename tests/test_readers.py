@@ -3,12 +3,14 @@
 import os
 import tracemalloc
 import zipfile
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corvane.plans import roundtrips
 from corvane.sources import readers
 
 
@@ -109,3 +111,37 @@ def test_archives_are_written_and_read_in_pieces(spark, tmp_path):
     reader = source.reader(schema)
     batches = [b for part in reader.partitions() for b in reader.read(part)]
     assert len(batches) > 1 and sum(b.num_rows for b in batches) == 100 and max(b.nbytes for b in batches) < 5 << 20
+
+
+def test_members_that_fail_are_no_result(spark, sources, tmp_path):
+    for name, texts in (("undecoded", [b"\xff\xfe"]), ("damaged", [b"x" * 999]), ("twice", [b"one", b"two"])):
+        os.mkdir(tmp_path / name)
+        with zipfile.ZipFile(tmp_path / name / "a.zip", "w") as archive:
+            for text in texts:
+                archive.writestr("d3/3.txt", text)
+    damaged = tmp_path / "damaged" / "a.zip"
+    damaged.write_bytes(damaged.read_bytes().replace(b"xxx", b"xyx", 1))  # its checksum is wrong now
+    read = lambda name, **o: spark.read.format("zip_members").options(path=str(tmp_path / name), **o).load()
+    for name in ("undecoded", "damaged"):
+        assert read(name).count() == 0
+        with pytest.raises(PythonException, match="3.txt of .* can't be read"):
+            read(name, unreadable="fail").collect()
+    with pytest.raises(Exception, match="no archives at"):
+        read("none", unreadable="fail").collect()
+    with pytest.raises(Exception, match="skip or fail"):
+        read("twice", unreadable="drop").collect()
+    assert sorted(r.text for r in read("twice", unreadable="fail").collect()) == ["one", "two"]  # not the last one twice
+    spark.createDataFrame([], "member string, text string").write.format("zip_members").option("path", str(tmp_path / "empty")).mode("append").save()
+    assert read("empty", unreadable="fail").count() == 0
+
+
+def test_the_round_trip_of_archives_fails_by_a_member_that_does_not_come_back(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(3, "whole"), (10, None), (11, "d4")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {(r.doc_id, r.bytes) for r in roundtrips.zip_members_roundtrip(spark, str(tmp_path)).collect()} == {(3, 5), (10, 0)}
+    monkeypatch.setattr(roundtrips, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    monkeypatch.setattr(roundtrips, "uuid", SimpleNamespace(uuid4=lambda: SimpleNamespace(hex="known")))
+    os.makedirs(tmp_path / "shared" / "zips-known")
+    with zipfile.ZipFile(tmp_path / "shared" / "zips-known" / "odd.zip", "w") as archive:
+        archive.writestr("d3/17.txt", b"\xff\xfe")
+    with pytest.raises(PythonException, match="d3/17.txt of .* can't be read"):
+        roundtrips.zip_members_roundtrip(spark, str(tmp_path)).collect()
