@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.functions.compiled import can_compile, text_signature
 from corvane.functions.scores import rounded, scaled
 from corvane.functions.vectors import EMPTY_HASH, PERMUTATIONS, band_keys, estimated_jaccard, hash_words
 from corvane.operators.search import word_tokens
@@ -346,10 +347,18 @@ def text_signatures(frame: DataFrame, id: str, text: str, k: int = 3, permutatio
     """(id, n_grams, signature): MinHash of the distinct word k-grams of every row's text.
 
     Keys and hashes are those of `vectors.k_grams` and `vectors.minhash`; a text without a word has
-    no grams and a signature of all ones. Texts are not shuffled.
+    no grams and a signature of all ones. Texts are dealt out to more tasks than there are cores. Where Spark's compiler can't be
+    reached, Python's workers hash, which takes several times as long.
     """
-    tokens = frame.select(F.col(id).cast("long").alias("id"), F.array_join(word_tokens(F.col(text)), "\x1f").alias("tokens"))
-    return tokens.mapInArrow(_signatures(k, permutations), "id long, n_grams long, signature array<long>")
+    spark = frame.sparkSession
+    # a file that can't be split is one task of minutes, as a MB of texts takes seconds
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    dealt = frame.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).repartition(tasks, "id")
+    words = dealt.select("id", F.array_join(word_tokens(F.col("text")), "\x1f").alias("tokens"))
+    if not can_compile(spark):
+        return words.mapInArrow(_signatures(k, permutations), "id long, n_grams long, signature array<long>")
+    found = words.select("id", text_signature(spark, F.col("tokens"), k, permutations).alias("found"))
+    return found.select("id", F.element_at("found", 1).alias("n_grams"), F.slice("found", 2, permutations).alias("signature"))
 
 
 def signature_classes(prints: DataFrame) -> DataFrame:

@@ -458,6 +458,20 @@ def test_document_signatures_equal_brute_force(spark, tmp_path):
     assert row.g == {digest("a\x1fb\x1fa"): 2, digest("b\x1fa\x1fb"): 2} and row.one == {digest("a"): 1} and row.none == {}
 
 
+def test_signatures_are_made_in_the_jvm_by_many_tasks_and_equal_those_of_python(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    texts_ = [None, "", "!", "One", "one two", "Ä\u0301 ß\U0001d400 x\x1fy", "İ i̇ I"] + [" ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(40))) for _ in range(60)]
+    spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    documents = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    found = similarity.text_signatures(documents, "doc_id", "text", 2, 101)
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert documents.rdd.getNumPartitions() == 1 and found.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    rows = {r.id: (r.n_grams, r.signature) for r in found.collect()}
+    monkeypatch.setattr(similarity, "can_compile", lambda spark: False)
+    assert rows == {r.id: (r.n_grams, r.signature) for r in similarity.text_signatures(documents, "doc_id", "text", 2, 101).collect()}
+    assert len(rows) == len(texts_) and rows[1] == (0, [2**32 - 1] * 101) and rows[3][0] == 1
+
+
 def test_hashes_of_whole_arrays_equal_hashlib(monkeypatch):
     import hashlib
 
