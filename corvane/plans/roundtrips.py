@@ -117,12 +117,12 @@ def zip_members_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, count(DISTINCT event_id // 400) AS pages FROM events GROUP BY 1")
 def recorded_pages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events recorded as pages of 400, then followed as a stream whose batches have some bytes each."""
+    """Events recorded as pages of 400, then followed as a stream whose batches have some bytes each, more while much waits."""
     readers.register(spark)
     folder = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
     rows = table(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 400).alias("page")).agg(F.collect_list(F.struct("event_id", "event_type")).alias("rows"))
     rows.select("page", F.to_json("rows").alias("body")).write.format("recorded_pages").option("path", f"{folder}/recorded").mode("append").save()
-    stream = spark.readStream.format("recorded_pages").options(path=f"{folder}/recorded", batch_bytes="256k").load()
+    stream = spark.readStream.format("recorded_pages").options(path=f"{folder}/recorded", batch_bytes="256k", catch_up="8").load()
     events = stream.select("page", F.inline(F.from_json("body", "array<struct<event_id: bigint, event_type: string>>")))
     following = events.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").start(f"{folder}/rows")
     try:

@@ -293,14 +293,18 @@ class _PageReader(_Pages, DataSourceReader):
 class _PageStream(_Pages, DataSourceStreamReader):
     """Offsets are numbers of pages; a batch ends with the page that fills its bytes.
 
+    With the option catch_up, a batch takes at least that part of the bytes that wait (8: an eighth), so a stream that is far
+    behind needs batches by the logarithm of what waits. Tasks have pages of some bytes each, whatever the batch.
     A listing serves while its folders' times of change stay as they are, where the store has such times and they were not
     just set as the listing began; so listings don't grow with the batches.
     """
 
     def __init__(self, schema: StructType, options: dict[str, str]):
         super().__init__(schema, options)
+        self.part = int(options["catch_up"]) if "catch_up" in options else None
         self.planned: int | None = None
         self.listed: list[tuple[int, str, int]] = []
+        self.upto: list[int] = [0]
         self.times: dict[str, int] | None = None
 
     def _list(self) -> None:
@@ -311,6 +315,7 @@ class _PageStream(_Pages, DataSourceStreamReader):
             return
         start = time.time_ns()
         self.listed = self.pages()
+        self.upto = [*itertools.accumulate((size for _, _, size in self.listed), initial=0)]  # bytes before each page
         times = changed([*{folder, *(posixpath.dirname(path) for _, path, _ in self.listed)}])
         quiet = all(at is not None and at < start - QUIET_NS for at in times.values())
         self.times = times if quiet else None
@@ -322,12 +327,13 @@ class _PageStream(_Pages, DataSourceStreamReader):
         return bisect.bisect_right(self.listed, number, key=lambda page: page[0])
 
     def latestOffset(self) -> dict:
-        after, size = -1 if self.planned is None else self.planned, 0
+        after = -1 if self.planned is None else self.planned
         self._list()
-        for number, _, length in itertools.islice(self.listed, self._after(after), None):
-            after, size = number, size + length
-            if size >= self.batch:
-                break
+        if (start := self._after(after)) < len(self.listed):
+            before = self.upto[start]
+            most = max(self.batch, (self.upto[-1] - before) // self.part if self.part else 0)
+            end = bisect.bisect_left(self.upto, before + most, start + 1)  # the first page count that fills it
+            after = self.listed[min(end, len(self.listed)) - 1][0]
         self.planned = after
         return {"page": after}
 

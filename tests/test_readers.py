@@ -97,6 +97,25 @@ def test_a_quiet_folder_is_listed_once_and_pages_share_tasks(spark, tmp_path, mo
     assert stream.latestOffset() == {"page": 300} and [n for n, *_ in stream.partitions(at, {"page": 300})[0].files] == [300]
 
 
+def test_a_stream_far_behind_catches_up_in_few_batches_and_misses_no_page(tmp_path):
+    for k in range(400):
+        (tmp_path / f"page-{3 * k}.json").write_text("x" * (50 + k % 7))
+    schema = StructType.fromDDL("page bigint, bytes bigint, body string")
+
+    def batches(count=10_000, **options):
+        stream = readers.RecordedPages({"path": str(tmp_path), "batch_bytes": "200", **options}).streamReader(schema)
+        at, read = stream.initialOffset(), []
+        while (to := stream.latestOffset()) != at and len(read) < count:
+            read.append([number for task in stream.partitions(at, to) for number, *_ in task.files])
+            at = to
+        return read
+
+    plain, quick = batches(), batches(catch_up="4")
+    assert sum(plain, []) == sum(quick, []) == list(range(0, 1200, 3))
+    assert len(plain) == 100 and all(len(b) == 4 for b in plain) and len(quick) < 25
+    assert 100 <= len(quick[0]) < 105 and sorted(map(len, quick), reverse=True) == [*map(len, quick)] and len(quick[-2]) == 4
+
+
 def test_archives_are_written_and_read_in_pieces(spark, tmp_path):
     rows = ({"member": f"m{k}", "text": os.urandom(100_000).hex()} for k in range(100))
     writer = readers._ZipWriter({"path": str(tmp_path)}, False)
